@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skuweave.llm import mixing, splitters
+from skuweave.llm import grammar, mixing, pieces, splitters
 from skuweave.llm.common import table
 
 
@@ -16,5 +16,22 @@ def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitters.shard_by_splitters(table(spark, sf_dir, "documents"), shards=40)
 
 
-QUERIES = {"op1_poisson_mixing": op1_poisson_mixing, "op10_sampled_splitters": op10_sampled_splitters}
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file; the package is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_texts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), with_ids=False, digests=True)
+
+
+def op3_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = grammar.token_file_path(spark)
+    grammar.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"), end_id=2)
+    return grammar.read_token_files(spark, path)
+
+
+QUERIES = {"op2_sentencepiece": op2_sentencepiece, "op3_repair_token_files": op3_repair_token_files, "op1_poisson_mixing": op1_poisson_mixing, "op10_sampled_splitters": op10_sampled_splitters}
 ORACLES = {"op1_poisson_mixing": mixing.ORACLE_SQL}
