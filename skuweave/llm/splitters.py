@@ -10,7 +10,7 @@ from skuweave.llm.common import unit_hash, written
 COARSE = 32
 
 
-def _range_of(key: F.Column, bounds: list[int]) -> F.Column:
+def range_of(key: F.Column, bounds: list[int]) -> F.Column:
     """How many of the sorted bounds are at most key: a coarse search over every COARSE-th bound, then one slice."""
     if not bounds:
         return F.lit(0)
@@ -57,7 +57,7 @@ def shard_by_splitters(
     # 2. Keys that overfill a range by themselves; there are at most `ranges` of them.
     heavy = base.groupBy("key").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > target)
     heavy = F.broadcast(heavy.select("key", F.ceil(F.col("bytes") / target).cast("long").alias("cuts")))
-    ranged = base.withColumn("range", _range_of(F.col("key"), bounds)).join(heavy, "key", "left")
+    ranged = base.withColumn("range", range_of(F.col("key"), bounds)).join(heavy, "key", "left")
     cut = F.when(F.col("cuts").isNotNull(), 1 + F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.col("cuts"))).otherwise(F.lit(0))
     ranged = ranged.withColumn("cut", cut).withColumn("heavy_key", F.when(F.col("cuts").isNotNull(), F.col("key")))
 
