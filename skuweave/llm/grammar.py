@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from skuweave.llm.common import shared_dir
 
 #: Encoded chunks that a Python worker keeps; beyond that the memory starts afresh.
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 600_000
 
 
 #: Places of the table in which pairs are counted by their hash.
@@ -35,6 +35,7 @@ class ChunkedTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.library.model._resize_cache(0)  # no chunk is asked for twice
         special = self.library.get_added_tokens_decoder()
         self.special = [t.content for t in special.values()]
         self.other_space = re.compile(r"[^\S \n]")
@@ -62,28 +63,31 @@ class ChunkedTokenizer:
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = []
+        cuts: list[list[str] | None] = []
+        odd: set[str] = set()  # chunks that may not stand after or before another one in the library's input
         for t in texts:
-            if not t or any(x in t for x in self.special):
-                out.append(self._bytes(t) if t else b"")
+            if any(x in t for x in self.special):
+                cuts.append(None)
                 continue
-            if "  " in t or "\n\n" in t or " \n" in t or "\n " in t or "\0" in t or t[-1] in " \n" or self.other_space.search(t):
+            if "  " in t or "\n\n" in t or " \n" in t or "\n " in t or "\0" in t or t[-1:] in (" ", "\n") or self.other_space.search(t):
                 own = [c for c in self.cut.split(t) if c]
-                odd = {c for c in own if c[0] not in " \n" or not c[-1:].strip()}  # these may not stand after or before another
+                odd.update(c for c in own if c[0] not in " \n" or not c[-1].strip())
             else:
-                own = t.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
-                odd = {own[0]}
-            found = list(map(self.cache.get, own))
-            if None in found:
-                new = {c for c, x in zip(own, found, strict=True) if x is None}
-                if len(self.cache) + len(new) > CACHE_CHUNKS:
-                    self.cache.clear()
-                    new = set(own)
-                self.cache.update((c, self._bytes(c)) for c in new & odd)
-                self._learn(list(new - odd))
-                found = map(self.cache.__getitem__, own)
-            out.append(b"".join(found))
-        return out
+                own = t.replace(" ", "\0 ").replace("\n", "\0\n").split("\0") if t else []
+                odd.update(own[:1])
+            cuts.append(own)
+        get = self.cache.get
+        found = [None if c is None else list(map(get, c)) for c in cuts]
+        new = {x for c, f in zip(cuts, found, strict=True) if c and None in f for x, y in zip(c, f, strict=True) if y is None}
+        if new:
+            if len(self.cache) + len(new) > CACHE_CHUNKS:
+                self.cache.clear()
+                new = {x for c in cuts if c for x in c}
+            self.cache.update((c, self._bytes(c)) for c in new & odd)
+            self._learn(list(new - odd))
+            get = self.cache.__getitem__
+            found = [f if c is None or None not in f else map(get, c) for c, f in zip(cuts, found, strict=True)]
+        return [self._bytes(t) if f is None else b"".join(f) for t, f in zip(texts, found, strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -92,7 +96,7 @@ def tokenizer(path: str) -> ChunkedTokenizer:
     return ChunkedTokenizer(path)
 
 
-def compress(ids: np.ndarray, rounds: int = 4, least: int = 8, base: int = 1 << 17) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, rounds: int = 3, least: int = 8, base: int = 1 << 17) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair of one shard: (left, right, sequence); nonterminal base + i stands for the pair left[i], right[i].
 
     Each round counts the adjacent pairs, makes a nonterminal of every pair that occurs at least `least` times, and
@@ -187,7 +191,7 @@ def expand(seq: np.ndarray, left: np.ndarray, right: np.ndarray, base: int = 1 <
 SHARD_FIELDS = "part int, shard int, n_docs bigint, n_ids bigint, doc_ids array<bigint>, doc_lengths array<bigint>, rule_left binary, rule_right binary, rule_length binary, sequence binary"
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = 32 << 20, shard_ids: int = 2_000_000) -> None:
+def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = 32 << 20, shard_ids: int = 1_000_000) -> None:
     """Token ids of docs in ascending order of the id, as a Parquet table of Re-Pair shards under path.
 
     docs is range-partitioned by id (about part_bytes of text each) and every part is cut into shards of whole

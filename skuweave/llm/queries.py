@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skuweave.llm import grammar, mixing, pieces, splitters, weighted_sampling
+from skuweave.llm import grammar, mixing, ngram_join, pieces, splitters, weighted_sampling
 from skuweave.llm.common import table
 
 
@@ -37,5 +37,9 @@ def op5_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_sampling.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op5_weighted_sampling": op5_weighted_sampling, "op2_sentencepiece": op2_sentencepiece, "op3_repair_token_files": op3_repair_token_files, "op1_poisson_mixing": op1_poisson_mixing, "op10_sampled_splitters": op10_sampled_splitters}
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op7_ngram_jaccard": op7_ngram_jaccard, "op5_weighted_sampling": op5_weighted_sampling, "op2_sentencepiece": op2_sentencepiece, "op3_repair_token_files": op3_repair_token_files, "op1_poisson_mixing": op1_poisson_mixing, "op10_sampled_splitters": op10_sampled_splitters}
 ORACLES = {"op1_poisson_mixing": mixing.ORACLE_SQL}
