@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skuweave.llm import grammar, mixing, ngram_join, pieces, splitters, weighted_sampling
+from skuweave.llm import grammar, mixing, ngram_join, pieces, rule_quality, splitters, toxicity, weighted_sampling
 from skuweave.llm.common import table
 
 
@@ -41,5 +41,17 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op7_ngram_jaccard": op7_ngram_jaccard, "op5_weighted_sampling": op5_weighted_sampling, "op2_sentencepiece": op2_sentencepiece, "op3_repair_token_files": op3_repair_token_files, "op1_poisson_mixing": op1_poisson_mixing, "op10_sampled_splitters": op10_sampled_splitters}
+def op6_mil_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out_column(4, 2).alias("held_out"), "score", "predicted", "spans")
+
+
+def op8_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = rule_quality.score_documents(docs, rule_quality.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out_column(5, 0).alias("held_out"), "score", "predicted")
+
+
+QUERIES = {"op6_mil_toxicity": op6_mil_toxicity, "op8_rule_quality": op8_rule_quality, "op7_ngram_jaccard": op7_ngram_jaccard, "op5_weighted_sampling": op5_weighted_sampling, "op2_sentencepiece": op2_sentencepiece, "op3_repair_token_files": op3_repair_token_files, "op1_poisson_mixing": op1_poisson_mixing, "op10_sampled_splitters": op10_sampled_splitters}
 ORACLES = {"op1_poisson_mixing": mixing.ORACLE_SQL}
