@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from skuweave.llm.toxicity import held_out_column
 
 #: Labelled rows whose statistics a model is fitted on at most (those of the smallest hash): a bounded sample.
-TRAIN_ROWS = 20_000
+TRAIN_ROWS = 6_000
 THRESHOLD = 0.3
-STATS = ("log_chars", "word_length", "upper", "symbol", "digit", "distinct", "repeated_lines", "line_length", "sentence_length", "longest_word", "pipes", "ascii")
+STATS = ("log_chars", "word_length", "upper", "symbol", "digit", "distinct", "repeated_lines", "line_length")
 
 
 def statistics(text: F.Column) -> dict[str, F.Column]:
@@ -37,10 +37,6 @@ def statistics(text: F.Column) -> dict[str, F.Column]:
         "distinct": F.size(F.array_distinct(words)).cast("double") / n_words,
         "repeated_lines": F.lit(1.0) - F.size(F.array_distinct(lines)).cast("double") / n_lines,
         "line_length": n / n_lines,
-        "sentence_length": n_words / F.greatest(F.lit(1), F.size(F.split(t, r"[.!?]+"))).cast("double"),
-        "longest_word": F.log1p(F.coalesce(F.array_max(F.transform(words, F.length)), F.lit(0)).cast("double")),
-        "pipes": (n - F.length(F.translate(t, "|{}<>[]=;_/", "")).cast("double")) / n,
-        "ascii": share(r"[\x00-\x7F]+"),
     }
 
 
@@ -96,7 +92,7 @@ def _rule_matrix(x: np.ndarray, rules: list, names: tuple[str, ...]) -> np.ndarr
     return out
 
 
-def fit_rules(x: np.ndarray, y: np.ndarray, names: tuple[str, ...] = STATS, trees: int = 24, depth: int = 3, rate: float = 0.3, lasso: float = 2e-3, rounds: int = 600, seed: int = 7) -> RuleModel:
+def fit_rules(x: np.ndarray, y: np.ndarray, names: tuple[str, ...] = STATS, trees: int = 16, depth: int = 3, rate: float = 0.3, lasso: float = 2e-3, rounds: int = 300, seed: int = 7) -> RuleModel:
     """Boosted trees on half-samples give the rules; FISTA with soft thresholding gives sparse logistic weights."""
     if not len(y) or y.min() == y.max():
         p = (y.sum() + 0.5) / (len(y) + 1.0) if len(y) else 0.5
@@ -127,7 +123,11 @@ def fit_rules(x: np.ndarray, y: np.ndarray, names: tuple[str, ...] = STATS, tree
     mean, dev = r.mean(0), r.std(0).clip(0.05)
     r = (r - mean) / dev
     w, b, wm, bm, t = np.zeros(r.shape[1]), base, np.zeros(r.shape[1]), base, 1.0
-    step = 4.0 / (np.linalg.norm(r, 2) ** 2 / len(y) + 1)
+    v = np.ones(r.shape[1])
+    for _ in range(20):  # the largest eigenvalue, by powers
+        v = r.T @ (r @ v)
+        v /= max(np.linalg.norm(v), 1e-12)
+    step = 4.0 / (1.1 * np.linalg.norm(r @ v) ** 2 / len(y) + 1)
     for _ in range(rounds):
         g = 1 / (1 + np.exp(-(bm + r @ wm))) - y
         nw = wm - step * (r.T @ g) / len(y)
