@@ -259,3 +259,19 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     same = keys.join(classes, "set_key").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     found = connected_components(links.union(more).union(same))
     return keys.join(found, "id", "left").select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id"))
+
+
+def keep_first(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without the documents whose component has a smaller id; of rows with one id the first by text stays.
+
+    Rows without words, and rows with a null id, stay. Only the ids that go are joined, so texts need not be shuffled
+    where those are few.
+    """
+    comps = ngram_components(docs, n, percent, id_col, text_col)
+    gone = comps.where("component_id <> doc_id").select(F.col("doc_id").alias(id_col)).distinct()
+    out = docs.join(gone, id_col, "left_anti")
+    twice = written(comps.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(id_col)), "repeated-ids")
+    if twice.isEmpty():
+        return out
+    rest = out.join(twice, id_col, "left_semi").dropDuplicates([id_col])
+    return out.join(twice, id_col, "left_anti").unionByName(rest)

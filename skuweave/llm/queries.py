@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skuweave.llm import grammar, mixing, ngram_join, pieces, pivot_index, rule_quality, splitters, toxicity, weighted_sampling
+from skuweave.llm import grammar, mixing, ngram_join, personal_data, pieces, pivot_index, rule_quality, splitters, toxicity, weighted_sampling
 from skuweave.llm.common import table
 
 
@@ -57,5 +57,9 @@ def op9_pivot_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_index.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
-QUERIES = {"op9_pivot_near_vectors": op9_pivot_near_vectors, "op6_mil_toxicity": op6_mil_toxicity, "op8_rule_quality": op8_rule_quality, "op7_ngram_jaccard": op7_ngram_jaccard, "op5_weighted_sampling": op5_weighted_sampling, "op2_sentencepiece": op2_sentencepiece, "op3_repair_token_files": op3_repair_token_files, "op1_poisson_mixing": op1_poisson_mixing, "op10_sampled_splitters": op10_sampled_splitters}
+def op4_crf_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op4_crf_personal_data": op4_crf_personal_data, "op9_pivot_near_vectors": op9_pivot_near_vectors, "op6_mil_toxicity": op6_mil_toxicity, "op8_rule_quality": op8_rule_quality, "op7_ngram_jaccard": op7_ngram_jaccard, "op5_weighted_sampling": op5_weighted_sampling, "op2_sentencepiece": op2_sentencepiece, "op3_repair_token_files": op3_repair_token_files, "op1_poisson_mixing": op1_poisson_mixing, "op10_sampled_splitters": op10_sampled_splitters}
 ORACLES = {"op1_poisson_mixing": mixing.ORACLE_SQL}

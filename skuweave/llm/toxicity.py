@@ -153,3 +153,16 @@ def score_documents(docs: DataFrame, model: SentenceModel, threshold: float = TH
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "score", "predicted", "spans"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id bigint, score double, predicted int, spans string")
+
+
+def keep_clean(docs: DataFrame, model: SentenceModel, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose score is under the threshold, with all their columns. No id is needed and nothing is joined."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.weights))
+    cache: dict = {}
+
+    @F.pandas_udf("double")
+    def score(texts):
+        local = cache.setdefault("model", SentenceModel(*shared.value))
+        return texts.map(lambda t: local.score(t)[0])
+
+    return docs.where(score(F.coalesce(F.col(text_col).cast("string"), F.lit(""))) < threshold)
