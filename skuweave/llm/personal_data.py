@@ -79,7 +79,7 @@ LABELLED = (
     "score 3-2, ratio 1:2, range 10-20, size 5x7",
 )
 #: Words that are features themselves, beside the shapes.
-CUES = ("at", "dot", "(at)", "(dot)", "[at]", "[dot]", "phone", "tel", "tel:", "phone:", "fax", "call", "mobile", "ring", "card", "visa", "ip", "host", "server", "mail", "email", "email:", "version", "page")
+CUES = ("at", "dot", "(at)", "(dot)", "[at]", "[dot]", "phone", "tel", "tel:", "phone:", "fax", "call", "mobile", "ring", "card", "visa", "ip", "server", "email", "email:", "version", "page")
 
 SPELT = frozenset(f"={c}" for c in CUES[:6])
 _TAIL = re.compile(r"[.,;:!?]+$")
