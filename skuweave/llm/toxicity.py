@@ -13,12 +13,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skuweave.llm.common import small_batches
+
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+")
 #: Longest word beginnings that are features beside the words themselves.
 STEMS = (5, 7)
 #: Labelled documents that a model is fitted on at most (those of the smallest hash): a bounded sample.
-TRAIN_DOCS = 6000
+TRAIN_DOCS = 5000
 FEATURES = 4000
 THRESHOLD = 0.3
 
@@ -69,25 +71,32 @@ class SentenceModel:
 
 def fit_sentences(texts: list[str], labels: np.ndarray, max_features: int = FEATURES, rounds: int = 250, rate: float = 0.15, l2: float = 2e-4) -> SentenceModel:
     """Fits the sentence model to document labels through the noisy-or, by Adam on the log-likelihood."""
-    docs = [[{f for w in WORD.findall(s) for f in features(w)} for s in SENTENCE.findall(t.lower())] for t in texts]
+    def sentences(t: str) -> Iterator[set[str]]:
+        return ({f for w in WORD.findall(s) for f in features(w)} for s in SENTENCE.findall(t.lower()))
+
     n_pos = max(1, int(labels.sum()))
     n_neg = max(1, len(labels) - n_pos)
+    # Only beginnings of words in at least 3 positive documents matter; one document's features are held at a time.
     pos: Counter = Counter()
+    for t, y in zip(texts, labels, strict=True):
+        if y:
+            pos.update(set().union(*sentences(t)))
+    pos = Counter({f: a for f, a in pos.items() if a >= 3})
     neg: Counter = Counter()
-    for d, y in zip(docs, labels, strict=True):
-        (pos if y else neg).update(set().union(*d) if d else ())
+    for t, y in zip(texts, labels, strict=True):
+        if not y:
+            neg.update(set().union(*sentences(t)) & pos.keys())
     # Features by how unlike their document frequencies are in the two classes (signed root of the chi-square).
     z = {}
     for f, a in pos.items():
         b = neg.get(f, 0)
-        if a >= 3:
-            p = (a + b) / (n_pos + n_neg)
-            z[f] = (a / n_pos - b / n_neg) / np.sqrt(max(p * (1 - p), 1e-9) * (1 / n_pos + 1 / n_neg))
+        p = (a + b) / (n_pos + n_neg)
+        z[f] = (a / n_pos - b / n_neg) / np.sqrt(max(p * (1 - p), 1e-9) * (1 / n_pos + 1 / n_neg))
     chosen = sorted((f for f in z if z[f] > 3.0), key=lambda f: (-z[f], f))[:max_features]
     at = {f: i for i, f in enumerate(chosen)}
     doc_of, starts, ids = [], [], []
-    for k, d in enumerate(docs):
-        for s in d:
+    for k, t in enumerate(texts):
+        for s in sentences(t):
             own = sorted(at[f] for f in s if f in at)
             if own:
                 doc_of.append(k)
@@ -141,6 +150,7 @@ def score_documents(docs: DataFrame, model: SentenceModel, threshold: float = TH
     A sentence is offending if its own probability reaches the threshold; spans are 'start:end' in code points, worst
     first. Null, empty or unknown text scores 0. Null ids and repeated rows are kept; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.weights))
     cache: dict = {}
 
@@ -157,6 +167,7 @@ def score_documents(docs: DataFrame, model: SentenceModel, threshold: float = TH
 
 def keep_clean(docs: DataFrame, model: SentenceModel, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """The rows of docs whose score is under the threshold, with all their columns. No id is needed and nothing is joined."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.weights))
     cache: dict = {}
 
