@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuweave.llm.common import shared_dir
+from skuweave.llm.common import shared_dir, small_batches
 
 #: Encoded chunks that a Python worker keeps; beyond that the memory starts afresh.
 CACHE_CHUNKS = 600_000
@@ -202,6 +202,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     Null ids come first, repeated ids stay in the order of their texts; null or empty text has only the end id. An
     empty table writes an empty table. Other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     size = src.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
 

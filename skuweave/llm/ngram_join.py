@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuweave.llm.common import written
+from skuweave.llm.common import small_batches, written
 from skuweave.llm.components import connected_components
 
 #: Bits of the map that marks frequent n-grams: 2 MB, whatever the number of documents.
@@ -21,8 +21,8 @@ MAP_BITS = 1 << 24
 #: A frequent n-gram is in at least so many of the sampled documents.
 FREQUENT = 3
 #: One of so many documents is in the sample that only decides the order of n-grams, never a result.
-ORDER_SAMPLE = 8
-CACHE_WORDS = 400_000
+ORDER_SAMPLE = 16
+CACHE_WORDS = 300_000
 
 
 class Shingler:
@@ -31,30 +31,49 @@ class Shingler:
     def __init__(self, n: int):
         self.n, self.cache = n, {}
 
-    def words(self, text: str) -> np.ndarray:
+    def shingles(self, text: str | None) -> np.ndarray:
+        return self.of_many([text])[0]
+
+    def of_many(self, texts: list[str | None]) -> list[np.ndarray]:
+        """For each text its sorted distinct n-grams; with fewer than n words the whole sequence is one; no words, none."""
         import xxhash
 
-        parts = text.encode("utf-8", "surrogatepass").lower().split()  # of bytes: A-Z and the white space \x20 \x09-\x0D only
-        found = list(map(self.cache.get, parts))
-        if None in found:
+        get, count, raw = self.cache.get, [], []
+        for t in texts:
+            parts = t.encode("utf-8", "surrogatepass").lower().split() if t else []  # of bytes: A-Z and the white space \x20 \x09-\x0D only
+            found = list(map(get, parts))
+            if None in found:
+                for k, x in enumerate(found):
+                    if x is None:
+                        found[k] = self.cache[parts[k]] = xxhash.xxh3_64_digest(parts[k])
+            count.append(len(parts))
+            raw.append(b"".join(found))
             if len(self.cache) > CACHE_WORDS:
                 self.cache.clear()
-            self.cache.update((w, xxhash.xxh3_64_intdigest(w)) for w, x in zip(parts, found, strict=True) if x is None)
-            found = [x if x is not None else self.cache[w] for w, x in zip(parts, found, strict=True)]
-        return np.array(found, np.uint64)
-
-    def shingles(self, text: str | None) -> np.ndarray:
-        """Sorted; with fewer than n words the whole sequence is one; no words, none."""
-        w = self.words(text or "")
-        if not len(w):
-            return w
-        k = min(self.n, len(w))
-        h = np.full(len(w) - k + 1, k, np.uint64)
-        for i in range(k):
-            h = (h ^ w[i : len(w) - k + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
+        w = np.frombuffer(b"".join([*raw, bytes(8 * self.n)]), "<u8")
+        ends = np.cumsum(count)
+        # All texts at once; what runs over a text's end is not taken below.
+        m = len(w) - self.n
+        h = np.full(m, self.n, np.uint64)
+        for i in range(self.n):
+            h ^= w[i : m + i]
+            h *= np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
-        return np.unique(h ^ (h >> np.uint64(32)))
+        h ^= h >> np.uint64(32)
+        out = []
+        for c, end in zip(count, ends.tolist(), strict=True):
+            if c >= self.n:
+                own = np.sort(h[end - c : end - self.n + 1])
+                keep = np.empty(len(own), bool)
+                keep[0] = True
+                np.not_equal(own[1:], own[:-1], out=keep[1:])
+                out.append(own[keep])
+            elif c:
+                out.append(np.array([xxhash.xxh3_64_intdigest(w[end - c : end].tobytes())], np.uint64))
+            else:
+                out.append(np.zeros(0, np.uint64))
+        return out
 
 
 @lru_cache(maxsize=4)
@@ -104,7 +123,7 @@ def set_keys(texts: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sh = shingler(n)
         for batch in batches:
-            sets = [sh.shingles(t) for t in batch.column(1).to_pylist()]
+            sets = sh.of_many(batch.column(1).to_pylist())
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets]
             yield _arrow(["id", "n_shingles", "set_key"], [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.string())])
 
@@ -121,7 +140,7 @@ def frequent_map(texts: DataFrame, n: int) -> str:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sh = shingler(n)
         for batch in batches:
-            sets = [sh.shingles(t) for t in batch.column(1).to_pylist()]
+            sets = sh.of_many(batch.column(1).to_pylist())
             if sets:
                 hashes, counts = np.unique(np.concatenate(sets), return_counts=True)
                 yield _arrow(["h", "c"], [hashes.view(np.int64), counts.astype(np.int64)])
@@ -141,8 +160,7 @@ def prefix_postings(texts: DataFrame, n: int, percent: int, frequent: str) -> Da
             for lo in range(0, whole.num_rows, 512):
                 batch = whole.slice(lo, 512)
                 out: list[tuple] = []
-                for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    s = sh.shingles(t)
+                for i, s in zip(batch.column(0).to_pylist(), sh.of_many(batch.column(1).to_pylist()), strict=True):
                     if not len(s):
                         continue
                     hot = _in_map(bits, s)
@@ -214,6 +232,7 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     A null id keeps its n_shingles and gets a null component. Rows of one id count as linked. Empty table: empty
     result. Other columns are ignored. Only bit maps of a fixed size (2 MB) are broadcast.
     """
+    small_batches(docs.sparkSession, 500)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     keys = written(set_keys(texts, n), "set-keys")
     texts = texts.where("id is not null")
@@ -254,7 +273,8 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     opened = grouped.join(matrix, "token").where(F.col("grp") < F.col("other")).where(fits).select("token", F.col("id").alias("a"), F.col("size").alias("size_a"), "other")
     inside = grouped.select("token", F.col("grp").alias("other"), F.col("id").alias("b"), F.col("size").alias("size_b"))
     rest = opened.join(inside, ["token", "other"]).where(_close("size_a", "size_b", percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = verified(written(rest.join(first, ["a", "b"], "left_anti"), "pairs"), texts, n, percent)
+    rest = written(rest.join(first, ["a", "b"], "left_anti"), "pairs")
+    more = written(verified(rest, texts, n, percent), "links")
 
     same = keys.join(classes, "set_key").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     found = connected_components(links.union(more).union(same))
