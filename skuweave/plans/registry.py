@@ -26,6 +26,8 @@ def load() -> None:
     """Imports the modules that register queries."""
     from skuweave.plans import (  # noqa: F401
         prices,
+        attributes,
+        voice,
     )
 
 
