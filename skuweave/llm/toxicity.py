@@ -41,7 +41,7 @@ class SentenceModel:
         """The word's features that have a weight; remembered, as few words have any."""
         got = self.of_word.get(word)
         if got is None:
-            if len(self.of_word) > 400_000:
+            if len(self.of_word) > 150_000:
                 self.of_word.clear()
             got = self.of_word[word] = tuple(f for f in features(word) if f in self.weights)
         return got
@@ -170,10 +170,11 @@ def keep_clean(docs: DataFrame, model: SentenceModel, threshold: float = THRESHO
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.weights))
     cache: dict = {}
+    at = docs.columns.index(text_col)
 
-    @F.pandas_udf("double")
-    def score(texts):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         local = cache.setdefault("model", SentenceModel(*shared.value))
-        return texts.map(lambda t: local.score(t)[0])
+        for batch in batches:
+            yield batch.filter(pa.array([local.score(t.as_py())[0] < threshold for t in batch.column(at)], pa.bool_()))
 
-    return docs.where(score(F.coalesce(F.col(text_col).cast("string"), F.lit(""))) < threshold)
+    return docs.mapInArrow(run, docs.schema)
