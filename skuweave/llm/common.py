@@ -37,6 +37,20 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+_held: list[dict] = []
+
+
+def hold(memory: dict) -> None:
+    """Says that this Python worker now fills `memory`; what another operator had filled before is emptied.
+
+    Workers live on from stage to stage, so without this the operators' memories would add up.
+    """
+    if not (_held and _held[0] is memory):
+        for other in _held:
+            other.clear()
+        _held[:] = [memory]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

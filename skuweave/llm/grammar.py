@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuweave.llm.common import shared_dir, small_batches
+from skuweave.llm.common import hold, shared_dir, small_batches
 
 #: Encoded chunks that a Python worker keeps; beyond that the memory starts afresh.
 CACHE_CHUNKS = 600_000
@@ -63,6 +63,7 @@ class ChunkedTokenizer:
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
+        hold(self.cache)
         cuts: list[list[str] | None] = []
         odd: set[str] = set()  # chunks that may not stand after or before another one in the library's input
         for t in texts:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuweave.llm.common import small_batches, written
+from skuweave.llm.common import hold, small_batches, written
 from skuweave.llm.components import connected_components
 
 #: Bits of the map that marks frequent n-grams: 2 MB, whatever the number of documents.
@@ -38,6 +38,7 @@ class Shingler:
         """For each text its sorted distinct n-grams; with fewer than n words the whole sequence is one; no words, none."""
         import xxhash
 
+        hold(self.cache)
         get, count, raw = self.cache.get, [], []
         for t in texts:
             parts = t.encode("utf-8", "surrogatepass").lower().split() if t else []  # of bytes: A-Z and the white space \x20 \x09-\x0D only

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuweave.llm.common import small_batches
+from skuweave.llm.common import hold, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *[f"{p}-{k}" for k in KINDS for p in "BI"])
@@ -141,6 +141,7 @@ class ChainModel:
         self.spelt = {self.shapes[s] for s in SPELT if s in self.shapes}
 
     def ids(self, words: list[str]) -> list[int]:
+        hold(self.of_word)
         found = list(map(self.of_word.get, words))
         if None in found:
             if len(self.of_word) > 200_000:

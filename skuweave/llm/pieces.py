@@ -14,11 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuweave.llm.common import small_batches
+from skuweave.llm.common import hold, small_batches
 
 SPACE = "▁"
 #: Segments whose ids a Python worker keeps; beyond that the memory starts afresh.
-CACHE_SEGMENTS = 700_000
+CACHE_SEGMENTS = 600_000
 #: Segments up to this length are merged many at once; longer ones alone.
 SHORT = 24
 #: A decode call gets about so many ids at most, or one document.
@@ -202,6 +202,7 @@ class AgendaEncoder:
 
     def encode_many(self, texts: list[str]) -> Iterator[tuple[int, str, list[int]]]:
         """For each text: number of ids, the ids joined by commas, the ids."""
+        hold(self.cache)
         cuts = [self.segments(t) if t else [] for t in texts]
         self.learn(set().union(*cuts))
         get = self.cache.__getitem__

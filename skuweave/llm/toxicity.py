@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuweave.llm.common import small_batches
+from skuweave.llm.common import hold, small_batches
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+")
@@ -49,6 +49,7 @@ class SentenceModel:
     def logits(self, text: str) -> tuple[np.ndarray, list[tuple[int, int]]]:
         """Of every sentence that holds a known feature, with its place in the text; the others' logit is the bias."""
         out, places = [], []
+        hold(self.of_word)
         low = text.lower()
         text = low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
         for m in SENTENCE.finditer(text):
