@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skuweave.functions import scalars as S
 
@@ -16,7 +17,7 @@ VOLUME = {"ml": 1.0, "cl": 10.0, "l": 1000.0}
 WEIGHT = {"mg": 0.001, "g": 1.0, "kg": 1000.0}
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(texts):
     """Compatibility normal form; Spark has no function for it."""
     import unicodedata

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skuweave.functions import scalars as S
 
@@ -162,7 +163,7 @@ def spans_of(sources: DataFrame, key: str = "doc_id", text: str = "body", least:
     return both.where(F.length("span") >= least)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio(a, b):
     """Similarity of two texts by matching blocks, 0 to 1."""
     from difflib import SequenceMatcher

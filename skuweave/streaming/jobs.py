@@ -12,6 +12,7 @@ LATE = "2 days"
 
 
 def _marked(df: DataFrame, ts: str, late: str) -> DataFrame:
+    df = df.withColumn(ts, F.col(ts).cast("timestamp"))
     return df.withWatermark(ts, late) if df.isStreaming else df
 
 
@@ -55,6 +56,7 @@ def velocity(events: DataFrame, key: str = "user_id", ts: str = "ts", value: str
         held.update(before)
         yield pd.DataFrame(out, columns=[key, ts, "delta"])
 
+    events = events.withColumn(ts, F.col(ts).cast("timestamp"))
     return events.groupBy(key).applyInPandasWithState(step, schema, state, "append", "NoTimeout")
 
 
