@@ -8,7 +8,6 @@ from skuweave.functions import scalars as S
 from skuweave.functions import text as A
 from skuweave.operators import prices as P
 from skuweave.operators import shape as H
-from skuweave.operators import voice as V
 from skuweave.plans.registry import query
 from skuweave.plans.views import table, v_catalog, v_offer, v_point, v_product, v_state, v_title
 
@@ -397,6 +396,3 @@ def dm2(spark, sf):
 @query("dm6_bundle_cards", "SELECT bundle_uid, count(DISTINCT dim_path) AS n_dims, count(*) AS n_points FROM v_point GROUP BY bundle_uid ORDER BY n_dims DESC, n_points DESC, bundle_uid LIMIT 50")
 def dm6(spark, sf):
     return v_point(spark, sf).groupBy("bundle_uid").agg(F.countDistinct("dim_path").alias("n_dims"), F.count("*").alias("n_points")).orderBy(F.desc("n_dims"), F.desc("n_points"), "bundle_uid").limit(50)
-
-
-__all__ = ["V"]
