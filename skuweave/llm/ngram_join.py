@@ -22,6 +22,8 @@ MAP_BITS = 1 << 24
 FREQUENT = 3
 #: One of so many documents is in the sample that only decides the order of n-grams, never a result.
 ORDER_SAMPLE = 16
+#: Buckets in which a set's n-grams are counted for the overlap bound.
+BUCKETS = 256
 CACHE_WORDS = 300_000
 
 
@@ -118,17 +120,45 @@ def _arrow(names: list[str], cols: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], names=names)
 
 
+def bucket_counts(s: np.ndarray) -> bytes:
+    """How many n-grams fall into each bucket; nothing where a count does not fit into a byte."""
+    c = np.bincount((s >> np.uint64(24)).astype(np.int64) & (BUCKETS - 1), minlength=BUCKETS)
+    return c.astype(np.uint8).tobytes() if len(s) and c.max() < 256 else b""
+
+
+def may_link(a: bytes, b: bytes, size_a: int, size_b: int, percent: int) -> bool:
+    """False only where the sum of the smaller bucket counts, which no overlap exceeds, is too small for a link."""
+    if not a or not b:
+        return True
+    most = int(np.minimum(np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)).sum(dtype=np.int64))
+    return 100 * most >= percent * (size_a + size_b - most)
+
+
 def set_keys(texts: DataFrame, n: int) -> DataFrame:
-    """(id, text) -> (id, n_shingles, set_key): equal keys are equal sets; the key is null for an empty set."""
+    """(id, text) -> (id, n_shingles, set_key, counts): equal keys are equal sets; the key is null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sh = shingler(n)
         for batch in batches:
             sets = sh.of_many(batch.column(1).to_pylist())
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets]
-            yield _arrow(["id", "n_shingles", "set_key"], [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.string())])
+            cols = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.string()), pa.array([bucket_counts(s) for s in sets], pa.binary())]
+            yield _arrow(["id", "n_shingles", "set_key", "counts"], cols)
+
+    return texts.mapInArrow(run, "id bigint, n_shingles bigint, set_key string, counts binary")
+
+
+def bounded(pairs: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose overlap bound allows a link. counts: (id, size, counts), one row for each id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, x, y, m, k = (c.to_pylist() for c in batch.columns)
+            ok = [may_link(*row, percent) for row in zip(x, y, m, k, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return texts.mapInArrow(run, "id bigint, n_shingles bigint, set_key string")
+    j = pairs.join(counts.withColumnsRenamed({"id": "a", "counts": "ca", "size": "sa"}), "a").join(counts.withColumnsRenamed({"id": "b", "counts": "cb", "size": "sb"}), "b")
+    return j.select("a", "b", "ca", "cb", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
 
 
 def frequent_map(texts: DataFrame, n: int) -> str:
@@ -261,8 +291,11 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     stars = lists.select("id", "size", "head").union(lists.select("id", "size", "near")).union(hot.join(heads, "token").select("id", "size", "head"))
     stars = stars.select(F.col("id").alias("b"), "size", F.col("head.id").alias("a"), F.col("head.size").alias("head_size")).where("a <> b").where(_close("size", "head_size", percent))
     first = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    counts = keys.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").groupBy("id").agg(F.max(F.struct("n_shingles", "counts")).alias("c"), F.count("*").alias("rows"))
+    # An id with several rows has no counts of its own.
+    counts = counts.select("id", F.col("c.n_shingles").alias("size"), F.when(F.col("rows") == 1, F.col("c.counts")).otherwise(F.lit(b"")).alias("counts"))
     first = written(first, "pairs")
-    links = written(verified(first, texts, n, percent), "links")
+    links = written(verified(written(bounded(first, counts, percent), "pairs"), texts, n, percent), "links")
     groups = written(connected_components(links), "groups")
 
     # Round 2: documents against the groups that they may reach, beyond their own.
@@ -274,7 +307,7 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     opened = grouped.join(matrix, "token").where(F.col("grp") < F.col("other")).where(fits).select("token", F.col("id").alias("a"), F.col("size").alias("size_a"), "other")
     inside = grouped.select("token", F.col("grp").alias("other"), F.col("id").alias("b"), F.col("size").alias("size_b"))
     rest = opened.join(inside, ["token", "other"]).where(_close("size_a", "size_b", percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = written(rest.join(first, ["a", "b"], "left_anti"), "pairs")
+    rest = written(bounded(rest.join(first, ["a", "b"], "left_anti"), counts, percent), "pairs")
     more = written(verified(rest, texts, n, percent), "links")
 
     same = keys.join(classes, "set_key").select(F.col("id").alias("a"), F.col("rep").alias("b"))
