@@ -104,20 +104,25 @@ def adjudicate(routed: DataFrame) -> DataFrame:
     return routed.withColumn("same", same)
 
 
-def components(edges: DataFrame, scratch: str | None = None, max_rounds: int = 50) -> DataFrame:
-    """edges(a, b) -> (id, component), the smallest id reachable, by large and small stars; lineage is cut by tables in
-    the folder that the cluster names in spark.checkpoint.dir."""
-    spark = edges.sparkSession
+def _cut(df: DataFrame, name: str, scratch: str | None = None) -> DataFrame:
+    """df as a table in the folder that driver and executors share: cuts the lineage."""
+    spark = df.sparkSession
     where = scratch or spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         import tempfile
 
         where = "file://" + tempfile.mkdtemp(prefix="spark-")
+    path = f"{where}/skuweave/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def components(edges: DataFrame, scratch: str | None = None, max_rounds: int = 50) -> DataFrame:
+    """edges(a, b) -> (id, component), the smallest id reachable, by large and small stars; lineage is cut by tables in
+    the folder that the cluster names in spark.checkpoint.dir."""
 
     def cut(df: DataFrame) -> DataFrame:
-        path = f"{where}/skuweave/components-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+        return _cut(df, "components", scratch)
 
     e = cut(edges.select(F.greatest("a", "b").cast("bigint").alias("a"), F.least("a", "b").cast("bigint").alias("b")).where("a <> b").distinct())
     for _ in range(max_rounds):
@@ -140,36 +145,84 @@ def clusters(ids: DataFrame, edges: DataFrame, id_col: str) -> DataFrame:
     return ids.select(F.col(id_col).cast("bigint").alias("id")).join(c, "id", "left").select("id", F.coalesce("component", "id").alias("cluster_id"))
 
 
+def _renamed(pairs: DataFrame, step: DataFrame) -> DataFrame:
+    """pairs(a, b, ...) between the clusters that step(id, to) leads to, smaller end first; pairs inside one are left out."""
+    to = {x: step.select(F.col("id").alias(x), F.col("to").alias(f"to_{x}")) for x in "ab"}
+    p = pairs.join(to["a"], "a", "left").join(to["b"], "b", "left")
+    p = p.withColumns({x: F.coalesce(f"to_{x}", x) for x in "ab"}).drop("to_a", "to_b").where("a <> b")
+    return p.withColumns({"a": F.least("a", "b"), "b": F.greatest("a", "b")})
+
+
+def _first(df: DataFrame, k: int) -> DataFrame:
+    """The k rows of each component that come first by r, a, b; a large component goes through 64 tasks first."""
+    for w in (Window.partitionBy("component", F.pmod(F.xxhash64("a", "b"), F.lit(64))), Window.partitionBy("component")):
+        df = df.withColumn("place", F.row_number().over(w.orderBy("r", "a", "b"))).where(F.col("place") <= k).drop("place")
+    return df
+
+
+def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Greedy merging of one component's rows: edges by r, unless the two clusters are barred."""
+    at = {v: v for v in np.unique(pdf[["a", "b"]].to_numpy()).tolist()}
+    foes: dict = {v: set() for v in at}
+
+    def find(v: int) -> int:
+        while at[v] != v:
+            at[v] = at[at[v]]
+            v = at[v]
+        return v
+
+    for a, b in pdf.loc[pdf["bar"], ["a", "b"]].itertuples(index=False):
+        foes[a].add(b)
+        foes[b].add(a)
+    for a, b in pdf[~pdf["bar"]].sort_values("r")[["a", "b"]].itertuples(index=False):
+        a, b = find(a), find(b)
+        if a != b and b not in foes[a]:
+            a, b = min(a, b), max(a, b)
+            at[b] = a
+            lost = foes.pop(b)
+            for f in lost:
+                foes[f].discard(b)
+                foes[f].add(a)
+            foes[a] |= lost
+    return pd.DataFrame({"id": list(at), "to": [find(v) for v in at]})
+
+
 def guarded_clusters(edges: DataFrame, barred: DataFrame, largest: int = 20_000) -> DataFrame:
     """edges(a, b, score) merged strongest first, unless a member of one side is barred from one of the other.
 
-    Works inside each connected component; components over `largest` edges first lose their weakest edges, by raising
-    their own bar until they fall apart, so no task gets an unbounded group.
+    Every id of an edge or a barred pair comes out once. Works in rounds, until no edge is left: a connected component
+    without a barred pair is one cluster; of any other a task merges the `largest` strongest edges (fewer, if that many
+    barred pairs lie between their ends), and what is left is renamed to the new clusters. Bars only grow, and a
+    component's strongest edges go first, so the result is that of one pass over all edges.
     """
-    comp = components(edges)
-    e = edges.join(comp.withColumnsRenamed({"id": "a"}), "a")
-    n = e.groupBy("component").agg(F.count("*").alias("n"))
-    e = e.join(n, "component").withColumn("r", F.row_number().over(Window.partitionBy("component").orderBy(F.desc("score"), "a", "b"))).where(F.col("r") <= largest)
-    bar = barred.join(comp.withColumnsRenamed({"id": "a"}), "a").select("component", "a", "b")
-    rows = e.select("component", "a", "b", "score", F.lit(False).alias("bar")).union(bar.select("component", "a", "b", F.lit(0.0), F.lit(True)))
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        members = {v: {v} for v in np.unique(pdf[["a", "b"]].to_numpy()).tolist()}
-        at = {v: v for v in members}
-        foes: dict = {v: set() for v in members}
-        for a, b in pdf.loc[pdf["bar"], ["a", "b"]].itertuples(index=False):
-            foes[a].add(b)
-            foes[b].add(a)
-        for a, b in pdf[~pdf["bar"]].sort_values(["score", "a", "b"], ascending=[False, True, True])[["a", "b"]].itertuples(index=False):
-            a, b = at[a], at[b]
-            if a != b and not any(foes[m] & members[b] for m in members[a]):
-                a, b = min(a, b), max(a, b)
-                for m in members[b]:
-                    at[m] = a
-                members[a] |= members.pop(b)
-        return pd.DataFrame({"id": list(at), "cluster_id": list(at.values())})
-
-    return rows.groupBy("component").applyInPandas(merge, "id bigint, cluster_id bigint")
+    edges, barred = (df.where("a is not null and b is not null").withColumns({x: F.col(x).cast("bigint") for x in "ab"}) for df in (edges, barred))
+    ends = [df.select(F.col(x).alias("id")) for df in (edges, barred) for x in "ab"]
+    now = _cut(ends[0].union(ends[1]).union(ends[2]).union(ends[3]).distinct().withColumn("cluster_id", F.col("id")), "guarded-ids")
+    e = _cut(edges.orderBy(F.desc("score"), "a", "b").select("a", "b", F.monotonically_increasing_id().alias("r")), "guarded-edges")
+    bar = barred.select("a", "b")
+    step = now.limit(0).select("id", F.col("id").alias("to"))
+    while True:
+        bar = _cut(_renamed(bar, step).distinct(), "guarded-bars")
+        e = _cut(_renamed(e, step).groupBy("a", "b").agg(F.min("r").alias("r")).join(bar, ["a", "b"], "left_anti"), "guarded-edges")
+        if e.isEmpty():
+            return now
+        comp = _cut(components(e), "guarded-components")
+        of = {x: comp.withColumnsRenamed({"id": x, "component": f"of_{x}"}) for x in "ab"}
+        bar = _cut(bar.join(of["a"], "a").join(of["b"], "b").where("of_a = of_b").select(F.col("of_a").alias("component"), "a", "b"), "guarded-bars")
+        torn = bar.select("component").distinct()
+        whole = comp.join(torn, "component", "left_anti").select("id", F.col("component").alias("to"))
+        top = _cut(_first(e.join(of["a"], "a").withColumnRenamed("of_a", "component").join(torn, "component", "left_semi"), largest), "guarded-first")
+        seen = top.select("r", F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.min("r").alias("r"))
+        near = bar.join(seen.withColumnsRenamed({"id": "a", "r": "ra"}), "a").join(seen.withColumnsRenamed({"id": "b", "r": "rb"}), "b")
+        near = _cut(_first(near.select("component", "a", "b", F.greatest("ra", "rb").alias("r")), largest + 1), "guarded-near")
+        last = near.groupBy("component").agg(F.count("*").alias("n"), F.max("r").alias("last")).where(F.col("n") > largest)
+        top = top.join(last, "component", "left").where("last is null or r < last")
+        rows = top.select("component", "a", "b", "r", F.lit(False).alias("bar")).union(near.select("component", "a", "b", "r", F.lit(True)))
+        tried = rows.groupBy("component").applyInPandas(_merge, "id bigint, to bigint")
+        step = _cut(whole.union(tried).where("id <> to"), "guarded-step")
+        # Edges that were tried either lie inside a cluster now or between barred ones: the next round leaves them out.
+        now = _cut(now.join(step.withColumnRenamed("id", "cluster_id"), "cluster_id", "left").select("id", F.coalesce("to", "cluster_id").alias("cluster_id")), "guarded-ids")
+        bar = bar.select("a", "b")
 
 
 def nodes(clustered: DataFrame, titles: DataFrame, id_col: str = "title_id") -> DataFrame:

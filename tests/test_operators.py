@@ -1,5 +1,7 @@
 """Behaviours of the product operators on small literal tables."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from skuweave.functions import scalars as S
@@ -100,6 +102,30 @@ def test_components_and_guard(spark):
     assert guarded[1] == guarded[3] != guarded[10] and guarded[4] == guarded[5]
 
 
+def greedy(edges, barred):
+    at = {v: v for a, b, *_ in [*edges, *barred] for v in (a, b)}
+    for a, b, _ in sorted(edges, key=lambda x: (-x[2], x[0], x[1])):
+        a, b = at[a], at[b]
+        if a != b and not any({at[x], at[y]} == {a, b} for x, y in barred):
+            at = {v: min(a, b) if c in (a, b) else c for v, c in at.items()}
+    return at
+
+
+def test_guarded_clusters_lose_no_edge_of_a_large_component(spark):
+    def check(n_ids, n_edges, n_bars, **more):
+        rng = random.Random(n_edges)
+        pairs = rng.sample([(a, b) for a in range(n_ids) for b in range(n_ids) if a < b], n_edges + n_bars)
+        edges = [(*(p if i % 2 else p[::-1]), rng.randrange(50, 99) / 100) for i, p in enumerate(pairs[:n_edges])]
+        edges += [(i, n_ids + i, 0.01) for i in range(9)]  # ends that only the weakest edges reach
+        barred = [*pairs[n_edges:], (n_ids, n_ids + 1), (3, n_ids + 500)]
+        got = R.guarded_clusters(spark.createDataFrame(edges, "a long, b long, score double"), spark.createDataFrame(barred, "a long, b long"), **more).collect()
+        want = greedy(edges, barred)
+        assert len(got) == len(want) and {r["id"]: r["cluster_id"] for r in got} == want and len(set(want.values())) > 2
+
+    check(240, 21_000, 400)
+    check(40, 150, 60, largest=40)  # rounds
+
+
 def test_minhash_finds_what_the_exact_join_finds(spark):
     rows = [(i, " ".join(f"w{(i // 3) * 40 + k}" for k in range(40)) + (f" x{i}" if i % 3 else "")) for i in range(60)]
     df = spark.createDataFrame(rows, "id long, t string")
