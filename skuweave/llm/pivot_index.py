@@ -121,7 +121,7 @@ def near_vectors(
 ) -> DataFrame:
     """vectors -> (vec_id, n_links, component_id, kept): links have equal labels and a cosine of at least threshold.
 
-    Equal vectors of a label form a class. Each class is described by its ordered nearest pivots and posted in the
+    Vectors of a label with equal unit vectors form a class. Each class is described by its ordered nearest pivots and posted in the
     inverted list of every two of them, so classes that share two pivots meet; they are verified by cosine in double
     precision. The index holds all rows; only the pivots are a sample (at most MOST_PIVOTS for each label). A link is
     missed only if fewer than two pivots are shared (tests measure the recall). Lists longer than BLOCK are compared
@@ -135,9 +135,8 @@ def near_vectors(
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     fit = F.coalesce(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & finite & (norm > 0) & (norm < float("inf")), F.lit(False))
     good = v.where(fit).withColumn("label", F.concat_ws(":", "label", F.size("v").cast("string")))
-    classes = good.groupBy("label", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    classes = classes.withColumn("norm", norm).select("label", "rep", "copies", F.transform("v", lambda x: x / F.col("norm")).alias("unit"))
-    classes = written(classes, "vector-classes")
+    good = good.withColumn("norm", norm).select("label", "vec_id", F.transform("v", lambda x: x / F.col("norm")).alias("unit"))
+    classes = written(good.groupBy("label", "unit").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vector-classes")
 
     sizes = {r["label"]: r["n"] for r in classes.groupBy("label").agg(F.count("*").alias("n")).collect()}
     wanted = {k: int(min(MOST_PIVOTS, max(LEAST_PIVOTS, PIVOT_FACTOR * n**0.5))) for k, n in sizes.items()}
@@ -162,8 +161,7 @@ def near_vectors(
     found = written(found, "vector-links")
 
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    members = good.select("label", "v", "vec_id").withColumn("norm", norm).select("label", "vec_id", F.transform("v", lambda x: x / F.col("norm")).alias("unit"))
-    members = members.join(classes.select("label", "unit", "rep", "copies"), ["label", "unit"]).select("vec_id", "rep", "copies")
+    members = good.join(classes.select("label", "unit", "rep", "copies"), ["label", "unit"]).select("vec_id", "rep", "copies")
     members = members.join(links, "rep", "left").select("vec_id", "rep", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     members = written(members, "vector-members")
     edges = found.select(F.col("rep").alias("a"), F.col("to").alias("b")).union(members.select("vec_id", "rep"))

@@ -209,6 +209,14 @@ def test_pivot_index(spark):
     assert pivot_index.near_vectors(df.limit(0)).count() == 0
 
 
+def test_pivot_index_gives_scaled_vectors_one_row_each(spark):
+    v = [float(x) for x in np.random.default_rng(5).normal(size=16)]
+    rows = [(i, [k * x for x in v]) for i, k in enumerate((1.0, 2.0, 4.0, 2.0))] + [(4, v[::-1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("label", F.lit(0))
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in pivot_index.near_vectors(df).collect())
+    assert got == [(0, 3, 0), (1, 3, 0), (2, 3, 0), (3, 3, 0), (4, 0, 4)]
+
+
 def test_splitters(spark, docs, empty):
     d = spark.range(4_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 1_300, "hot copy").otherwise(F.expr("repeat(cast(id as string), cast(1 + id % 40 as int))")).alias("text"))
     out = splitters.shard_by_splitters(d, shards=10).toPandas()
