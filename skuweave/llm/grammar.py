@@ -97,19 +97,18 @@ def tokenizer(path: str) -> ChunkedTokenizer:
     return ChunkedTokenizer(path)
 
 
-def compress(ids: np.ndarray, rounds: int = 3, least: int = 8, base: int = 1 << 17) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, least: int = 8, base: int = 1 << 17) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair of one shard: (left, right, sequence); nonterminal base + i stands for the pair left[i], right[i].
 
     Each round counts the adjacent pairs, makes a nonterminal of every pair that occurs at least `least` times, and
     replaces occurrences from left to right; of two overlapping ones the more frequent pair's is kept. Pairs are
-    counted exactly where a table of hash counts says that they may be frequent enough.
+    counted exactly where a table of hash counts says that they may be frequent enough. Rounds go on until no pair
+    occurs `least` times; pairs that lost their slot or their occurrences in a round have their turn in a later one.
     """
     seq = ids.astype(np.int64)
     left, right = [], []
     made = 0
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
+    while len(seq) > 1:
         key = (seq[:-1] << 31) | seq[1:]
         slot = (key * np.int64(-7046029254386353131) >> 43) & (SLOTS - 1)
         hot = np.sort(key[(np.bincount(slot, minlength=SLOTS) >= least)[slot]])
@@ -126,6 +125,10 @@ def compress(ids: np.ndarray, rounds: int = 3, least: int = 8, base: int = 1 <<
         rule = number[slot]
         at = np.flatnonzero((rule >= 0) & (pairs[rule] == key))
         rule = rule[at]
+        # A pair that overlaps itself takes every second place of its run.
+        start = np.flatnonzero((np.diff(at, prepend=-2) != 1) | (np.diff(rule, prepend=-1) != 0))
+        odd = (np.arange(len(at)) - np.repeat(start, np.diff(start, append=len(at)))) % 2 == 1
+        at, rule = at[~odd], rule[~odd]
         # Runs of overlapping occurrences: keep those that no neighbour beats, then what no kept one touches.
         kept_at, kept_rule = [], []
         for _ in range(3):
@@ -152,8 +155,6 @@ def compress(ids: np.ndarray, rounds: int = 3, least: int = 8, base: int = 1 <<
         gone[at + 1] = False
         seq = seq[gone]
         made += len(used)
-        if len(at) < len(seq) // 64:
-            break
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *left]), np.concatenate([none, *right]), seq
 

@@ -87,6 +87,18 @@ def test_grammar_round_trip_and_slices():
                 assert (grammar.slice_of(row, a, b) == ids[a:b]).all()
 
 
+def test_grammar_goes_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(2)
+    passage, noise = rng.integers(0, 50_000, 300), rng.integers(0, 60, 50_000)
+    for ids in (np.tile(passage, 3_000), np.full(100_001, 7), noise, np.concatenate([noise, np.tile(passage, 500), noise[:999]])):
+        ids = ids.astype("<u4")
+        left, right, seq = grammar.compress(ids)
+        assert (grammar.expand(seq, left, right) == ids).all()
+        assert max(Counter(zip(seq[:-1].tolist(), seq[1:].tolist(), strict=True)).values(), default=0) < 8
+    left, right, seq = grammar.compress(np.tile(passage, 3_000).astype("<u4"))
+    assert len(seq) < 100 and len(left) < 1_000
+
+
 def test_personal_data(docs, empty):
     pats = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
     got = {(r["doc_id"], r["n_email"], r["n_phone"]) for r in personal_data.personal_data(docs).collect()}
