@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -139,18 +140,21 @@ def quote_check(quote, body) -> Column:
     return F.when(b.isNull(), "unverified").when(whole, "verified").when(share >= 0.6, "partial").otherwise("unverified")
 
 
-def supporting_sources(evidence: DataFrame, sources: DataFrame, gram: int = 5) -> DataFrame:
+def supporting_sources(evidence: DataFrame, sources: DataFrame, run: int = 12) -> DataFrame:
     """For each quote every source that holds its hard form, first source first.
 
-    Candidates share one word run of the quote, its rarest by hash, so quotes and sources meet by an equi join.
+    Candidates share one run of `run` characters of the quote's hard form, its smallest by hash, so quotes and sources
+    meet by an equi join; a shorter quote is one run of its own length, and sources have runs of every length asked for.
     """
-    def runs(df: DataFrame, text: str) -> DataFrame:
-        df = df.withColumn("w", S.squeeze_words(text))
-        return df.withColumn("g", F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - gram + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice("w", i, gram), " ")))).drop("w")
-
-    ev = runs(evidence.select("evidence_id", "quote"), "quote").withColumn("g", F.array_min("g"))
-    src = runs(sources.select("product_uid", "doc_id", "body"), "body").withColumn("g", F.explode(F.array_distinct("g")))
-    hit = ev.join(src, "g").where(F.contains(S.hard_text("body"), S.hard_text("quote")))
+    chars = lambda c: F.filter(F.split(S.hard_text(c), ""), lambda x: x != "")
+    runs = F.transform(F.sequence(F.lit(1), F.when(F.col("n") > 0, F.size("w") - F.col("n") + 1).otherwise(1)), lambda i: F.xxhash64("n", F.slice("w", i, F.col("n"))))
+    ev = evidence.where("quote is not null").select("evidence_id", "quote", chars("quote").alias("w")).withColumn("n", F.least(F.size("w"), F.lit(run)))
+    ev = ev.withColumn("g", F.array_min(runs)).drop("w")
+    src = sources.where("body is not null").select("product_uid", "doc_id", "body", F.xxhash64("product_uid", "doc_id").alias("sid"))
+    # At most run + 1 lengths.
+    asked = src.select("sid", chars("body").alias("w")).crossJoin(F.broadcast(ev.select("n").distinct())).where(F.size("w") >= F.col("n"))
+    near = asked.select("sid", F.explode(F.array_distinct(runs)).alias("g")).join(ev.select("evidence_id", "quote", "g"), "g").select("evidence_id", "quote", "sid").distinct()
+    hit = near.join(src, "sid").where(F.contains(S.hard_text("body"), S.hard_text("quote")))
     w = Window.partitionBy("evidence_id").orderBy("doc_id")
     return hit.select("evidence_id", "product_uid", "doc_id").distinct().withColumn("place", F.row_number().over(w))
 
@@ -171,14 +175,42 @@ def sequence_ratio(a, b):
     return a.combine(b, lambda x, y: SequenceMatcher(None, x or "", y or "").ratio()).astype(float)
 
 
-def reground(quotes: DataFrame, spans: DataFrame, least: float = 0.72, share: float = 0.5) -> DataFrame:
-    """The span most similar to each quote, if its ratio is at least 0.72; only spans that share half of its words are tried."""
-    q = quotes.select("evidence_id", "quote", F.array_distinct(S.squeeze_words("quote")).alias("qw"))
-    qt = q.select("evidence_id", F.size("qw").alias("nq"), F.explode("qw").alias("w"))
-    st = spans.withColumn("sid", F.xxhash64("doc_id", "pos", "width")).select("sid", F.explode(F.array_distinct(S.squeeze_words("span"))).alias("w"))
-    near = qt.join(st, "w").groupBy("evidence_id", "sid", "nq").agg(F.count("*").alias("c")).where(F.col("c") >= F.col("nq") * share)
-    s = spans.withColumn("sid", F.xxhash64("doc_id", "pos", "width"))
-    full = near.join(s, "sid").join(q.select("evidence_id", "quote"), "evidence_id").withColumn("ratio", sequence_ratio(F.col("quote"), F.col("span")))
+def ratio_from(least: float):
+    """sequence_ratio of two texts where it is at least `least`, else null: matching blocks are a common subsequence, so
+    pairs whose longest one (in bit-parallel form) is too short are not compared."""
+
+    @F.pandas_udf(T.DoubleType())
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        from difflib import SequenceMatcher
+
+        masks: dict[str, dict[str, int]] = {}
+
+        def one(x: str, y: str) -> float | None:
+            if x not in masks:
+                masks[x] = {}
+                for i, c in enumerate(x):
+                    masks[x][c] = masks[x].get(c, 0) | 1 << i
+            mask, full = masks[x], (1 << len(x)) - 1
+            left = full
+            for c in y:
+                if u := left & mask.get(c, 0):
+                    left = (left + u | left - u) & full
+            total = len(x) + len(y)
+            if total and 2.0 * (len(x) - left.bit_count()) / total < least:
+                return None
+            r = SequenceMatcher(None, x, y).ratio()
+            return r if r >= least else None
+
+        return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+    return ratio
+
+
+def reground(quotes: DataFrame, spans: DataFrame, least: float = 0.72) -> DataFrame:
+    """The span most similar to each quote, if its ratio is at least 0.72; every span is tried whose length allows that."""
+    q = quotes.select("evidence_id", "quote").where("quote is not null")
+    a, b = F.length("quote"), F.length("span")
+    full = q.join(spans, F.lit(2.0) * F.least(a, b) / (a + b) >= least).withColumn("ratio", ratio_from(least)(F.col("quote"), F.col("span")))
     w = Window.partitionBy("evidence_id").orderBy(F.desc("ratio"), "doc_id", "pos", "width")
     return full.where(F.col("ratio") >= least).withColumn("r", F.row_number().over(w)).where("r = 1").select("evidence_id", "doc_id", "span", "ratio")
 

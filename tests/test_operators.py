@@ -1,6 +1,8 @@
 """Behaviours of the product operators on small literal tables."""
 
 import random
+import re
+from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
@@ -93,6 +95,32 @@ def test_reground_finds_the_nearest_span(spark):
     assert got["doc_id"] == 7 and "battery lasts for two days" in got["span"]
 
 
+def test_supporting_sources_miss_no_quote(spark):
+    bodies = ["A fine e-mail program, rated 5 of 5.", "Our email programme was fine!", "番茄酱很好吃，推荐", "rated", "", None, "It is unbelievably good value for money"]
+    quotes = ["fine", "e-mail", "email program", "believably good val", "很好", "a", "!!", "rated 5 of 5. And more", "", None, "Fine, E-Mail program rated"]
+    src = spark.createDataFrame([(f"p{i % 2}" if i else None, i, b) for i, b in enumerate(bodies)], "product_uid string, doc_id long, body string")
+    ev = spark.createDataFrame(list(enumerate(quotes)), "evidence_id long, quote string")
+    hard = lambda t: re.sub(r"[\W_]+", "", t.lower())
+    want = {(e, d) for e, q in enumerate(quotes) for d, b in enumerate(bodies) if q is not None and b is not None and hard(q) in hard(b)}
+    got = V.supporting_sources(ev, src).collect()
+    assert {(r["evidence_id"], r["doc_id"]) for r in got} == want and len(got) == len(want)
+
+
+def test_reground_tries_every_span(spark):
+    quotes = ["batteries lasted two dayz", "電池が二日間もちます", "colour fades afterwards", "it'sreallygreat", "nothing like this anywhere", None, ""]
+    body = "The battery lasts two days. Batteries last two day. 電池は二日間もちました! Colours faded afterward. Its really great! ok ok ok. " + "Some filler text about a kettle. " * 9
+    src = spark.createDataFrame([(7, body), (8, body[20:400] + "x" * 300)], "doc_id long, body string")
+    spans = V.spans_of(src)
+    got = {r["evidence_id"]: (r["doc_id"], r["span"], r["ratio"]) for r in V.reground(spark.createDataFrame(list(enumerate(quotes)), "evidence_id long, quote string"), spans).collect()}
+    rows = sorted(spans.collect(), key=lambda r: (r["doc_id"], r["pos"], r["width"]))
+    want = {}
+    for i, q in enumerate(quotes):
+        tried = [(SequenceMatcher(None, q, r["span"]).ratio(), r) for r in rows] if q else []
+        if tried and (best := max(tried, key=lambda t: t[0]))[0] >= 0.72:
+            want[i] = (best[1]["doc_id"], best[1]["span"], best[0])
+    assert got == want and {0, 1, 2, 3} <= set(want)
+
+
 def test_components_and_guard(spark):
     edges = spark.createDataFrame([(1, 2, 0.9), (2, 3, 0.8), (5, 4, 0.9), (9, 9, 1.0), (3, 10, 0.7)], "a long, b long, score double")
     got = {r["id"]: r["component"] for r in R.components(edges).collect()}
