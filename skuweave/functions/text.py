@@ -135,10 +135,10 @@ def host_of(url) -> Column:
 
 
 def is_question(c) -> Column:
-    return F.trim(S.col(c)).rlike(r"\?$|(?i)^(who|what|when|where|why|how|is|are|can|does|do)\b")
+    return F.trim(S.col(c)).rlike(r"\?$|(?iU)^(who|what|when|where|why|how|is|are|can|does|do)\b")
 
 
-def polarity(c, good: tuple[str, ...], bad: tuple[str, ...], negation: str = r"(?i)\b(not|no|never)\b") -> Column:
+def polarity(c, good: tuple[str, ...], bad: tuple[str, ...], negation: str = r"(?iU)\b(not|no|never)\b") -> Column:
     """pos, neg or null; a negation cancels."""
     has = lambda ws: S.any_of([F.contains(F.lower(S.col(c)), F.lit(w)) for w in ws])
     return F.when(S.col(c).rlike(negation), None).when(has(good) & ~has(bad), "pos").when(has(bad) & ~has(good), "neg")

@@ -228,3 +228,32 @@ def sc9(spark, sf):
 @query("sc5_normal_forms", "SELECT doc_id, md5(trim(regexp_replace(lower(text), '\\s+', ' ', 'g'))) AS soft, md5(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', '', 'g')) AS hard FROM documents")
 def sc5(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.md5(S.soft_text("text")).alias("soft"), F.md5(S.hard_text("text")).alias("hard"))
+
+
+# The rules above over whole tables: accented and other scripts, null texts, names with a colour word, titles with a
+# repeated word. They have no SQL, since DuckDB and Spark differ in such rows.
+
+
+@query("att1_fold_all")
+def att1_all(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", F.md5(A.fold("text", {"the": "da"})).alias("folded"))
+
+
+@query("att7_colour_all")
+def att7_all(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", A.colour("p_name").alias("colour"))
+
+
+@query("att24_polarity_all")
+def att24_all(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", A.polarity("text", ("ing",), ("stupid", "trash")).alias("polarity"))
+
+
+@query("att26_question_all")
+def att26_all(spark, sf):
+    return table(spark, sf, "conversations").select("conv_id", "turn", A.is_question("text").alias("question"))
+
+
+@query("att27_clean_colours_all")
+def att27_all(spark, sf):
+    return v_title(spark, sf).select("title_id", joined(A.clean_colours("title")).alias("words"))

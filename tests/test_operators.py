@@ -1,7 +1,9 @@
 """Behaviours of the product operators on small literal tables."""
 
+import hashlib
 import random
 import re
+import unicodedata
 from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ from skuweave.operators import resolve as R
 from skuweave.operators import shape as H
 from skuweave.operators import voice as V
 from skuweave.operators.measures import all_measures, strip_measures
+from skuweave.plans import registry
+from skuweave.plans.views import v_title
 
 
 def one(spark, column):
@@ -38,6 +42,34 @@ def test_text_rules(spark):
     assert one(spark, A.tokens(F.lit("The 김치 spf50 Red"))) == ["김치", "red"]
 
 
+def test_attribute_rules_over_whole_tables(spark, tmp_path):
+    texts = ["Amazing ﬁne tea", "THE Ｔｅａ ① the", "Été: noé singing", "stupid über, nö", "no wing", None, "", "ça va?", "isé so", "Is it", "トイレ？ who"]
+    sf = f"file://{tmp_path}"
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], "conv_id long, turn int, text string").write.parquet(f"{sf}/conversations.parquet")
+    got = lambda name, key, value, at=sf: {r[key]: r[value] for r in registry.QUERIES[name](spark, at).collect()}
+    fold = lambda t: hashlib.md5(unicodedata.normalize("NFKC", t).lower().replace("the", "da").encode()).hexdigest()
+    assert got("att1_fold_all", "doc_id", "folded") == {i: None if t is None else fold(t) for i, t in enumerate(texts)}
+
+    def polarity(t):
+        good, bad = "ing" in t.lower(), "stupid" in t.lower() or "trash" in t.lower()
+        return None if re.search(r"(?i)\b(not|no|never)\b", t) or good == bad else "pos" if good else "neg"
+
+    assert got("att24_polarity_all", "doc_id", "polarity") == {i: None if t is None else polarity(t) for i, t in enumerate(texts)}
+    ask = lambda t: bool(re.search(r"\?$", t.strip()) or re.match(r"(?i)(who|what|when|where|why|how|is|are|can|does|do)\b", t.strip()))
+    assert got("att26_question_all", "conv_id", "question") == {i: None if t is None else ask(t) for i, t in enumerate(texts)}
+
+    part = [(1, "navy red tea"), (2, "shared blue"), (3, "red red tea 5kg"), (4, "bored"), (5, "plain")]
+    one = spark.read.parquet("/root/testdata/sf0.001/part.parquet").limit(1)
+    both = one.drop("p_partkey", "p_name").crossJoin(spark.createDataFrame(part, "p_partkey long, p_name string"))
+    both.write.parquet(f"{sf}/part.parquet")
+    assert got("att7_colour_all", "p_partkey", "colour") == {1: "navy", 2: "blue", 3: "red", 4: "red", 5: None}
+    titles = {r["title_id"]: r["title"] for r in v_title(spark, sf).collect()}
+    words = {i: [w for w in re.split(r"[\W_]+", t.lower()) if w and not re.search("[0-9]", w)] for i, t in titles.items()}
+    assert len(titles) == 5 and any(len(set(w)) < len(w) for w in words.values())
+    assert got("att27_clean_colours_all", "title_id", "words") == {i: "|".join(dict.fromkeys(w)) for i, w in words.items()}
+
+
 def test_size_mismatch_needs_a_common_unit(spark):
     s = lambda t: A.unit_sizes(F.lit(t))
     assert one(spark, A.size_mismatch(s("bar 92g"), s("bar 96g"))) is True
