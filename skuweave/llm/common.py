@@ -2,31 +2,54 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (only where that is unset) a new local one."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where that is unset, a new local folder serves a local master; on a cluster executors would not see it.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         where = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", where)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(where)
     return where
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder: cuts the lineage, survives lost executors, keeps column pruning."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/skuweave/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Scratch(df.sparkSession, name).table(df, "")
+
+
+class Scratch:
+    """The tables of one run in the shared folder, which cut the lineage and survive lost executors."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path = spark, f"{shared_dir(spark)}/skuweave/{name}-{uuid.uuid4().hex}"
+        self.count = 0
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        """df, written and read again."""
+        self.count += 1
+        path = f"{self.path}/{self.count}{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def last(self, df: DataFrame, name: str) -> DataFrame:
+        """df as a table that stays; all other tables of this run are deleted."""
+        out = written(df, name)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        return out
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
@@ -48,9 +71,23 @@ def hold(memory: dict) -> None:
     if not (_held and _held[0] is memory):
         for other in _held:
             other.clear()
+        if _held:
+            release()
         _held[:] = [memory]
 
 
+def release() -> None:
+    """Gives freed memory of this Python worker back to the system, so that the JVM beside it has room."""
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not this C library
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -59,15 +96,3 @@ def unit_hash(*cols) -> F.Column:
     """A uniform double in [0, 1) from md5 of the columns joined by ':'; the same in any SQL engine that has md5."""
     text = F.concat_ws(":", *cols)
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
-
-
-def lookup(rows: list[tuple], schema: str, spark: SparkSession) -> DataFrame:
-    """A broadcast hint for a table whose length the caller has bounded."""
-    return F.broadcast(spark.createDataFrame(rows, schema))
-
-
-def empty_of(df: DataFrame) -> bool:
-    return df.isEmpty()
-
-
-LONG = T.LongType()

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuweave.llm.common import written
+from skuweave.llm.common import Scratch
 
 
 def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -38,7 +38,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     e = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
     e = e.mapInPandas(_forest, "a long, b long").distinct()
-    e = written(e, "edges")
+    scratch = Scratch(edges.sparkSession, "components")
+    e = scratch.table(e, "edges")
     for _ in range(max_rounds):
         # Large star: every neighbour that is larger than the vertex goes to the vertex's smallest neighbour.
         both = e.select("a", "b").union(e.select(F.col("b"), F.col("a")))
@@ -49,7 +50,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         low2 = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(low2, "a")
         new = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
-        new = written(new.where("a <> b").distinct(), "edges")
+        new = scratch.table(new.where("a <> b").distinct(), "edges")
         tangled = new.join(new.select(F.col("a").alias("b")).distinct(), "b", "left_semi")
         doubled = new.groupBy("a").count().where("count > 1")
         e = new
@@ -58,4 +59,4 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     roots = e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
-    return e.select(F.col("a").alias("id"), F.col("b").alias("component")).union(roots)
+    return scratch.last(e.select(F.col("a").alias("id"), F.col("b").alias("component")).union(roots), "components")

@@ -2,28 +2,31 @@
 
 from __future__ import annotations
 
-import base64
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuweave.llm.common import hold, small_batches, written
+from skuweave.llm.common import Scratch, hold, small_batches
 from skuweave.llm.components import connected_components
 
 #: Bits of the map that marks frequent n-grams: 2 MB, whatever the number of documents.
 MAP_BITS = 1 << 24
-#: A frequent n-gram is in at least so many of the sampled documents.
-FREQUENT = 3
 #: One of so many documents is in the sample that only decides the order of n-grams, never a result.
 ORDER_SAMPLE = 16
-#: Buckets in which a set's n-grams are counted for the overlap bound.
-BUCKETS = 256
+#: A frequent n-gram is in at least FREQUENT sampled documents and in one of FREQUENT_SHARE of them. So there are at
+#: most FREQUENT_SHARE times as many as a document has n-grams, however many documents there are.
+FREQUENT, FREQUENT_SHARE = 3, 20_000
+#: A unit of a group has about so many documents or bytes of n-grams at most; larger groups have several units.
+UNIT_DOCS, UNIT_BYTES = 256, 4 << 20
+#: Documents that a task compares with one unit; beyond that other tasks take the rest.
+UNIT_QUERIES = 2048
+#: Bits of the map that spares documents without a candidate the second pass: 16 for each id, up to 32 MB.
+ID_BITS, MOST_ID_BITS = 16, 1 << 28
 CACHE_WORDS = 300_000
 
 
@@ -89,154 +92,185 @@ def prefix_length(size: np.ndarray | int, percent: int):
     return size - -(-size * percent // 100) + 1
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    if not len(a) or not len(b) or 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-        return False
-    both = len(a) + len(b) - len(np.union1d(a, b))
-    return 100 * both >= percent * (len(a) + len(b) - both)
+def least_shared(size):
+    """How many of their posted n-grams two linked sets share at least, by the smaller one; a number or a column."""
+    return 1 + size // 20 if isinstance(size, int | np.ndarray) else 1 + F.floor(size / 20).cast("int")
 
 
-@lru_cache(maxsize=2)
-def _bitmap(text: str) -> np.ndarray:
-    return np.frombuffer(base64.b64decode(text), np.uint8)
-
-
-def _to_map(hashes: DataFrame, col: str) -> bytes:
-    """A fixed-size bit map of a column of longs, put together from its 64-bit words on the executors."""
-    at = F.pmod(F.col(col), F.lit(MAP_BITS))
+def _set_bits(hashes: DataFrame, col: str, bits: int) -> bytes:
+    """A bit map of a column of longs, put together from its bytes on the executors."""
+    at = F.pmod(F.col(col), F.lit(bits))
     words = hashes.select(F.shiftright(at, 3).cast("int").alias("at"), F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (at % 8 + 1).cast("int")).alias("bit"))
-    words = words.groupBy("at").agg(F.bit_or("bit").alias("bits")).toPandas()
-    out = np.zeros(MAP_BITS // 8, np.uint8)
-    out[words["at"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint8)
+    words = words.groupBy("at").agg(F.bit_or("bit").cast("short").alias("bits")).toArrow()
+    out = np.zeros(bits // 8, np.uint8)
+    out[words["at"].to_numpy()] = words["bits"].to_numpy().astype(np.uint8)
     return out.tobytes()
 
 
-def _in_map(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = np.mod(hashes.view(np.int64), MAP_BITS)
-    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
-
-
-def _arrow(names: list[str], cols: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], names=names)
-
+def _has_bit(bits: bytes, hashes: np.ndarray) -> np.ndarray:
+    table = np.frombuffer(bits, np.uint8)
+    at = np.mod(hashes.view(np.int64), 8 * len(table))
+    return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
-def bucket_counts(s: np.ndarray) -> bytes:
-    """How many n-grams fall into each bucket; nothing where a count does not fit into a byte."""
-    c = np.bincount((s >> np.uint64(24)).astype(np.int64) & (BUCKETS - 1), minlength=BUCKETS)
-    return c.astype(np.uint8).tobytes() if len(s) and c.max() < 256 else b""
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for lo in range(0, whole.num_rows, rows):
+            yield whole.slice(lo, rows)
 
-def may_link(a: bytes, b: bytes, size_a: int, size_b: int, percent: int) -> bool:
-    """False only where the sum of the smaller bucket counts, which no overlap exceeds, is too small for a link."""
-    if not a or not b:
-        return True
-    most = int(np.minimum(np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)).sum(dtype=np.int64))
-    return 100 * most >= percent * (size_a + size_b - most)
-
-
-def set_keys(texts: DataFrame, n: int) -> DataFrame:
-    """(id, text) -> (id, n_shingles, set_key, counts): equal keys are equal sets; the key is null for an empty set."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sh = shingler(n)
-        for batch in batches:
-            sets = sh.of_many(batch.column(1).to_pylist())
-            keys = [hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets]
-            cols = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.string()), pa.array([bucket_counts(s) for s in sets], pa.binary())]
-            yield _arrow(["id", "n_shingles", "set_key", "counts"], cols)
-
-    return texts.mapInArrow(run, "id bigint, n_shingles bigint, set_key string, counts binary")
-
-
-def bounded(pairs: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose overlap bound allows a link. counts: (id, size, counts), one row for each id."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, x, y, m, k = (c.to_pylist() for c in batch.columns)
-            ok = [may_link(*row, percent) for row in zip(x, y, m, k, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    j = pairs.join(counts.withColumnsRenamed({"id": "a", "counts": "ca", "size": "sa"}), "a").join(counts.withColumnsRenamed({"id": "b", "counts": "cb", "size": "sb"}), "b")
-    return j.select("a", "b", "ca", "cb", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
 
-
-def frequent_map(texts: DataFrame, n: int) -> str:
+def frequent_map(texts: DataFrame, n: int) -> bytes:
     """A map of the n-grams that are frequent in a sample of documents.
 
     It only decides in which order n-grams are compared (rare ones first), so that a passage in very many documents
-    brings no candidates. Any map gives the same result: neither its sample nor its hash collisions lose a link.
+    brings few candidates. Any map gives the same result: neither its sample nor its hash collisions lose a link.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sh = shingler(n)
-        for batch in batches:
+        for batch in _slices(batches, 1024):
             sets = sh.of_many(batch.column(1).to_pylist())
             if sets:
                 hashes, counts = np.unique(np.concatenate(sets), return_counts=True)
-                yield _arrow(["h", "c"], [hashes.view(np.int64), counts.astype(np.int64)])
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], names=["h", "c"])
 
     sample = texts.where(F.pmod(F.xxhash64("id", F.lit("order")), F.lit(ORDER_SAMPLE)) == 0)
-    often = sample.mapInArrow(run, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= FREQUENT)
-    return base64.b64encode(_to_map(often, "h")).decode()
+    least = max(FREQUENT, texts.count() // ORDER_SAMPLE // FREQUENT_SHARE)
+    often = sample.mapInArrow(run, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
+    return _set_bits(often, "h", MAP_BITS)
+
 
+def posted_sets(texts: DataFrame, n: int, percent: int, frequent: bytes) -> DataFrame:
+    """(id, text) -> (id, size, set_key, rare, tokens): what a document posts of its set.
 
-def prefix_postings(texts: DataFrame, n: int, percent: int, frequent: str) -> DataFrame:
-    """(id, text) -> (token, id, size, rare, hot): the first n-grams of each set in the order (frequent, hash)."""
+    tokens are the set's first n-grams in the order (frequent, hash), as longs that sort in that order: as many as two
+    linked sets cannot both miss, and least_shared - 1 more, so that linked sets share least_shared of them. rare
+    counts the n-grams that are not frequent. Equal keys are equal sets; the key is null for an empty set.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sh, bits = shingler(n), _bitmap(shared.value)
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 512):
-                batch = whole.slice(lo, 512)
-                out: list[tuple] = []
-                for i, s in zip(batch.column(0).to_pylist(), sh.of_many(batch.column(1).to_pylist()), strict=True):
-                    if not len(s):
-                        continue
-                    hot = _in_map(bits, s)
-                    cold = s[~hot]
-                    p = prefix_length(len(s), percent)
-                    own = np.concatenate([cold[:p], s[hot][: max(0, p - len(cold))]])
-                    k = len(own)
-                    out.append((own.view(np.int64), np.full(k, i), np.full(k, len(s)), np.full(k, len(cold)), np.arange(k) >= len(cold)))
-                if out:
-                    yield _arrow(["token", "id", "size", "rare", "hot"], [np.concatenate(c) for c in zip(*out, strict=True)])
-
-    return texts.mapInArrow(run, "token bigint, id bigint, size bigint, rare bigint, hot boolean")
-
-
-def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are linked, by exact comparison. Both texts travel to the pair, twice over a shuffle."""
-    spark = pairs.sparkSession
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    wanted = spark.sparkContext.broadcast(base64.b64encode(_to_map(ids.select(F.xxhash64("id").alias("h")), "h")).decode())
-
-    @F.pandas_udf("boolean")
-    def maybe(h: pd.Series) -> pd.Series:  # spares most other texts the shuffle; the joins decide
-        return pd.Series(_in_map(_bitmap(wanted.value), h.to_numpy(np.int64)))
-
-    few = texts.where(maybe(F.xxhash64("id")))
-    both = pairs.join(few.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = both.join(few.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
+        sh, none = shingler(n), np.zeros(0, np.uint64)
+        for batch in _slices(batches):
+            sets = sh.of_many(batch.column(1).to_pylist())
+            size = np.array([len(s) for s in sets], np.int64)
+            hot = _has_bit(shared.value, np.concatenate([none, *sets]))
+            ends = np.cumsum(size)
+            rare, tokens, count = np.zeros(len(sets), np.int64), [none], np.zeros(len(sets) + 1, np.int32)
+            for k, (s, end) in enumerate(zip(sets, ends.tolist(), strict=True)):
+                if len(s):
+                    late = hot[end - len(s) : end]
+                    cold = s[~late] >> np.uint64(2)
+                    most = prefix_length(len(s), percent) + least_shared(len(s)) - 1
+                    tokens += [cold[:most], (s[late][: max(0, most - len(cold))] >> np.uint64(2)) | np.uint64(1 << 62)]
+                    rare[k], count[k + 1] = len(cold), min(most, len(s))
+            keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum(count, dtype=np.int32)), pa.array(np.concatenate(tokens).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(keys, pa.binary()), pa.array(rare), lists], names=["id", "size", "set_key", "rare", "tokens"])
+
+    return texts.mapInArrow(run, "id bigint, size bigint, set_key binary, rare bigint, tokens array<bigint>")
+
+
+def sets_of(texts: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """(id, text), ids -> (id, grams): the whole sets of the wanted ids, 8 bytes for each n-gram.
+
+    A bit map spares most other texts; the join decides.
+    """
+    spark = texts.sparkSession
+    bits = 1 << 16
+    while bits < min(MOST_ID_BITS, ID_BITS * ids.count()):
+        bits *= 2
+    wanted = spark.sparkContext.broadcast(_set_bits(ids.select(F.xxhash64("id").alias("h")), "h", bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sh = shingler(n)
-        last: dict[int, np.ndarray] = {}
+        for batch in _slices(batches):
+            batch = batch.filter(pa.array(_has_bit(wanted.value, batch.column(2).to_numpy())))
+            if batch.num_rows:
+                sets = sh.of_many(batch.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "grams"])
 
-        def of(i: int, text: str) -> np.ndarray:
-            if i not in last:
-                if len(last) > 64:
-                    last.clear()
-                last[i] = sh.shingles(text)
-            return last[i]
+    found = texts.select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(run, "id bigint, grams binary")
+    return found.join(ids, "id", "left_semi")
 
-        for batch in batches:
-            a, b, x, y = (c.to_pylist() for c in batch.columns)
-            yes = [linked(of(i, s), of(j, t), percent) for i, j, s, t in zip(a, b, x, y, strict=True)]
-            yield _arrow(["a", "b"], [pa.array([i for i, v in zip(a, yes, strict=True) if v], pa.int64()), pa.array([j for j, v in zip(b, yes, strict=True) if v], pa.int64())])
 
-    return both.mapInArrow(run, "a bigint, b bigint")
+class Unit:
+    """Whole sets of a unit's documents, joined to one sorted table of n-grams."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = np.array([len(s) for s in sets], np.int64)
+        grams = np.concatenate(sets)
+        order = np.argsort(grams, kind="stable")
+        self.grams, self.owner = grams[order], np.repeat(np.arange(len(sets), dtype=np.int32), self.size)[order]
+
+    def linked(self, s: np.ndarray, percent: int) -> np.ndarray:
+        """The numbers of the documents linked with the set s: 100 * both >= percent * either, counted exactly."""
+        lo, hi = np.searchsorted(self.grams, s, "left"), np.searchsorted(self.grams, s, "right")
+        width = hi - lo
+        hit = width > 0
+        lo, width = lo[hit], width[hit]
+        at = np.repeat(lo - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))
+        both = np.bincount(self.owner[at], minlength=len(self.size))
+        return np.flatnonzero((both > 0) & (100 * both >= percent * (len(s) + self.size - both)))
+
+
+def compared(rows: DataFrame, percent: int) -> DataFrame:
+    """(k1, k2, role, id, grams) -> links (a, b) that join what is linked inside each key (k1, k2).
+
+    Rows of role 0 are the documents of a unit and are compared with each other; rows of role 1 are compared with
+    those of role 0. No more links are returned than a forest has. A task holds one unit and one batch.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, names, sets, unit, root, out = None, [], [], None, {}, []
+
+        def find(x: int) -> int:
+            while (up := root.setdefault(x, x)) != x:
+                root[x] = root.setdefault(up, up)
+                x = root[x]
+            return x
+
+        def join(a: int, others: np.ndarray) -> None:
+            for k in others.tolist():
+                x, y = find(a), find(names[k])
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    out.append((a, names[k]))
+
+        def close() -> None:
+            nonlocal unit
+            if unit is None and sets:
+                unit = Unit(sets)
+                if len(sets) > 1:
+                    for k, s in enumerate(sets):
+                        more = unit.linked(s, percent)
+                        join(names[k], more[more < k])
+                sets.clear()
+
+        for batch in batches:
+            k1, k2, role, ids, grams = (batch.column(i) for i in range(5))
+            for own, r, i, g in zip(zip(k1.to_pylist(), k2.to_pylist(), strict=True), role.to_pylist(), ids.to_pylist(), grams, strict=True):
+                if own != key:
+                    close()
+                    key, names, unit, root = own, [], None, {}
+                s = np.frombuffer(g.as_buffer(), np.uint64)
+                if r == 0:
+                    names.append(i)
+                    sets.append(s)
+                else:
+                    close()
+                    if unit is not None:
+                        join(i, unit.linked(s, percent))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
+                out.clear()
+        close()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
+
+    key = ["k1", "k2"]
+    dealt = rows.select(*key, "role", "id", "grams").repartition(*key).sortWithinPartitions(*key, "role", "id")
+    return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
 def _close(a: str, b: str, percent: int) -> F.Column:
@@ -250,82 +284,97 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     words the whole sequence; without words it is empty, and then linked with nothing. component_id is the smallest
     id reachable by links, the document's own included.
 
-    1. Documents of equal sets form a class; its smallest id stands for it.
-    2. Each class posts its prefix: the first n-grams in the order (frequent, hash), as many as two linked sets cannot
-       both miss. Classes that share a posted n-gram are compared with one of them, the one with the fewest rare
-       n-grams, and with their neighbour by size; the links found make groups of similar documents.
-    3. The token-group matrix has a row for each posted n-gram and group, with the group's range of sizes: the union
-       of its members' n-grams. A document opens a group of which it shares a posted n-gram and that has sizes within
-       the bound; its members with that n-gram are compared exactly. Inside a group nothing is left to find, so a
-       group of thousands of copies is a single matrix column.
-    Nothing is capped or sampled: all links between groups are found, so the components are exact.
+    1. Documents of equal sets form a class; its smallest id stands for it. Each class posts the first n-grams of its
+       set in the order (frequent, hash), so many that linked sets share least_shared of them.
+    2. Groups of similar documents: each list of postings has one head, the set with the fewest rare n-grams, and each
+       document joins the one head that it meets in most lists. Groups are cut into units of a bounded size, the head
+       is in all of them, and inside a unit all documents are compared. Links found so far give components.
+    3. The token-group matrix has a row for each posted n-gram and unit (documents of one unit and component), with
+       the range of their sizes and the most n-grams that any of them has from there on: the union of the unit's posted
+       n-grams. A document's overlap with a unit of another component is bounded by its posted n-grams in that union,
+       by their number and by what is left after them; only units that may reach a link's overlap are opened, and the
+       document is compared with the whole sets in them. Of two units the smaller one's documents ask.
+    Nothing is capped or sampled: two linked documents are in one unit, in one component, or one of them opens the
+    other's unit. Pairs of documents are never rows: a group of thousands of near copies is a few units.
 
     A null id keeps its n_shingles and gets a null component. Rows of one id count as linked. Empty table: empty
-    result. Other columns are ignored. Only bit maps of a fixed size (2 MB) are broadcast.
+    result. Other columns are ignored. Broadcast are bit maps of 2 MB and of at most 32 MB.
     """
-    small_batches(docs.sparkSession, 500)
+    spark = docs.sparkSession
+    small_batches(spark, 500)
+    scratch = Scratch(spark, "ngram-join")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    keys = written(set_keys(texts, n), "set-keys")
+    posted = scratch.table(posted_sets(texts, n, percent, frequent_map(texts, n)), "posted")
     texts = texts.where("id is not null")
-    classes = keys.where("set_key is not null and id is not null").groupBy("set_key").agg(F.min("id").alias("rep"), F.count("*").alias("members"))
-    classes = written(classes, "classes")
-
-    # A class of one posts at once; the others' texts go through a semi join with the classes' representatives.
-    many = keys.join(classes.where("members > 1").select("set_key"), "set_key", "left_semi").select(F.xxhash64("id").alias("h"))
-    copies = texts.sparkSession.sparkContext.broadcast(base64.b64encode(_to_map(many, "h")).decode())
-
-    @F.pandas_udf("boolean")
-    def copied(h: pd.Series) -> pd.Series:
-        return pd.Series(_in_map(_bitmap(copies.value), h.to_numpy(np.int64)))
-
-    reps = texts.where(~copied(F.xxhash64("id"))).union(texts.where(copied(F.xxhash64("id"))).join(classes.select(F.col("rep").alias("id")), "id", "left_semi"))
-    posts = written(prefix_postings(reps, n, percent, frequent_map(texts, n)), "postings")
-
-    # Round 1: a star and a chain through each list of postings.
-    cold, hot = posts.where("not hot"), posts.where("hot")
-    me = F.struct("rare", "size", "id")
-    w = "partition by token order by rare, size, id"
-    lists = cold.select("token", "id", "size", "rare", F.expr(f"first(struct(rare, size, id)) over ({w})").alias("head"), F.expr(f"lag(struct(rare, size, id)) over ({w})").alias("near"))
-    lists = lists.where("near is not null")
-    heads = hot.groupBy("token").agg(F.min(me).alias("head"), F.count("*").alias("c")).where("c > 1").drop("c")
-    stars = lists.select("id", "size", "head").union(lists.select("id", "size", "near")).union(hot.join(heads, "token").select("id", "size", "head"))
-    stars = stars.select(F.col("id").alias("b"), "size", F.col("head.id").alias("a"), F.col("head.size").alias("head_size")).where("a <> b").where(_close("size", "head_size", percent))
-    first = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    counts = keys.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").groupBy("id").agg(F.max(F.struct("n_shingles", "counts")).alias("c"), F.count("*").alias("rows"))
-    # An id with several rows has no counts of its own.
-    counts = counts.select("id", F.col("c.n_shingles").alias("size"), F.when(F.col("rows") == 1, F.col("c.counts")).otherwise(F.lit(b"")).alias("counts"))
-    first = written(first, "pairs")
-    links = written(verified(written(bounded(first, counts, percent), "pairs"), texts, n, percent), "links")
-    groups = written(connected_components(links), "groups")
-
-    # Round 2: documents against the groups that they may reach, beyond their own.
-    grouped = posts.join(groups, "id", "left").select("token", "id", "size", F.coalesce("component", "id").alias("grp"))
-    grouped = written(grouped.join(posts.groupBy("token").count().where("count > 1"), "token", "left_semi"), "grouped")
-    matrix = grouped.groupBy("token", "grp").agg(F.min("size").alias("low"), F.max("size").alias("high"))
-    matrix = matrix.select("token", F.col("grp").alias("other"), "low", "high")
+    named = posted.where("set_key is not null and id is not null")
+    classes = named.groupBy("set_key").agg(F.min(F.struct("id", "size", "rare", "tokens")).alias("c"), F.count("*").alias("members"))
+    classes = scratch.table(classes.select("set_key", "c.id", "c.size", "c.rare", "c.tokens", "members"), "classes")
+
+    # Postings that more than one class has, each with the head of its list.
+    posts = classes.select("id", "size", "rare", F.posexplode("tokens").alias("pos", "token")).withColumn("left", F.col("size") - F.col("pos"))
+    heads = posts.groupBy("token").agg(F.count("*").alias("c"), F.min(F.struct("rare", "size", "id")).alias("head")).where("c > 1")
+    met = scratch.table(posts.join(heads.select("token", "head"), "token").select("token", "id", "size", "left", F.col("head.id").alias("head"), F.col("head.size").alias("head_size")), "met")
+
+    # Groups and their units.
+    votes = met.where("id <> head").where(_close("size", "head_size", percent)).groupBy("id", "head").agg(F.count("*").alias("votes"), F.first("size").alias("size"))
+    votes = votes.where(F.col("votes") >= least_shared(F.col("size")))
+    best = votes.groupBy("id").agg(F.max(F.struct("votes", (-F.col("head")).alias("low"))).alias("b"), F.first("size").alias("size")).select("id", (-F.col("b.low")).alias("grp"), "size")
+    best = scratch.table(best, "best")
+    groups = best.groupBy("grp").agg(F.greatest(F.ceil(F.count("*") / UNIT_DOCS), F.ceil(F.sum("size") * 8 / UNIT_BYTES)).cast("int").alias("units"))
+    units = best.select("id", "grp").join(groups, "grp").select("grp", F.pmod(F.xxhash64("id"), F.col("units")).cast("int").alias("unit"), "id")
+    units = units.union(groups.select("grp", F.explode(F.sequence(F.lit(0), F.col("units") - 1)).alias("unit"), F.col("grp").alias("id")))
+    units = scratch.table(units, "units")
+    grouped = scratch.table(sets_of(texts, units.select("id").distinct(), n), "sets")
+    links = scratch.table(compared(units.join(grouped, "id").select(F.col("grp").alias("k1"), F.col("unit").alias("k2"), F.lit(0).alias("role"), "id", "grams"), percent), "links")
+    comps = connected_components(links)
+
+    # Every document is in one unit of its component: in its group's, or by itself.
+    places = met.select("id").distinct().join(comps, "id", "left").select("id", F.coalesce("component", "id").alias("comp"))
+    own = units.where("id <> grp").groupBy("id").agg(F.min(F.struct("grp", "unit")).alias("at"))
+    places = places.join(own, "id", "left").select("id", "comp", F.coalesce("at", F.struct(F.col("id").alias("grp"), F.lit(0).alias("unit"))).alias("at"))
+    sizes = places.groupBy("at", "comp").agg(F.count("*").alias("docs"))
+    places = scratch.table(places.join(sizes, ["at", "comp"]).select("id", "comp", "at", F.struct("docs", "at", "comp").alias("u")), "places")
+
+    # The matrix, the bound on overlaps, and the units that are opened.
+    rows = scratch.table(met.select("token", "id", "size", "left").join(places.select("id", "u"), "id"), "rows")
+    matrix = rows.groupBy("token", F.col("u").alias("other")).agg(F.min("size").alias("low"), F.max("size").alias("high"), F.max("left").alias("other_left"))
     fits = (F.col("high") * 100 >= F.col("size") * percent) & (F.col("size") * 100 >= F.col("low") * percent)
-    opened = grouped.join(matrix, "token").where(F.col("grp") < F.col("other")).where(fits).select("token", F.col("id").alias("a"), F.col("size").alias("size_a"), "other")
-    inside = grouped.select("token", F.col("grp").alias("other"), F.col("id").alias("b"), F.col("size").alias("size_b"))
-    rest = opened.join(inside, ["token", "other"]).where(_close("size_a", "size_b", percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = written(bounded(rest.join(first, ["a", "b"], "left_anti"), counts, percent), "pairs")
-    more = written(verified(rest, texts, n, percent), "links")
-
-    same = keys.join(classes, "set_key").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    apart = (F.col("u.comp") != F.col("other.comp")) & (F.col("u.at") != F.col("other.at"))
+    # The k-th n-gram of an overlap has all of it but k - 1 left; the first `shared` of an overlap are posted on both sides.
+    shared = least_shared(F.least("low", "size"))
+    needed = F.greatest("low", F.ceil(F.col("size") * percent / 100)) + F.col("size")
+    far = (F.least("left", "other_left") + shared - 1) * (100 + percent) >= needed * percent
+    reach = rows.join(matrix, "token").where((F.col("u") < F.col("other")) & apart & fits & far)
+    reach = reach.groupBy("id", F.col("other").alias("u")).agg(F.count("*").alias("overlap"), F.min(shared).alias("shared"))
+    opened = scratch.table(reach.where("overlap >= shared").select("u", "id"), "opened")
+
+    # Opened units: their documents once for each block of documents that ask.
+    blocks = opened.groupBy("u").agg(F.ceil(F.count("*") / UNIT_QUERIES).cast("int").alias("blocks"))
+    inside = places.select("id", "u").join(blocks, "u").select("u", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("k2"), F.lit(0).alias("role"), "id")
+    asking = opened.join(blocks, "u").select("u", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("k2"), F.lit(1).alias("role"), "id")
+    both = scratch.table(inside.union(asking).select(F.concat_ws(":", "u.at.grp", "u.at.unit", "u.comp").alias("k1"), "k2", "role", "id"), "open-units")
+    rest = sets_of(texts, both.select("id").distinct().join(units.select("id").distinct(), "id", "left_anti"), n)
+    sets = grouped.union(scratch.table(rest, "sets"))
+    more = scratch.table(compared(both.join(sets, "id"), percent), "links")
+
+    same = named.select("id", "set_key").join(classes.where("members > 1").select("set_key", F.col("id").alias("rep")), "set_key").select("id", "rep")
     found = connected_components(links.union(more).union(same))
-    return keys.join(found, "id", "left").select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id"))
+    out = posted.select("id", "size").join(found, "id", "left")
+    return scratch.last(out.select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")), "ngram-components")
 
 
 def keep_first(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the documents whose component has a smaller id; of rows with one id the first by text stays.
 
-    Rows without words, and rows with a null id, stay. Only the ids that go are joined, so texts need not be shuffled
-    where those are few.
+    Rows without words, and rows with a null id, stay. Of rows with equal id and text the first by all their columns
+    stays. Only the ids that go are joined, so texts need not be shuffled where those are few.
     """
     comps = ngram_components(docs, n, percent, id_col, text_col)
     gone = comps.where("component_id <> doc_id").select(F.col("doc_id").alias(id_col)).distinct()
     out = docs.join(gone, id_col, "left_anti")
-    twice = written(comps.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(id_col)), "repeated-ids")
+    twice = comps.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(id_col))
     if twice.isEmpty():
         return out
-    rest = out.join(twice, id_col, "left_semi").dropDuplicates([id_col])
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rest = out.join(twice, id_col, "left_semi").groupBy(id_col).agg(F.min_by(whole, F.struct(text_col, F.to_json(whole))).alias("_row")).select("_row.*")
     return out.join(twice, id_col, "left_anti").unionByName(rest)
