@@ -26,13 +26,13 @@ class ChunkedTokenizer:
     """The tokenizers library over texts cut at places where its byte-level pattern always cuts.
 
     One space or line end before another character starts a word of the pattern or is a word of its own, whatever
-    stands before it. So a text is cut before those, and each distinct chunk goes through the library once: many
-    chunks in a row, whose ids are told apart by the bytes that each id stands for. A text that may hold a special
-    token goes through the library whole.
+    stands before it; so does a point or comma after a letter or digit. So a text is cut before those, and each
+    distinct chunk goes through the library once: many chunks in a row, whose ids are told apart by the bytes that
+    each id stands for. A text that may hold a special token goes through the library whole.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         self.library.model._resize_cache(0)  # no chunk is asked for twice
@@ -40,26 +40,44 @@ class ChunkedTokenizer:
         self.special = [t.content for t in special.values()]
         self.other_space = re.compile(r"[^\S \n]")
         self.cut = re.compile(r"(?=[ \n]\S)")
+        # A point or comma after an ASCII or Latin-1 letter or digit starts a word of the pattern, too.
+        self.no_stop = re.compile("[^A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff][.,]")
         vocabulary = self.library.get_vocab(with_added_tokens=False)
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():  # in byte-level vocabularies a character stands for a byte
             self.width[i] = len(token)
+        # The same vocabulary for words of plain letters, each of which is one word of the pattern.
+        self.space, self.letters = "\u0120", Tokenizer.from_file(path)
+        self.letters.model._resize_cache(0)
+        self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.cache: dict[str, bytes] = {}
 
+    def _other_space(self, t: str) -> bool:
+        return any(c in t for c in "\t\r\x0b\x0c\x1c\x1d\x1e\x1f") if t.isascii() else self.other_space.search(t) is not None
+
     def _bytes(self, text: str) -> bytes:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
     def _learn(self, chunks: list[str]) -> None:
-        for lo in range(0, len(chunks), 128):
-            part = chunks[lo : lo + 128]
-            ids = np.array(self.library.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.cumsum([len(c.encode()) for c in part])
-            reached = np.cumsum(self.width[ids])
-            at = np.searchsorted(reached, ends)
-            if (reached[np.minimum(at, len(ids) - 1)] != ends).any():
-                raise ValueError("ids that cross a cut: not a byte-level vocabulary")
-            raw, at = ids.tobytes(), ((at + 1) * 4).tolist()
-            self.cache.update(zip(part, map(raw.__getitem__, map(slice, [0, *at[:-1]], at)), strict=True))
+        """Encodes new chunks that start with a space or line end, many in a row; those of plain letters without the pattern."""
+        plain = [c for c in chunks if c[0] == " " and c.isascii() and c[1:].isalpha()]
+        other = chunks if not plain else [c for c in chunks if not (c[0] == " " and c.isascii() and c[1:].isalpha())]
+        for library, part, sign in ((self.letters, plain, " "), (self.library, other, "")):
+            ids: list[int] = []
+            for lo in range(0, len(part), 128):
+                row = part[lo : lo + 128]
+                # The sign of a byte-level space is its own letter, so that blanks can stand between the words.
+                line = sign.join([self.space + c[1:] for c in row]) if sign else "".join(row)
+                ids += library.encode_batch_fast([line], add_special_tokens=False)[0].ids
+            if part:
+                out = np.array(ids, "<u4")
+                ends = np.cumsum(list(map(len, part)) if sign else [len(c.encode()) for c in part])
+                reached = np.cumsum(self.width[out])
+                at = np.searchsorted(reached, ends)
+                if (reached[np.minimum(at, len(out) - 1)] != ends).any():
+                    raise ValueError("ids that cross a cut: not a byte-level vocabulary")
+                raw, at = out.tobytes(), ((at + 1) * 4).tolist()
+                self.cache.update(zip(part, map(raw.__getitem__, map(slice, [0, *at[:-1]], at)), strict=True))
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -70,11 +88,14 @@ class ChunkedTokenizer:
             if any(x in t for x in self.special):
                 cuts.append(None)
                 continue
-            if "  " in t or "\n\n" in t or " \n" in t or "\n " in t or "\0" in t or t[-1:] in (" ", "\n") or self.other_space.search(t):
+            if "  " in t or "\n\n" in t or " \n" in t or "\n " in t or "\0" in t or t[-1:] in (" ", "\n") or self._other_space(t):
                 own = [c for c in self.cut.split(t) if c]
                 odd.update(c for c in own if c[0] not in " \n" or not c[-1].strip())
             else:
-                own = t.replace(" ", "\0 ").replace("\n", "\0\n").split("\0") if t else []
+                t = t.replace(" ", "\0 ").replace("\n", "\0\n")
+                if t[:1] not in ".," and not self.no_stop.search(t):
+                    t = t.replace(".", "\0.").replace(",", "\0,")
+                own = t.split("\0") if t else []
                 odd.update(own[:1])
             cuts.append(own)
         get = self.cache.get
@@ -84,8 +105,9 @@ class ChunkedTokenizer:
             if len(self.cache) + len(new) > CACHE_CHUNKS:
                 self.cache.clear()
                 new = {x for c in cuts if c for x in c}
-            self.cache.update((c, self._bytes(c)) for c in new & odd)
-            self._learn(list(new - odd))
+            alone = [c for c in new if c in odd or c[0] not in " \n"]
+            self.cache.update((c, self._bytes(c)) for c in alone)
+            self._learn(list(new.difference(alone)))
             get = self.cache.__getitem__
             found = [f if c is None or None not in f else map(get, c) for c, f in zip(cuts, found, strict=True)]
         return [self._bytes(t) if f is None else b"".join(f) for t, f in zip(texts, found, strict=True)]
@@ -104,14 +126,18 @@ def compress(ids: np.ndarray, least: int = 8, base: int = 1 << 17) -> tuple[np.n
     replaces occurrences from left to right; of two overlapping ones the more frequent pair's is kept. Pairs are
     counted exactly where a table of hash counts says that they may be frequent enough. Rounds go on until no pair
     occurs `least` times; pairs that lost their slot or their occurrences in a round have their turn in a later one.
+    A pair's count only falls after the round that made its symbols, so a pair once rare is never counted again.
     """
-    seq = ids.astype(np.int64)
+    seq = ids.astype(np.int32)
+    alive = np.ones(len(seq), bool)  # where a pair begins that may be frequent
+    alive[-1:] = False
     left, right = [], []
     made = 0
-    while len(seq) > 1:
-        key = (seq[:-1] << 31) | seq[1:]
+    while len(place := np.flatnonzero(alive)):
+        key = (seq[place].astype(np.int64) << 31) | seq[place + 1]
         slot = (key * np.int64(-7046029254386353131) >> 43) & (SLOTS - 1)
-        hot = np.sort(key[(np.bincount(slot, minlength=SLOTS) >= least)[slot]])
+        often = np.flatnonzero((np.bincount(slot, minlength=SLOTS) >= least)[slot])
+        hot = np.sort(key[often])
         first = np.flatnonzero(np.diff(hot, prepend=-1))
         counts = np.diff(first, append=len(hot))
         good = counts >= least
@@ -122,9 +148,11 @@ def compress(ids: np.ndarray, least: int = 8, base: int = 1 << 17) -> tuple[np.n
         pairs = pairs[np.argsort(-counts[good], kind="stable")]
         number = np.full(SLOTS, -1)
         number[(pairs[::-1] * np.int64(-7046029254386353131) >> 43) & (SLOTS - 1)] = np.arange(len(pairs))[::-1]
-        rule = number[slot]
-        at = np.flatnonzero((rule >= 0) & (pairs[rule] == key))
-        rule = rule[at]
+        rule = number[slot[often]]
+        alive[:] = False
+        alive[place[often]] = True  # all that a rule does not take now has its turn later
+        own = np.flatnonzero((rule >= 0) & (pairs[rule] == key[often]))
+        at, rule = place[often[own]], rule[own]
         # A pair that overlaps itself takes every second place of its run.
         start = np.flatnonzero((np.diff(at, prepend=-2) != 1) | (np.diff(rule, prepend=-1) != 0))
         odd = (np.arange(len(at)) - np.repeat(start, np.diff(start, append=len(at)))) % 2 == 1
@@ -146,14 +174,19 @@ def compress(ids: np.ndarray, least: int = 8, base: int = 1 << 17) -> tuple[np.n
             if not len(at):
                 break
         at, rule = np.concatenate(kept_at), np.concatenate(kept_rule)
-        used, rule = np.unique(rule, return_inverse=True)
+        times = np.bincount(rule, minlength=len(pairs)) > 0
+        used, rule = np.flatnonzero(times), (np.cumsum(times) - 1)[rule]
         chosen = pairs[used]
         left.append(chosen >> 31)
         right.append(chosen & 0x7FFFFFFF)
         seq[at] = base + made + rule
-        gone = np.ones(len(seq), bool)
-        gone[at + 1] = False
-        seq = seq[gone]
+        stay = np.ones(len(seq), bool)
+        stay[at + 1] = False
+        seq, alive = seq[stay], alive[stay]
+        new = (np.cumsum(stay) - 1)[at]
+        alive[new] = True
+        alive[np.maximum(new - 1, 0)] = True
+        alive[-1:] = False
         made += len(used)
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *left]), np.concatenate([none, *right]), seq
@@ -252,17 +285,20 @@ def read_token_files(spark, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                left, right, _, seq = (np.frombuffer(row[k], "<u4").astype(np.int64) for k in ("rule_left", "rule_right", "rule_length", "sequence"))
-                ids = expand(seq, left, right)
-                if len(ids) != row["n_ids"]:
-                    raise ValueError(f"part {row['part']}, shard {row['shard']}: {len(ids)} ids instead of {row['n_ids']}")
-                ends = np.cumsum(np.array(row["doc_lengths"], np.int64))
-                starts = ends - row["doc_lengths"]
-                crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+            for i in range(batch.num_rows):
+                row = {name: batch.column(name)[i] for name in batch.schema.names}
+                left, right, seq = (np.frombuffer(row[k].as_buffer(), "<u4").astype(np.int64) for k in ("rule_left", "rule_right", "sequence"))
+                names, lengths = row["doc_ids"].values, row["doc_lengths"].values.to_numpy()
+                part, shard, ids = row["part"].as_py(), row["shard"].as_py(), expand(seq, left, right)
+                if len(ids) != row["n_ids"].as_py():
+                    raise ValueError(f"part {part}, shard {shard}: {len(ids)} ids instead of {row['n_ids']}")
+                ends = np.cumsum(lengths)
+                starts = ends - lengths
+                view = memoryview(ids).cast("B")
+                crc = [zlib.crc32(view[a:b]) for a, b in zip((starts * 4).tolist(), (ends * 4).tolist(), strict=True)]
                 k = len(crc)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["part"]] * k, pa.int32()), pa.array([row["shard"]] * k, pa.int32()), pa.array(range(k), pa.int32()), pa.array(row["doc_ids"], pa.int64()), pa.array(starts), pa.array(row["doc_lengths"], pa.int64()), pa.array(crc, pa.int64())],
+                    [pa.array(np.full(k, part, np.int32)), pa.array(np.full(k, shard, np.int32)), pa.array(np.arange(k, dtype=np.int32)), names, pa.array(starts), pa.array(lengths), pa.array(crc, pa.int64())],
                     names=["part", "shard", "doc", "doc_id", "in_shard", "n_tokens", "ids_crc32"],
                 )
 
