@@ -273,10 +273,6 @@ def compared(rows: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
-def _close(a: str, b: str, percent: int) -> F.Column:
-    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
-
-
 def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs -> (doc_id, n_shingles, component_id): exact components of the links 100 * both >= percent * either.
 
@@ -307,18 +303,18 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     posted = scratch.table(posted_sets(texts, n, percent, frequent_map(texts, n)), "posted")
     texts = texts.where("id is not null")
     named = posted.where("set_key is not null and id is not null")
-    classes = named.groupBy("set_key").agg(F.min(F.struct("id", "size", "rare", "tokens")).alias("c"), F.count("*").alias("members"))
-    classes = scratch.table(classes.select("set_key", "c.id", "c.size", "c.rare", "c.tokens", "members"), "classes")
+    classes = scratch.table(named.groupBy("set_key").agg(F.min("id").alias("id"), F.count("*").alias("members"), F.first("size").alias("size")), "classes")
 
     # Postings that more than one class has, each with the head of its list.
-    posts = classes.select("id", "size", "rare", F.posexplode("tokens").alias("pos", "token")).withColumn("left", F.col("size") - F.col("pos"))
-    heads = posts.groupBy("token").agg(F.count("*").alias("c"), F.min(F.struct("rare", "size", "id")).alias("head")).where("c > 1")
-    met = scratch.table(posts.join(heads.select("token", "head"), "token").select("token", "id", "size", "left", F.col("head.id").alias("head"), F.col("head.size").alias("head_size")), "met")
+    first = named.groupBy("set_key").agg(F.min(F.struct("id", "rare", "tokens")).alias("c"))
+    posts = first.select("c.id", "c.rare", F.posexplode("c.tokens").alias("pos", "token"))
+    heads = posts.groupBy("token").agg(F.count("*").alias("c"), F.min(F.struct("rare", "id")).alias("head")).where("c > 1")
+    met = scratch.table(posts.select("token", "id", "pos").join(heads.select("token", F.col("head.id").alias("head")), "token"), "met")
 
     # Groups and their units.
-    votes = met.where("id <> head").where(_close("size", "head_size", percent)).groupBy("id", "head").agg(F.count("*").alias("votes"), F.first("size").alias("size"))
-    votes = votes.where(F.col("votes") >= least_shared(F.col("size")))
-    best = votes.groupBy("id").agg(F.max(F.struct("votes", (-F.col("head")).alias("low"))).alias("b"), F.first("size").alias("size")).select("id", (-F.col("b.low")).alias("grp"), "size")
+    votes = met.where("id <> head").groupBy("id", "head").agg(F.count("*").alias("votes"))
+    best = votes.groupBy("id").agg(F.max(F.struct("votes", (-F.col("head")).alias("low"))).alias("b")).select("id", (-F.col("b.low")).alias("grp"), "b.votes")
+    best = best.join(classes.groupBy("id").agg(F.max("size").alias("size")), "id").where(F.col("votes") >= least_shared(F.col("size")))
     best = scratch.table(best, "best")
     groups = best.groupBy("grp").agg(F.greatest(F.ceil(F.count("*") / UNIT_DOCS), F.ceil(F.sum("size") * 8 / UNIT_BYTES)).cast("int").alias("units"))
     units = best.select("id", "grp").join(groups, "grp").select("grp", F.pmod(F.xxhash64("id"), F.col("units")).cast("int").alias("unit"), "id")
@@ -333,10 +329,12 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     own = units.where("id <> grp").groupBy("id").agg(F.min(F.struct("grp", "unit")).alias("at"))
     places = places.join(own, "id", "left").select("id", "comp", F.coalesce("at", F.struct(F.col("id").alias("grp"), F.lit(0).alias("unit"))).alias("at"))
     sizes = places.groupBy("at", "comp").agg(F.count("*").alias("docs"))
-    places = scratch.table(places.join(sizes, ["at", "comp"]).select("id", "comp", "at", F.struct("docs", "at", "comp").alias("u")), "places")
+    places = places.join(sizes, ["at", "comp"]).select("id", "comp", "at", F.struct("docs", "at", "comp").alias("u"))
+    places = scratch.table(places.join(classes.select("id", "size").distinct(), "id"), "places")
 
     # The matrix, the bound on overlaps, and the units that are opened.
-    rows = scratch.table(met.select("token", "id", "size", "left").join(places.select("id", "u"), "id"), "rows")
+    rows = met.select("token", "id", "pos").join(places.select("id", "u", "size"), "id").withColumn("left", F.col("size") - F.col("pos"))
+    rows = scratch.table(rows.drop("pos"), "rows")
     matrix = rows.groupBy("token", F.col("u").alias("other")).agg(F.min("size").alias("low"), F.max("size").alias("high"), F.max("left").alias("other_left"))
     fits = (F.col("high") * 100 >= F.col("size") * percent) & (F.col("size") * 100 >= F.col("low") * percent)
     apart = (F.col("u.comp") != F.col("other.comp")) & (F.col("u.at") != F.col("other.at"))
