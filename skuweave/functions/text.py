@@ -15,6 +15,9 @@ CONNECTORS = (("usb_c", r"(?i)(usb[- ]?c|type[- ]?c)"), ("lightning", r"(?i)(lig
 CATEGORIES = (("metal", "steel"), ("metal", "brass"), ("plated", "plated"), ("polished", "polished"), ("promo", "promo"))
 VOLUME = {"ml": 1.0, "cl": 10.0, "l": 1000.0}
 WEIGHT = {"mg": 0.001, "g": 1.0, "kg": 1000.0}
+POWER = {"w": 1.0, "kw": 1000.0}
+LINES = ("gear", "plate", "ring", "widget", "bolt")
+SIZES = (("small", r"(?i)(?<![a-z])(?:small|mini)(?![a-z])"), ("large", r"(?i)(?<![a-z])(?:large|big)(?![a-z])"))
 
 
 @F.pandas_udf(T.StringType())
@@ -73,6 +76,16 @@ def colour(c) -> Column:
     return F.coalesce(first_listed(tokens(c), COLOURS), part)
 
 
+def product_lines(c, lines: tuple[str, ...] = LINES) -> Column:
+    """The lines that the title's words name, sorted and distinct."""
+    return F.array_sort(F.array_distinct(F.filter(tokens(c), lambda w: w.isin(*lines))))
+
+
+def size_token(c) -> Column:
+    """A size in words or letters in one form; null without one."""
+    return first_rule(c, SIZES)
+
+
 def first_rule(c, rules: tuple[tuple[str, str], ...]) -> Column:
     """The label of the first rule whose pattern is in the text; null if none is."""
     out = F.lit(None).cast("string")
@@ -93,7 +106,8 @@ def model_codes(c, brand=None) -> Column:
     codes = F.transform(raw, lambda w: F.regexp_replace(w, "-", ""))
     codes = F.filter(codes, lambda w: w.rlike("[A-Z]") & w.rlike("[0-9]") & (F.length(w) >= 3) & ~w.rlike("^[0-9]+(ML|CL|L|MG|G|KG|CM|MM|W|X[0-9]+|GX[0-9]+|ST|ND|RD|TH)$") & ~w.rlike("^X[0-9]+$"))
     if brand is not None:
-        codes = F.filter(codes, lambda w: w != F.upper(F.regexp_replace(S.col(brand), "[^A-Za-z0-9]", "")))
+        own = F.coalesce(F.upper(F.regexp_replace(S.col(brand), "[^A-Za-z0-9]", "")), F.lit(""))
+        codes = F.filter(codes, lambda w: w != own)
     keyed = F.array_sort(F.transform(F.array_distinct(codes), lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w"))))
     return F.transform(keyed, lambda s: s["w"])
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -11,27 +9,37 @@ from pyspark.sql import functions as F
 
 from skuweave.functions import scalars as S
 from skuweave.functions import text as A
+from skuweave.sources import shared
 
 LOW, HIGH = 0.33, 0.72
 
 
 def extract_attributes(titles: DataFrame, title: str = "title", brand: str = "brand_raw") -> DataFrame:
-    """titles with the attributes that pairs are compared by."""
-    return titles.select(
-        "*", A.tokens(title).alias("toks"), A.model_codes(title, brand).alias("models"), A.measure(title, A.WEIGHT).alias("grams"), A.measure(title, A.VOLUME).alias("ml"),
+    """titles with the attributes that pairs are compared by; a gtin column is kept, or null where titles have none."""
+    out = titles if "gtin" in titles.columns else titles.withColumn("gtin", F.lit(None).cast("string"))
+    return out.select(
+        "*", A.tokens(title).alias("toks"), A.model_codes(title, brand).alias("models"), A.measure(title, A.WEIGHT).alias("grams"), A.measure(title, A.VOLUME).alias("ml"), A.measure(title, A.POWER).alias("watts"),
         A.pack_count(title).alias("pack"), A.colour(title).alias("colour"), A.first_rule(title, A.CONNECTORS).alias("connector"), A.is_bundle(title).alias("bundle"), A.condition(title).alias("state"),
+        A.product_lines(title).alias("lines"), A.size_token(title).alias("size_token"),
     )
 
 
+LEGS = ("model", "prefix", "numbers", "line", "gtin")
+
+
 def block_keys(listings: DataFrame, id_col: str = "title_id", brand: str = "brand_raw", category: str = "category") -> DataFrame:
-    """(id, leg, key): brand and model, brand and model beginning, brand and numbers, brand and category and size."""
-    b = F.col(brand)
-    numbers = F.concat_ws("|", b, *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("ml", "grams", "colour", "connector")])
-    keys = F.array(
-        F.struct(F.lit("model").alias("leg"), F.concat(b, F.lit("|"), F.get("models", F.lit(0))).alias("key")), F.struct(F.lit("prefix").alias("leg"), F.concat(b, F.lit("|"), F.left(F.get("models", F.lit(0)), F.lit(5))).alias("key")),
-        F.struct(F.lit("numbers").alias("leg"), numbers.alias("key")), F.struct(F.lit("line").alias("leg"), F.concat(b, F.lit("|"), F.col(category), F.lit("|"), F.col("grams").cast("string")).alias("key")),
-    )
-    return listings.select(F.col(id_col).alias("id"), F.explode(keys).alias("k")).select("id", "k.leg", "k.key").where("key is not null")
+    """(id, leg, key): brand and model; model beginning; brand and numbers; brand, line, category and size; GTIN.
+
+    A model's beginning has five characters (a shorter model counts whole) and goes without the brand, so that a
+    listing without one still meets its like. The legs by numbers and by line need a known brand.
+    """
+    b, text = F.col(brand), lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
+    key = lambda leg, value: F.struct(F.lit(leg).alias("leg"), value.alias("key"))
+    by_model = F.flatten(F.transform("models", lambda m: F.array(key("model", F.concat(F.coalesce(b, F.lit("?")), F.lit("|"), m)), key("prefix", F.left(m, F.lit(5))))))
+    numbers = F.when(b.isNotNull(), F.concat_ws("|", b, *[text(c) for c in ("ml", "grams", "watts", "colour", "connector")]))
+    line = F.when(b.isNotNull() & F.col(category).isNotNull() & F.col("size_token").isNotNull(), F.concat_ws("|", b, F.array_join("lines", "+"), category, "size_token"))
+    keys = F.concat(by_model, F.array(key("numbers", numbers), key("line", line), key("gtin", F.nullif(F.trim("gtin"), F.lit("")))))
+    return listings.select(F.col(id_col).alias("id"), F.explode(keys).alias("k")).select("id", "k.leg", "k.key").where("key is not null").distinct()
 
 
 def block_pairs(keys: DataFrame, max_block: int | None = None) -> DataFrame:
@@ -43,6 +51,12 @@ def block_pairs(keys: DataFrame, max_block: int | None = None) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.array_join(F.sort_array(F.collect_set("leg")), "|").alias("legs"))
 
 
+def block_stars(keys: DataFrame) -> DataFrame:
+    """Pairs (a, b) that join the ids of each key to its smallest one: the same components as block_pairs, no key's square."""
+    first = keys.groupBy("leg", "key").agg(F.min("id").alias("a"))
+    return keys.join(first, ["leg", "key"]).where("a < id").select("a", F.col("id").alias("b")).distinct()
+
+
 def minhash_pairs(df: DataFrame, id_col: str, shingles: Column, bands: int = 32, rows: int = 4) -> DataFrame:
     """Pairs whose signatures agree in a band. Records without shingles are left out."""
     x = df.select(F.col(id_col).alias("id"), F.explode(F.array_distinct(shingles)).alias("s"))
@@ -53,68 +67,111 @@ def minhash_pairs(df: DataFrame, id_col: str, shingles: Column, bands: int = 32,
     return a.join(b, ["band", "h"]).where("a < b").select("a", "b").distinct()
 
 
-def exact_jaccard_pairs(df: DataFrame, id_col: str, tokens: Column, percent: int = 80) -> DataFrame:
-    """All pairs with Jaccard similarity of at least percent / 100, by prefix filtering on tokens ordered by frequency."""
-    x = df.select(F.col(id_col).alias("id"), F.array_distinct(tokens).alias("t")).where(F.size("t") > 0)
-    e = x.select("id", F.size("t").alias("n"), F.explode("t").alias("w"))
+def brand_shingles(title: str = "title", brand: str = "brand_raw", n: int = 3) -> Column:
+    """Character n-grams of a title with its brand in front, so that titles of a brand overlap in any script."""
+    return S.char_ngrams(F.lower(F.concat_ws(" ", brand, title)), n)
+
+
+def set_classes(df: DataFrame, id_col: str, tokens: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows of equal token sets as one class: (id, rep) of all rows, and (id, t) of the classes. Empty sets are left out.
+
+    A hot group of copies is one row from here on; rep is the class's smallest id.
+    """
+    x = df.select(F.col(id_col).alias("id"), F.sort_array(F.array_distinct(tokens)).alias("t")).where(F.size("t") > 0)
+    x = x.withColumn("k", F.sha2(F.array_join("t", "\u0001"), 256))
+    first = x.groupBy("k").agg(F.min_by(F.struct("id", "t"), "id").alias("c"))
+    return x.select("id", "k").join(first.select("k", F.col("c.id").alias("rep")), "k").select("id", "rep"), first.select("c.id", "c.t")
+
+
+def class_pairs(classes: DataFrame, percent: int = 80) -> DataFrame:
+    """Pairs (a, b, jaccard) of classes (id, t) with Jaccard similarity of at least percent / 100, a < b.
+
+    Exact prefix filtering: tokens ordered by frequency, and two similar sets share one of their first
+    n - ceil(n * percent / 100) + 1; sizes bound the pairs before the sets travel.
+    """
+    e = classes.select("id", F.size("t").alias("n"), F.explode("t").alias("w"))
     df_of = e.groupBy("w").agg(F.count("*").alias("df"))
     place = F.row_number().over(Window.partitionBy("id").orderBy("df", "w"))
-    p = e.join(df_of, "w").withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+    p = e.join(df_of.where("df > 1"), "w", "left").withColumn("df", F.coalesce("df", F.lit(1)))
+    p = p.withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).where("df > 1")
     a, b = p.select("w", F.col("id").alias("a"), F.col("n").alias("na")), p.select("w", F.col("id").alias("b"), F.col("n").alias("nb"))
     near = a.join(b, "w").where("a < b").where((F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)).select("a", "b").distinct()
-    j = near.join(x.withColumnsRenamed({"id": "a", "t": "ta"}), "a").join(x.withColumnsRenamed({"id": "b", "t": "tb"}), "b")
+    j = near.join(classes.withColumnsRenamed({"id": "a", "t": "ta"}), "a").join(classes.withColumnsRenamed({"id": "b", "t": "tb"}), "b")
     both, either = F.size(F.array_intersect("ta", "tb")), F.size(F.array_union("ta", "tb"))
     return j.where(both * 100 >= either * percent).select("a", "b", F.bround(both / either, 4).alias("jaccard"))
 
 
+def exact_jaccard_pairs(df: DataFrame, id_col: str, tokens: Column, percent: int = 80) -> DataFrame:
+    """All pairs with Jaccard similarity of at least percent / 100; equal sets are compared once and then told apart.
+
+    For clusters use similarity_edges: its rows grow with the table, not with the square of a group of copies.
+    """
+    members, classes = set_classes(df, id_col, tokens)
+    between = class_pairs(classes, percent).withColumnsRenamed({"a": "ra", "b": "rb"})
+    between = between.unionByName(members.select(F.col("rep").alias("ra"), F.col("rep").alias("rb"), F.lit(1.0).alias("jaccard")).distinct())
+    j = between.join(members.withColumnsRenamed({"id": "x", "rep": "ra"}), "ra").join(members.withColumnsRenamed({"id": "y", "rep": "rb"}), "rb")
+    j = j.where((F.col("ra") != F.col("rb")) | (F.col("x") < F.col("y")))
+    return j.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "jaccard")
+
+
+def similarity_edges(df: DataFrame, id_col: str, tokens: Column, percent: int = 80) -> DataFrame:
+    """Edges (a, b) with the components of exact_jaccard_pairs: pairs of classes, and each row to its class."""
+    members, classes = set_classes(df, id_col, tokens)
+    return class_pairs(classes, percent).select("a", "b").union(members.where("rep < id").select("rep", "id"))
+
+
 def conflicts(a: str, b: str) -> Column:
     """Names of the attributes in which two records, with prefixes a and b, contradict each other."""
-    out = [F.when(F.exists(F.array(F.lit(1)), lambda _: (F.size(f"{a}models") > 0) & (F.size(f"{b}models") > 0) & ~S.model_match(f"{a}models", f"{b}models")), "model")]
-    out += [F.when(S.conflict(f"{a}{c}", f"{b}{c}"), c) for c in ("colour", "connector", "category", "bundle")]
-    out += [F.when(S.differs(f"{a}{c}", f"{b}{c}"), c) for c in ("grams", "ml", "pack")]
+    known = (F.size(f"{a}models") > 0) & (F.size(f"{b}models") > 0)
+    lines = (F.size(f"{a}lines") > 0) & (F.size(f"{b}lines") > 0)
+    out = [F.when(known & ~S.model_match(f"{a}models", f"{b}models"), "model")]
+    out += [F.when(S.conflict(f"{a}{c}", f"{b}{c}"), c) for c in ("colour", "connector", "category", "size_token")]
+    out += [F.when(lines & (F.size(F.array_intersect(f"{a}lines", f"{b}lines")) == 0), "line")]
+    out += [F.when(S.differs(f"{a}{c}", f"{b}{c}"), c) for c in ("ml", "grams", "watts", "pack")]
+    out += [F.when(S.conflict(f"{a}bundle", f"{b}bundle"), "bundle")]
     return F.array_compact(F.array(*out))
 
 
 def score_pairs(pairs: DataFrame, listings: DataFrame, id_col: str = "title_id", brand: str = "brand_raw") -> DataFrame:
-    """Pairs with their conflicts and score: model .45, brand .25, .08 for each agreement, .35 * Jaccard, capped.
+    """Pairs with their conflicts, score, whether brands are equal (null: unknown), and whether conditions differ.
 
-    A conflict or another brand caps the score at .30, another condition at .66; the score has four decimals.
+    An equal GTIN that brand, model or words back counts .55, one alone .10; model .45, brand .25, each equal number,
+    colour or connector .08, .35 * Jaccard of the words. A conflict or another brand caps the score at .30, another
+    condition (none is new) at .66; the score has four decimals.
     """
     a = listings.select(*[F.col(c).alias(f"a_{c}") for c in listings.columns])
     b = listings.select(*[F.col(c).alias(f"b_{c}") for c in listings.columns])
     j = pairs.join(a, F.col("a") == F.col(f"a_{id_col}")).join(b, F.col("b") == F.col(f"b_{id_col}")).withColumn("conflicts", conflicts("a_", "b_"))
-    same = [F.coalesce((F.col(f"a_{c}") == F.col(f"b_{c}")).cast("int"), F.lit(0)) for c in ("colour", "grams", "ml", "pack", "connector", "category")]
-    agree = sum(same[1:], same[0])
-    brand_same = F.col(f"a_{brand}") == F.col(f"b_{brand}")
-    raw = F.when(S.model_match("a_models", "b_models"), 0.45).otherwise(0.0) + F.when(brand_same, 0.25).otherwise(0.0) + agree * 0.08 + S.jaccard("a_toks", "b_toks") * 0.35
-    score = F.least(F.lit(1.0), F.greatest(F.lit(0.0), raw))
-    worse = (F.size("conflicts") > 0) | F.coalesce(~brand_same, F.lit(False))
-    score = F.when(worse, F.least(score, F.lit(0.30))).when(~F.col("a_state").eqNullSafe(F.col("b_state")), F.least(score, F.lit(0.66))).otherwise(score)
-    return j.select("a", "b", F.array_join("conflicts", "|").alias("conflicts"), F.bround(score, 4).alias("score"))
+    agree = sum((F.coalesce((F.col(f"a_{c}") == F.col(f"b_{c}")).cast("int"), F.lit(0)) for c in ("ml", "grams", "watts", "pack", "colour", "connector")), F.lit(0))
+    brand_ok = F.nullif(F.trim(f"a_{brand}"), F.lit("")) == F.nullif(F.trim(f"b_{brand}"), F.lit(""))
+    gtin = F.coalesce(F.nullif(F.trim("a_gtin"), F.lit("")) == F.nullif(F.trim("b_gtin"), F.lit("")), F.lit(False))
+    new = lambda c: F.coalesce(F.col(c), F.lit("new"))
+    j = j.withColumns({"brand_ok": brand_ok, "model_ok": S.model_match("a_models", "b_models"), "words": S.jaccard("a_toks", "b_toks"), "state_differs": new("a_state") != new("b_state")})
+    backed = F.coalesce(F.col("brand_ok"), F.lit(False)) | F.col("model_ok") | (F.col("words") > 0.30)
+    by_gtin = F.when(gtin & backed, 0.55).when(gtin, 0.10).otherwise(0.0)
+    raw = by_gtin + F.when(F.col("model_ok"), 0.45).otherwise(0.0) + F.when(F.col("brand_ok"), 0.25).otherwise(0.0) + agree * 0.08 + F.col("words") * 0.35
+    score, clash = F.least(F.lit(1.0), raw), F.size("conflicts") > 0
+    score = F.when(clash | F.coalesce(~F.col("brand_ok"), F.lit(False)), F.least(score, F.lit(0.30))).otherwise(score)
+    score = F.when(F.col("state_differs") & ~clash, F.least(score, F.lit(0.66))).otherwise(score)
+    return j.select("a", "b", F.array_join("conflicts", "|").alias("conflicts"), F.bround(score, 4).alias("score"), "brand_ok", "state_differs")
 
 
 def route(scored: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
-    """merge over high, review from low to high (both ends inside), else reject."""
-    return scored.withColumn("route", F.when(F.col("score") > high, "merge").when(F.col("score") >= low, "review").otherwise("reject"))
+    """merge over high, review from low to high (both ends inside), else reject; with the reason."""
+    way = F.when(F.col("score") > high, "merge").when(F.col("score") >= low, "review").otherwise("reject")
+    why = F.when(way == "merge", "strong evidence").when(way == "review", "boundary").when(F.col("conflicts") != "", F.concat(F.lit("conflict: "), F.substring_index("conflicts", "|", 1)))
+    return scored.withColumn("route", way).withColumn("reason", why.when(~F.col("brand_ok"), "brand mismatch").otherwise("weak evidence"))
 
 
 def adjudicate(routed: DataFrame) -> DataFrame:
-    """Rules for the review band: a conflict parts, else the pair is the same."""
-    same = F.when(F.col("route") == "merge", True).when(F.col("route") == "reject", False).otherwise(F.col("conflicts") == "")
-    return routed.withColumn("same", same)
+    """Rules for the review band: a conflict parts, then another brand, then another condition; else the pair is the same."""
+    clash, other = F.col("conflicts") != "", F.coalesce(~F.col("brand_ok"), F.lit(False))
+    parted = F.when(clash, F.concat(F.lit("conflict: "), F.substring_index("conflicts", "|", 1))).when(other, "brand mismatch").when(F.col("state_differs"), "condition mismatch")
+    same = F.when(F.col("route") == "merge", True).when(F.col("route") == "reject", False).otherwise(parted.isNull())
+    return routed.withColumns({"same": same, "reason": F.when(F.col("route") == "review", F.coalesce(parted, F.lit("nothing against it"))).otherwise(F.col("reason"))})
 
 
-def _cut(df: DataFrame, name: str, scratch: str | None = None) -> DataFrame:
-    """df as a table in the folder that driver and executors share: cuts the lineage."""
-    spark = df.sparkSession
-    where = scratch or spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        import tempfile
-
-        where = "file://" + tempfile.mkdtemp(prefix="spark-")
-    path = f"{where}/skuweave/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+_cut = shared.cut
 
 
 def components(edges: DataFrame, scratch: str | None = None, max_rounds: int = 50) -> DataFrame:
@@ -225,12 +282,99 @@ def guarded_clusters(edges: DataFrame, barred: DataFrame, largest: int = 20_000)
         bar = bar.select("a", "b")
 
 
-def nodes(clustered: DataFrame, titles: DataFrame, id_col: str = "title_id") -> DataFrame:
-    """Canonical products: the smallest member's id and title, number of members, members in order."""
-    j = clustered.join(titles.select(F.col(id_col).alias("id"), "title"), "id")
-    return j.groupBy("cluster_id").agg(F.min_by("title", "id").alias("title"), F.count("*").alias("n"), F.array_join(F.transform(F.sort_array(F.collect_list("id")), lambda x: x.cast("string")), "|").alias("members"))
+def nodes(clustered: DataFrame, titles: DataFrame, id_col: str = "title_id", market: str = "market") -> DataFrame:
+    """Canonical products: the smallest member's id and title, number of members, members and marketplaces in order."""
+    j = clustered.join(titles.select(F.col(id_col).alias("id"), "title", F.col(market).alias("_market")), "id")
+    listed = F.array_join(F.transform(F.sort_array(F.collect_list("id")), lambda x: x.cast("string")), "|")
+    return j.groupBy("cluster_id").agg(F.min_by("title", "id").alias("title"), F.count("*").alias("n"), listed.alias("members"), F.array_join(F.sort_array(F.collect_set("_market")), "|").alias("markets"))
 
 
 def truth_pairs(df: DataFrame, id_col: str, entity: str) -> DataFrame:
     x = df.where(F.col(entity).isNotNull()).select(F.col(id_col).alias("id"), F.col(entity).alias("e"))
     return x.withColumnRenamed("id", "a").join(x.withColumnRenamed("id", "b"), "e").where("a < b").select("a", "b")
+
+
+def storefronts(listings: DataFrame, seller: str = "seller", market: str = "marketplace", registration: str = "registration") -> DataFrame:
+    """One row per marketplace and seller: its smallest id, listings, registration number ('' if unknown), official flag."""
+    number = F.coalesce(F.max(F.nullif(F.trim(registration), F.lit(""))), F.lit(""))
+    return listings.groupBy(market, seller).agg(F.min("id").alias("front_id"), F.count("*").alias("listings"), number.alias(registration), F.max("official").alias("official"))
+
+
+def seller_clusters(fronts: DataFrame, percent: int = 60, seller: str = "seller", market: str = "marketplace", registration: str = "registration") -> DataFrame:
+    """Storefronts of one seller: equal registration numbers, or similar names where one of two numbers is missing.
+
+    Equal numbers join in a star at their smallest storefront; names meet by exact Jaccard of their character pairs,
+    over distinct names. Returns (cluster_id, registration, names, fronts, listings, markets, official, multi).
+    """
+    known = fronts.where(F.col(registration) != "")
+    first = known.groupBy(registration).agg(F.min("front_id").alias("a"))
+    by_number = known.join(first, registration).where("a < front_id").select("a", F.col("front_id").alias("b"))
+    # Storefronts of one name: those without a number join with all others; those with numbers join only through them.
+    names = fronts.groupBy(seller).agg(F.min("front_id").alias("name_id"), F.min(F.when(F.col(registration) == "", F.col("front_id"))).alias("open_id"))
+    near = class_pairs_of_names(names, seller, percent)
+    both = near.union(names.select(F.col("name_id").alias("a"), F.col("name_id").alias("b")))
+    of = names.select("name_id", "open_id", seller)
+    at = fronts.join(of.select(seller, "name_id"), seller).select("name_id", "front_id", F.col(registration) == "").toDF("name_id", "front_id", "is_open")
+    sides = both.union(both.where("a <> b").select("b", "a")).join(of.select(F.col("name_id").alias("a"), "open_id"), "a").where("open_id is not null")
+    by_name = sides.join(at.select(F.col("name_id").alias("b"), "front_id"), "b").select(F.col("open_id").alias("a"), F.col("front_id").alias("b"))
+    linked = clusters(fronts, by_number.union(by_name), "front_id")
+    j = fronts.join(linked, F.col("front_id") == F.col("id"))
+    out = j.groupBy("cluster_id").agg(
+        F.coalesce(F.min_by(F.nullif(registration, F.lit("")), F.when(F.col(registration) != "", F.col("front_id"))), F.lit("")).alias(registration), F.array_sort(F.collect_set(seller)).alias("names"), F.count("*").alias("fronts"),
+        F.sum("listings").alias("listings"), F.array_sort(F.collect_set(market)).alias("markets"), F.max("official").alias("official"),
+    )
+    return out.withColumn("multi", F.size("names") > 1)
+
+
+def class_pairs_of_names(names: DataFrame, name: str, percent: int) -> DataFrame:
+    """Pairs (a, b) of name_ids whose names' character pairs have at least that Jaccard similarity."""
+    members, classes = set_classes(names, "name_id", S.char_ngrams(F.lower(name), 2))
+    return class_pairs(classes, percent).select("a", "b").union(members.where("rep < id").select("rep", "id"))
+
+
+def trap_report(traps: DataFrame, clustered: DataFrame) -> DataFrame:
+    """Pairs (a, b, label) that must stay apart, each with whether they did; a listing without a cluster stands alone."""
+    c = {x: clustered.select(F.col("id").alias(x), F.col("cluster_id").alias(f"of_{x}")) for x in "ab"}
+    j = traps.join(c["a"], "a", "left").join(c["b"], "b", "left")
+    return j.select("a", "b", "label", F.coalesce(F.col("of_a") != F.col("of_b"), F.lit(True)).alias("kept_separate"))
+
+
+def cluster_counts(clustered: DataFrame, truth: DataFrame, id_col: str, entity: str) -> DataFrame:
+    """Entities of the truth against clusters, with clusters that mix entities and entities that are split."""
+    j = clustered.join(truth.select(F.col(id_col).alias("id"), F.col(entity).alias("e")), "id")
+    pairs = j.groupBy("cluster_id", "e").count()
+    mixed = pairs.groupBy("cluster_id").count().agg(F.count("*").alias("clusters"), F.count_if(F.col("count") > 1).alias("mixed"))
+    split = pairs.groupBy("e").count().agg(F.count("*").alias("entities"), F.count_if(F.col("count") > 1).alias("split"))
+    return split.join(mixed, how="inner", on=F.lit(True))
+
+
+def split_clusters(clustered: DataFrame, titles: DataFrame, partition: DataFrame) -> DataFrame:
+    """Clusters cut by an external table (cluster_id, title, grp): members whose title it does not name are group 0.
+
+    Clusters that the table does not know stay whole. Returns (id, cluster_id, part) with part 0 in those.
+    """
+    p = partition.groupBy("cluster_id", "title").agg(F.min("grp").alias("grp"))
+    j = clustered.join(titles.select(F.col("title_id").alias("id"), "title"), "id").join(p, ["cluster_id", "title"], "left")
+    return j.select("id", "cluster_id", F.coalesce("grp", F.lit(0)).cast("int").alias("part"))
+
+
+def split_candidates(clustered: DataFrame, titles: DataFrame, limit: int = 12) -> DataFrame:
+    """Clusters with at least two different titles, those with most titles first."""
+    j = clustered.join(titles.select(F.col("title_id").alias("id"), "title"), "id")
+    return j.groupBy("cluster_id").agg(F.count_distinct("title").alias("titles"), F.count("*").alias("n")).where("titles >= 2").orderBy(F.desc("titles"), "cluster_id").limit(limit)
+
+
+def mixed_lines(clustered: DataFrame, listings: DataFrame, id_col: str = "title_id") -> DataFrame:
+    """Per cluster whether its members name several product lines."""
+    j = clustered.join(listings.select(F.col(id_col).alias("id"), F.explode_outer("lines").alias("line")), "id")
+    return j.groupBy("cluster_id").agg(F.count_distinct("id").alias("n"), (F.count_distinct("line") > 1).alias("mixed"))
+
+
+def leg_table(keys: DataFrame, truth: DataFrame) -> DataFrame:
+    """Pairs of each blocking leg, and of all of them, against the true pairs: candidates, recall, and share that is true."""
+    found = block_pairs(keys).withColumn("leg", F.explode(F.split("legs", r"\|"))).select("leg", "a", "b")
+    found = found.union(found.select(F.lit("all"), "a", "b").distinct())
+    n = truth.select("a", "b").distinct().agg(F.count("*").alias("truth"))
+    t = truth.select("a", "b").distinct().withColumn("t", F.lit(1))
+    out = found.join(t, ["a", "b"], "left").groupBy("leg").agg(F.count("*").alias("candidates"), F.count("t").alias("hits")).join(n, how="inner", on=F.lit(True))
+    return out.select("leg", "candidates", "hits", F.bround(F.try_divide("hits", "truth"), 4).alias("recall"), F.bround(F.try_divide("hits", "candidates"), 4).alias("precision"))

@@ -190,6 +190,16 @@ def pair_metrics(truth: DataFrame, found: DataFrame) -> DataFrame:
     return m.select("tp", "fp", "fn", F.bround(F.try_divide(tp, tp + F.col("fp")), 4).alias("precision"), F.bround(F.try_divide(tp, tp + F.col("fn")), 4).alias("recall"), F.bround(F.try_divide(tp * 2.0, tp * 2 + F.col("fp") + F.col("fn")), 4).alias("f1"))
 
 
+def metrics_by_part(truth: DataFrame, found: DataFrame, part: DataFrame, id_col: str) -> DataFrame:
+    """pair_metrics for each part of the ids: pairs with both ends in one part count there, others nowhere."""
+    t, f = truth.select("a", "b").distinct().withColumn("t", F.lit(1)), found.select("a", "b").distinct().withColumn("f", F.lit(1))
+    of = {x: part.select(F.col(id_col).alias(x), F.col("part").alias(f"part_{x}")) for x in "ab"}
+    j = t.join(f, ["a", "b"], "full_outer").join(of["a"], "a").join(of["b"], "b").where("part_a = part_b")
+    m = j.groupBy(F.col("part_a").alias("part")).agg(F.count_if(F.col("t").isNotNull() & F.col("f").isNotNull()).alias("tp"), F.count_if(F.col("t").isNull()).alias("fp"), F.count_if(F.col("f").isNull()).alias("fn"))
+    tp = F.col("tp")
+    return m.select("part", "tp", "fp", "fn", F.bround(F.try_divide(tp, tp + F.col("fp")), 4).alias("precision"), F.bround(F.try_divide(tp, tp + F.col("fn")), 4).alias("recall"), F.bround(F.try_divide(tp * 2.0, tp * 2 + F.col("fp") + F.col("fn")), 4).alias("f1"))
+
+
 def cosine_top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """The k most similar vectors of the same label for each query, by exact cosine; queries are broadcast, so keep them few."""
     norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))

@@ -27,6 +27,8 @@ def load() -> None:
     from skuweave.plans import (  # noqa: F401
         prices,
         attributes,
+        files,
+        matching,
         more,
         resolution,
         tables,

@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 from skuweave.operators import resolve as R
 from skuweave.operators import shape as H
 from skuweave.plans.registry import query
-from skuweave.plans.views import table, v_title
+from skuweave.plans.views import table, v_listing
 
-KEYED = "k AS (SELECT p_partkey AS id, 'numbers' AS leg, concat(p_brand, '|', p_size, '|', coalesce(list_filter(['black','white','red','blue','green','grey','pink','brown','beige','navy'], lambda c: contains(lower(p_name), c))[1], '-')) AS key FROM part UNION ALL SELECT p_partkey, 'line', concat(p_brand, '|', p_type, '|', p_size) FROM part)"
+@query("er1_block_pairs", "SELECT a, b, legs FROM v_block")
+def er1(spark, sf):
+    return R.block_pairs(R.block_keys(R.extract_attributes(v_listing(spark, sf))))
 
 
-@query("er1_block_pairs", f"WITH {KEYED} SELECT x.id AS a, y.id AS b, string_agg(DISTINCT x.leg, '|' ORDER BY x.leg) AS legs FROM k x JOIN k y ON x.leg = y.leg AND x.key = y.key AND x.id < y.id GROUP BY ALL")
-def er1(spark, sf):
-    x = R.extract_attributes(v_title(spark, sf))
-    return R.block_pairs(R.block_keys(x).where(F.col("leg").isin("numbers", "line")))
+@query("er3_char_minhash")
+def er3(spark, sf):
+    """Listings that share a band of character 3-grams, 40 bands of 3; tests measure the recall against exact Jaccard."""
+    return R.minhash_pairs(v_listing(spark, sf), "title_id", R.brand_shingles(), bands=40, rows=3)
 
 
 @query("er2_minhash_pairs")
@@ -35,32 +37,27 @@ def er4(spark, sf):
 @query("er10_components", f"WITH RECURSIVE {EXACT}, e AS (SELECT a, b FROM pairs WHERE i * 100 >= (na + nb - i) * 80), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT doc_id AS id, doc_id AS c FROM documents UNION SELECT s.b, r.c FROM r JOIN s ON s.a = r.id) SELECT id, min(c) AS cluster_id FROM r GROUP BY id")
 def er10(spark, sf):
     d = table(spark, sf, "documents")
-    return R.clusters(d, R.exact_jaccard_pairs(d, "doc_id", F.split("text", " ")), "doc_id")
-
-
-@query("er13_storefronts", "SELECT s_nationkey, substr(s_name, 1, 17) AS seller, min(s_suppkey) AS first_id, count(*) AS n FROM supplier GROUP BY ALL")
-def er13(spark, sf):
-    return table(spark, sf, "supplier").groupBy("s_nationkey", F.substring("s_name", 1, 17).alias("seller")).agg(F.min("s_suppkey").alias("first_id"), F.count("*").alias("n"))
+    return R.clusters(d, R.similarity_edges(d, "doc_id", F.split("text", " ")), "doc_id")
 
 
 def _routed(spark, sf):
-    x = R.extract_attributes(v_title(spark, sf))
+    x = R.extract_attributes(v_listing(spark, sf))
     return R.route(R.score_pairs(R.block_pairs(R.block_keys(x)), x))
 
 
-@query("er7_score_pairs")
+@query("er7_score_pairs", "SELECT a, b, conflicts, score, brand_ok, state_differs FROM v_scored")
 def er7(spark, sf):
-    return _routed(spark, sf)
+    return _routed(spark, sf).drop("route", "reason")
 
 
-@query("er8_route_funnel")
+@query("er8_route_funnel", "SELECT route, reason, count(*) AS n FROM v_routed GROUP BY route, reason")
 def er8(spark, sf):
-    return _routed(spark, sf).groupBy("route").agg(F.count("*").alias("n"))
+    return _routed(spark, sf).groupBy("route", "reason").agg(F.count("*").alias("n"))
 
 
-@query("er9_adjudicated")
+@query("er9_adjudicated", "SELECT a, b, route, same, reason FROM v_judged")
 def er9(spark, sf):
-    return R.adjudicate(_routed(spark, sf)).groupBy("route", "same").agg(F.count("*").alias("n"))
+    return R.adjudicate(_routed(spark, sf)).select("a", "b", "route", "same", "reason")
 
 
 @query("er11_guarded_clusters")
@@ -69,36 +66,130 @@ def er11(spark, sf):
     return R.guarded_clusters(j.where("same").select("a", "b", "score"), j.where("conflicts <> ''").select("a", "b"))
 
 
-@query("er12_nodes", "SELECT min(title_id) AS cluster_id, arg_min(title, title_id) AS title, count(*) AS n, string_agg(CAST(title_id AS VARCHAR), '|' ORDER BY title_id) AS members FROM v_title JOIN part ON p_partkey = title_id GROUP BY brand_raw, category, p_size")
+#: Clusters of all pairs that are the same, without a guard, as SQL.
+CLUSTERED = "WITH RECURSIVE s AS (SELECT a, b FROM v_judged WHERE same UNION SELECT b, a FROM v_judged WHERE same), r AS (SELECT title_id AS id, title_id AS c FROM v_listing UNION SELECT s.b, r.c FROM r JOIN s ON s.a = r.id), k AS (SELECT id, min(c) AS cluster_id FROM r GROUP BY id)"
+
+
+def _clustered(spark, sf):
+    """Listings with the cluster that their pairs give."""
+    t = v_listing(spark, sf)
+    return R.clusters(t, R.adjudicate(_routed(spark, sf)).where("same").select("a", "b"), "title_id")
+
+
+def _entities(spark, sf):
+    t = v_listing(spark, sf)
+    return t.join(t.groupBy("entity").agg(F.min("title_id").alias("cluster_id")), "entity").select(F.col("title_id").alias("id"), "cluster_id")
+
+
+@query("er12_nodes", CLUSTERED + " SELECT cluster_id, arg_min(title, id) AS title, count(*) AS n, string_agg(CAST(id AS VARCHAR), '|' ORDER BY id) AS members, string_agg(DISTINCT market, '|' ORDER BY market) AS markets FROM k JOIN v_listing ON title_id = id GROUP BY cluster_id")
 def er12(spark, sf):
-    t = v_title(spark, sf).join(table(spark, sf, "part").select(F.col("p_partkey").alias("title_id"), "p_size"), "title_id")
-    first = t.groupBy("brand_raw", "category", "p_size").agg(F.min("title_id").alias("cluster_id"))
-    c = t.join(first, ["brand_raw", "category", "p_size"]).select(F.col("title_id").alias("id"), "cluster_id")
-    return R.nodes(c, t)
+    return R.nodes(_clustered(spark, sf), v_listing(spark, sf))
+
+
+def _shop_listings(spark, sf):
+    p, k = table(spark, sf, "part"), F.col("p_partkey")
+    seller = F.concat(F.left(F.md5("p_name"), F.lit(8)), F.when(k % 3 == 0, "").when(k % 3 == 1, " co").otherwise(".kr"))
+    number = F.when(k % 5 < 2, "").otherwise(F.concat(F.lit("R"), F.left(F.md5(F.concat("p_name", F.lit("r"))), F.lit(1))))
+    return p.select(k.alias("id"), (k % 4).alias("marketplace"), seller.alias("seller"), number.alias("registration"), (k % 50 == 0).alias("official"))
+
+
+SHOPS = "SELECT p_partkey AS id, p_partkey % 4 AS marketplace, concat(left(md5(p_name), 8), CASE p_partkey % 3 WHEN 0 THEN '' WHEN 1 THEN ' co' ELSE '.kr' END) AS seller, CASE WHEN p_partkey % 5 < 2 THEN '' ELSE concat('R', left(md5(concat(p_name, 'r')), 1)) END AS registration, p_partkey % 50 = 0 AS official FROM part"
+FRONTS = f"SELECT marketplace, seller, min(id) AS front_id, count(*) AS listings, max(registration) AS registration, max(official) AS official FROM ({SHOPS}) GROUP BY marketplace, seller"
+
+
+@query("er13_storefronts", FRONTS)
+def er13(spark, sf):
+    return R.storefronts(_shop_listings(spark, sf))
+
+
+GRAMS = "list_distinct(list_transform(range(1, greatest(length(x), 2)), lambda i: substr(x, i, 2)))"
+
 
+@query(
+    "er14_seller_clusters",
+    f"WITH RECURSIVE f AS (SELECT *, {GRAMS} AS g FROM (SELECT *, lower(replace(seller, ' ', '')) AS x FROM ({FRONTS}))), e AS (SELECT a.front_id AS a, b.front_id AS b FROM f a JOIN f b ON a.front_id <> b.front_id WHERE CASE WHEN a.registration <> '' AND b.registration <> '' THEN a.registration = b.registration ELSE len(list_intersect(a.g, b.g)) * 100 >= 60 * len(list_distinct(list_concat(a.g, b.g))) END), "
+    "r AS (SELECT front_id AS id, front_id AS c FROM f UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.id), k AS (SELECT id, min(c) AS cluster_id FROM r GROUP BY id) "
+    "SELECT cluster_id, coalesce(arg_min(registration, front_id) FILTER (registration <> ''), '') AS registration, string_agg(DISTINCT seller, '|' ORDER BY seller) AS names, count(*) AS fronts, CAST(sum(listings) AS BIGINT) AS listings, string_agg(DISTINCT CAST(marketplace AS VARCHAR), '|' ORDER BY CAST(marketplace AS VARCHAR)) AS markets, max(official) AS official, count(DISTINCT seller) > 1 AS multi FROM k JOIN f ON front_id = id GROUP BY cluster_id",
+)
+def er14(spark, sf):
+    c = R.seller_clusters(R.storefronts(_shop_listings(spark, sf)))
+    return c.withColumns({"names": F.array_join("names", "|"), "markets": F.array_join(F.transform("markets", lambda m: m.cast("string")), "|")})
 
-@query("er15_truth_pairs", "SELECT a.p_partkey AS a, b.p_partkey AS b FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey")
+
+@query("er15_truth_pairs", "SELECT a.title_id AS a, b.title_id AS b FROM v_listing a JOIN v_listing b ON a.entity = b.entity AND a.title_id < b.title_id")
 def er15(spark, sf):
-    p = table(spark, sf, "part").withColumn("e", F.concat_ws("|", "p_brand", "p_type", "p_size"))
-    return R.truth_pairs(p, "p_partkey", "e")
+    return R.truth_pairs(v_listing(spark, sf), "title_id", "entity")
+
+
+METRICS = "SELECT tp, fp, fn, round_even(tp::DOUBLE / nullif(tp + fp, 0), 4) AS precision, round_even(tp::DOUBLE / nullif(tp + fn, 0), 4) AS recall, round_even(2.0::DOUBLE * tp / nullif(2 * tp + fp + fn, 0), 4) AS f1"
+TRUTH = "SELECT a.title_id AS a, b.title_id AS b, a.entity FROM v_listing a JOIN v_listing b ON a.entity = b.entity AND a.title_id < b.title_id"
 
 
-@query("er16_pair_metrics", f"WITH {KEYED}, f AS (SELECT DISTINCT x.id AS a, y.id AS b FROM k x JOIN k y ON x.leg = y.leg AND x.key = y.key AND x.id < y.id), t AS (SELECT a.p_partkey AS a, b.p_partkey AS b FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_name = b.p_name AND a.p_partkey < b.p_partkey), m AS (SELECT count(*) FILTER (t.a IS NOT NULL AND f.a IS NOT NULL) AS tp, count(*) FILTER (t.a IS NULL) AS fp, count(*) FILTER (f.a IS NULL) AS fn FROM t FULL JOIN f ON t.a = f.a AND t.b = f.b) SELECT tp, fp, fn, round_even(tp::DOUBLE / (tp + fp), 4) AS precision, round_even(tp::DOUBLE / (tp + fn), 4) AS recall, round_even(2.0::DOUBLE * tp / (2 * tp + fp + fn), 4) AS f1 FROM m")
+@query("er16_pair_metrics", f"WITH t AS ({TRUTH}), m AS (SELECT count(*) FILTER (t.a IS NOT NULL AND f.a IS NOT NULL) AS tp, count(*) FILTER (t.a IS NULL) AS fp, count(*) FILTER (f.a IS NULL) AS fn FROM t FULL JOIN v_block f ON t.a = f.a AND t.b = f.b) {METRICS} FROM m")
 def er16(spark, sf):
-    x = R.extract_attributes(v_title(spark, sf))
-    found = R.block_pairs(R.block_keys(x).where(F.col("leg").isin("numbers", "line")))
-    p = table(spark, sf, "part").withColumn("e", F.concat_ws("|", "p_brand", "p_name"))
-    return H.pair_metrics(R.truth_pairs(p, "p_partkey", "e"), found)
+    t = v_listing(spark, sf)
+    return H.pair_metrics(R.truth_pairs(t, "title_id", "entity"), R.block_pairs(R.block_keys(R.extract_attributes(t))))
+
+
+SHELVES = "k AS (SELECT title_id AS id, min(title_id) OVER (PARTITION BY split_part(entity, '|', 1), category) AS cluster_id FROM v_listing)"
+
+
+def _shelves(spark, sf):
+    """Clusters that mix products: all of a brand and category."""
+    t = v_listing(spark, sf).withColumn("brand", F.split_part("entity", F.lit("|"), F.lit(1)))
+    return t.join(t.groupBy("brand", "category").agg(F.min("title_id").alias("cluster_id")), ["brand", "category"]).select(F.col("title_id").alias("id"), "cluster_id")
+
+
+@query("er17_traps", f"WITH {SHELVES} SELECT x.title_id AS a, y.title_id AS b, concat('same model: ', x.category) AS label, ka.cluster_id <> kb.cluster_id AS kept_separate FROM v_listing x JOIN v_listing y ON y.title_id = x.title_id + 40 JOIN k ka ON ka.id = x.title_id JOIN k kb ON kb.id = y.title_id")
+def er17(spark, sf):
+    t = v_listing(spark, sf)
+    traps = t.select(F.col("title_id").alias("a"), (F.col("title_id") + 40).alias("b"), F.concat(F.lit("same model: "), "category").alias("label"))
+    return R.trap_report(traps.join(t.select(F.col("title_id").alias("b")), "b", "left_semi"), _shelves(spark, sf))
+
+
+@query("er17_cluster_counts", f"WITH {SHELVES}, j AS (SELECT cluster_id, entity FROM k JOIN v_listing ON title_id = id), m AS (SELECT cluster_id, count(DISTINCT entity) AS n FROM j GROUP BY cluster_id), q AS (SELECT entity, count(DISTINCT cluster_id) AS n FROM j GROUP BY entity) SELECT (SELECT count(*) FROM q) AS entities, (SELECT count(*) FROM q WHERE n > 1) AS split, (SELECT count(*) FROM m) AS clusters, (SELECT count(*) FROM m WHERE n > 1) AS mixed")
+def er17_counts(spark, sf):
+    return R.cluster_counts(_shelves(spark, sf), v_listing(spark, sf), "title_id", "entity")
 
 
-@query("er19_split_candidates", "SELECT p_brand, count(DISTINCT p_name) AS n_titles FROM part GROUP BY p_brand HAVING count(DISTINCT p_name) >= 2 ORDER BY n_titles DESC, p_brand LIMIT 10")
+@query("er18_split_clusters", "SELECT id, cluster_id, CASE WHEN id % 3 = 0 OR cluster_id % 5 = 0 THEN 0 ELSE CAST(1 + id % 2 AS INT) END AS part FROM v_entity")
+def er18(spark, sf):
+    c, t = _entities(spark, sf), v_listing(spark, sf)
+    known = c.where("cluster_id % 5 <> 0 AND id % 3 <> 0").join(t.select(F.col("title_id").alias("id"), "title"), "id")
+    return R.split_clusters(c, t, known.select("cluster_id", "title", (1 + F.col("id") % 2).alias("grp")))
+
+
+@query("er19_split_candidates", "SELECT cluster_id, count(DISTINCT title) AS titles, count(*) AS n FROM v_entity JOIN v_listing ON title_id = id GROUP BY cluster_id HAVING count(DISTINCT title) >= 2 ORDER BY titles DESC, cluster_id LIMIT 12")
 def er19(spark, sf):
-    return table(spark, sf, "part").groupBy("p_brand").agg(F.countDistinct("p_name").alias("n_titles")).where("n_titles >= 2").orderBy(F.desc("n_titles"), "p_brand").limit(10)
+    return R.split_candidates(_entities(spark, sf), v_listing(spark, sf))
 
 
-@query("er20_mixed_lines", "SELECT p_brand, p_name, count(DISTINCT split_part(p_type, ' ', 1)) > 1 AS mixed FROM part GROUP BY ALL")
+@query("er20_mixed_lines", f"WITH {SHELVES} SELECT cluster_id, count(DISTINCT id) AS n, count(DISTINCT lines[1]) > 1 AS mixed FROM k JOIN v_attr ON title_id = id GROUP BY cluster_id")
 def er20(spark, sf):
-    return table(spark, sf, "part").groupBy("p_brand", "p_name").agg((F.countDistinct(F.substring_index("p_type", " ", 1)) > 1).alias("mixed"))
+    return R.mixed_lines(_shelves(spark, sf), R.extract_attributes(v_listing(spark, sf)))
+
+
+HELD = "left(md5(entity), 1) < '4'"
+
+
+@query("qv10_held_out_report", f"WITH t AS ({TRUTH}), x AS (SELECT f.a, f.b FROM v_block f), h AS (SELECT title_id, CASE WHEN {HELD} THEN 'held out' ELSE 'in sample' END AS part FROM v_listing), m AS (SELECT part, count(*) FILTER (hit = 2) AS tp, count(*) FILTER (hit = 1) AS fp, count(*) FILTER (hit = 0) AS fn FROM (SELECT ha.part, CASE WHEN t.a IS NOT NULL AND f.a IS NOT NULL THEN 2 WHEN t.a IS NULL THEN 1 ELSE 0 END AS hit FROM t FULL JOIN x f ON t.a = f.a AND t.b = f.b JOIN h ha ON ha.title_id = coalesce(t.a, f.a) JOIN h hb ON hb.title_id = coalesce(t.b, f.b) WHERE ha.part = hb.part) GROUP BY part) {METRICS}, part FROM m")
+def qv10(spark, sf):
+    t = v_listing(spark, sf)
+    part = t.select("title_id", F.when(F.left(F.md5("entity"), F.lit(1)) < "4", "held out").otherwise("in sample").alias("part"))
+    return H.metrics_by_part(R.truth_pairs(t, "title_id", "entity"), R.block_pairs(R.block_keys(R.extract_attributes(t))), part, "title_id")
+
+
+@query("qv10_pair_coverage", f"SELECT t.a, t.b, f.a IS NOT NULL AS covered, coalesce(f.legs, '') AS legs FROM ({TRUTH}) t LEFT JOIN v_block f ON t.a = f.a AND t.b = f.b")
+def qv10_coverage(spark, sf):
+    t = v_listing(spark, sf)
+    found = R.block_pairs(R.block_keys(R.extract_attributes(t)))
+    return R.truth_pairs(t, "title_id", "entity").join(found, ["a", "b"], "left").select("a", "b", F.col("legs").isNotNull().alias("covered"), F.coalesce("legs", F.lit("")).alias("legs"))
+
+
+@query("qv11_blockers", f"WITH t AS ({TRUTH}), f AS (SELECT DISTINCT x.leg, x.id AS a, y.id AS b FROM v_key x JOIN v_key y ON x.leg = y.leg AND x.key = y.key AND x.id < y.id), u AS (SELECT * FROM f UNION SELECT 'all', a, b FROM f) SELECT leg, count(*) AS candidates, count(t.a) AS hits, round_even(count(t.a)::DOUBLE / (SELECT count(*) FROM t), 4) AS recall, round_even(count(t.a)::DOUBLE / count(*), 4) AS precision FROM u LEFT JOIN t ON t.a = u.a AND t.b = u.b GROUP BY leg")
+def qv11(spark, sf):
+    t = v_listing(spark, sf)
+    return R.leg_table(R.block_keys(R.extract_attributes(t)), R.truth_pairs(t, "title_id", "entity"))
 
 
 @query("stm1_daily_last", "SELECT user_id, CAST(ts AS DATE) AS day, arg_max(value, struct_pack(t := ts, e := event_id)) AS value FROM events GROUP BY ALL")

@@ -167,12 +167,6 @@ def jn5(spark, sf):
 GRAMS = "list_distinct(list_transform(range(1, greatest(length({0}), 2)), lambda i: substr({0}, i, 2)))"
 
 
-@query("jn6_name_match", f"WITH t AS (SELECT p_partkey, p_brand, {GRAMS.format('x')} AS g FROM (SELECT *, replace(concat(p_name, p_type), ' ', '') AS x FROM part)), s AS (SELECT p_partkey AS sid, p_brand, len(g) AS n, unnest(g) AS h FROM t WHERE p_partkey % 10 = 0), r AS (SELECT p_partkey AS rid, p_brand, unnest(g) AS h FROM t WHERE p_partkey % 10 <> 0), c AS (SELECT sid, rid, round_even(count(*)::DOUBLE / n, 4) AS score FROM s JOIN r ON s.h = r.h AND s.p_brand = r.p_brand GROUP BY sid, rid, n) SELECT sid AS seed_id, rid AS match_id, score FROM c WHERE score >= 0.4 QUALIFY row_number() OVER (PARTITION BY sid ORDER BY score DESC, rid) = 1")
-def jn6(spark, sf):
-    p = table(spark, sf, "part").select("p_partkey", "p_brand", F.concat("p_name", "p_type").alias("t"))
-    return H.name_match(p.where("p_partkey % 10 = 0"), p.where("p_partkey % 10 <> 0"), "p_partkey", "p_partkey", "t", gate=F.col("s_p_brand") == F.col("r_p_brand"))
-
-
 @query("jn8_attach_facts", "SELECT parent_uid, CASE WHEN bool_or(coalesce(n_facts > 0, false)) THEN 'done' ELSE 'empty' END AS status, CAST(sum(coalesce(n_facts, 0)) AS BIGINT) AS n_facts, arg_min(brand, ctlg_no) FILTER (coalesce(brand, '') <> '') AS brand FROM v_product p LEFT JOIN (SELECT p_partkey AS k, p_size % 3 AS n_facts, CASE WHEN p_partkey % 4 = 0 THEN '' ELSE p_brand END AS brand FROM part WHERE p_partkey % 2 = 0) f ON f.k = p.ctlg_no GROUP BY parent_uid")
 def jn8(spark, sf):
     facts = table(spark, sf, "part").where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("ctlg_no"), (F.col("p_size") % 3).alias("n_facts"), F.when(F.col("p_partkey") % 4 == 0, "").otherwise(F.col("p_brand")).alias("brand"))
