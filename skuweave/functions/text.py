@@ -199,3 +199,57 @@ def purchase_quantity(c) -> Column:
     """'N+M' summed, else the pack count, at least 1."""
     plus = lambda i: F.nullif(F.regexp_extract(S.col(c), r"(?<![0-9])([0-9]{1,2})\+([0-9]{1,2})(?![0-9])", i), F.lit("")).cast("int")
     return F.greatest(F.coalesce(plus(1) + plus(2), pack_count(c), F.lit(1)), F.lit(1))
+
+
+#: Words that stand before a colour without being part of it, fibres that make a text a material, countries.
+COLOUR_NOISE = ("new", "the", "color", "colour", "shade")
+FIBRES = "polyester|cotton|nylon|wool|acrylic|rayon|spandex|leather|mesh|blend|%"
+COUNTRIES = "China|Vietnam|Korea|Indonesia|India|Cambodia|Bangladesh|Myanmar|Japan|Italy|Thailand"
+
+
+def clean_colour(c, noise: tuple[str, ...] = COLOUR_NOISE) -> Column:
+    """The colour without the noise words at its start."""
+    words = F.filter(F.split(F.trim(S.col(c)), r"\s+"), lambda w: w != "")
+    start = F.array_position(F.transform(words, lambda w: F.lower(w).isin(*noise)), False)
+    return F.when(start > 0, F.array_join(F.slice(words, F.greatest(start, F.lit(1)).cast("int"), F.greatest(F.size(words), F.lit(1))), " ")).otherwise("")
+
+
+def clean_sizes(c) -> Column:
+    """'a|b|c' distinct and without 'hidden', by number if all are numbers, else by text."""
+    parts = F.array_distinct(F.filter(F.transform(F.split(S.col(c), r"\|"), lambda p: F.trim(p)), lambda p: (p != "") & (F.lower(p) != "hidden")))
+    numbers = F.forall(parts, lambda p: p.rlike(r"^[0-9]+(\.[0-9]+)?$"))
+    by_number = F.transform(F.array_sort(F.transform(parts, lambda p: F.struct(p.try_cast("double").alias("n"), p.alias("p")))), lambda s: s["p"])
+    return F.array_join(F.when(numbers, by_number).otherwise(F.array_sort(parts)), "|")
+
+
+def notice_facts(c, fibres: str = FIBRES, countries: str = COUNTRIES) -> Column:
+    """A notice text's origin (named, else a country in it), material (only if it names a fibre or a share) and month of making."""
+    found = lambda pattern: F.nullif(F.trim(F.regexp_extract(S.col(c), pattern, 1)), F.lit(""))
+    origin = F.coalesce(found(r"(?i)origin\s*:?\s*([A-Za-z]{2,12})"), found(rf"({countries})"))
+    material = found(r"(?i)material\s*:?\s*([^\n;]{2,60})")
+    made = found(r"(?i)made in month\s*:?\s*([0-9]{4}[.\- /]*[0-9]{0,2})")
+    return F.struct(F.coalesce(origin, F.lit("")).alias("origin"), F.when(material.rlike(f"(?i){fibres}"), material).otherwise("").alias("material"), F.coalesce(made, F.lit("")).alias("made"))
+
+
+def distinct_list(c, sep: str = ",") -> Column:
+    """A separated list without repeats and blanks, in order."""
+    return F.array_join(F.array_distinct(F.filter(F.transform(F.split(S.col(c), sep), lambda p: F.trim(p)), lambda p: p != "")), sep)
+
+
+#: Common codes of units of measure, and labels of dimensions and genders.
+UNIT_CODES = {"kg": "KGM", "g": "GRM", "mg": "MGM", "ml": "MLT", "l": "LTR", "mm": "MMT", "cm": "CMT", "m": "MTR", "w": "WTT", "kw": "KWT", "v": "VLT", "hz": "HTZ", "gb": "E34", "tb": "E35"}
+GENDERS = {"m": "male", "men": "male", "f": "female", "women": "female", "u": "unisex", "kids": "kids"}
+
+
+def unit_code(c) -> Column:
+    return S.from_map(F.lower(S.col(c)), UNIT_CODES, None)
+
+
+def gender_label(c) -> Column:
+    return S.from_map(F.lower(F.trim(S.col(c))), GENDERS, None)
+
+
+def priority(reviews, malls) -> Column:
+    """Rank of a package in the work queue: reviews and five for each mall, then reviews."""
+    n = F.coalesce(S.col(reviews), F.lit(0))
+    return F.struct((n + F.coalesce(S.col(malls), F.lit(0)) * 5).alias("weight"), n.alias("reviews"))

@@ -259,3 +259,19 @@ def market_official(offers: DataFrame, official: DataFrame) -> DataFrame:
     """Market offers beside the official row of the same style code, with the severity of the gap."""
     out = offers.join(official, "product_uid", "left").withColumn("below_pct", S.percent_below("price", "list_price"))
     return out.withColumn("severity", F.when(F.col("list_price").isNull(), "unknown").otherwise(S.severity("below_pct")))
+
+
+def opinion_mismatch(offers: DataFrame, opinions: DataFrame, least: int = 5, dear: float = 2.5, cheap: float = 0.4) -> DataFrame:
+    """Per category: offers of products that are liked or blamed for their price, and those whose unit price says otherwise.
+
+    opinions: product_uid, opinion (pos, neg or null) for each point; a product is liked with more pos than neg. Dear is
+    over 2.5 times the category's median unit price, cheap under 0.4 times; categories of under five offers are left out.
+    """
+    o = opinions.groupBy("product_uid").agg(F.count_if(F.col("opinion") == "pos").alias("pos"), F.count_if(F.col("opinion") == "neg").alias("neg"))
+    u = offers.select("product_uid", "category", (F.col("price") / F.col("qty")).alias("unit"))
+    mid = u.groupBy("category").agg(F.percentile("unit", F.lit(0.5)).alias("mid"), F.count("*").alias("n")).where(F.col("n") >= least)
+    liked, blamed = F.col("pos") > F.col("neg"), F.col("neg") > F.col("pos")
+    return u.join(mid, "category").join(o, "product_uid").groupBy("category").agg(
+        F.count("*").alias("offers"), F.count_if(liked).alias("positive"), F.count_if(blamed).alias("negative"),
+        F.count_if(liked & (F.col("unit") > F.col("mid") * dear)).alias("dear_but_liked"), F.count_if(blamed & (F.col("unit") < F.col("mid") * cheap)).alias("cheap_but_blamed"),
+    )

@@ -27,6 +27,7 @@ def load() -> None:
     from skuweave.plans import (  # noqa: F401
         prices,
         attributes,
+        audits,
         files,
         matching,
         more,
