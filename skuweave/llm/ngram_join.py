@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -171,16 +172,20 @@ def posted_sets(texts: DataFrame, n: int, percent: int, frequent: bytes) -> Data
     return texts.mapInArrow(run, "id bigint, size bigint, set_key binary, rare bigint, tokens array<bigint>")
 
 
+def id_map(ids: DataFrame, col: str = "id"):
+    """A broadcast bit map of hashed ids, 16 bits for each of them: what has no bit is not among them."""
+    bits = 1 << 16
+    while bits < min(MOST_ID_BITS, ID_BITS * ids.count()):
+        bits *= 2
+    return ids.sparkSession.sparkContext.broadcast(_set_bits(ids.select(F.xxhash64(col).alias("h")), "h", bits))
+
+
 def sets_of(texts: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     """(id, text), ids -> (id, grams): the whole sets of the wanted ids, 8 bytes for each n-gram.
 
     A bit map spares most other texts; the join decides.
     """
-    spark = texts.sparkSession
-    bits = 1 << 16
-    while bits < min(MOST_ID_BITS, ID_BITS * ids.count()):
-        bits *= 2
-    wanted = spark.sparkContext.broadcast(_set_bits(ids.select(F.xxhash64("id").alias("h")), "h", bits))
+    wanted = id_map(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sh = shingler(n)
@@ -369,7 +374,14 @@ def keep_first(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "do
     """
     comps = ngram_components(docs, n, percent, id_col, text_col)
     gone = comps.where("component_id <> doc_id").select(F.col("doc_id").alias(id_col)).distinct()
-    out = docs.join(gone, id_col, "left_anti")
+    going = id_map(gone, id_col)
+
+    @F.pandas_udf("boolean")
+    def may_go(h: pd.Series) -> pd.Series:
+        return pd.Series(_has_bit(going.value, h.to_numpy(np.int64)))
+
+    here = may_go(F.xxhash64(F.col(id_col).cast("long")))
+    out = docs.where(~here).unionByName(docs.where(here).join(gone, id_col, "left_anti").select(*docs.columns))
     twice = comps.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(id_col))
     if twice.isEmpty():
         return out

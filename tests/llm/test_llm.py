@@ -180,6 +180,38 @@ def test_ngram_join(spark, docs, empty):
     assert kept == [0, 1, 2, 3, 4, 7, 9, 10, 11, 12]
 
 
+def test_ngram_join_of_large_groups(spark, monkeypatch):
+    """Hundreds of near copies at all distances from their base, chains, and a passage that many documents share."""
+    rng = np.random.default_rng(8)
+    base = [f"b{i}" for i in range(90)]
+    rows = []
+    for v in range(420):
+        own = list(base)
+        for k in rng.choice(90, v % 7, replace=False):
+            own[k] = f"e{rng.integers(10**6)}"
+        rows.append((len(rows) + 5, " ".join(own)))
+    rows += [(1000 + i, " ".join([f"o{i}w{j}" for j in range(40)] + base[:45])) for i in range(60)]
+    chain = [f"c{i}" for i in range(200)]
+    rows += [(2000 + i, " ".join(chain[4 * i : 4 * i + 60])) for i in range(30)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_components(rows)
+    assert Counter(c for _, c in want.values()).most_common(1)[0][1] > 100
+    for docs, size in ((16, 1 << 12), (256, 4 << 20)):
+        monkeypatch.setattr(ngram_join, "UNIT_DOCS", docs)
+        monkeypatch.setattr(ngram_join, "UNIT_BYTES", size)
+        monkeypatch.setattr(ngram_join, "UNIT_QUERIES", docs)
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_components(d).collect()}
+        assert got == want
+
+
+def test_keep_first_is_the_same_each_time(spark):
+    rows = [(1, "b", "y"), (1, "a", "z"), (1, "a", "x"), (1, None, "w"), (2, "q r s t u v w", "n"), (3, "Q R S T U V W", "n"), (None, "q r s t u v w", "n")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, _row string")
+    for n in (1, 3):
+        got = sorted((str(r["doc_id"]), str(r["text"]), r["_row"]) for r in ngram_join.keep_first(d.repartition(n)).collect())
+        assert got == [("1", "None", "w"), ("2", "q r s t u v w", "n"), ("None", "q r s t u v w", "n")]
+
+
 def test_classifiers_on_held_out_rows(spark, empty):
     sf = "/root/testdata/sf0.01"
     d, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
