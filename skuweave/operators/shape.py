@@ -83,9 +83,12 @@ def merge_preserving(new: DataFrame, old: DataFrame, key: str = "uid") -> DataFr
 
 
 def upsert_labels(old: DataFrame, new: DataFrame, key: str, overwrite: bool) -> DataFrame:
-    """One row per key of both; the new one counts only if overwrite, or if there is no old one."""
+    """One row per key of both; the new one counts only if overwrite, or if there is no old one.
+
+    Of several rows of a key on one side the first by its columns' text counts.
+    """
     both = old.withColumn("_p", F.lit(1 if overwrite else 0)).unionByName(new.withColumn("_p", F.lit(0 if overwrite else 1)))
-    return both.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy("_p"))).where("_r = 1").drop("_p", "_r")
+    return both.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy("_p", F.to_json(F.struct(*old.columns))))).where("_r = 1").drop("_p", "_r")
 
 
 def strong_key_match(seeds: DataFrame, rows: DataFrame, seed_id: str, row_id: str, keys: tuple[str, ...]) -> DataFrame:
@@ -101,24 +104,6 @@ def strong_key_match(seeds: DataFrame, rows: DataFrame, seed_id: str, row_id: st
     return out.select(seed_id, hit.alias("match_id"), how.alias("method")).where("match_id is not null")
 
 
-def name_match(seeds: DataFrame, rows: DataFrame, seed_id: str, row_id: str, text: str, least: float = 0.4, gate: Column | None = None, max_df: int | None = None) -> DataFrame:
-    """The row whose name has the largest share of a seed's character pairs, at least `least`; ties by the row's id.
-
-    Seeds and rows meet on shared pairs (an inverted index), never as a cross join. gate is a condition on columns of
-    both sides that must hold (s_... and r_... for other columns). max_df leaves out pairs in more rows than that.
-    """
-    s = seeds.select(*[F.col(c).alias(f"s_{c}") for c in seeds.columns]).withColumn("g", S.char_ngrams(f"s_{text}", 2))
-    r = rows.select(*[F.col(c).alias(f"r_{c}") for c in rows.columns]).withColumn("h", F.explode(S.char_ngrams(f"r_{text}", 2)))
-    if max_df is not None:
-        r = r.join(r.groupBy("h").count().where(F.col("count") <= max_df).select("h"), "h", "left_semi")
-    hits = s.withColumn("n", F.size("g")).withColumn("h", F.explode("g")).join(r, "h")
-    if gate is not None:
-        hits = hits.where(gate)
-    score = hits.groupBy(f"s_{seed_id}", f"r_{row_id}", "n").agg(F.count("*").alias("c")).withColumn("score", F.bround(F.col("c") / F.col("n"), 4))
-    w = Window.partitionBy(f"s_{seed_id}").orderBy(F.desc("score"), f"r_{row_id}")
-    return score.where(F.col("score") >= least).withColumn("r", F.row_number().over(w)).where("r = 1").select(F.col(f"s_{seed_id}").alias("seed_id"), F.col(f"r_{row_id}").alias("match_id"), "score")
-
-
 def attach_facts(products: DataFrame, facts: DataFrame) -> DataFrame:
     """Products with their SKUs' facts: status done or empty, number of facts, the first brand that is not empty."""
     j = products.join(facts, "ctlg_no", "left")
@@ -129,10 +114,14 @@ def attach_facts(products: DataFrame, facts: DataFrame) -> DataFrame:
     )
 
 
-def fill_missing(base: DataFrame, extra: DataFrame, key: str, columns: tuple[str, ...]) -> DataFrame:
-    """base with its empty columns filled from extra by key."""
-    e = extra.select(key, *[F.nullif(F.col(c), F.lit("")).alias(f"_{c}") for c in columns])
-    j = base.join(e, key, "left")
+def fill_missing(base: DataFrame, extra: DataFrame, key: str, columns: tuple[str, ...], order: str | None = None) -> DataFrame:
+    """base with its empty columns filled from extra by key: the first value that is not empty, by order (or by value).
+
+    Rows of base are never multiplied, however often a key is in extra.
+    """
+    place = lambda c: F.struct(order, c) if order else F.col(c)
+    first = [F.min_by(c, F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) != "", place(c))).alias(f"_{c}") for c in columns]
+    j = base.join(extra.groupBy(key).agg(*first), key, "left")
     return j.select(*[F.coalesce(F.nullif(F.col(c), F.lit("")), F.col(f"_{c}"), F.lit("")).alias(c) if c in columns else F.col(c) for c in base.columns])
 
 
@@ -200,12 +189,55 @@ def metrics_by_part(truth: DataFrame, found: DataFrame, part: DataFrame, id_col:
     return m.select("part", "tp", "fp", "fn", F.bround(F.try_divide(tp, tp + F.col("fp")), 4).alias("precision"), F.bround(F.try_divide(tp, tp + F.col("fn")), 4).alias("recall"), F.bround(F.try_divide(tp * 2.0, tp * 2 + F.col("fp") + F.col("fn")), 4).alias("f1"))
 
 
-def cosine_top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """The k most similar vectors of the same label for each query, by exact cosine; queries are broadcast, so keep them few."""
-    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
-    unit = lambda v: F.transform(v.cast("array<double>"), lambda x: x / norm(v.cast("array<double>")))
-    q = F.broadcast(queries.select(F.col("vec_id").alias("query_id"), "label", unit(F.col("embedding")).alias("q")))
-    j = vectors.select("vec_id", "label", unit(F.col("embedding")).alias("v")).join(q, "label").where("vec_id <> query_id")
-    j = j.withColumn("cosine", F.bround(F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x), 6))
+def _unit(v: Column) -> Column:
+    d = v.cast("array<double>")
+    norm = F.sqrt(F.aggregate(d, F.lit(0.0), lambda s, x: s + x * x))
+    return F.transform(d, lambda x: x / norm)
+
+
+def _nearest(pairs: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, q, v) -> the k best of each query by cosine, then vec_id."""
+    dot = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
     w = Window.partitionBy("query_id").orderBy(F.desc("cosine"), "vec_id")
-    return j.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k).select("query_id", "vec_id", "cosine", "place")
+    best = pairs.withColumn("cosine", F.bround(dot, 6)).withColumn("place", F.row_number().over(w))
+    return best.where(F.col("place") <= k).select("query_id", "vec_id", "cosine", "place")
+
+
+def cosine_top_k(vectors: DataFrame, queries: DataFrame, k: int, block: int = 4096) -> DataFrame:
+    """The k most similar vectors of the same label for each query, by exact cosine.
+
+    A label's vectors are dealt into blocks of about `block`; each query meets each block in a task of its own and
+    brings its k best from there, so neither a hot label nor many queries need to fit in one place.
+    """
+    v = vectors.select("vec_id", "label", _unit(F.col("embedding")).alias("v"))
+    blocks = v.groupBy("label").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    v = v.join(blocks, "label").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")).drop("blocks")
+    q = queries.select(F.col("vec_id").alias("query_id"), "label", _unit(F.col("embedding")).alias("q")).join(blocks, "label")
+    q = q.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    return _nearest(q.join(v, ["label", "block"]).where("vec_id <> query_id"), k)
+
+
+def approx_top_k(vectors: DataFrame, queries: DataFrame, k: int, tables: int = 10, bucket: int = 128) -> DataFrame:
+    """cosine_top_k by random projections: candidates are what shares a bucket in one of the tables, ranked exactly.
+
+    A bucket is named by the signs of a vector's products with vectors of +1 and -1; their number grows with a label's
+    vectors so that a bucket has about `bucket` of them. A query also looks into the buckets one sign away. Tests and
+    the query's own check against cosine_top_k measure the recall; true neighbours beyond those buckets are missed.
+    """
+    v = vectors.select("vec_id", "label", _unit(F.col("embedding")).alias("v"))
+    bits = v.groupBy("label").agg(F.greatest(F.floor(F.log2(F.count("*") / bucket)), F.lit(0)).cast("int").alias("bits"))
+
+    def coded(df: DataFrame, col: str) -> DataFrame:
+        sign = lambda t, j, i: F.when(F.pmod(F.xxhash64(t, j, i), F.lit(2)) == 0, 1.0).otherwise(-1.0)
+        dot = lambda j: F.aggregate(F.transform(col, lambda x, i: x * sign(F.col("t"), j, i)), F.lit(0.0), lambda s, x: s + x)
+        named = F.transform(F.sequence(F.lit(0), F.col("bits") - 1), lambda j: F.when(dot(j) > 0, F.pow(F.lit(2.0), j)).otherwise(0.0))
+        code = F.when(F.col("bits") == 0, F.lit(0)).otherwise(F.aggregate(named, F.lit(0.0), lambda s, x: s + x)).cast("bigint")
+        return df.join(bits, "label").withColumn("t", F.explode(F.when(F.col("bits") == 0, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(tables - 1))))).withColumn("code", code)
+
+    q = coded(queries.select(F.col("vec_id").alias("query_id"), "label", _unit(F.col("embedding")).alias("q")), "q")
+    near = F.transform(F.sequence(F.lit(0), F.col("bits") - 1), lambda j: F.col("code").bitwiseXOR(F.pow(F.lit(2.0), j).cast("bigint")))
+    q = q.withColumn("code", F.explode(F.when(F.col("bits") == 0, F.array("code")).otherwise(F.concat(F.array("code"), near)))).drop("bits")
+    met = q.select("query_id", "label", "t", "code").join(coded(v, "v").select("vec_id", "label", "t", "code"), ["label", "t", "code"])
+    met = met.where("vec_id <> query_id").select("query_id", "vec_id").distinct()
+    asked = queries.select(F.col("vec_id").alias("query_id"), _unit(F.col("embedding")).alias("q"))
+    return _nearest(met.join(asked, "query_id").join(v.select("vec_id", "v"), "vec_id"), k)

@@ -8,6 +8,7 @@ from skuweave.operators import resolve as R
 from skuweave.operators import shape as H
 from skuweave.plans.registry import query
 from skuweave.plans.views import table, v_listing
+from skuweave.sources.shared import new_path
 
 @query("er1_block_pairs", "SELECT a, b, legs FROM v_block")
 def er1(spark, sf):
@@ -206,9 +207,68 @@ def stm2(spark, sf):
     return tumbling_counts(table(spark, sf, "events"), "1 day").select("event_type", F.to_date("start").alias("day"), "n")
 
 
-@query("stm6_first_wins", "SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY ALL")
+@query("stm6_first_wins", "SELECT user_id, event_type, arg_min(event_id, struct_pack(t := ts, e := event_id)) AS event_id FROM events GROUP BY ALL")
 def stm6(spark, sf):
-    return table(spark, sf, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
+    from skuweave.streaming.jobs import first_wins
+
+    return first_wins(table(spark, sf, "events").select("ts", "event_id", "user_id", "event_type"), ["user_id", "event_type"]).select("user_id", "event_type", "event_id")
+
+
+def _stream(spark, sf, name, schema):
+    """A table as a stream of files."""
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+
+
+def _run(spark, stream, name, mode="append"):
+    """What a stream gives until its source ends, read back from the shared folder."""
+    path = new_path(spark, name)
+    if mode == "append":
+        stream.writeStream.outputMode(mode).format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    else:
+        stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{path}/out/batch={n}")).start().awaitTermination()
+    return spark.read.parquet(f"{path}/out")
+
+
+@query("stm1_upsert_stream", "SELECT user_id, day, arg_max(value, event_id) AS value, max(event_id) AS event_id FROM (SELECT *, CAST(ts AS DATE) AS day FROM events) GROUP BY user_id, day")
+def stm1_upsert(spark, sf):
+    """The daily snapshot written by a stream, batch by batch, as upserts."""
+    from skuweave.streaming.jobs import latest_version, upsert_batches
+
+    events = table(spark, sf, "events")
+    rows = _stream(spark, sf, "events", events.schema).select("user_id", F.to_date("ts").alias("day"), "value", "event_id")
+    path = new_path(spark, "daily")
+    upsert_batches(rows, f"{path}/table", ["user_id", "day"], "event_id", f"{path}/state").awaitTermination()
+    return latest_version(spark, f"{path}/table")
+
+
+@query("stm4_velocity", "SELECT user_id, ts, (value - lag(value) OVER w) / greatest(1, floor((epoch_us(ts) - epoch_us(lag(ts) OVER w)) / 86400000000)) AS delta FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)")
+def stm4(spark, sf):
+    """Velocity of each user's values, kept as state over the stream of events."""
+    from skuweave.streaming.jobs import velocity
+
+    events = table(spark, sf, "events")
+    return _run(spark, velocity(_stream(spark, sf, "events", events.schema).select("user_id", "ts", "value")), "velocity").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("stm5_rerun_days", "SELECT user_id, day, CASE WHEN day = DATE '2024-01-05' THEN -v ELSE v END AS value FROM (SELECT user_id, CAST(ts AS DATE) AS day, arg_max(value, struct_pack(t := ts, e := event_id)) AS v FROM events GROUP BY ALL) WHERE NOT (day = DATE '2024-01-05' AND user_id % 2 = 1)")
+def stm5(spark, sf):
+    """A run for an old day replaces that day only, also where it has fewer rows."""
+    from skuweave.streaming.jobs import latest_per_day, rerun_days
+
+    daily = latest_per_day(table(spark, sf, "events"))
+    again = daily.where("day = date'2024-01-05' and user_id % 2 = 0").withColumn("value", -F.col("value"))
+    return rerun_days(daily, again)
+
+
+@query("stm7_work_status", "WITH r AS (SELECT concat('C', CAST(user_id AS VARCHAR)) AS uid, event_id, CASE event_type WHEN 'error' THEN 'fault' ELSE 'quota' END AS outcome FROM events), c AS (SELECT uid, count(*) FILTER (outcome = 'fault') AS f FROM r GROUP BY uid) SELECT uid, CASE WHEN f >= 5 THEN 'error' ELSE 'pending' END AS status, f::INT AS attempts FROM c")
+def stm7(spark, sf):
+    """Work states: failures count as attempts up to the cap, quota failures do not."""
+    from skuweave.streaming.jobs import work_status
+
+    events = table(spark, sf, "events")
+    rows = _stream(spark, sf, "events", events.schema).select(F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("uid"), F.col("event_id").alias("seq"), F.when(F.col("event_type") == "error", "fault").otherwise("quota").alias("outcome"))
+    last = _run(spark, work_status(rows), "status", "update").groupBy("uid").agg(F.max_by(F.struct("status", "attempts"), "batch").alias("s"))
+    return last.select("uid", "s.*")
 
 
 @query("stm8_new_products", "SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)")

@@ -146,10 +146,19 @@ def snk4(spark, sf):
     return H.merge_preserving(fresh, s)
 
 
-@query("snk5_upsert_labels", "SELECT coalesce(n.doc_id, o.doc_id) AS doc_id, coalesce(n.quality, o.quality) AS quality FROM (SELECT doc_id, quality FROM labels WHERE doc_id % 2 = 0) o FULL JOIN (SELECT doc_id, 1 - quality AS quality FROM labels WHERE doc_id % 3 = 0) n ON n.doc_id = o.doc_id")
+@query("snk5_upsert_labels", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 1 - quality ELSE quality END AS quality FROM labels")
 def snk5(spark, sf):
+    """Old labels of all documents and new ones of every third: the new ones overwrite."""
     x = table(spark, sf, "labels").select("doc_id", "quality")
-    return H.upsert_labels(x.where("doc_id % 2 = 0"), x.where("doc_id % 3 = 0").withColumn("quality", 1 - F.col("quality")), "doc_id", overwrite=True)
+    return H.upsert_labels(x, x.where("doc_id % 3 = 0").withColumn("quality", 1 - F.col("quality")), "doc_id", overwrite=True)
+
+
+@query("snk5_insert_labels", "SELECT doc_id, coalesce(quality, 2) AS quality FROM documents LEFT JOIN labels USING (doc_id)")
+def snk5_insert(spark, sf):
+    """Without overwriting only documents that have no label get the new one."""
+    x = table(spark, sf, "labels").select("doc_id", "quality")
+    new = table(spark, sf, "documents").select("doc_id", F.lit(2).cast(x.schema["quality"].dataType).alias("quality"))
+    return H.upsert_labels(x, new, "doc_id", overwrite=False)
 
 
 @query("snk6_drop_old_runs", "SELECT doc_id, lang FROM documents WHERE n_chars % 2 = 0 AND source <> 'src3'")
@@ -173,10 +182,12 @@ def jn8(spark, sf):
     return H.attach_facts(v_product(spark, sf), facts)
 
 
-@query("jn9_fill_missing", "SELECT c.seq, CASE WHEN c.material <> '' THEN c.material ELSE coalesce(e.p_type, '') END AS material, CASE WHEN c.origin <> '' THEN c.origin ELSE coalesce(e.p_type, '') END AS origin FROM v_catalog c LEFT JOIN (SELECT * FROM part WHERE p_partkey % 2 = 0) e ON e.p_partkey = c.seq")
+@query("jn9_fill_missing", "SELECT c.seq, CASE WHEN c.material <> '' THEN c.material ELSE coalesce(e.m, '') END AS material, CASE WHEN c.origin <> '' THEN c.origin ELSE coalesce(e.o, '') END AS origin FROM v_catalog c LEFT JOIN (SELECT l_partkey, arg_min(l_returnflag, struct_pack(o := l_orderkey, l := l_linenumber, m := l_returnflag)) FILTER (l_returnflag <> 'N') AS m, arg_min(l_linestatus, struct_pack(o := l_orderkey, l := l_linenumber, m := l_linestatus)) AS o FROM lineitem GROUP BY l_partkey) e ON e.l_partkey = c.seq")
 def jn9(spark, sf):
-    extra = table(spark, sf, "part").where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("seq"), F.col("p_type").alias("material"), F.col("p_type").alias("origin"))
-    return H.fill_missing(v_catalog(spark, sf).select("seq", "material", "origin"), extra, "seq", ("material", "origin"))
+    """Many rows of a key in the source: the earliest that has a value fills."""
+    blank = F.when(F.col("l_returnflag") == "N", "").otherwise(F.col("l_returnflag"))
+    extra = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("seq"), blank.alias("material"), F.col("l_linestatus").alias("origin"), F.struct("l_orderkey", "l_linenumber").alias("at"))
+    return H.fill_missing(v_catalog(spark, sf).select("seq", "material", "origin"), extra, "seq", ("material", "origin"), order="at")
 
 
 VOTE = "SELECT parent_uid, category FROM (SELECT parent_uid, category_l1 AS category, row_number() OVER (PARTITION BY parent_uid ORDER BY count(*) DESC, category_l1) AS r FROM v_product GROUP BY ALL) WHERE r = 1"

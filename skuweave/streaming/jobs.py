@@ -32,13 +32,44 @@ def sliding_counts(events: DataFrame, length: str, step: str, key: str = "event_
 
 
 def first_wins(events: DataFrame, keys: list[str], ts: str = "ts", late: str = LATE) -> DataFrame:
-    """The first arrival of each key within the watermark."""
-    return _marked(events, ts, late).dropDuplicatesWithinWatermark(keys) if events.isStreaming else events.dropDuplicates(keys)
+    """The first row of each key: of a stream the first arrival within the watermark, of a table the first by ts and all columns."""
+    if events.isStreaming:
+        return _marked(events, ts, late).dropDuplicatesWithinWatermark(keys)
+    whole = F.struct(*events.columns)
+    return events.groupBy(*keys).agg(F.min_by(whole, F.struct(ts, *[c for c in events.columns if c != ts])).alias("_row")).select("_row.*")
 
 
-def new_keys(events: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """Keys that the static table does not have; stream against table, so no state is kept."""
-    return events.select(key).dropDuplicates([key]).join(known, key, "left_anti")
+def new_keys(events: DataFrame, known: DataFrame, key: str, ts: str = "ts", late: str = LATE) -> DataFrame:
+    """Keys that the static table does not have. Of a stream a key comes once within the watermark, and its state goes after it."""
+    out = events.join(known.select(key).distinct(), key, "left_anti")
+    return _marked(out, ts, late).dropDuplicatesWithinWatermark([key]).select(key) if events.isStreaming else out.select(key).distinct()
+
+
+def upsert_batches(stream: DataFrame, path: str, keys: list[str], order: str, checkpoint: str):
+    """Writes each micro-batch of a stream as an upsert: of a key the row with the largest `order` counts.
+
+    Versions are folders of their own, named by the batch; a batch that is run again after a failure writes the same
+    folder from the one before it. Returns the started query; read the result with latest_version.
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        both = batch if number == 0 else batch.unionByName(spark.read.parquet(f"{path}/version={number - 1}"))
+        whole = F.struct(*batch.columns)
+        both.groupBy(*keys).agg(F.max_by(whole, F.col(order)).alias("_row")).select("_row.*").write.mode("overwrite").parquet(f"{path}/version={number}")
+
+    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def latest_version(spark, path: str) -> DataFrame:
+    """The table after the last batch."""
+    rows = spark.read.option("basePath", path).parquet(path)
+    return rows.join(F.broadcast(rows.agg(F.max("version").alias("version"))), "version", "left_semi").drop("version")
+
+
+def rerun_days(target: DataFrame, rerun: DataFrame, day: str = "day") -> DataFrame:
+    """target with the days that a late run computed anew taken from that run only; all other days stay as they are."""
+    return target.join(rerun.select(day).distinct(), day, "left_anti").unionByName(rerun)
 
 
 def velocity(events: DataFrame, key: str = "user_id", ts: str = "ts", value: str = "value") -> DataFrame:

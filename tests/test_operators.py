@@ -199,3 +199,97 @@ def test_empty_tables(spark):
     for f in (P.price_ladder, P.category_statistics, P.official_undercut, P.violation_report, P.headline_offer and P.cheapest_per_mall, P.demand_priority):
         assert f(offers).count() == 0
     assert P.clean_offers(offers, trim=(0.05, 0.95), iqr=1.5).count() == 0
+
+
+def test_char_minhash_finds_what_exact_jaccard_finds(spark):
+    from skuweave.operators import resolve as R
+    from skuweave.plans.views import v_listing
+
+    t = v_listing(spark, "/root/testdata/sf0.001")
+    grams = R.brand_shingles()
+    exact = {(r["a"], r["b"]) for r in R.exact_jaccard_pairs(t, "title_id", grams, 80).collect()}
+    found = {(r["a"], r["b"]) for r in R.minhash_pairs(t, "title_id", grams, bands=40, rows=3).collect()}
+    assert len(exact & found) >= 0.95 * len(exact)
+
+
+def test_exact_jaccard_of_copies_and_classes(spark):
+    from skuweave.operators import resolve as R
+
+    sets = [["a", "b", "c", "d", "e"]] * 6 + [["a", "b", "c", "d", "x"], ["a", "b", "c", "d", "e", "f"], [], ["q"], ["q"], ["e", "d", "c", "b", "a", "a"]]
+    df = spark.createDataFrame(list(enumerate(sets)), "id long, t array<string>")
+    want = {(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets) if i < j and x and y and 100 * len({*x} & {*y}) >= 80 * len({*x} | {*y})}
+    assert {(r["a"], r["b"]) for r in R.exact_jaccard_pairs(df, "id", F.col("t")).collect()} == want
+    got = {r["id"]: r["cluster_id"] for r in R.clusters(df, R.similarity_edges(df, "id", F.col("t")), "id").collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0, 5: 0, 6: 6, 7: 0, 8: 8, 9: 9, 10: 9, 11: 0}
+
+
+def test_scores_routes_and_verdicts(spark):
+    from skuweave.operators import resolve as R
+
+    rows = [
+        (1, "Acme", "Acme bolt MX12A 500g x2", "880"), (2, "Acme", "Acme bolt MX12A 500g x2 refurb", "880"), (3, "Acme", "Acme bolt MX12A 400g x2", ""), (4, "Other", "Other bolt MX12A 500g x2", "880"),
+        (5, None, "thing", "99"), (6, None, "something else", "99"), (7, None, "bolt MX12AB 500g x2", None),
+    ]
+    t = spark.createDataFrame(rows, "title_id long, brand_raw string, title string, gtin string").withColumn("category", F.lit("c"))
+    x = R.extract_attributes(t)
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 4), (5, 6), (1, 7)], "a long, b long")
+    got = {(r["a"], r["b"]): r for r in R.adjudicate(R.route(R.score_pairs(pairs, x))).collect()}
+    assert got[1, 2]["score"] == 0.66 and got[1, 2]["same"] is False and got[1, 2]["reason"] == "condition mismatch"
+    assert got[1, 3]["conflicts"] == "grams" and got[1, 3]["score"] == 0.3 and got[1, 3]["route"] == "reject"
+    assert got[1, 4]["brand_ok"] is False and got[1, 4]["score"] == 0.3 and got[1, 4]["reason"] == "brand mismatch"
+    assert got[5, 6]["score"] == 0.1 and got[5, 6]["brand_ok"] is None  # a GTIN that nothing backs
+    assert got[1, 7]["same"] is True  # no brand, the model's beginning and all numbers agree
+    legs = {(r["a"], r["b"]): r["legs"] for r in R.block_pairs(R.block_keys(x)).collect()}
+    assert legs[1, 2] == "gtin|model|numbers|prefix" and legs[1, 7] == "prefix" and legs[5, 6] == "gtin"
+
+
+def test_matching_of_names(spark):
+    from skuweave.operators import match as M
+
+    seeds = [(1, "green", "green", None, "x", None), (2, "noodle soup", "red", "120", "x", None), (3, "noodle soup", None, "110", "x", "food"), (4, "soup bowl", None, None, "strict", None), (5, "noodle soup", None, None, "x", "shoes"), (6, None, None, None, None, None)]
+    s = spark.createDataFrame(seeds, "seed_id long, name string, color string, size string, category string, domain string")
+    rows = [(10, "Noodle Soup", "black", "110", None), (11, "noodle soup 500g", "dark red", "120g", "food"), (12, "noodle soup", "red", "90", "food"), (13, "green tea", "green", "1", None), (14, "green", "green", "", None)]
+    r = spark.createDataFrame(rows, "row_id long, name string, color string, sizes string, domain string")
+    got = {x["seed_id"]: (x["row_id"], x["tag"]) for x in M.match_by_name(s, r, thresholds={"strict": 0.9}).collect()}
+    assert got == {2: (11, "name+color+size"), 3: (10, "name+size"), 5: (10, "name")}
+
+
+def test_readers_take_marks_blanks_and_refuse_the_rest(spark, tmp_path):
+    from skuweave.sources import readers, writers
+
+    (tmp_path / "i.json").write_text('{"uid": "a", "dims": [{"path": "p", "points": [{"point": "x", "cited": 2}]}]}\n\n   \nnot json\n{"uid": "b"}\n')
+    good, bad = readers.read_insights(spark, f"file://{tmp_path}/i.json")
+    assert sorted(x["uid"] for x in good.collect()) == ["a", "b"] and [x[0] for x in bad.collect()] == ["not json"]
+    for name, text in (("a", "\ufeffname,size\nn1,1\nn2,2\nn3,\n"), ("b", "name,brand\nm1,B\nm2,\nm3,B\n"), ("c", "name\nx\ny\n")):
+        (tmp_path / f"{name}.csv").write_text(text, encoding="utf-8")
+    out = readers.read_catalogs(spark, {k: f"file://{tmp_path}/{k}.csv" for k in "abc"}, {"a": "A", "b": "BB"})
+    assert sorted((x["source"], x["name"], x["brand"], x["size"]) for x in out.collect()) == [("a", "n1", "A", "1"), ("a", "n2", "A", "2"), ("a", "n3", "A", None), ("b", "m1", "B", None), ("b", "m2", "BB", None), ("b", "m3", "B", None)]
+    (tmp_path / "l.json").write_text('[{"title": "t", "mall": "m", "price": 5}, {"title": "t", "mall": "m", "price": 5}, {"title": "u", "mall": "m", "price": null}]')
+    assert [(x["title"], x["price"]) for x in readers.read_listings(spark, f"file://{tmp_path}/l.json").collect()] == [("t", 5)]
+    df = spark.createDataFrame([("u", None)], "insight_uid string, size string")
+    writers.write_seed(df, f"file://{tmp_path}/seed")
+    back = spark.read.option("header", True).csv(f"file://{tmp_path}/seed")
+    assert back.columns == list(writers.SEED_COLUMNS) and back.first()["insight_uid"] == "u" and back.first()["size"] is None
+
+
+def test_rules_find_nothing_after_repair(spark):
+    from skuweave.operators import quality as Q
+
+    s = spark.createDataFrame([(1, True, 0), (2, False, 3), (3, True, 1), (4, None, None)], "uid long, has_insight boolean, n_dims int")
+    rules = [Q.Rule("drift", "low", F.col("has_insight") != (F.col("n_dims") > 0), {"has_insight": F.col("n_dims") > 0}), Q.Rule("missing", "low", F.col("n_dims").isNull())]
+    found, repaired = Q.run_rules(s, rules, "uid", fix=True)
+    assert sorted((r["uid"], r["rule"], r["fixed"]) for r in found.collect()) == [(1, "drift", True), (2, "drift", True), (4, "missing", False)]
+    assert [(r["uid"], r["rule"]) for r in Q.run_rules(repaired, rules, "uid")[0].collect()] == [(4, "missing")]
+    ev = spark.createDataFrame([(1, 1, "96 g bar"), (1, 2, "96g"), (1, 3, "92 g"), (2, 1, "12 pcs"), (3, 1, "1 kg"), (3, 2, "900 g")], "uid long, n int, text string")
+    cat = spark.createDataFrame([(1, 92.0, None), (2, 10.0, None), (3, 1000.0, None)], "uid long, mass double, vol double")
+    assert [(r["uid"], r["evidence"]) for r in Q.quantity_mismatch(cat, ev, "uid", "text", ["n"]).collect()] == [(1, 96.0)]
+
+
+def test_near_vectors_recall(spark):
+    from skuweave.operators import shape as H
+
+    e = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").withColumn("label", F.lit(0))
+    q = e.where("vec_id % 20 = 0")
+    exact = {(r["query_id"], r["vec_id"]) for r in H.cosine_top_k(e, q, 5, block=100).collect()}
+    found = {(r["query_id"], r["vec_id"]) for r in H.approx_top_k(e, q, 5).collect()}
+    assert len(exact) == q.count() * 5 and len(exact & found) >= 0.9 * len(exact)
