@@ -22,6 +22,14 @@ CACHE_CHUNKS = 600_000
 SLOTS = 1 << 20
 
 
+#: A word of Latin letters after a space: one word of the pattern.
+LETTERS = re.compile(" [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+#: Byte-level vocabularies spell a byte as the Latin-1 sign of its number if that is printable, the others as signs from
+#: U+0100 on, in order.
+SPACE = "\u0120"
+BYTE_SIGNS = {b: chr(256 + i) for i, b in enumerate([*range(33), *range(127, 161), 173]) if b != 32}
+
+
 class ChunkedTokenizer:
     """The tokenizers library over texts cut at places where its byte-level pattern always cuts.
 
@@ -47,7 +55,7 @@ class ChunkedTokenizer:
         for token, i in vocabulary.items():  # in byte-level vocabularies a character stands for a byte
             self.width[i] = len(token)
         # The same vocabulary for words of plain letters, each of which is one word of the pattern.
-        self.space, self.letters = "\u0120", Tokenizer.from_file(path)
+        self.letters = Tokenizer.from_file(path)
         self.letters.model._resize_cache(0)
         self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.cache: dict[str, bytes] = {}
@@ -59,19 +67,19 @@ class ChunkedTokenizer:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
     def _learn(self, chunks: list[str]) -> None:
-        """Encodes new chunks that start with a space or line end, many in a row; those of plain letters without the pattern."""
-        plain = [c for c in chunks if c[0] == " " and c.isascii() and c[1:].isalpha()]
-        other = chunks if not plain else [c for c in chunks if not (c[0] == " " and c.isascii() and c[1:].isalpha())]
-        for library, part, sign in ((self.letters, plain, " "), (self.library, other, "")):
+        """Encodes new chunks that start with a space or line end, many in a row; those of letters without the pattern."""
+        plain = list(filter(LETTERS.fullmatch, chunks))
+        other = chunks if not plain else [c for c in chunks if not LETTERS.fullmatch(c)]
+        for library, part in ((self.letters, plain), (self.library, other)):
             ids: list[int] = []
             for lo in range(0, len(part), 128):
-                row = part[lo : lo + 128]
-                # The sign of a byte-level space is its own letter, so that blanks can stand between the words.
-                line = sign.join([self.space + c[1:] for c in row]) if sign else "".join(row)
+                line = "".join(part[lo : lo + 128])
+                if part is plain:  # as the vocabulary spells bytes; blanks stand between the words
+                    line = line.encode().decode("latin-1").translate(BYTE_SIGNS).replace(" ", f" {SPACE}")
                 ids += library.encode_batch_fast([line], add_special_tokens=False)[0].ids
             if part:
                 out = np.array(ids, "<u4")
-                ends = np.cumsum(list(map(len, part)) if sign else [len(c.encode()) for c in part])
+                ends = np.cumsum(list(map(len, map(str.encode, part))))
                 reached = np.cumsum(self.width[out])
                 at = np.searchsorted(reached, ends)
                 if (reached[np.minimum(at, len(out) - 1)] != ends).any():
@@ -207,20 +215,23 @@ def expansion_lengths(left: np.ndarray, right: np.ndarray, base: int = 1 << 17)
     return size
 
 
-def expand(seq: np.ndarray, left: np.ndarray, right: np.ndarray, base: int = 1 << 17) -> np.ndarray:
-    """The ids that a piece of a sequence stands for."""
-    while True:
-        deep = seq >= base
-        if not deep.any():
-            return seq.astype("<u4")
-        width = 1 + deep
-        at = np.cumsum(width) - width
-        out = np.empty(int(width.sum()), np.int64)
-        out[at[~deep]] = seq[~deep]
-        rule = seq[deep] - base
-        out[at[deep]] = left[rule]
-        out[at[deep] + 1] = right[rule]
-        seq = out
+def expand(seq: np.ndarray, left: np.ndarray, right: np.ndarray, length: np.ndarray, base: int = 1 << 17) -> np.ndarray:
+    """The ids that a piece of a sequence stands for; length has the ids of each rule.
+
+    Every symbol's place in the result is known, so ids are put there at once and only nonterminals go on: the work is
+    the number of symbols in all derivations, not the sequence for each of their levels.
+    """
+    width = lambda s: np.where(s < base, 1, length[np.maximum(s - base, 0)]) if len(length) else np.ones(len(s), np.int64)
+    ends = np.cumsum(width(seq))
+    out = np.empty(int(ends[-1]) if len(seq) else 0, "<u4")
+    at = ends - width(seq)
+    while len(seq):
+        plain = seq < base
+        out[at[plain]] = seq[plain]
+        at, rule = at[~plain], seq[~plain] - base
+        first, second = left[rule], right[rule]
+        seq, at = np.concatenate([first, second]), np.concatenate([at, at + width(first)])
+    return out
 
 
 SHARD_FIELDS = "part int, shard int, n_docs bigint, n_ids bigint, doc_ids array<bigint>, doc_lengths array<bigint>, rule_left binary, rule_right binary, rule_length binary, sequence binary"
@@ -287,9 +298,9 @@ def read_token_files(spark, path: str) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {name: batch.column(name)[i] for name in batch.schema.names}
-                left, right, seq = (np.frombuffer(row[k].as_buffer(), "<u4").astype(np.int64) for k in ("rule_left", "rule_right", "sequence"))
+                left, right, length, seq = (np.frombuffer(row[k].as_buffer(), "<u4").astype(np.int64) for k in ("rule_left", "rule_right", "rule_length", "sequence"))
                 names, lengths = row["doc_ids"].values, row["doc_lengths"].values.to_numpy()
-                part, shard, ids = row["part"].as_py(), row["shard"].as_py(), expand(seq, left, right)
+                part, shard, ids = row["part"].as_py(), row["shard"].as_py(), expand(seq, left, right, length)
                 if len(ids) != row["n_ids"].as_py():
                     raise ValueError(f"part {part}, shard {shard}: {len(ids)} ids instead of {row['n_ids']}")
                 ends = np.cumsum(lengths)
@@ -320,7 +331,7 @@ def slice_of(row, start: int, stop: int) -> np.ndarray:
     size[deep] = length[seq[deep] - base]
     ends = np.cumsum(size)
     a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
-    return expand(seq[a:b], left, right)[start - (ends[a] - size[a] if a < len(ends) else 0) :][: stop - start]
+    return expand(seq[a:b], left, right, length)[start - (ends[a] - size[a] if a < len(ends) else 0) :][: stop - start]
 
 
 def token_file_path(spark) -> str:

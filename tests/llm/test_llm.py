@@ -80,7 +80,7 @@ def test_grammar_round_trip_and_slices():
     rng = np.random.default_rng(1)
     for ids in (np.zeros(0, "<u4"), np.array([7], "<u4"), np.full(999, 5, "<u4"), np.tile(rng.integers(0, 50, 37), 200).astype("<u4"), rng.integers(0, 50_000, 5_000).astype("<u4")):
         left, right, seq = grammar.compress(ids)
-        assert (grammar.expand(seq, left, right) == ids).all() and len(seq) <= len(ids)
+        assert (grammar.expand(seq, left, right, grammar.expansion_lengths(left, right)) == ids).all() and len(seq) <= len(ids)
         row = dict(zip(("rule_left", "rule_right", "rule_length", "sequence"), (x.astype("<u4").tobytes() for x in (left, right, grammar.expansion_lengths(left, right), seq)), strict=True))
         for a, b in ((0, len(ids)), (len(ids) // 3, len(ids) // 2)):
             if b > a:
@@ -93,7 +93,7 @@ def test_grammar_goes_on_until_no_pair_is_frequent():
     for ids in (np.tile(passage, 3_000), np.full(100_001, 7), noise, np.concatenate([noise, np.tile(passage, 500), noise[:999]])):
         ids = ids.astype("<u4")
         left, right, seq = grammar.compress(ids)
-        assert (grammar.expand(seq, left, right) == ids).all()
+        assert (grammar.expand(seq, left, right, grammar.expansion_lengths(left, right)) == ids).all()
         assert max(Counter(zip(seq[:-1].tolist(), seq[1:].tolist(), strict=True)).values(), default=0) < 8
     left, right, seq = grammar.compress(np.tile(passage, 3_000).astype("<u4"))
     assert len(seq) < 100 and len(left) < 1_000
