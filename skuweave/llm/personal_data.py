@@ -79,9 +79,53 @@ LABELLED = (
     "10 20 30 40 50 60 70 80 90 100",
     "room 101, floor 3, building 12b, 1998-2004",
     "score 3-2, ratio 1:2, range 10-20, size 5x7",
+    "write [email|lena.k at post dot example dot net] today",
+    "my mail: [email|tom_b at corp dot example dot org].",
+    "or use [email|info(at)example.org] instead",
+    "send it to [email|sales [at] shop.example.com] please",
+    "so [email|pat.ng AT example DOT com] will answer",
+    "ask [email|ida at example dot co dot nz] for it",
+    "dial [phone|555 0133] first",
+    "ring [phone|01632 960983] today",
+    "ask [email|rita at example dot org] about it",
+    "you may mail [email|kim at provider dot net], or not",
+    "tel [phone|040 555 21 43], only in the morning",
+    "answer to [email|k.lee[at]corp.example] only",
+    "or [email|jan(at)post.example.net], if you must",
+    "call us on [phone|0800 555 0166] for free",
+    "tel. [phone|030 555 01 77] or come by",
+    "cell [phone|555-0144] after nine",
+    "Phone [phone|(0221) 5550 188], second floor",
+    "fax: [phone|+49-30-555-0112]",
+    "her number [phone|07700 900 123] is new",
+    "reach me at [phone|555 555 0123], any day",
+    "node [ip|2001:db8:85a3::8a2e:370:7334] joined",
+    "from [ip|2001:db8:0:42::9] to [ip|fe80::1] again",
+    "gateway [ip|10.0.0.254] replied to [ip|10.0.0.7]",
+    "Visa [card|4012 8888 8888 1881], due in May",
+    "mastercard [card|5500-0000-0000-0004] was charged",
+    "card no. [card|3782 822463 10005] is blocked",
+    "at 12:30:45 on 2024-03-05T10:20:30 it stopped",
+    "call 20 people and ring 3 bells at 10 or 11",
+    "phone 3 of 12 rang at room 404 twice",
+    "the server has 16 cores, 64 GB and 2 disks",
+    "ip rights and card games are at page 21",
+    "order 2024-000123-77 of 1998-2004 costs 1,250.00",
+    "isbn 978-0-306-40615-7 and issn 1234-5679",
+    "at home dot matrix printers dot the floor",
+    "look at the map at dawn, not at night.",
+    "a::b and c::d are names in std::vector<int>",
+    "lines 100 200 300 400 and 500 600 700 800",
+    "in 2019 2020 2021 2022 sales were 10 20 30 40",
+    "hash 5f4dcc3b5aa765d61d8327deb882cf99 of 32 signs",
+    "mac 00:1a:2b:3c:4d:5e has six parts",
+    "ratio 3:4:5 and time 01:02:03 are fine",
+    "call f(x) at (10, 20) with (30, 40) twice",
+    "12 34 56 78 90 12 are numbers of a game",
+    "version 10.20.30 and build 4.5.6.78901 shipped",
 )
 #: Words that are features themselves, beside the shapes.
-CUES = ("at", "dot", "(at)", "(dot)", "[at]", "[dot]", "phone", "tel", "tel:", "phone:", "fax", "call", "mobile", "ring", "card", "visa", "ip", "server", "email", "email:", "version", "page")
+CUES = ("at", "dot", "(at)", "(dot)", "[at]", "[dot]", "phone", "tel", "tel:", "phone:", "fax", "call", "mobile", "ring", "card", "visa", "ip", "server", "email", "email:", "version", "page", "dial", "cell", "number", "mastercard", "host", "isbn", "hash", "mac")
 
 SPELT = frozenset(f"={c}" for c in CUES[:6])
 _TAIL = re.compile(r"[.,;:!?]+$")
@@ -101,13 +145,68 @@ def shape(word: str) -> str:
     return text[:40]
 
 
-def shapes_of(words: list[str]) -> list[str]:
-    """The words' shapes; a word of letters beside a spelt-out sign of an address has a shape of its own."""
-    out = [shape(w) for w in words]
-    if not any(s in SPELT for s in out):
-        return out
-    ends = [None, *out, None]
-    return [f"{s}~" if s.rstrip(".,;:!?") in ("x", "X", "Xx") and (ends[i] in SPELT or ends[i + 2] in SPELT) else s for i, s in enumerate(out)]
+PLAIN = "plain"
+#: Words that no address has as a part of its own.
+ARTICLES = frozenset(("a", "an", "the", "this", "that", "it", "all", "my", "his", "her", "our", "their"))
+NEVER = -1e4
+_COUNTS = re.compile(r"d[0-9+]")
+_HEX_COLON = re.compile(r"[0-9a-fA-F]{0,4}(?::[0-9a-fA-F]{0,4}){2,7}")
+
+
+def features(word: str, beside: int) -> tuple[str, ...]:
+    """What the chain sees of a word: its shape, and parts of it that unseen shapes share with seen ones.
+
+    beside: 1 next to a spelt-out sign of an address, 2 in a run of words with "at" and "dot" two places on. A word of
+    letters has its case and closing sign only; without such neighbours it is PLAIN: no datum of any kind has such a
+    word, so it is outside whatever stands around it.
+    """
+    s = shape(word)
+    if s[0] == "=":
+        return ("", s, f"form {beside == 2}", f"form {beside == 2} {s}") if s in SPELT else (PLAIN, "", s)
+    core = _TAIL.sub("", word)
+    if not core:
+        return (PLAIN, "", f"end {word[:1]}")
+    end = f"end {word[len(core):][:1]}" if len(core) < len(word) else "end"
+    if core.isalpha():
+        beside = 0 if core.lower() in ARTICLES else beside
+        kind = "x" if core.islower() else "X" if core.isupper() else "Xx" if core[0].isupper() and core[1:].islower() else "mixed"
+        return ("", f"beside {kind}", f"form {beside == 2}", f"form {beside == 2} letters", end) if beside else (PLAIN, "", f"letters {kind}", end)
+    digits, loose = sum(c.isdigit() for c in core), _COUNTS.sub("d", shape(core))
+    size = "0" if not digits else "1-2" if digits < 3 else str(digits) if digits < 5 else "5-6" if digits < 7 else "7-8" if digits < 9 else "9-11" if digits < 12 else "12-15" if digits < 16 else "16+"
+    out = ["", f"shape {s}", f"loose {loose}", f"digits {size}", f"digits {size} {'only' if core.isdigit() else 'mixed'}", end]
+    out += [f"has {c}" for c in "@:()[]_-+/" if c in core]
+    out += [f"dots {min(core.count('.'), 4)}"] if "." in core else []
+    out += ["hex parts" + (" gap" if "::" in core else "")] if _HEX_COLON.fullmatch(core) else []
+    out += ["hidden at"] if _HIDDEN.search(core) else []
+    out += ["date or time"] if _DATE.fullmatch(core) else []
+    return (*out, *(("beside sign", f"form {beside == 2}") if beside else ()))
+
+
+_HIDDEN = re.compile(r"\w[(\[](?:at|AT|dot|DOT)[)\]]\w")
+_DATE = re.compile(r"[0-9]{1,4}([-./])[0-9]{1,2}\1[0-9]{1,4}|[0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?|[0-9]{4}-[0-9]{2}-[0-9]{2}T\S+")
+
+
+def besides(spelt: list[str | None]) -> list[int]:
+    """For each word of a line its neighbourhood of spelt-out signs ("at", "dot" or None for each word)."""
+    out = [int(bool((i and spelt[i - 1]) or (i + 1 < len(spelt) and spelt[i + 1]))) for i in range(len(spelt))]
+    for i, sign in enumerate(spelt):
+        if sign == "at" and i + 2 < len(spelt) and spelt[i + 2] == "dot":
+            j = i + 3
+            while j + 1 < len(spelt) and spelt[j + 1] == "dot":
+                j += 2
+            for k in range(max(0, i - 1), min(len(spelt), j + 1)):
+                out[k] = 2
+    return out
+
+
+def sign_of(word: str) -> str | None:
+    s = shape(word)
+    return s.strip("=()[]") if s in SPELT else None
+
+
+def seen_in(words: list[str]) -> list[tuple[str, ...]]:
+    """The features of the words of a line."""
+    return [features(w, b) for w, b in zip(words, besides([sign_of(w) for w in words]), strict=True)]
 
 
 def parse_labelled(line: str) -> tuple[list[str], list[int]]:
@@ -124,35 +223,65 @@ def parse_labelled(line: str) -> tuple[list[str], list[int]]:
     return words, labels
 
 
+#: Kinds of words that a worker knows at most; beyond that its memory starts afresh.
+KINDS_HELD = 50_000
+
+
 @dataclass
 class ChainModel:
-    """Scores of a label by the word's shape, the shapes before and after it, and the label before it."""
+    """Scores of a label by the features of the word, of those before and after it, and the label before it."""
 
-    shapes: dict[str, int]
-    now: np.ndarray  # (shapes + 2, labels); 0: a shape not seen, last: outside the line
-    before: np.ndarray
-    after: np.ndarray
+    weights: dict[str, np.ndarray]  # feature -> (now, before, after) x labels
     move: np.ndarray  # (labels, labels)
     start: np.ndarray
     of_word: dict[str, int] = field(default_factory=dict, repr=False)
-    plain_safe: bool = False
+    kinds: dict[tuple, int] = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
-        self.spelt = {self.shapes[s] for s in SPELT if s in self.shapes}
+        self.forget()
+
+    def forget(self) -> None:
+        """Empties the memory of words; kind 0 is what is outside a line."""
+        self.of_word.clear()
+        self.kinds.clear()
+        self.scores = np.zeros((1024, 3, len(LABELS)))
+        self.kind(("edge",))
+
+    def kind(self, seen: tuple[str, ...]) -> int:
+        """The number of a set of features; its scores are summed once."""
+        k = self.kinds.get(seen)
+        if k is None:
+            k = self.kinds[seen] = len(self.kinds)
+            if k == len(self.scores):
+                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
+            for f in seen:
+                if f in self.weights:
+                    self.scores[k] += self.weights[f]
+            if seen[0] == PLAIN:
+                self.scores[k, 0, 1:] = NEVER
+        return k
 
     def ids(self, words: list[str]) -> list[int]:
         hold(self.of_word)
+        if len(self.of_word) > 200_000 or len(self.kinds) > KINDS_HELD:
+            raise RuntimeError("the memory of words must be emptied between batches")
         found = list(map(self.of_word.get, words))
         if None in found:
-            if len(self.of_word) > 200_000:
-                self.of_word.clear()
             for w in words:
                 if w not in self.of_word:
-                    self.of_word[w] = self.shapes.get(shape(w), 0)
+                    # Negative: a spelt-out sign of an address.
+                    k = self.kind(features(w, 0))
+                    self.of_word[w] = -k if sign_of(w) else k
             found = [self.of_word[w] for w in words]
-        if self.spelt.isdisjoint(found):
+        if min(found, default=0) >= 0:
             return found
-        return [self.shapes.get(s, 0) for s in shapes_of(words)]
+        near = besides([sign_of(w) if k < 0 else None for w, k in zip(words, found, strict=True)])
+        return [self.kind(features(w, b)) if b else abs(k) for w, k, b in zip(words, found, near, strict=True)]
+
+    def begin_batch(self) -> None:
+        """Numbers of kinds are good until the next call."""
+        if len(self.of_word) > 150_000 or len(self.kinds) > KINDS_HELD // 2 or not self.kinds:
+            self.forget()
 
     def viterbi(self, lines: list[list[int]]) -> list[np.ndarray]:
         """The best labels of each line of shape numbers, many lines at a time: step t for all lines longer than t."""
@@ -161,10 +290,9 @@ class ChainModel:
         out: list[np.ndarray] = [np.zeros(0, int)] * len(lines)
         if not len(size) or not size[0]:
             return out
-        edge = len(self.now) - 1
-        flat = np.concatenate([np.array([edge, *lines[i], edge]) for i in order])
+        flat = np.concatenate([np.array([0, *lines[i], 0]) for i in order])
         first = np.concatenate([[0], np.cumsum(size + 2)[:-1]]) + 1
-        score = self.now[flat] + self.before[np.roll(flat, 1)] + self.after[np.roll(flat, -1)]
+        score = self.scores[flat, 0] + self.scores[np.roll(flat, 1), 1] + self.scores[np.roll(flat, -1), 2]
         live = np.searchsorted(-size, -np.arange(size[0]), "left")  # lines longer than t
         best = self.start + score[first[: live[0]]]
         back, ends = [], np.zeros((len(size), len(LABELS)))
@@ -188,26 +316,32 @@ class ChainModel:
         return out
 
 
-def fit_chain(labelled: tuple[str, ...] | list[str] = LABELLED, rounds: int = 250, rate: float = 0.2, l2: float = 2e-3) -> ChainModel:
+def fit_chain(labelled: tuple[str, ...] | list[str] = LABELLED, rounds: int = 400, rate: float = 0.1, l2: float = 2e-4) -> ChainModel:
     """Maximum likelihood by Adam with forward and backward sums over all lines of the small table at once."""
-    data = [parse_labelled(x) for x in labelled]
-    shapes = {s: i + 1 for i, s in enumerate(sorted({s for words, _ in data for s in shapes_of(words)}))}
+    data = [(seen_in(words), labels) for words, labels in map(parse_labelled, labelled)]
+    names = ["edge", *sorted({f for line, _ in data for seen in line for f in seen})]
+    number = {f: i for i, f in enumerate(names)}
     n, width, k = len(data), max(len(w) for w, _ in data), len(LABELS)
-    edge = len(shapes) + 1
-    x, y, mask = np.full((n, width + 2), edge), np.zeros((n, width), int), np.zeros((n, width), bool)
-    for i, (words, labels) in enumerate(data):
-        x[i, 1 : len(words) + 1] = [shapes[s] for s in shapes_of(words)]
-        y[i, : len(words)], mask[i, : len(words)] = labels, True
+    most = max(len(seen) for line, _ in data for seen in line)
+    # x: the numbers of each place's features; the last row of weights stays 0.
+    x, y, mask = np.full((n, width + 2, most), len(names)), np.zeros((n, width), int), np.zeros((n, width), bool)
+    for i, (line, labels) in enumerate(data):
+        x[i, [0, len(line) + 1], 0] = 0
+        for j, seen in enumerate(line):
+            x[i, j + 1, : len(seen)] = [number[f] for f in seen]
+        y[i, : len(line)], mask[i, : len(line)] = labels, True
     size = mask.sum(1)
     allowed = np.array([[not b.startswith("I-") or a[2:] == b[2:] for b in LABELS] for a in LABELS])
     begin = np.array([not b.startswith("I-") for b in LABELS])
-    never = -1e4
-    p = [np.zeros((edge + 1, k)) for _ in range(3)] + [np.zeros((k, k)), np.zeros(k)]
+    never = NEVER
+    outside = np.array([[[0.0] + [never] * (k - 1) if j < len(line) and line[j][0] == PLAIN else [0.0] * k for j in range(width)] for line, _ in data])
+    p = [np.zeros((len(names) + 1, k)) for _ in range(3)] + [np.zeros((k, k)), np.zeros(k)]
     m, v = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p]
     rows = np.arange(n)
     hot = np.eye(k)[y] * mask[..., None]
+    sides = (x[:, 1:-1], x[:, :-2], x[:, 2:])
     for t in range(1, rounds + 1):
-        e = p[0][x[:, 1:-1]] + p[1][x[:, :-2]] + p[2][x[:, 2:]]
+        e = sum(a[cols].sum(2) for a, cols in zip(p[:3], sides, strict=True)) + outside
         move, start = np.where(allowed, p[3], never), np.where(begin, p[4], never)
         fwd = np.zeros((n, width, k))
         fwd[:, 0] = start + e[:, 0]
@@ -221,8 +355,9 @@ def fit_chain(labelled: tuple[str, ...] | list[str] = LABELLED, rounds: int = 25
         post = np.exp(np.minimum(fwd + bwd - z[:, None, None], 0)) * mask[..., None]
         g_e = hot - post
         grad = [np.zeros_like(a) for a in p]
-        for a, cols in zip(grad, (x[:, 1:-1], x[:, :-2], x[:, 2:]), strict=False):
-            np.add.at(a, cols[mask], g_e[mask])
+        for a, cols in zip(grad, sides, strict=False):
+            np.add.at(a, cols[mask], g_e[mask][:, None, :])
+            a[-1] = 0
         pair = np.exp(np.minimum(fwd[:, :-1, :, None] + move + (e + bwd)[:, 1:, None, :] - z[:, None, None, None], 0)) * mask[:, 1:, None, None]
         grad[3] = np.einsum("nsa,nsb->ab", hot[:, :-1], hot[:, 1:]) - pair.sum((0, 1))
         grad[4] = hot[:, 0].sum(0) - post[:, 0].sum(0)
@@ -230,33 +365,13 @@ def fit_chain(labelled: tuple[str, ...] | list[str] = LABELLED, rounds: int = 25
             g = grad[i] / n - l2 * p[i]
             m[i], v[i] = 0.9 * m[i] + 0.1 * g, 0.999 * v[i] + 0.001 * g * g
             p[i] = p[i] + rate * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.999**t)) + 1e-8)
-    # A shape has only labels that it has in the table; one that is not there is outside.
-    seen = np.zeros_like(p[0])
-    seen[:, 0] = 1
-    np.add.at(seen, x[:, 1:-1][mask], hot[mask])
-    p[0] = np.where(seen > 0, p[0], never)
-    model = ChainModel(shapes, p[0], p[1], p[2], np.where(allowed, p[3], never), np.where(begin, p[4], never))
-    model.plain_safe = plain_lines_are_outside(model)
-    return model
-
-
-#: Words of letters with at most one closing sign; in shape() these give PLAIN_SHAPES, or a cue.
-PLAIN_SHAPES = tuple(f"{a}{b}" for a in ("x", "X", "Xx") for b in ("", ".", ",", ";", ":", "!", "?")) + (".", ",", ";", ":", "!", "?")
-#: What a line of plain words does not have: other signs, digits, a sign inside a word, a mixed word, a cue that labels hang on.
-_ODD = re.compile(r"[^\w\s.,;:!?]|[\d_]|[.,;:!?]\S")
-_AT_DOT = re.compile(r"\b(?:at|dot)\b", re.IGNORECASE)
+    weights = {f: np.stack([p[0][i], p[1][i], p[2][i]]) for f, i in number.items()}
+    return ChainModel(weights, np.where(allowed, p[3], never), np.where(begin, p[4], never))
 
 
-def plain_lines_are_outside(model: ChainModel) -> bool:
-    """Whether a line of plain words can only be labelled O: even its least lead of O outweighs any gain by moves."""
-    cues = [model.shapes.get(f"={c}", 0) for c in CUES if c.rstrip(":").isalpha() and f"={c}" not in SPELT]
-    mixed = [i for s, i in model.shapes.items() if re.fullmatch(r"[xX]*[.,;:!?]?", s)]
-    own = sorted({0, *cues, *mixed, *[model.shapes.get(s, 0) for s in PLAIN_SHAPES]})
-    near = [*own, len(model.now) - 1]
-    lead = model.now[own][:, :1] - model.now[own][:, 1:]
-    lead = lead.min(0) + (model.before[near][:, :1] - model.before[near][:, 1:]).min(0) + (model.after[near][:, :1] - model.after[near][:, 1:]).min(0)
-    gain = max(0.0, float((model.move - model.move[0, 0]).max()), float((model.start - model.start[0]).max()))
-    return bool(lead.min() > 2 * gain)
+#: What a line of PLAIN words does not have: other signs, digits, a sign inside a word, a spelt-out sign of an address.
+_ODD = re.compile(r"[^\w\s.,;:!?]|[\d_]|[.,;:!?]\S")
+_AT_DOT = re.compile(r"\b(?:at|dot)\b", re.IGNORECASE)
 
 
 _EMAIL_TAIL = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -316,13 +431,14 @@ def find_spans(texts: list[str], model: ChainModel) -> list[tuple[dict[str, list
     The chain labels line by line. Its spans are added where they overlap no base span.
     """
     base = [base_spans(t) for t in texts]
+    model.begin_batch()
     jobs, where = [], []
     for k, t in enumerate(texts):
-        if model.plain_safe and not _ODD.search(t) and not _AT_DOT.search(t):
+        if not _ODD.search(t) and not _AT_DOT.search(t):
             continue
         at = 0
         for line in t.split("\n"):
-            if line and not (model.plain_safe and not _ODD.search(line) and not _AT_DOT.search(line)):
+            if line and (_ODD.search(line) or _AT_DOT.search(line)):
                 words = line.split()
                 jobs.append(model.ids(words))
                 where.append((k, at, line))
@@ -355,14 +471,21 @@ def find_spans(texts: list[str], model: ChainModel) -> list[tuple[dict[str, list
     return out
 
 
+#: Characters of the longest datum that the chain may add.
+LONGEST = 120
+
+
 def believable(kind: str, span: str) -> bool:
     """An added span must have what no such datum lacks."""
+    if len(span) > LONGEST:
+        return False
     digits = sum(c.isdigit() for c in span)
     if kind == "email":
-        return bool(re.search(r"(?:@|\bat\b).+(?:\.|\bdot\b).*\w", span, re.IGNORECASE))
+        return bool(re.search(r"\w.*(?:@|\bat\b).+(?:\.|\bdot\b).*\w", span, re.IGNORECASE))
     if kind == "ip":
-        return span.count(".") == 3 or span.count(":") >= 2
-    return 7 <= digits <= 15 if kind == "phone" else 12 <= digits <= 19
+        parts = span.split(".")
+        return len(parts) == 4 and all(p.isdecimal() and int(p) < 256 for p in parts) or bool(_HEX_COLON.fullmatch(span))
+    return 7 <= digits <= 15 if kind == "phone" else 12 <= digits <= 19 and luhn("".join(c for c in span if "0" <= c <= "9"))
 
 
 def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
