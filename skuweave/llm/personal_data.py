@@ -481,7 +481,7 @@ def believable(kind: str, span: str) -> bool:
         return False
     digits = sum(c.isdigit() for c in span)
     if kind == "email":
-        return bool(re.search(r"\w.*(?:@|\bat\b).+(?:\.|\bdot\b).*\w", span, re.IGNORECASE))
+        return bool(re.search(r"\w.*(?:@|\bat\b).+?(?:\.\w|\bdot\b.*\w)", span, re.IGNORECASE))
     if kind == "ip":
         parts = span.split(".")
         return len(parts) == 4 and all(p.isdecimal() and int(p) < 256 for p in parts) or bool(_HEX_COLON.fullmatch(span))

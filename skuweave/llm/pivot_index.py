@@ -13,26 +13,37 @@ from skuweave.llm.common import written
 from skuweave.llm.components import connected_components
 
 #: Pivots of a label: this times the root of its vectors, within these bounds. Drawn by hash: a bounded sample.
-PIVOT_FACTOR, LEAST_PIVOTS, MOST_PIVOTS = 4.0, 32, 2048
+PIVOT_FACTOR, LEAST_PIVOTS, MOST_PIVOTS = 4.0, 32, 16_384
 #: Nearest pivots that describe a vector; two vectors meet in the lists if they share at least two of these.
 NEAREST = 8
 #: Vectors of one list that a task compares at once; a longer list is compared in blocks.
 BLOCK = 1024
 
 
-def _permutations(pivots: dict, nearest: int):
-    """Adds near: the ordered nearest pivots of each vector, by number inside its label."""
+#: Vectors of a label that a task describes together with the label's pivots, and those of one matrix product.
+DESCRIBED, ROWS = 8192, 256
+
+
+def _permutations(nearest: int):
+    """Rows sorted by label, part and role, pivots (0) before vectors (1) -> vectors with their ordered nearest pivots, by number."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, pivots, table = None, [], None
         for pdf in batches:
-            for label, own in pdf.groupby("label"):
-                x = np.stack(own["unit"].to_numpy())
-                sims = x @ pivots[label].T
-                k = min(nearest, sims.shape[1])
-                top = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-                order = np.argsort(-np.take_along_axis(sims, top, 1), axis=1, kind="stable")
-                top = np.take_along_axis(top, order, 1)
-                yield pd.DataFrame({"label": own["label"], "rep": own["rep"], "copies": own["copies"], "unit": own["unit"], "near": list(top.astype(np.int32))})
+            for own_key, own in pdf.groupby(["label", "part"], sort=False):
+                if own_key != key:
+                    key, pivots, table = own_key, [], None
+                pivots += own.loc[own["role"] == 0, "unit"].tolist()
+                own = own[own["role"] == 1]
+                for lo in range(0, len(own), ROWS):
+                    rows = own.iloc[lo : lo + ROWS]
+                    table = np.stack(pivots).T if table is None else table
+                    sims = np.stack(rows["unit"].to_numpy()) @ table
+                    k = min(nearest, sims.shape[1])
+                    top = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+                    order = np.argsort(-np.take_along_axis(sims, top, 1), axis=1, kind="stable")
+                    top = np.take_along_axis(top, order, 1)
+                    yield pd.DataFrame({"label": rows["label"], "rep": rows["rep"], "copies": rows["copies"], "unit": rows["unit"], "near": list(top.astype(np.int32))})
 
     return run
 
@@ -138,14 +149,16 @@ def near_vectors(
     good = good.withColumn("norm", norm).select("label", "vec_id", F.transform("v", lambda x: x / F.col("norm")).alias("unit"))
     classes = written(good.groupBy("label", "unit").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vector-classes")
 
-    sizes = {r["label"]: r["n"] for r in classes.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    wanted = {k: int(min(MOST_PIVOTS, max(LEAST_PIVOTS, PIVOT_FACTOR * n**0.5))) for k, n in sizes.items()}
+    # Each label's vectors in parts, every part with the label's pivots: nothing of them passes through the driver.
+    sizes = classes.groupBy("label").agg(F.count("*").alias("n"))
+    sizes = sizes.select("label", F.least(F.lit(MOST_PIVOTS), F.greatest(F.lit(LEAST_PIVOTS), F.floor(PIVOT_FACTOR * F.sqrt("n")))).cast("int").alias("wanted"), F.ceil(F.col("n") / DESCRIBED).cast("int").alias("parts"))
     rank = "row_number() over (partition by label order by xxhash64(rep, 'pivot'), rep)"
-    drawn = classes.select("label", "unit", F.expr(rank).alias("k")).where(F.col("k") <= max(wanted.values(), default=1)).drop("k")
-    drawn = drawn.toPandas() if wanted else pd.DataFrame({"label": [], "unit": []})
-    pivots = {k: np.stack(own["unit"].to_numpy())[: wanted[k]] for k, own in drawn.groupby("label")}
+    drawn = classes.select("label", "rep", "unit", F.expr(rank).alias("k")).where(F.col("k") <= MOST_PIVOTS).join(sizes, "label").where("k <= wanted")
+    drawn = drawn.select("label", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), F.col("k").cast("long").alias("rep"), F.lit(0).cast("long").alias("copies"), "unit")
+    dealt = classes.join(sizes, "label").select("label", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), "rep", "copies", "unit")
+    dealt = dealt.union(drawn).repartition("label", "part").sortWithinPartitions("label", "part", "role", "rep")
     shape = "label string, rep bigint, copies bigint, unit array<double>, near array<int>"
-    described = written(classes.mapInPandas(_permutations(pivots, nearest), shape), "permutations")
+    described = written(dealt.mapInPandas(_permutations(nearest), shape), "permutations")
 
     pairs = F.flatten(F.transform("near", lambda p: F.transform(F.filter("near", lambda q: q > p), lambda q: F.struct(p.alias("lo"), q.alias("hi")))))
     posts = described.select("label", "rep", F.explode(pairs).alias("k")).select("label", "k.lo", "k.hi", "rep")

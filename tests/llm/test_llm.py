@@ -300,6 +300,26 @@ def test_pivot_index_gives_scaled_vectors_one_row_each(spark):
     assert got == [(0, 3, 0), (1, 3, 0), (2, 3, 0), (3, 3, 0), (4, 0, 4)]
 
 
+def test_pivot_index_parts_ties_and_repeats(spark, monkeypatch):
+    """Vectors in many parts, tied and repeated ones, -0.0 against 0.0, extra columns: as by brute force, nine links in ten found."""
+    monkeypatch.setattr(pivot_index, "DESCRIBED", 64)
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(150, 24))
+    x = np.repeat(base, 4, 0) + rng.normal(size=(600, 24)) * np.tile([0, 0, 0.02, 0.05], 150)[:, None]
+    x[0, 0], x[1, 0] = 0.0, -0.0
+    rows = [(i, [float(c) for c in v], i % 7 // 4, "c", 1) for i, v in enumerate(x)] + [(0, [float(c) for c in x[0]], 0, "c", 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, component_id string, rep int")
+    got = [r.asDict() for r in pivot_index.near_vectors(df).collect()]
+    assert len(got) == 601 and [r["n_links"] for r in got if r["vec_id"] == 0] != []
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.array([r[2] for r in rows[:600]])
+    true = (u @ u.T >= 0.98) & (label[:, None] == label[None, :])
+    np.fill_diagonal(true, False)
+    found = sum(r["n_links"] for r in got if r["vec_id"] > 0)
+    extra = true[1:, 0].sum()  # the repeated row links with what row 0 links with
+    assert 0.9 * true[1:].sum() <= found <= true[1:].sum() + extra
+
+
 def test_splitters(spark, docs, empty):
     d = spark.range(4_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 1_300, "hot copy").otherwise(F.expr("repeat(cast(id as string), cast(1 + id % 40 as int))")).alias("text"))
     out = splitters.shard_by_splitters(d, shards=10).toPandas()
