@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skuweave.functions import scalars as S
 from skuweave.functions import text as A
+from skuweave.operators.components import connected_components
 from skuweave.sources import shared
 
 LOW, HIGH = 0.33, 0.72
@@ -174,31 +175,9 @@ def adjudicate(routed: DataFrame) -> DataFrame:
 _cut = shared.cut
 
 
-def components(edges: DataFrame, scratch: str | None = None, max_rounds: int = 50) -> DataFrame:
-    """edges(a, b) -> (id, component), the smallest id reachable, by large and small stars; lineage is cut by tables in
-    the folder that the cluster names in spark.checkpoint.dir."""
-
-    def cut(df: DataFrame) -> DataFrame:
-        return _cut(df, "components", scratch)
-
-    e = cut(edges.select(F.greatest("a", "b").cast("bigint").alias("a"), F.least("a", "b").cast("bigint").alias("b")).where("a <> b").distinct())
-    for _ in range(max_rounds):
-        both = e.union(e.select("b", "a"))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
-        new = cut(small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m"))).where("a <> b").distinct())
-        settled = new.join(new.select(F.col("a").alias("b")).distinct(), "b", "left_semi").isEmpty() and new.groupBy("a").count().where("count > 1").isEmpty()
-        e = new
-        if settled:
-            return e.select(F.col("a").alias("id"), F.col("b").alias("component")).union(e.select("b", "b").distinct())
-    raise RuntimeError("components did not settle")
-
-
 def clusters(ids: DataFrame, edges: DataFrame, id_col: str) -> DataFrame:
     """Every id with its cluster; ids without an edge are clusters of one."""
-    c = components(edges)
+    c = connected_components(edges)
     return ids.select(F.col(id_col).cast("bigint").alias("id")).join(c, "id", "left").select("id", F.coalesce("component", "id").alias("cluster_id"))
 
 
@@ -263,7 +242,7 @@ def guarded_clusters(edges: DataFrame, barred: DataFrame, largest: int = 20_000)
         e = _cut(_renamed(e, step).groupBy("a", "b").agg(F.min("r").alias("r")).join(bar, ["a", "b"], "left_anti"), "guarded-edges")
         if e.isEmpty():
             return now
-        comp = _cut(components(e), "guarded-components")
+        comp = connected_components(e)
         of = {x: comp.withColumnsRenamed({"id": x, "component": f"of_{x}"}) for x in "ab"}
         bar = _cut(bar.join(of["a"], "a").join(of["b"], "b").where("of_a = of_b").select(F.col("of_a").alias("component"), "a", "b"), "guarded-bars")
         torn = bar.select("component").distinct()

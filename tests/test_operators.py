@@ -155,7 +155,7 @@ def test_reground_tries_every_span(spark):
 
 def test_components_and_guard(spark):
     edges = spark.createDataFrame([(1, 2, 0.9), (2, 3, 0.8), (5, 4, 0.9), (9, 9, 1.0), (3, 10, 0.7)], "a long, b long, score double")
-    got = {r["id"]: r["component"] for r in R.components(edges).collect()}
+    got = {r["id"]: r["component"] for r in R.connected_components(edges).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 10: 1, 4: 4, 5: 4}
     barred = spark.createDataFrame([(1, 10)], "a long, b long")
     guarded = {r["id"]: r["cluster_id"] for r in R.guarded_clusters(edges.where("a <> b"), barred).collect()}
