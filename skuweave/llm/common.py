@@ -4,25 +4,11 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    Where that is unset, a new local folder serves a local master; on a cluster executors would not see it.
-    """
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        where = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where
+from skuweave.sources.shared import new_path, remove
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -34,7 +20,7 @@ class Scratch:
     """The tables of one run in the shared folder, which cut the lineage and survive lost executors."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.path = spark, f"{shared_dir(spark)}/skuweave/{name}-{uuid.uuid4().hex}"
+        self.spark, self.path = spark, new_path(spark, name)
         self.count = 0
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
@@ -47,8 +33,7 @@ class Scratch:
     def last(self, df: DataFrame, name: str) -> DataFrame:
         """df as a table that stays; all other tables of this run are deleted."""
         out = written(df, name)
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(self.spark, self.path)
         return out
 
 

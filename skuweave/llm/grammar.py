@@ -12,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuweave.llm.common import hold, shared_dir, small_batches
+from skuweave.llm.common import hold, small_batches
+from skuweave.sources.shared import new_path
 
 #: Encoded chunks that a Python worker keeps; beyond that the memory starts afresh.
 CACHE_CHUNKS = 600_000
@@ -335,6 +336,4 @@ def slice_of(row, start: int, stop: int) -> np.ndarray:
 
 
 def token_file_path(spark) -> str:
-    import uuid
-
-    return f"{shared_dir(spark)}/skuweave/token-files-{uuid.uuid4().hex}"
+    return new_path(spark, "token-files")
