@@ -15,19 +15,18 @@ def walk_points(blocks: DataFrame, uid: str = "product_uid", taxonomy: str = "ta
 
     Flags and recommendations are skipped, so are arrays whose first item has no point. Empty cells give no row.
     """
+    opened = blocks.sparkSession.tvf.variant_explode(F.col("v").outer())
     level = blocks.select(uid, F.lit("").alias("path"), F.parse_json(taxonomy).alias("v"))
     found = None
-    for k in range(depth):
-        level.createOrReplaceTempView(f"_level{k}")
-        nxt = level.sparkSession.sql(f"SELECT {uid}, concat_ws('.', nullif(path, ''), e.key) AS path, e.value AS v FROM _level{k}, LATERAL variant_explode(v) e WHERE e.key IS NOT NULL")
+    for _ in range(depth):
+        nxt = level.lateralJoin(opened).where(F.col("key").isNotNull()).select(uid, F.concat_ws(".", F.nullif("path", F.lit("")), "key").alias("path"), F.col("value").alias("v"))
         nxt = nxt.where(~F.col("path").isin(*SKIP))
         kind = F.schema_of_variant("v")
         leaves = nxt.where(F.startswith(kind, F.lit("ARRAY")))
         found = leaves if found is None else found.union(leaves)
         level = nxt.where(F.startswith(kind, F.lit("OBJECT")))
-    found = found.where(F.variant_get("v", "$[0].point", "string").isNotNull())
-    found.createOrReplaceTempView("_leaves")
-    out = found.sparkSession.sql(f"SELECT {uid}, path AS dim_path, variant_get(e.value, '$.point', 'string') AS point, variant_get(e.value, '$.cited', 'int') AS cited, e.pos AS ord FROM _leaves, LATERAL variant_explode(v) e")
+    items = found.where(F.variant_get("v", "$[0].point", "string").isNotNull()).lateralJoin(opened)
+    out = items.select(uid, F.col("path").alias("dim_path"), F.variant_get("value", "$.point", "string").alias("point"), F.variant_get("value", "$.cited", "int").alias("cited"), F.col("pos").alias("ord"))
     return out.where("point is not null and point <> ''")
 
 
