@@ -126,11 +126,20 @@ def mall_index_pivot(index: DataFrame, categories: list[str]) -> DataFrame:
 
 
 def price_position(offers: DataFrame) -> DataFrame:
-    return price_ladder(offers).select("product_uid", "min_price", "max_price", "cheapest_mall", "n_malls", "spread_pct")
+    """Where a product is cheapest and dearest: prices, both malls (of equal prices the first by name), spread, and the mean spread of its category."""
+    ladder = price_ladder(offers)
+    dear = offers.groupBy("product_uid").agg(F.min(F.struct((-F.col("price")).alias("p"), "mall"))["mall"].alias("dearest_mall"), F.min("category").alias("category"))
+    j = ladder.select("product_uid", "min_price", "max_price", "cheapest_mall", "n_malls", "spread_pct").join(dear, "product_uid")
+    mean = j.groupBy("category").agg(F.bround(F.sum(F.col("spread_pct").cast("decimal(20,1)")).cast("double") / F.count("spread_pct"), 2).alias("category_spread"))
+    return j.join(mean, "category")
 
 
 def mall_coverage(offers: DataFrame, official_prefix: str) -> DataFrame:
-    out = offers.groupBy("mall").agg(F.count("*").alias("n_listings"), F.countDistinct("product_uid").alias("n_products"), F.min("price").alias("min_price"), F.max("price").alias("max_price"))
+    """Per mall: listings, products, prices and prices for a unit from lowest to highest, whether it is official."""
+    unit = F.bround(F.col("price") / F.col("qty"), 0).cast("bigint")
+    out = offers.groupBy("mall").agg(
+        F.count("*").alias("n_listings"), F.count_distinct("product_uid").alias("n_products"), F.min("price").alias("min_price"), F.max("price").alias("max_price"), F.min(unit).alias("min_unit"), F.max(unit).alias("max_unit"),
+    )
     return out.withColumn("official", F.startswith("mall", F.lit(official_prefix)))
 
 
@@ -141,11 +150,41 @@ def official_undercut(offers: DataFrame) -> DataFrame:
     return out.withColumn("severity", S.severity("undercut_pct"))
 
 
+def undercut_by_unit(offers: DataFrame, official_mall: F.Column) -> DataFrame:
+    """Per product that official malls sell: their lowest price for a unit, the lowest of the other malls, percent under it.
+
+    Products without an official offer are left out; those without another offer have no percentage.
+    """
+    unit = F.col("price") / F.col("qty")
+    own, rest = F.when(official_mall, unit), F.when(~official_mall, unit)
+    other = F.min(F.when(~official_mall, F.struct(unit.alias("unit"), F.col("mall"))))
+    out = offers.groupBy("product_uid").agg(F.min(own).alias("o"), F.count_distinct(F.when(official_mall, F.col("mall"))).alias("n_official"), F.min(rest).alias("u"), other["mall"].alias("lowest_mall")).where("o is not null")
+    pct = S.percent_below("u", "o")
+    return out.select("product_uid", F.bround("o", 0).cast("bigint").alias("official_unit"), "n_official", F.bround("u", 0).cast("bigint").alias("lowest_unit"), "lowest_mall", pct.alias("undercut_pct"), S.severity(pct).alias("severity"))
+
+
 def seller_footprint(offers: DataFrame) -> DataFrame:
-    """Per mall: products, listings, mean discount where it is under the official price; most offending first."""
+    """Per mall: products, listings, mean discount where it is under the official price, whether it sells grey goods."""
     below = F.when(F.col("price") < F.col("official_price"), (F.col("official_price") - F.col("price")) * 100.0 / F.col("official_price"))
-    out = offers.groupBy("mall").agg(F.countDistinct("product_uid").alias("n_products"), F.count("*").alias("n_listings"), F.count(below).alias("n_below"), F.bround(F.avg(F.round(below, 6).cast("decimal(20,6)")).cast("double"), 2).alias("mean_discount"))
-    return out
+    return offers.groupBy("mall").agg(
+        F.count_distinct("product_uid").alias("n_products"), F.count("*").alias("n_listings"), F.count(below).alias("n_below"), F.bround(F.avg(F.round(below, 6).cast("decimal(20,6)")).cast("double"), 2).alias("mean_discount"),
+        F.bool_or(F.col("product_type").isin(*USED_TYPES)).alias("grey"),
+    )
+
+
+def offenders(footprint: DataFrame, k: int = 20) -> DataFrame:
+    """The malls with most listings under the official price, then the larger mean discount, then by name."""
+    top = footprint.orderBy(F.desc("n_below"), F.desc_nulls_last("mean_discount"), "mall").limit(k)
+    return top.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n_below"), F.desc_nulls_last("mean_discount"), "mall")))
+
+
+def dossier(offers: DataFrame, business: F.Column) -> DataFrame:
+    """Per business: storefronts, products, listings, mean discount, grey flag, categories."""
+    below = F.when(F.col("price") < F.col("official_price"), (F.col("official_price") - F.col("price")) * 100.0 / F.col("official_price"))
+    return offers.groupBy(business.alias("business")).agg(
+        F.count_distinct("mall").alias("n_storefronts"), F.count_distinct("product_uid").alias("n_products"), F.count("*").alias("n_listings"), F.bround(F.avg(F.round(below, 6).cast("decimal(20,6)")).cast("double"), 2).alias("mean_discount"),
+        F.bool_or(F.col("product_type").isin(*USED_TYPES)).alias("any_used"), F.array_join(F.sort_array(F.collect_set("category")), "|").alias("categories"),
+    )
 
 
 def exposure(offers: DataFrame, accessible: F.Column) -> DataFrame:
@@ -167,6 +206,31 @@ def violation_report(offers: DataFrame) -> DataFrame:
     return v.groupBy("product_uid").agg(F.max(rank).alias("severity"), F.count_if(F.col("violation") != "none").alias("n_violations"), F.max("below_pct").alias("worst_pct"))
 
 
+def violation_totals(offers: DataFrame) -> DataFrame:
+    """One row: listings, violating ones by class, products and malls concerned, the deepest discount."""
+    v, bad = violations(offers), F.col("violation") != "none"
+    by = [F.count_if(F.col("violation") == c).alias(c) for c in ("grey", "false_authentic", "undercut")]
+    return v.agg(F.count("*").alias("listings"), *by, F.count_distinct(F.when(bad, F.col("product_uid"))).alias("products"), F.count_distinct(F.when(bad, F.col("mall"))).alias("malls"), F.max("below_pct").alias("worst_pct"))
+
+
+def peer_position(offers: DataFrame, points: DataFrame) -> DataFrame:
+    """A product among its category: rank by lowest price, and its weaknesses and dimensions against the category's mean.
+
+    points: product_uid, weak (boolean), dim. Products without points count as 0.
+    """
+    low = offers.groupBy("category", "product_uid").agg(F.min("price").alias("price"))
+    p = points.groupBy("product_uid").agg(F.count_if("weak").alias("weak"), F.count_distinct("dim").alias("dims"))
+    j = low.join(p, "product_uid", "left").fillna(0, ["weak", "dims"])
+    mean = j.groupBy("category").agg((F.sum("weak") / F.count("*")).alias("m_weak"), (F.sum("dims") / F.count("*")).alias("m_dims"))
+    rank = F.rank().over(Window.partitionBy("category").orderBy("price"))
+    return j.withColumn("price_rank", rank).join(mean, "category").select("category", "product_uid", "price_rank", F.bround(F.col("weak") - F.col("m_weak"), 3).alias("weak_vs_peers"), F.bround(F.col("dims") - F.col("m_dims"), 3).alias("dims_vs_peers"))
+
+
+def low_malls(offers: DataFrame, k: int = 12) -> DataFrame:
+    """How often each mall has the lowest price of a product; the first k by that, then by name."""
+    return price_ladder(offers).groupBy(F.col("cheapest_mall").alias("mall")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "mall").limit(k)
+
+
 def histogram(df: DataFrame, value: str, edges: tuple[int, ...] = HISTOGRAM_EDGES) -> DataFrame:
     """Counts between the edges; the last bucket is open."""
     bucket = F.lit(None).cast("int")
@@ -230,11 +294,8 @@ def panel_rollup(offers: DataFrame) -> DataFrame:
 
 
 def upper_median(df: DataFrame, value: str) -> DataFrame:
-    """The value in place n div 2 + 1 of the sorted rows, found by counting: no row is collected."""
-    n = df.agg(F.count(value).alias("n"))
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("c"))
-    upto = counts.withColumn("upto", F.sum("c").over(Window.orderBy(value)))
-    return upto.join(F.broadcast(n)).where(F.col("upto") > F.floor(F.col("n") / 2)).agg(F.min(value).alias("mid"))
+    """The value in place n div 2 + 1 of the sorted rows: the discrete median from above."""
+    return df.agg(F.expr(f"percentile_disc(0.5) within group (order by {value} desc)").alias("mid"))
 
 
 def demand_priority(offers: DataFrame) -> DataFrame:
@@ -275,3 +336,12 @@ def opinion_mismatch(offers: DataFrame, opinions: DataFrame, least: int = 5, dea
         F.count("*").alias("offers"), F.count_if(liked).alias("positive"), F.count_if(blamed).alias("negative"),
         F.count_if(liked & (F.col("unit") > F.col("mid") * dear)).alias("dear_but_liked"), F.count_if(blamed & (F.col("unit") < F.col("mid") * cheap)).alias("cheap_but_blamed"),
     )
+
+
+def slim_shop(offers: DataFrame, title_length: int = 30, malls: int = 3) -> DataFrame:
+    """Offers by brand and model (the beginning of the title): prices, malls, categories, SKUs, and the malls with most offers."""
+    o = offers.withColumn("model", F.substring("title", 1, title_length))
+    listed = lambda c: F.array_join(F.sort_array(F.collect_set(c)), "|")
+    out = o.groupBy("brand", "model").agg(F.count("*").alias("n"), F.min("price").alias("low"), F.max("price").alias("high"), F.count_distinct("mall").alias("n_malls"), listed("category").alias("categories"), listed("product_uid").alias("skus"))
+    top = top_values(o, ["brand", "model"], "mall", malls).groupBy("brand", "model").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "mall"))), lambda x: x["mall"]), "|").alias("top_malls"))
+    return out.join(top, ["brand", "model"])

@@ -178,6 +178,45 @@ def pair_metrics(truth: DataFrame, found: DataFrame) -> DataFrame:
     return m.select("tp", "fp", "fn", F.bround(F.try_divide(tp, tp + F.col("fp")), 4).alias("precision"), F.bround(F.try_divide(tp, tp + F.col("fn")), 4).alias("recall"), F.bround(F.try_divide(tp * 2.0, tp * 2 + F.col("fp") + F.col("fn")), 4).alias("f1"))
 
 
+def flatten_sources(products: DataFrame, uid: str, column: str, posted: str) -> DataFrame:
+    """Maps source id -> struct as one row for each source; the text `posted` (YYYYMMDD) becomes the date `day`."""
+    rows = products.select(uid, F.explode(column).alias("source_id", "v")).select(uid, "source_id", "v.*")
+    return rows.withColumn("day", S.compact_date(posted)).drop(posted)
+
+
+def current_run(rows: DataFrame, stamp: str, run: str, parents: DataFrame | None = None, key: str | None = None) -> DataFrame:
+    """The rows of this run only; with parents, only those whose key still has one."""
+    out = rows.where(F.col(stamp) == run)
+    return out if parents is None else out.join(parents.select(key).distinct(), key, "left_semi")
+
+
+def pair_sets(truth: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs (a, b) of either side once, as both, missed (true only) or wrong (found only)."""
+    t, f = truth.select("a", "b").distinct().withColumn("t", F.lit(1)), found.select("a", "b").distinct().withColumn("f", F.lit(1))
+    kind = F.when(F.col("f").isNull(), "missed").when(F.col("t").isNull(), "wrong").otherwise("both")
+    return t.join(f, ["a", "b"], "full_outer").select("a", "b", kind.alias("kind"))
+
+
+def usage_cost(usage: DataFrame, prices: DataFrame, key: str, units: str) -> DataFrame:
+    """Units used times the price table's unit_price, per key; a key without a price costs null."""
+    per = usage.groupBy(key).agg(F.sum(units).alias("u"), F.count("*").alias("n"))
+    return per.join(prices, key, "left").select(key, (F.col("u") * F.col("unit_price")).alias("cost"), "n")
+
+
+def size_range(df: DataFrame, group: str, size: str, sold_out: str, item: str) -> DataFrame:
+    """Per group the first and last size, the number of sizes and of those with a sold-out item, and its smallest item."""
+    return df.groupBy(group).agg(
+        F.min(size).alias("first_size"), F.max(size).alias("last_size"), F.count_distinct(size).alias("n_sizes"), F.count_distinct(F.when(F.col(sold_out), F.col(size))).alias("sold_out"), F.min(item).alias("first_id"),
+    )
+
+
+def target_filter(df: DataFrame, text: str, required: tuple[str, ...], any_of: tuple[str, ...], sizes: list[str]) -> DataFrame:
+    """Rows whose words hold all of the required ones, one of any_of, and one of the sizes exactly."""
+    words = F.split(F.lower(text), r"\s+")
+    has = lambda ws: F.array(*[F.lit(w) for w in ws])
+    return df.where((F.size(F.array_except(has(required), words)) == 0) & F.arrays_overlap(words, has(any_of)) & F.arrays_overlap(words, has(sizes)))
+
+
 def metrics_by_part(truth: DataFrame, found: DataFrame, part: DataFrame, id_col: str) -> DataFrame:
     """pair_metrics for each part of the ids: pairs with both ends in one part count there, others nowhere."""
     t, f = truth.select("a", "b").distinct().withColumn("t", F.lit(1)), found.select("a", "b").distinct().withColumn("f", F.lit(1))

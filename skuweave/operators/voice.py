@@ -223,13 +223,18 @@ def snippet_budget(items: DataFrame, group: str, order: str, text: str, budget:
 
 
 def family_tree(members: DataFrame, family: str, member: str, signature: str) -> DataFrame:
-    """Each member's parent: the family member with the largest signature that is a proper part of its own, else none."""
-    a = members.select(family, F.col(member).alias("child"), F.col(signature).alias("s"))
-    b = members.select(family, F.col(member).alias("parent"), F.col(signature).alias("p"))
-    cand = a.join(b, family).where((F.size(F.array_except("p", "s")) == 0) & (F.size("p") < F.size("s")))
-    w = Window.partitionBy(family, "child").orderBy(F.desc(F.size("p")), "parent")
-    best = cand.withColumn("r", F.row_number().over(w)).where("r = 1").select(family, "child", "parent")
-    return a.select(family, "child").join(best, [family, "child"], "left")
+    """Each member's parent: the family member with the largest signature that is a proper part of its own, else none.
+
+    Of equally large ones the smallest member counts. Equal signatures are one row while signatures are compared, and a
+    signature meets only those that hold its first element; an empty one is nobody's parent.
+    """
+    m = members.select(family, F.col(member).alias("child"), F.sort_array(F.array_distinct(signature)).alias("s"))
+    kinds = m.groupBy(family, "s").agg(F.min("child").alias("parent"))
+    parts = kinds.where(F.size("s") > 0).select(family, F.col("s").alias("p"), "parent", F.get("s", F.lit(0)).alias("w"))
+    wholes = kinds.select(family, "s", F.explode("s").alias("w"))
+    cand = wholes.join(parts, [family, "w"]).where((F.size("p") < F.size("s")) & (F.size(F.array_except("p", "s")) == 0))
+    best = cand.groupBy(family, "s").agg(F.max(F.struct(F.size("p").alias("n"), (-F.col("parent")).alias("low"))).alias("b")).select(family, "s", (-F.col("b.low")).alias("parent"))
+    return m.join(best, [family, "s"], "left").select(family, "child", "parent")
 
 
 def distinctive(points: DataFrame, key: str, parent: str) -> DataFrame:

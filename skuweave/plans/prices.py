@@ -100,12 +100,12 @@ def ag10(spark, sf):
     return P.mall_price_index(v_offer(spark, sf), min_listings=3).select("mall", "category", "n", "index_pct")
 
 
-@query("ag13_price_position", f"SELECT product_uid, min_price, max_price, cheapest_mall, n_malls, spread_pct FROM ({LADDER})")
+@query("ag13_price_position", f"WITH l AS (SELECT product_uid, min_price, max_price, cheapest_mall, n_malls, spread_pct FROM ({LADDER})), d AS (SELECT product_uid, min(struct_pack(p := -price, m := mall)).m AS dearest_mall, min(category) AS category FROM v_offer GROUP BY product_uid), j AS (SELECT * FROM l JOIN d USING (product_uid)) SELECT j.*, round_even((SELECT CAST(sum(CAST(k.spread_pct AS DECIMAL(20,1))) AS DOUBLE) / count(k.spread_pct) FROM j k WHERE k.category = j.category), 2) AS category_spread FROM j")
 def ag13(spark, sf):
     return P.price_position(v_offer(spark, sf))
 
 
-@query("ag14_mall_coverage", "SELECT mall, count(*) AS n_listings, count(DISTINCT product_uid) AS n_products, min(price) AS min_price, max(price) AS max_price, starts_with(mall, 'Supplier#00000001') AS official FROM v_offer GROUP BY mall")
+@query("ag14_mall_coverage", "SELECT mall, count(*) AS n_listings, count(DISTINCT product_uid) AS n_products, min(price) AS min_price, max(price) AS max_price, CAST(min(round_even(price::DOUBLE / qty, 0)) AS BIGINT) AS min_unit, CAST(max(round_even(price::DOUBLE / qty, 0)) AS BIGINT) AS max_unit, starts_with(mall, 'Supplier#00000001') AS official FROM v_offer GROUP BY mall")
 def ag14(spark, sf):
     return P.mall_coverage(v_offer(spark, sf), "Supplier#00000001")
 
@@ -119,12 +119,28 @@ def ag15(spark, sf):
     return P.official_undercut(v_offer(spark, sf))
 
 
-@query("ag16_seller_footprint", """SELECT mall, count(DISTINCT product_uid) AS n_products, count(*) AS n_listings, count(*) FILTER (price < official_price) AS n_below,
- round_even(sum(CAST(round((official_price - price) * 100.0::DOUBLE / official_price, 6) AS DECIMAL(20,6))) FILTER (price < official_price)::DOUBLE / count(*) FILTER (price < official_price), 2) AS mean_discount FROM v_offer GROUP BY mall""")
+_OWN = "starts_with(mall, 'Supplier#00000001')"
+
+
+@query("ag15_undercut_by_unit", f"""SELECT product_uid, CAST(round_even(o, 0) AS BIGINT) AS official_unit, n_official, CAST(round_even(u, 0) AS BIGINT) AS lowest_unit, lowest_mall, undercut_pct, CASE WHEN undercut_pct >= 40 THEN 'serious' WHEN undercut_pct >= 20 THEN 'caution' WHEN undercut_pct > 0 THEN 'slight' ELSE 'none' END AS severity FROM (SELECT *, round_even((o - u) * 100.0::DOUBLE / nullif(o, 0), 1) AS undercut_pct FROM (
+SELECT product_uid, min(price::DOUBLE / qty) FILTER ({_OWN}) AS o, count(DISTINCT mall) FILTER ({_OWN}) AS n_official, min(price::DOUBLE / qty) FILTER (NOT {_OWN}) AS u, (min(struct_pack(unit := price::DOUBLE / qty, mall := mall)) FILTER (NOT {_OWN})).mall AS lowest_mall FROM v_offer GROUP BY product_uid) WHERE o IS NOT NULL)""")
+def ag15_unit(spark, sf):
+    return P.undercut_by_unit(v_offer(spark, sf), F.startswith("mall", F.lit("Supplier#00000001")))
+
+
+FOOTPRINT = """SELECT mall, count(DISTINCT product_uid) AS n_products, count(*) AS n_listings, count(*) FILTER (price < official_price) AS n_below, round_even(sum(CAST(round((official_price - price) * 100.0::DOUBLE / official_price, 6) AS DECIMAL(20,6))) FILTER (price < official_price)::DOUBLE / nullif(count(*) FILTER (price < official_price), 0), 2) AS mean_discount, bool_or(product_type IN (4,5,6)) AS grey FROM v_offer GROUP BY mall"""
+
+
+@query("ag16_seller_footprint", FOOTPRINT)
 def ag16(spark, sf):
     return P.seller_footprint(v_offer(spark, sf))
 
 
+@query("ag16_offenders", f"SELECT *, row_number() OVER (ORDER BY n_below DESC, mean_discount DESC NULLS LAST, mall) AS place FROM ({FOOTPRINT}) ORDER BY place LIMIT 20")
+def ag16_offenders(spark, sf):
+    return P.offenders(P.seller_footprint(v_offer(spark, sf)))
+
+
 @query("ag17_exposure", """SELECT CAST(sum(greatest(o - lo_a, 0)) AS BIGINT) AS floor_exposure, CAST(sum(greatest(o - lo, 0)) AS BIGINT) AS ceiling_exposure, count(*) AS n FROM (SELECT product_uid, min(official_price) AS o, min(price) AS lo, coalesce(min(price) FILTER (qty <= 10), min(official_price)) AS lo_a FROM v_offer GROUP BY product_uid)""")
 def ag17(spark, sf):
     return P.exposure(v_offer(spark, sf), F.col("qty") <= 10)
@@ -136,10 +152,28 @@ def ag18(spark, sf):
     return P.violation_report(v_offer(spark, sf))
 
 
-@query("ag19_business_dossier", """SELECT substr(mall, 1, 17) AS business, count(DISTINCT mall) AS n_storefronts, count(DISTINCT product_uid) AS n_products, count(*) AS n_listings, bool_or(product_type IN (4,5,6)) AS any_used, string_agg(DISTINCT category, '|' ORDER BY category) AS categories FROM v_offer GROUP BY 1""")
+@query("ag18_violation_totals", """SELECT count(*) AS listings, count(*) FILTER (v = 'grey') AS grey, count(*) FILTER (v = 'false_authentic') AS false_authentic, count(*) FILTER (v = 'undercut') AS undercut, count(DISTINCT product_uid) FILTER (v <> 'none') AS products, count(DISTINCT mall) FILTER (v <> 'none') AS malls, max(b) AS worst_pct FROM (
+SELECT product_uid, mall, CASE WHEN product_type IN (4,5,6) THEN 'grey' WHEN price > official_price * 2 THEN 'false_authentic' WHEN price < official_price THEN 'undercut' ELSE 'none' END AS v, round_even((official_price - price) * 100.0::DOUBLE / official_price, 1) AS b FROM v_offer)""")
+def ag18_totals(spark, sf):
+    return P.violation_totals(v_offer(spark, sf))
+
+
+@query("ag19_business_dossier", """SELECT substr(mall, 1, 17) AS business, count(DISTINCT mall) AS n_storefronts, count(DISTINCT product_uid) AS n_products, count(*) AS n_listings, round_even(sum(CAST(round((official_price - price) * 100.0::DOUBLE / official_price, 6) AS DECIMAL(20,6))) FILTER (price < official_price)::DOUBLE / nullif(count(*) FILTER (price < official_price), 0), 2) AS mean_discount, bool_or(product_type IN (4,5,6)) AS any_used, string_agg(DISTINCT category, '|' ORDER BY category) AS categories FROM v_offer GROUP BY 1""")
 def ag19(spark, sf):
-    return v_offer(spark, sf).groupBy(F.substring("mall", 1, 17).alias("business")).agg(
-        F.countDistinct("mall").alias("n_storefronts"), F.countDistinct("product_uid").alias("n_products"), F.count("*").alias("n_listings"), F.bool_or(F.col("product_type").isin(4, 5, 6)).alias("any_used"), F.array_join(F.sort_array(F.collect_set("category")), "|").alias("categories"))
+    return P.dossier(v_offer(spark, sf), F.substring("mall", 1, 17))
+
+
+@query("wn10_peer_position", """WITH low AS (SELECT category, product_uid, min(price) AS price FROM v_offer GROUP BY ALL), p AS (SELECT concat('P', CAST(user_id AS VARCHAR)) AS product_uid, count(*) FILTER (event_type = 'error') AS weak, count(DISTINCT event_type) AS dims FROM events GROUP BY user_id),
+j AS (SELECT low.*, coalesce(weak, 0) AS weak, coalesce(dims, 0) AS dims FROM low LEFT JOIN p USING (product_uid)), m AS (SELECT category, sum(weak)::DOUBLE / count(*) AS mw, sum(dims)::DOUBLE / count(*) AS md FROM j GROUP BY category)
+SELECT category, product_uid, rank() OVER (PARTITION BY category ORDER BY price) AS price_rank, round_even(weak - mw, 3) AS weak_vs_peers, round_even(dims - md, 3) AS dims_vs_peers FROM j JOIN m USING (category)""")
+def wn10_peers(spark, sf):
+    e = table(spark, sf, "events").select(F.concat(F.lit("P"), F.col("user_id").cast("string")).alias("product_uid"), (F.col("event_type") == "error").alias("weak"), F.col("event_type").alias("dim"))
+    return P.peer_position(v_offer(spark, sf), e)
+
+
+@query("dm4_low_malls", f"SELECT cheapest_mall AS mall, count(*) AS n FROM ({LADDER}) GROUP BY cheapest_mall ORDER BY n DESC, mall LIMIT 12")
+def dm4_low_malls(spark, sf):
+    return P.low_malls(v_offer(spark, sf))
 
 
 @query("ag22_price_histogram", "SELECT CASE WHEN x >= 200000 THEN 8 WHEN x >= 100000 THEN 7 WHEN x >= 50000 THEN 6 WHEN x >= 30000 THEN 5 WHEN x >= 10000 THEN 4 WHEN x >= 5000 THEN 3 WHEN x >= 3000 THEN 2 WHEN x >= 1000 THEN 1 WHEN x >= 0 THEN 0 END AS bucket, count(*) AS n FROM (SELECT official_price AS x FROM v_offer) GROUP BY 1")

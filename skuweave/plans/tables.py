@@ -9,7 +9,7 @@ from skuweave.functions import text as A
 from skuweave.operators import prices as P
 from skuweave.operators import shape as H
 from skuweave.plans.registry import query
-from skuweave.plans.views import table, v_catalog, v_offer, v_point, v_product, v_state, v_title
+from skuweave.plans.views import table, v_catalog, v_extracted, v_listing, v_offer, v_point, v_product, v_seed, v_state, v_title
 
 
 @query("shp1_walk_points", "SELECT product_uid, dim_path, point, cited FROM v_point")
@@ -35,15 +35,17 @@ def src2(spark, sf):
     return H.catalog_rows(H.trees_of(v_product(spark, sf))).groupBy("parent_uid").agg(F.countDistinct("size").alias("n_sizes"), F.count("*").alias("n_counts"))
 
 
-@query("shp3_sources", "SELECT source AS product_uid, doc_id, lang, n_chars FROM documents")
+@query("shp3_sources", "SELECT source AS product_uid, doc_id, lang, n_chars, DATE '2024-01-01' + CAST(doc_id % 365 AS INT) AS day FROM documents")
 def shp3(spark, sf):
-    m = table(spark, sf, "documents").groupBy(F.col("source").alias("product_uid")).agg(F.map_from_entries(F.collect_list(F.struct("doc_id", F.struct("lang", "n_chars")))).alias("m"))
-    return m.select("product_uid", F.explode("m").alias("doc_id", "v")).select("product_uid", "doc_id", "v.lang", "v.n_chars")
+    """Maps of a product's sources, in blocks of ids, so that no map holds all of a hot product."""
+    d = table(spark, sf, "documents").withColumn("posted", F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 365).cast("int")), "yyyyMMdd"))
+    m = d.groupBy(F.col("source").alias("product_uid"), F.floor(F.col("doc_id") / 1000).alias("block")).agg(F.map_from_entries(F.collect_list(F.struct("doc_id", F.struct("lang", "n_chars", "posted")))).alias("m"))
+    return H.flatten_sources(m, "product_uid", "m", "posted").withColumnRenamed("source_id", "doc_id")
 
 
-@query("shp4_evidence_order", "SELECT item_id, i - 1 AS pos, w FROM (SELECT item_id, unnest(a) AS w, unnest(range(1, len(a) + 1)) AS i FROM (SELECT item_id, string_split(text, ' ')[1:5] AS a FROM benchmark))")
+@query("shp4_evidence_order", "SELECT item_id, i - 1 AS pos, w FROM (SELECT item_id, unnest(a) AS w, unnest(range(1, len(a) + 1)) AS i FROM (SELECT item_id, string_split(text, ' ') AS a FROM benchmark))")
 def shp4(spark, sf):
-    return table(spark, sf, "benchmark").select("item_id", F.posexplode_outer(F.slice(F.split("text", " "), 1, 5)).alias("pos", "w"))
+    return table(spark, sf, "benchmark").select("item_id", F.posexplode_outer(F.split("text", " ")).alias("pos", "w"))
 
 
 @query("shp5_faq", "SELECT conv_id, turn, text AS question, nxt AS answer FROM (SELECT *, lead(text) OVER w AS nxt, lead(role) OVER w AS nrole FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE role = 'user' AND nrole = 'assistant'")
@@ -69,9 +71,9 @@ def shp8(spark, sf):
     return H.seed_rows(v_product(spark, sf))
 
 
-@query("shp14_slim_shop", "SELECT brand, substr(title, 1, 30) AS model, count(*) AS n, min(price) AS low, max(price) AS high, count(DISTINCT mall) AS n_malls, string_agg(DISTINCT category, '|' ORDER BY category) AS categories FROM v_offer GROUP BY ALL")
+@query("shp14_slim_shop", "WITH o AS (SELECT *, substr(title, 1, 30) AS model FROM v_offer), t AS (SELECT brand, model, string_agg(mall, '|' ORDER BY n DESC, mall) AS top_malls FROM (SELECT brand, model, mall, count(*) AS n, row_number() OVER (PARTITION BY brand, model ORDER BY count(*) DESC, mall) AS r FROM o GROUP BY brand, model, mall) WHERE r <= 3 GROUP BY brand, model) SELECT o.brand, o.model, count(*) AS n, min(price) AS low, max(price) AS high, count(DISTINCT mall) AS n_malls, string_agg(DISTINCT category, '|' ORDER BY category) AS categories, string_agg(DISTINCT product_uid, '|' ORDER BY product_uid) AS skus, any_value(top_malls) AS top_malls FROM o JOIN t ON t.brand = o.brand AND t.model = o.model GROUP BY o.brand, o.model")
 def shp14(spark, sf):
-    return v_offer(spark, sf).groupBy("brand", F.substring("title", 1, 30).alias("model")).agg(F.count("*").alias("n"), F.min("price").alias("low"), F.max("price").alias("high"), F.countDistinct("mall").alias("n_malls"), F.array_join(F.sort_array(F.collect_set("category")), "|").alias("categories"))
+    return P.slim_shop(v_offer(spark, sf))
 
 
 @query("shp15_facts_of_row", "SELECT seq, (material <> '')::INT + (origin <> '')::INT AS n_notice, 4 AS n_facts FROM v_catalog")
@@ -97,9 +99,9 @@ def src5(spark, sf):
     return H.json_pairs(table(spark, sf, "events"), "event_id", "props").groupBy("name").agg(F.count("*").alias("n"), F.countDistinct("value").alias("n_values"))
 
 
-@query("shp19_item_union", "SELECT 'comment' AS kind, concat('c', conv_id, '-', turn) AS id, text AS body FROM conversations WHERE role = 'user' UNION ALL SELECT 'review', concat('d', doc_id), text FROM documents")
+@query("shp19_item_union", "SELECT 'comment' AS kind, concat('c', conv_id, '-', turn) AS id, text AS body FROM conversations WHERE role = 'user' UNION ALL SELECT 'reply', concat('c', conv_id, '-', turn), text FROM conversations WHERE role <> 'user' UNION ALL SELECT 'review', concat('d', doc_id), text FROM documents")
 def shp19(spark, sf):
-    c = table(spark, sf, "conversations").where("role = 'user'").select(F.lit("comment").alias("kind"), F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("id"), F.col("text").alias("body"))
+    c = table(spark, sf, "conversations").select(F.when(F.col("role") == "user", "comment").otherwise("reply").alias("kind"), F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("id"), F.col("text").alias("body"))
     return c.unionByName(table(spark, sf, "documents").select(F.lit("review").alias("kind"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), F.col("text").alias("body")))
 
 
@@ -161,16 +163,20 @@ def snk5_insert(spark, sf):
     return H.upsert_labels(x, new, "doc_id", overwrite=False)
 
 
-@query("snk6_drop_old_runs", "SELECT doc_id, lang FROM documents WHERE n_chars % 2 = 0 AND source <> 'src3'")
+@query("snk6_drop_old_runs", "SELECT doc_id, lang, 'run2' AS run FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
 def snk6(spark, sf):
-    d = table(spark, sf, "documents")
-    return d.where("n_chars % 2 = 0").join(d.where("source = 'src3'").select("doc_id"), "doc_id", "left_anti").select("doc_id", "lang")
+    """Rows of two runs, the second one over all documents: the first run's go, and so do those whose label is gone."""
+    d = table(spark, sf, "documents").select("doc_id", "lang")
+    rows = d.withColumn("run", F.lit("run1")).union(d.withColumn("run", F.lit("run2")))
+    return H.current_run(rows, "run", "run2", table(spark, sf, "labels"), "doc_id")
 
 
-@query("jn5_strong_keys", "SELECT a.p_partkey, coalesce(s.m, b.m) AS match_id, CASE WHEN s.m IS NOT NULL THEN 'style' WHEN b.m IS NOT NULL THEN 'code' END AS method FROM (SELECT p_partkey, concat(p_brand, p_size) AS style, p_type AS code FROM part WHERE p_partkey % 2 = 0) a LEFT JOIN (SELECT concat(p_brand, p_size) AS style, min(p_partkey) AS m FROM part WHERE p_partkey % 2 = 1 GROUP BY 1) s ON s.style = a.style LEFT JOIN (SELECT p_type AS code, min(p_partkey) AS m FROM part WHERE p_partkey % 2 = 1 GROUP BY 1) b ON b.code = a.code WHERE coalesce(s.m, b.m) IS NOT NULL")
+@query("jn5_strong_keys", "WITH s AS (SELECT seed_id, style_code, CASE WHEN seed_id % 2 = 0 THEN concat('B', seed_id % 700) ELSE '' END AS barcode FROM v_seed), r AS (SELECT row_id, style_code, CASE WHEN row_id % 9 = 0 THEN concat('B', row_id % 700) END AS barcode FROM v_extracted), a AS (SELECT style_code, min(row_id) AS m FROM r WHERE style_code <> '' GROUP BY 1), b AS (SELECT barcode, min(row_id) AS m FROM r WHERE barcode <> '' GROUP BY 1) SELECT seed_id, coalesce(a.m, b.m) AS match_id, CASE WHEN a.m IS NOT NULL THEN 'style_code' ELSE 'barcode' END AS method FROM s LEFT JOIN a USING (style_code) LEFT JOIN b USING (barcode) WHERE coalesce(a.m, b.m) IS NOT NULL")
 def jn5(spark, sf):
-    p = table(spark, sf, "part").select("p_partkey", F.concat("p_brand", F.col("p_size").cast("string")).alias("style"), F.col("p_type").alias("code"))
-    return H.strong_key_match(p.where("p_partkey % 2 = 0"), p.where("p_partkey % 2 = 1"), "p_partkey", "p_partkey", ("style", "code"))
+    k = F.col("seed_id")
+    s = v_seed(spark, sf).withColumn("barcode", F.when(k % 2 == 0, F.concat(F.lit("B"), (k % 700).cast("string"))).otherwise(""))
+    r = v_extracted(spark, sf).withColumn("barcode", F.when(F.col("row_id") % 9 == 0, F.concat(F.lit("B"), (F.col("row_id") % 700).cast("string"))))
+    return H.strong_key_match(s, r, "seed_id", "row_id", ("style_code", "barcode"))
 
 
 GRAMS = "list_distinct(list_transform(range(1, greatest(length({0}), 2)), lambda i: substr({0}, i, 2)))"
@@ -248,13 +254,13 @@ def tk5(spark, sf):
     return H.cosine_top_k(e, e.where("vec_id % 20 = 0"), 5)
 
 
-@query("st2_pair_sets", "SELECT (SELECT count(*) FROM (SELECT a, b FROM v_pair WHERE a % 2 = 0 INTERSECT SELECT a, b FROM v_pair WHERE b % 3 = 0)) AS both_n, (SELECT count(*) FROM (SELECT a, b FROM v_pair WHERE a % 2 = 0 EXCEPT SELECT a, b FROM v_pair WHERE b % 3 = 0)) AS missed_n")
+@query("st2_pair_sets", "WITH t AS (SELECT a, b FROM v_pair WHERE a % 2 = 0), f AS (SELECT a, b FROM v_pair WHERE b % 3 = 0) SELECT a, b, CASE WHEN (a, b) IN (SELECT (a, b) FROM t) AND (a, b) IN (SELECT (a, b) FROM f) THEN 'both' WHEN (a, b) IN (SELECT (a, b) FROM t) THEN 'missed' ELSE 'wrong' END AS kind FROM (FROM t UNION FROM f)")
 def st2(spark, sf):
+    """Each pair of truth or prediction: found by both, missed, or wrongly predicted."""
     from skuweave.plans.views import v_pair
 
     p = v_pair(spark, sf)
-    t, f = p.where("a % 2 = 0"), p.where("b % 3 = 0")
-    return t.intersect(f).agg(F.count("*").alias("both_n")).join(t.exceptAll(f).agg(F.count("*").alias("missed_n")))
+    return H.pair_sets(p.where("a % 2 = 0"), p.where("b % 3 = 0"))
 
 
 @query("st3_subset_check", "SELECT count(*) AS missing FROM (SELECT DISTINCT l_partkey FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part))")
@@ -262,10 +268,11 @@ def st3(spark, sf):
     return table(spark, sf, "lineitem").select(F.col("l_partkey").alias("p_partkey")).distinct().join(table(spark, sf, "part"), "p_partkey", "left_anti").agg(F.count("*").alias("missing"))
 
 
-@query("st6_crawl_union", "SELECT seq, brand FROM v_catalog WHERE seq % 2 = 0 OR seq % 3 = 0")
+@query("st6_crawl_union", "SELECT seq, brand FROM v_catalog")
 def st6(spark, sf):
+    """Crawls that overlap: those with a material, those with an origin, and all that have a price."""
     c = v_catalog(spark, sf)
-    return c.where("seq % 2 = 0").union(c.where("seq % 3 = 0")).dropDuplicates(["seq"]).select("seq", "brand")
+    return c.where("material <> ''").union(c.where("origin <> ''")).union(c.where("price > 0")).dropDuplicates(["seq"]).select("seq", "brand")
 
 
 RATE = "round_even(count(*) FILTER ({0} <> '') * 100.0::DOUBLE / count(*), 1) AS {0}_pct"
@@ -276,9 +283,12 @@ def ag7(spark, sf):
     return H.fill_rates(v_catalog(spark, sf), "brand", ("material", "origin", "name"))
 
 
-@query("ag8_brand_leaderboard", "SELECT brand, count(*) AS n, min(price) AS low, CAST(floor(quantile_cont(price, 0.5)) AS BIGINT) AS mid, max(price) AS high FROM v_catalog GROUP BY brand")
+@query("ag8_brand_leaderboard", "SELECT c.brand, count(*) AS n, min(price) AS low, CAST(floor(quantile_cont(price, 0.5)) AS BIGINT) AS mid, max(price) AS high, round_even(count(*) FILTER (material <> '') * 100.0::DOUBLE / count(*), 1) AS material_pct, round_even(count(*) FILTER (origin <> '') * 100.0::DOUBLE / count(*), 1) AS origin_pct, any_value(m.source) AS modal_source FROM v_catalog c JOIN (SELECT brand, source FROM (SELECT brand, source, row_number() OVER (PARTITION BY brand ORDER BY count(*) DESC, source) AS r FROM v_catalog GROUP BY brand, source) WHERE r = 1) m ON m.brand = c.brand GROUP BY c.brand")
 def ag8(spark, sf):
-    return v_catalog(spark, sf).groupBy("brand").agg(F.count("*").alias("n"), F.min("price").alias("low"), S.median_floor("price").alias("mid"), F.max("price").alias("high"))
+    c = v_catalog(spark, sf)
+    prices = c.groupBy("brand").agg(F.min("price").alias("low"), S.median_floor("price").alias("mid"), F.max("price").alias("high"))
+    modal = P.top_values(c, ["brand"], "source", 1).select("brand", F.col("source").alias("modal_source"))
+    return H.fill_rates(c, "brand", ("material", "origin")).join(prices, "brand").join(modal, "brand")
 
 
 @query("ag20_progress", "SELECT count(*) AS total, count(*) FILTER (status = 'done') AS done, count(*) FILTER (status = 'empty') AS empty, count(*) FILTER (status IS NULL OR status = 'pending') AS remaining FROM v_state")
@@ -313,16 +323,18 @@ def ag31(spark, sf):
     return v_catalog(spark, sf).agg(F.count("*").alias("n"), (F.count("*") - F.countDistinct("style_code")).alias("n_duplicate_keys"), F.count_if(F.col("material") == "").alias("n_empty"))
 
 
-@query("ag34_usage_cost", "SELECT event_type, CAST(sum(CAST(round(value * 100) AS BIGINT) * CASE event_type WHEN 'click' THEN 3 ELSE 1 END) AS BIGINT) AS cost FROM events GROUP BY event_type")
+@query("ag34_usage_cost", "SELECT event_type, CAST(sum(CAST(round(value * 100) AS BIGINT) * length(event_type)) AS BIGINT) AS cost, count(*) AS n FROM events GROUP BY event_type")
 def ag34(spark, sf):
-    price = F.when(F.col("event_type") == "click", 3).otherwise(1)
-    return table(spark, sf, "events").groupBy("event_type").agg(F.sum(F.round(F.col("value") * 100, 0).cast("bigint") * price).alias("cost"))
+    """Units used, priced by a table of prices: here a model's price is the length of its name."""
+    e = table(spark, sf, "events").select("event_type", F.round(F.col("value") * 100, 0).cast("bigint").alias("units"))
+    prices = e.select("event_type").distinct().withColumn("unit_price", F.length("event_type").cast("bigint"))
+    return H.usage_cost(e, prices, "event_type", "units")
 
 
-@query("ag36_size_range", "SELECT p_name, min(p_size) AS first_size, max(p_size) AS last_size, count(DISTINCT p_size) AS n_sizes FROM part GROUP BY p_name")
+@query("ag36_size_range", "SELECT p_name, min(p_size) AS first_size, max(p_size) AS last_size, count(DISTINCT p_size) AS n_sizes, count(DISTINCT p_size) FILTER (p_partkey % 5 = 0) AS sold_out, concat('88', min(p_partkey)) AS gtin FROM part GROUP BY p_name")
 def ag36(spark, sf):
-    s = table(spark, sf, "part").groupBy("p_name").agg(F.sort_array(F.collect_set("p_size")).alias("s"))
-    return s.select("p_name", F.element_at("s", 1).alias("first_size"), F.element_at("s", -1).alias("last_size"), F.size("s").alias("n_sizes"))
+    p = table(spark, sf, "part").select("p_name", "p_size", (F.col("p_partkey") % 5 == 0).alias("gone"), "p_partkey")
+    return H.size_range(p, "p_name", "p_size", "gone", "p_partkey").withColumn("gtin", F.concat(F.lit("88"), F.col("first_id").cast("string"))).drop("first_id")
 
 
 @query("flt4_size_mismatch", "SELECT a, b, s.p_size <> t.p_size AS mismatch FROM v_pair JOIN part s ON s.p_partkey = a JOIN part t ON t.p_partkey = b")
@@ -340,10 +352,11 @@ def flt7(spark, sf):
     return v_state(spark, sf).where(s.isNull() | (s == "pending") | ((s == "empty") & (F.col("attempts") < 3))).select("uid")
 
 
-@query("flt8_target_filter", "SELECT title_id FROM v_title WHERE list_has_all(string_split(lower(title), ' '), ['steel']) OR list_has_any(string_split(lower(title), ' '), ['widget', 'rod'])")
+@query("flt8_target_filter", "SELECT title_id FROM v_listing JOIN part ON p_partkey = title_id WHERE list_has_all(string_split(lower(title), ' '), ['x2']) AND list_has_any(string_split(lower(title), ' '), ['widget', 'rod', 'ring']) AND p_size % 2 = 0")
 def flt8(spark, sf):
-    w = F.split(F.lower("title"), " ")
-    return v_title(spark, sf).where(F.array_contains(w, "steel") | F.arrays_overlap(w, F.array(F.lit("widget"), F.lit("rod")))).select("title_id")
+    """All of the required words, one of the others, and one of the wanted sizes exactly."""
+    sizes = [f"{20 * i}g" for i in range(1, 26)]
+    return H.target_filter(v_listing(spark, sf), "title", ("x2",), ("widget", "rod", "ring"), sizes).select("title_id")
 
 
 @query("flt9_facets", "SELECT seq FROM v_catalog WHERE material <> '' AND price > 0 AND contains(name, 'e')")
@@ -356,9 +369,11 @@ def flt11(spark, sf):
     return table(spark, sf, "documents").where(F.contains("text", F.lit("license")) | F.contains("text", F.lit("License"))).select("doc_id")
 
 
-@query("flt13_recent", "SELECT event_id FROM events WHERE date_diff('day', CAST(ts AS DATE), DATE '2024-01-31') <= 7")
+@query("flt13_recent", "SELECT doc_id FROM documents WHERE date_diff('day', DATE '2024-01-01' + CAST(doc_id % 365 AS INT), DATE '2024-12-31') <= 90 AND length(trim(text)) >= 200")
 def flt13(spark, sf):
-    return table(spark, sf, "events").where(S.age_days(F.to_date("ts"), F.to_date(F.lit("2024-01-31"))) <= 7).select("event_id")
+    """Recent reviews with a body of at least 200 characters."""
+    d = table(spark, sf, "documents").withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 365).cast("int")))
+    return d.where((S.age_days("day", F.lit("2024-12-31").cast("date")) <= 90) & (F.length(F.trim("text")) >= 200)).select("doc_id")
 
 
 @query("qv1_rules", "SELECT uid, 'flag_drift' AS rule FROM v_state WHERE has_insight <> (n_dims > 0) UNION ALL SELECT uid, 'missing_status' FROM v_state WHERE status IS NULL UNION ALL SELECT uid, 'attempts' FROM v_state WHERE attempts > 4")

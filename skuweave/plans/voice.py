@@ -195,10 +195,10 @@ def ev8(spark, sf):
     return t.groupBy("brand_raw", "base").agg(F.count("*").alias("n_members")).where("n_members >= 2")
 
 
-@query("ev9_variant_tree", """WITH m AS (SELECT p_partkey, p_brand, list_sort(list_distinct(string_split(concat(p_name, ' ', p_type), ' '))) AS s FROM part)
+@query("ev9_variant_tree", """WITH m AS (SELECT p_partkey, p_brand, list_sort(list_distinct(string_split(CASE WHEN p_partkey % 2 = 0 THEN concat(p_name, ' ', p_type) ELSE p_name END, ' '))) AS s FROM part)
 SELECT a.p_brand, a.p_partkey AS child, b.p_partkey AS parent FROM m a LEFT JOIN LATERAL (SELECT p_partkey FROM m b WHERE b.p_brand = a.p_brand AND len(b.s) < len(a.s) AND list_has_all(a.s, b.s) ORDER BY len(b.s) DESC, p_partkey LIMIT 1) b ON true""")
 def ev9(spark, sf):
-    p = table(spark, sf, "part").select("p_brand", "p_partkey", F.array_distinct(F.split(F.concat_ws(" ", "p_name", "p_type"), " ")).alias("s"))
+    p = table(spark, sf, "part").select("p_brand", "p_partkey", F.split(F.concat_ws(" ", "p_name", F.when(F.col("p_partkey") % 2 == 0, F.col("p_type"))), " ").alias("s"))
     return V.family_tree(p, "p_brand", "p_partkey", "s")
 
 
