@@ -107,19 +107,18 @@ class ChunkedTokenizer:
                 own = t.split("\0") if t else []
                 odd.update(own[:1])
             cuts.append(own)
-        get = self.cache.get
-        found = [None if c is None else list(map(get, c)) for c in cuts]
-        new = {x for c, f in zip(cuts, found, strict=True) if c and None in f for x, y in zip(c, f, strict=True) if y is None}
+        # New chunks are found by sets, so that each place of a text is looked up once only.
+        words = set().union(*[c for c in cuts if c is not None])
+        new = words.difference(self.cache)
         if new:
             if len(self.cache) + len(new) > CACHE_CHUNKS:
                 self.cache.clear()
-                new = {x for c in cuts if c for x in c}
+                new = words
             alone = [c for c in new if c in odd or c[0] not in " \n"]
             self.cache.update((c, self._bytes(c)) for c in alone)
             self._learn(list(new.difference(alone)))
-            get = self.cache.__getitem__
-            found = [f if c is None or None not in f else map(get, c) for c, f in zip(cuts, found, strict=True)]
-        return [self._bytes(t) if f is None else b"".join(f) for t, f in zip(texts, found, strict=True)]
+        get = self.cache.__getitem__
+        return [self._bytes(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cuts, strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -192,7 +191,7 @@ def compress(ids: np.ndarray, least: int = 8, base: int = 1 << 17) -> tuple[np.n
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
         seq, alive = seq[stay], alive[stay]
-        new = (np.cumsum(stay) - 1)[at]
+        new = np.sort(at) - np.arange(len(at))
         alive[new] = True
         alive[np.maximum(new - 1, 0)] = True
         alive[-1:] = False

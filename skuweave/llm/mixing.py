@@ -51,18 +51,26 @@ def poisson_mix(docs: DataFrame, weights: dict[str, float] | None = None, seed:
         return F.struct(p.alias("p"), (s["c"] + p).alias("c"), F.concat(s["all"], F.array(s["c"] + p)).alias("all"))
 
     cdf = F.aggregate(F.sequence(F.lit(1), last), start, step, lambda s: s["all"])
-    rates = rates.select(F.col("source").alias("_source"), parts.alias("_parts"), cdf.alias("_cdf"))
+    docs = docs.drop("copy", "n_copies", "shuffle_key")
+    own = {x: free_name(docs, x) for x in ("_key", "_source", "_parts", "_cdf")}
+    rates = rates.select(F.col("source").alias(own["_source"]), parts.alias(own["_parts"]), cdf.alias(own["_cdf"]))
     if rates.count() <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)
-    docs = docs.drop("copy", "n_copies", "shuffle_key")
     key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
     count = F.aggregate(
-        F.sequence(F.lit(1), F.col("_parts")), F.lit(0), lambda a, i: a + F.size(F.filter("_cdf", lambda c: c <= unit_hash(F.lit(seed), F.col("_key"), i.cast("string"))))
+        F.sequence(F.lit(1), F.col(own["_parts"])), F.lit(0), lambda a, i: a + F.size(F.filter(own["_cdf"], lambda c: c <= unit_hash(F.lit(seed), F.col(own["_key"]), i.cast("string"))))
     )
-    out = docs.withColumn("_key", key).join(rates, F.col(source_col).eqNullSafe(F.col("_source")))
+    out = docs.withColumn(own["_key"], key).join(rates, F.col(source_col).eqNullSafe(F.col(own["_source"])))
     out = out.withColumn("n_copies", count).where("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
-    out = out.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(f"{seed} order"), "_key", F.col("copy").cast("string"))))
-    return out.drop("_key", "_source", "_parts", "_cdf").repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    out = out.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(f"{seed} order"), own["_key"], F.col("copy").cast("string"))))
+    return out.drop(*own.values()).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
 
 
 #: The registered query's weights; a source that is not named has weight 1.

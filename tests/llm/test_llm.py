@@ -265,6 +265,54 @@ def test_classifiers_on_held_out_rows(spark, empty):
     assert toxicity.score_documents(d.limit(3).withColumn("text", F.lit(None).cast("string")), model).where("score between 0 and 1").count() == 3
 
 
+def test_classifiers_take_odd_rows(spark, docs, empty):
+    """Nulls, empty and very long texts, repeated rows and columns of other names: a score for every row."""
+    sf = "/root/testdata/sf0.001"
+    d, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    odd = docs.withColumn("score", F.lit("s")).withColumn("predicted", F.lit(None).cast("int"))
+    for module in (toxicity, rule_quality):
+        model = module.train(d, labels)
+        out = module.score_documents(odd, model)
+        rows = out.select("doc_id", "score", "predicted").collect()
+        assert len(rows) == odd.count() and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
+        same = [r["score"] for r in rows if r["doc_id"] in (12, 13)]
+        assert same[0] == same[1]
+
+
+def test_mixing_keeps_columns_of_any_name(spark):
+    rows = [(1, "t", "a", 5, 6, "k"), (2, None, None, 7, 8, None), (None, "u", "a", 1, 2, "x")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, _key int, _cdf int, other string")
+    out = mixing.poisson_mix(d, {"a": 3.0}, rows_out=3000)
+    assert set(d.columns) <= set(out.columns) and {(r["_key"], r["_cdf"], r["other"]) for r in out.collect()} <= {(r[3], r[4], r[5]) for r in rows}
+
+
+def test_pipeline_of_odd_tables(spark, docs, empty):
+    """Every stage takes an empty table, and one with nulls, repeated ids, empty and very long texts."""
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    for table in (empty, docs):
+        d = table.select(*corpus_pipeline.COLUMNS)
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, d, sf)
+            n = out.count()
+            assert n == 0 if table is empty else n > 0, name
+            if name != "sentencepiece":
+                d = spark.createDataFrame(out.collect(), d.schema)
+
+
+def test_splitters_against_the_order_of_keys(spark):
+    """Shards follow the order of (range, heavy key, cut, key), and equal texts within a range's size stay together."""
+    d = spark.range(3_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 900).cast("string"), F.repeat(F.lit("x"), (F.col("id") % 50).cast("int"))).alias("text"))
+    big = spark.createDataFrame([(9_000, "y" * 200_000)], "doc_id long, text string")
+    out = splitters.shard_by_splitters(d.union(big), shards=40).toPandas()
+    assert len(out) == 3_001 and out["shard"].between(0, 39).all()
+    assert all(sorted(g["slot"]) == list(range(len(g))) for _, g in out.groupby("shard"))
+    texts = {r["doc_id"]: r["text"] for r in d.collect()}
+    by_text = out[out["doc_id"] < 9_000].assign(text=lambda f: f["doc_id"].map(texts)).groupby("text")["shard"].nunique()
+    assert (by_text == 1).all()
+
+
 def test_noisy_or_finds_the_sentence():
     texts = [f"all is fine here today. {'you awful idiotface now.' if i % 2 else 'we like it.'} and more text number {i}." for i in range(80)]
     model = toxicity.fit_sentences(texts, np.arange(80) % 2)
