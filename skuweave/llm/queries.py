@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skuweave.llm import grammar, mixing, ngram_join, personal_data, pieces, pivot_index, rule_quality, splitters, toxicity, weighted_sampling
+from skuweave.llm import decontamination, grammar, hard_negatives, merkle, mixing, ngram_join, personal_data, pieces, pivot_index, rule_quality, splitters, toxicity, weighted_sampling
 from skuweave.llm.common import table
 
 
@@ -61,5 +61,29 @@ def op4_crf_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.personal_data(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op4_crf_personal_data": op4_crf_personal_data, "op9_pivot_near_vectors": op9_pivot_near_vectors, "op6_mil_toxicity": op6_mil_toxicity, "op8_rule_quality": op8_rule_quality, "op7_ngram_jaccard": op7_ngram_jaccard, "op5_weighted_sampling": op5_weighted_sampling, "op2_sentencepiece": op2_sentencepiece, "op3_repair_token_files": op3_repair_token_files, "op1_poisson_mixing": op1_poisson_mixing, "op10_sampled_splitters": op10_sampled_splitters}
-ORACLES = {"op1_poisson_mixing": mixing.ORACLE_SQL}
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_manifest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_poisson_mixing, op2_sentencepiece, op3_repair_token_files, op4_crf_personal_data, op5_weighted_sampling, op6_mil_toxicity, op7_ngram_jaccard,
+        op8_rule_quality, op9_pivot_near_vectors, op10_sampled_splitters, op11_hard_negatives, op12_decontamination, op13_merkle_manifest,
+    )
+}
+ORACLES = {
+    "op1_poisson_mixing": mixing.ORACLE_SQL,
+    "op11_hard_negatives": hard_negatives.ORACLE_SQL,
+    "op12_decontamination": decontamination.ORACLE_SQL,
+    "op13_merkle_manifest": merkle.ORACLE_SQL,
+}
