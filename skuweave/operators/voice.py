@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from skuweave.functions import scalars as S
 
@@ -124,97 +122,6 @@ def customer_view(points: DataFrame, per_section: int = 3, sections: int = 5) ->
     return p.withColumn("r", F.row_number().over(r)).withColumn("s", F.dense_rank().over(s)).where((F.col("r") <= per_section) & (F.col("s") <= sections)).select("bundle_uid", "section", "r", "point", "cited")
 
 
-def resolve_source(evidence: DataFrame, sources: DataFrame) -> DataFrame:
-    """Evidence with its source's text: ids match whatever their brackets and case."""
-    key = F.upper(F.regexp_extract("local_source_id", r"([A-Za-z]+[0-9]+)", 1))
-    return evidence.withColumn("sid", key).join(sources.select("product_uid", F.upper("local_id").alias("sid"), "doc_id", "body"), ["product_uid", "sid"], "left")
-
-
-def quote_check(quote, body) -> Column:
-    """verified: the soft or hard form of the quote is in the source; partial: 60 percent of its longer words are."""
-    q, b = S.col(quote), S.col(body)
-    words = F.array_distinct(F.filter(S.squeeze_words(q), lambda w: F.length(w) >= 2))
-    inside = F.filter(words, lambda w: F.contains(F.lower(b), w))
-    share = F.try_divide(F.size(inside).cast("double"), F.size(words))
-    whole = F.contains(S.soft_text(b), S.soft_text(q)) | F.contains(S.hard_text(b), S.hard_text(q))
-    return F.when(b.isNull(), "unverified").when(whole, "verified").when(share >= 0.6, "partial").otherwise("unverified")
-
-
-def supporting_sources(evidence: DataFrame, sources: DataFrame, run: int = 12) -> DataFrame:
-    """For each quote every source that holds its hard form, first source first.
-
-    Candidates share one run of `run` characters of the quote's hard form, its smallest by hash, so quotes and sources
-    meet by an equi join; a shorter quote is one run of its own length, and sources have runs of every length asked for.
-    """
-    chars = lambda c: F.filter(F.split(S.hard_text(c), ""), lambda x: x != "")
-    runs = F.transform(F.sequence(F.lit(1), F.when(F.col("n") > 0, F.size("w") - F.col("n") + 1).otherwise(1)), lambda i: F.xxhash64("n", F.slice("w", i, F.col("n"))))
-    ev = evidence.where("quote is not null").select("evidence_id", "quote", chars("quote").alias("w")).withColumn("n", F.least(F.size("w"), F.lit(run)))
-    ev = ev.withColumn("g", F.array_min(runs)).drop("w")
-    src = sources.where("body is not null").select("product_uid", "doc_id", "body", F.xxhash64("product_uid", "doc_id").alias("sid"))
-    # At most run + 1 lengths.
-    asked = src.select("sid", chars("body").alias("w")).crossJoin(F.broadcast(ev.select("n").distinct())).where(F.size("w") >= F.col("n"))
-    near = asked.select("sid", F.explode(F.array_distinct(runs)).alias("g")).join(ev.select("evidence_id", "quote", "g"), "g").select("evidence_id", "quote", "sid").distinct()
-    hit = near.join(src, "sid").where(F.contains(S.hard_text("body"), S.hard_text("quote")))
-    w = Window.partitionBy("evidence_id").orderBy("doc_id")
-    return hit.select("evidence_id", "product_uid", "doc_id").distinct().withColumn("place", F.row_number().over(w))
-
-
-def spans_of(sources: DataFrame, key: str = "doc_id", text: str = "body", least: int = 6) -> DataFrame:
-    """Sentences and pairs of neighbouring sentences of each text, of at least `least` characters."""
-    s = sources.select(key, F.posexplode(F.split(F.col(text), r"[.!?\n]+")).alias("pos", "span")).withColumn("span", F.trim("span")).where(F.length("span") > 0)
-    two = s.withColumn("nxt", F.lead("span").over(Window.partitionBy(key).orderBy("pos")))
-    both = s.select(key, "pos", F.lit(1).alias("width"), "span").union(two.where("nxt is not null").select(key, "pos", F.lit(2), F.concat_ws(" ", "span", "nxt")))
-    return both.where(F.length("span") >= least)
-
-
-@F.pandas_udf(T.DoubleType())
-def sequence_ratio(a, b):
-    """Similarity of two texts by matching blocks, 0 to 1."""
-    from difflib import SequenceMatcher
-
-    return a.combine(b, lambda x, y: SequenceMatcher(None, x or "", y or "").ratio()).astype(float)
-
-
-def ratio_from(least: float):
-    """sequence_ratio of two texts where it is at least `least`, else null: matching blocks are a common subsequence, so
-    pairs whose longest one (in bit-parallel form) is too short are not compared."""
-
-    @F.pandas_udf(T.DoubleType())
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        from difflib import SequenceMatcher
-
-        masks: dict[str, dict[str, int]] = {}
-
-        def one(x: str, y: str) -> float | None:
-            if x not in masks:
-                masks[x] = {}
-                for i, c in enumerate(x):
-                    masks[x][c] = masks[x].get(c, 0) | 1 << i
-            mask, full = masks[x], (1 << len(x)) - 1
-            left = full
-            for c in y:
-                if u := left & mask.get(c, 0):
-                    left = (left + u | left - u) & full
-            total = len(x) + len(y)
-            if total and 2.0 * (len(x) - left.bit_count()) / total < least:
-                return None
-            r = SequenceMatcher(None, x, y).ratio()
-            return r if r >= least else None
-
-        return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
-
-    return ratio
-
-
-def reground(quotes: DataFrame, spans: DataFrame, least: float = 0.72) -> DataFrame:
-    """The span most similar to each quote, if its ratio is at least 0.72; every span is tried whose length allows that."""
-    q = quotes.select("evidence_id", "quote").where("quote is not null")
-    a, b = F.length("quote"), F.length("span")
-    full = q.join(spans, F.lit(2.0) * F.least(a, b) / (a + b) >= least).withColumn("ratio", ratio_from(least)(F.col("quote"), F.col("span")))
-    w = Window.partitionBy("evidence_id").orderBy(F.desc("ratio"), "doc_id", "pos", "width")
-    return full.where(F.col("ratio") >= least).withColumn("r", F.row_number().over(w)).where("r = 1").select("evidence_id", "doc_id", "span", "ratio")
-
-
 def snippet_budget(items: DataFrame, group: str, order: str, text: str, budget: int = 28_000) -> DataFrame:
     """Items in order while their running length stays in the budget; the first always; nothing after the first overflow."""
     w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)

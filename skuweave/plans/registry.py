@@ -29,6 +29,7 @@ def load() -> None:
         attributes,
         audits,
         files,
+        grounded,
         matching,
         more,
         resolution,

@@ -63,9 +63,25 @@ def v_point(spark, sf) -> DataFrame:
 
 
 def v_source(spark, sf) -> DataFrame:
-    return table(spark, sf, "documents").select(
-        F.col("source").alias("product_uid"), F.expr("concat('S', cast(row_number() over (partition by source order by doc_id) as string))").alias("local_id"), "doc_id", "lang", F.col("text").alias("body")
-    )
+    d = table(spark, sf, "documents")
+    # The numbering sorts ids only; texts do not pass the window.
+    number = d.select("source", "doc_id").select("doc_id", F.expr("concat('S', cast(row_number() over (partition by source order by doc_id) as string))").alias("local_id"))
+    return d.join(number, "doc_id").select(F.col("source").alias("product_uid"), "local_id", "doc_id", "lang", F.col("text").alias("body"))
+
+
+def v_citation(spark, sf) -> DataFrame:
+    """A citation of each source's first longer sentence: exact, respaced, cut, of a wrong source, made up, misspelt or a question."""
+    s = v_source(spark, sf).withColumn("s", F.coalesce(F.get(F.filter(F.transform(F.split("body", r"[.!?\n]+"), lambda x: F.trim(x)), lambda x: F.length(x) >= 20), F.lit(0)), F.lit("")))
+    kind, made = F.col("doc_id") % 8, F.concat_ws(" ", F.md5(F.col("doc_id").cast("string")), F.md5(F.concat(F.lit("x"), F.col("doc_id").cast("string"))))
+    loud = F.replace(F.translate("s", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), F.lit(" "), F.lit("  "))
+    cut = F.array_join(F.filter(F.split("s", " "), lambda w, i: (i + 1) % 4 != 0), " ")
+    quote = F.when(kind == 1, loud).when(kind == 2, cut).when(kind == 5, made).when(kind == 6, F.translate("s", "aeio", "4310")).when(kind == 7, F.concat("s", F.lit("?"))).otherwise(F.col("s"))
+    wrong = (kind == 3) | ((kind == 5) & (F.col("doc_id") % 16 >= 8))
+    role = F.when(F.col("doc_id") % 3 == 0, "point").when(F.col("doc_id") % 3 == 1, "answer").otherwise("question")
+    return s.select(
+        F.col("doc_id").alias("citation_id"), "product_uid", F.concat(F.lit("[s"), F.when(wrong, "9999999").when(kind == 4, "1").otherwise(F.substring("local_id", 2, 20)), F.lit("]")).alias("local_source_id"),
+        quote.alias("quote"), role.alias("role"), (role == "question").alias("allow_question"), (F.col("doc_id") % 25).alias("owner"),
+    )
 
 
 def v_evidence(spark, sf) -> DataFrame:
@@ -146,6 +162,11 @@ SQL = {
   concat('point ', CAST(o.o_orderkey % 97 AS VARCHAR)) AS point, CAST(o.o_orderkey % 7 AS INT) AS cited, o.o_orderkey AS ord
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
     "v_source": "SELECT source AS product_uid, concat('S', CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS VARCHAR)) AS local_id, doc_id, lang, text AS body FROM documents",
+    "v_citation": """SELECT doc_id AS citation_id, product_uid, concat('[s', CASE WHEN doc_id % 8 = 3 OR (doc_id % 8 = 5 AND doc_id % 16 >= 8) THEN '9999999' WHEN doc_id % 8 = 4 THEN '1' ELSE local_id[2:] END, ']') AS local_source_id,
+  CASE doc_id % 8 WHEN 1 THEN replace(translate(s, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), ' ', '  ') WHEN 2 THEN array_to_string(list_filter(string_split(s, ' '), lambda w, i: i % 4 <> 0), ' ')
+    WHEN 5 THEN concat(md5(CAST(doc_id AS VARCHAR)), ' ', md5(concat('x', doc_id))) WHEN 6 THEN translate(s, 'aeio', '4310') WHEN 7 THEN concat(s, '?') ELSE s END AS quote,
+  CASE doc_id % 3 WHEN 0 THEN 'point' WHEN 1 THEN 'answer' ELSE 'question' END AS role, doc_id % 3 = 2 AS allow_question, doc_id % 25 AS owner
+  FROM (SELECT *, coalesce(list_filter(list_transform(regexp_split_to_array(body, '[.!?\n]+'), lambda x: trim(x)), lambda x: len(x) >= 20)[1], '') AS s FROM v_source)""",
     "v_evidence": """SELECT item_id AS evidence_id, concat('src', CAST(item_id % 20 AS VARCHAR)) AS product_uid, concat('[s', CAST(item_id % 10 + 1 AS VARCHAR), ']') AS local_source_id, text AS quote FROM benchmark""",
     "v_state": """SELECT concat('C', CAST(c_custkey AS VARCHAR)) AS uid, CASE c_custkey % 4 WHEN 0 THEN 'done' WHEN 1 THEN 'pending' WHEN 2 THEN 'empty' END AS status,
   CAST(c_custkey % 6 AS INT) AS attempts, CAST(c_custkey % 3 AS INT) AS n_dims, (c_custkey % 5 < 3) AS has_insight FROM customer""",
@@ -184,7 +205,7 @@ SQL = {
     "v_extracted": """SELECT p_partkey AS row_id, p_name AS name, CASE p_partkey % 4 WHEN 0 THEN 'jet black' WHEN 1 THEN 'White' WHEN 2 THEN 'blue' ELSE '' END AS color, concat(p_size, ',', p_size + 1) AS sizes, CASE p_partkey % 5 WHEN 0 THEN 'A' WHEN 1 THEN 'B' END AS domain,
   CASE WHEN p_partkey % 6 = 0 THEN concat(p_brand, '-', p_size, '-', p_partkey % 8) END AS style_code FROM part""",
 }
-NEEDS = {"v_price_day": ["v_offer"], "v_pair": ["v_title"], "v_attr": ["v_listing"], "v_key": ["v_attr"], "v_block": ["v_key"], "v_scored": ["v_block", "v_attr"], "v_routed": ["v_scored"], "v_judged": ["v_routed"], "v_entity": ["v_listing"]}
+NEEDS = {"v_citation": ["v_source"], "v_price_day": ["v_offer"], "v_pair": ["v_title"], "v_attr": ["v_listing"], "v_key": ["v_attr"], "v_block": ["v_key"], "v_scored": ["v_block", "v_attr"], "v_routed": ["v_scored"], "v_judged": ["v_routed"], "v_entity": ["v_listing"]}
 
 
 def _needed(name: str) -> list[str]:

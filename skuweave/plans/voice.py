@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skuweave.functions import scalars as S
+from skuweave.operators import grounding as G
 from skuweave.operators import voice as V
 from skuweave.plans.registry import query
 from skuweave.plans.views import table, v_evidence, v_point, v_source
@@ -124,12 +125,12 @@ CHECK = f"""CASE WHEN body IS NULL THEN 'unverified' WHEN contains({SOFT.format(
 
 @query("ev1_source_resolution", f"WITH {RES} SELECT evidence_id, product_uid, doc_id FROM res")
 def ev1(spark, sf):
-    return V.resolve_source(v_evidence(spark, sf), v_source(spark, sf)).select("evidence_id", "product_uid", "doc_id")
+    return G.resolve_source(v_evidence(spark, sf), v_source(spark, sf)).select("evidence_id", "product_uid", "doc_id")
 
 
 @query("ev2_quote_check", f"WITH {RES} SELECT evidence_id, doc_id, {CHECK} AS status FROM res")
 def ev2(spark, sf):
-    return V.resolve_source(v_evidence(spark, sf), v_source(spark, sf)).select("evidence_id", "doc_id", V.quote_check("quote", "body").alias("status"))
+    return G.resolve_source(v_evidence(spark, sf), v_source(spark, sf)).select("evidence_id", "doc_id", G.quote_check("quote", "body").alias("status"))
 
 
 HITS = f"hits AS (SELECT e.evidence_id, s.product_uid, s.doc_id, row_number() OVER (PARTITION BY e.evidence_id ORDER BY s.doc_id) AS place FROM v_evidence e JOIN v_source s ON contains({HARD.format('s.body')}, {HARD.format('e.quote')}))"
@@ -137,43 +138,31 @@ HITS = f"hits AS (SELECT e.evidence_id, s.product_uid, s.doc_id, row_number() OV
 
 @query("ev3_supporting_sources", f"WITH {HITS} SELECT * FROM hits")
 def ev3(spark, sf):
-    return V.supporting_sources(v_evidence(spark, sf), v_source(spark, sf))
+    return G.supporting_sources(v_evidence(spark, sf), v_source(spark, sf))
 
 
 @query("ev5_resolution_counters", f"WITH {RES}, {HITS} SELECT CASE WHEN status <> 'unverified' THEN status WHEN h.evidence_id IS NOT NULL THEN 'recovered' ELSE 'dropped' END AS outcome, count(*) AS n FROM (SELECT evidence_id, {CHECK} AS status FROM res) c LEFT JOIN (SELECT DISTINCT evidence_id FROM hits) h ON h.evidence_id = c.evidence_id GROUP BY 1")
 def ev5(spark, sf):
     e, s = v_evidence(spark, sf), v_source(spark, sf)
-    checked = V.resolve_source(e, s).select("evidence_id", V.quote_check("quote", "body").alias("status"))
-    found = V.supporting_sources(e, s).select("evidence_id").distinct().withColumn("found", F.lit(True))
+    checked = G.resolve_source(e, s).select("evidence_id", G.quote_check("quote", "body").alias("status"))
+    found = G.supporting_sources(e, s).select("evidence_id").distinct().withColumn("found", F.lit(True))
     out = F.when(F.col("status") != "unverified", F.col("status")).when(F.col("found"), "recovered").otherwise("dropped")
     return checked.join(found, "evidence_id", "left").groupBy(out.alias("outcome")).agg(F.count("*").alias("n"))
 
 
 @query("ev7_recovery_uniqueness", f"WITH {HITS} SELECT evidence_id, count(DISTINCT doc_id) AS n_sources FROM hits GROUP BY evidence_id")
 def ev7(spark, sf):
-    return V.supporting_sources(v_evidence(spark, sf), v_source(spark, sf)).groupBy("evidence_id").agg(F.countDistinct("doc_id").alias("n_sources"))
-
-
-@query("ag28_verification_counters", f"WITH {RES} SELECT product_uid, count(*) FILTER (s = 'verified') AS n_verified, count(*) FILTER (s = 'partial') AS n_partial, count(*) FILTER (s = 'unverified') AS n_dropped FROM (SELECT product_uid, {CHECK} AS s FROM res) GROUP BY product_uid")
-def ag28(spark, sf):
-    c = V.resolve_source(v_evidence(spark, sf), v_source(spark, sf)).withColumn("s", V.quote_check("quote", "body"))
-    return c.groupBy("product_uid").agg(*[F.count_if(F.col("s") == a).alias(b) for a, b in (("verified", "n_verified"), ("partial", "n_partial"), ("unverified", "n_dropped"))])
-
-
-@query("ev6_point_acceptance", "SELECT p.product_uid, p.point, count(s.doc_id) AS cited FROM (SELECT product_uid, local_source_id, evidence_id % 4 AS point FROM v_evidence) p JOIN v_source s ON s.product_uid = p.product_uid AND upper(s.local_id) = upper(regexp_extract(p.local_source_id, '([A-Za-z]+[0-9]+)', 1)) GROUP BY ALL HAVING count(s.doc_id) > 0")
-def ev6(spark, sf):
-    r = V.resolve_source(v_evidence(spark, sf), v_source(spark, sf)).withColumn("point", F.col("evidence_id") % 4)
-    return r.groupBy("product_uid", "point").agg(F.count("doc_id").alias("cited")).where("cited > 0")
+    return G.supporting_sources(v_evidence(spark, sf), v_source(spark, sf)).groupBy("evidence_id").agg(F.countDistinct("doc_id").alias("n_sources"))
 
 
 @query("ev4_spans", "WITH s AS (SELECT doc_id, unnest(range(len(a))) AS pos, trim(unnest(a)) AS span FROM (SELECT doc_id, regexp_split_to_array(text, '[.!?\n]+') AS a FROM documents)), t AS (SELECT *, lead(span) OVER (PARTITION BY doc_id ORDER BY pos) AS nxt FROM s WHERE length(span) > 0), u AS (SELECT doc_id, pos, 1 AS width, span FROM t UNION ALL SELECT doc_id, pos, 2, concat(span, ' ', nxt) FROM t WHERE nxt IS NOT NULL) SELECT doc_id, count(*) AS n, CAST(sum(length(span)) AS BIGINT) AS chars, CAST(sum(pos * width) AS BIGINT) AS places FROM u WHERE length(span) >= 6 GROUP BY doc_id")
 def ev4(spark, sf):
-    return V.spans_of(v_source(spark, sf)).groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.length("span")).alias("chars"), F.sum(F.col("pos") * F.col("width")).alias("places"))
+    return G.spans_of(v_source(spark, sf)).groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.length("span")).alias("chars"), F.sum(F.col("pos") * F.col("width")).alias("places"))
 
 
 @query("ev4_reground")
 def ev4b(spark, sf):
-    return V.reground(v_evidence(spark, sf), V.spans_of(v_source(spark, sf)))
+    return G.reground(v_evidence(spark, sf), G.spans_of(v_source(spark, sf)))
 
 
 @query("wn11_snippet_budget", "SELECT product_uid, doc_id, CAST(sum(length(body)) OVER w AS BIGINT) AS running, row_number() OVER w AS place, row_number() OVER w = 1 OR sum(length(body)) OVER w <= 28000 AS kept FROM v_source WINDOW w AS (PARTITION BY product_uid ORDER BY doc_id ROWS UNBOUNDED PRECEDING)")
@@ -183,7 +172,7 @@ def wn11(spark, sf):
 
 @query("jn1_serving_view", f"WITH {RES} SELECT p.product_uid AS point_uid, p.point, r.evidence_id, r.doc_id FROM v_point p LEFT JOIN (SELECT *, concat('O', CAST(evidence_id AS VARCHAR)) AS uid FROM res) r ON r.uid = p.product_uid")
 def jn1(spark, sf):
-    r = V.resolve_source(v_evidence(spark, sf), v_source(spark, sf)).select(F.concat(F.lit("O"), F.col("evidence_id").cast("string")).alias("product_uid"), "evidence_id", "doc_id")
+    r = G.resolve_source(v_evidence(spark, sf), v_source(spark, sf)).select(F.concat(F.lit("O"), F.col("evidence_id").cast("string")).alias("product_uid"), "evidence_id", "doc_id")
     return v_point(spark, sf).join(r, "product_uid", "left").select(F.col("product_uid").alias("point_uid"), "point", "evidence_id", "doc_id")
 
 

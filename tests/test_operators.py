@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from skuweave.functions import scalars as S
 from skuweave.functions import text as A
+from skuweave.operators import grounding as G
 from skuweave.operators import prices as P
 from skuweave.operators import resolve as R
 from skuweave.operators import shape as H
@@ -115,15 +116,15 @@ def test_taxonomy_round_trip(spark):
 
 
 def test_quote_check(spark):
-    assert one(spark, V.quote_check(F.lit("Very  Good"), F.lit("it is very good!"))) == "verified"
-    assert one(spark, V.quote_check(F.lit("crisp sweet apple pie"), F.lit("sweet apple, a pie"))) == "partial"
-    assert one(spark, V.quote_check(F.lit("bad"), F.lit("nice"))) == "unverified"
+    assert one(spark, G.quote_check(F.lit("Very  Good"), F.lit("it is very good!"))) == "verified"
+    assert one(spark, G.quote_check(F.lit("crisp sweet apple pie"), F.lit("sweet apple, a pie"))) == "partial"
+    assert one(spark, G.quote_check(F.lit("bad"), F.lit("nice"))) == "unverified"
 
 
 def test_reground_finds_the_nearest_span(spark):
     quotes = spark.createDataFrame([(1, "the battery lasts two days")], "evidence_id long, quote string")
     src = spark.createDataFrame([(7, "Nice box. The battery lasts for two days. Cheap.")], "doc_id long, body string")
-    got = V.reground(quotes, V.spans_of(src)).first()
+    got = G.reground(quotes, G.spans_of(src)).first()
     assert got["doc_id"] == 7 and "battery lasts for two days" in got["span"]
 
 
@@ -134,7 +135,7 @@ def test_supporting_sources_miss_no_quote(spark):
     ev = spark.createDataFrame(list(enumerate(quotes)), "evidence_id long, quote string")
     hard = lambda t: re.sub(r"[\W_]+", "", t.lower())
     want = {(e, d) for e, q in enumerate(quotes) for d, b in enumerate(bodies) if q is not None and b is not None and hard(q) in hard(b)}
-    got = V.supporting_sources(ev, src).collect()
+    got = G.supporting_sources(ev, src).collect()
     assert {(r["evidence_id"], r["doc_id"]) for r in got} == want and len(got) == len(want)
 
 
@@ -142,8 +143,8 @@ def test_reground_tries_every_span(spark):
     quotes = ["batteries lasted two dayz", "電池が二日間もちます", "colour fades afterwards", "it'sreallygreat", "nothing like this anywhere", None, ""]
     body = "The battery lasts two days. Batteries last two day. 電池は二日間もちました! Colours faded afterward. Its really great! ok ok ok. " + "Some filler text about a kettle. " * 9
     src = spark.createDataFrame([(7, body), (8, body[20:400] + "x" * 300)], "doc_id long, body string")
-    spans = V.spans_of(src)
-    got = {r["evidence_id"]: (r["doc_id"], r["span"], r["ratio"]) for r in V.reground(spark.createDataFrame(list(enumerate(quotes)), "evidence_id long, quote string"), spans).collect()}
+    spans = G.spans_of(src)
+    got = {r["evidence_id"]: (r["doc_id"], r["span"], r["ratio"]) for r in G.reground(spark.createDataFrame(list(enumerate(quotes)), "evidence_id long, quote string"), spans).collect()}
     rows = sorted(spans.collect(), key=lambda r: (r["doc_id"], r["pos"], r["width"]))
     want = {}
     for i, q in enumerate(quotes):
@@ -153,6 +154,87 @@ def test_reground_tries_every_span(spark):
     assert got == want and {0, 1, 2, 3} <= set(want)
 
 
+def held_by(quote, body):
+    soft = lambda t: re.sub(r"\s+", " ", t.lower()).strip()
+    hard = lambda t: re.sub(r"[\W_]+", "", t.lower())
+    if soft(quote) in soft(body) or hard(quote) in hard(body):
+        return "verified"
+    words = {w for w in re.split(r"[\W_]+", quote.lower()) if len(w) >= 2}
+    return "partial" if words and sum(w in body.lower() for w in words) / len(words) >= 0.6 else None
+
+
+def most_similar(quote, body, least=0.72):
+    parts = [x for p in re.split(r"[.!?\n]+", body) if (x := p.strip(" "))]
+    spans = [x.lower() for x in [*parts, *(f"{a} {b}" for a, b in zip(parts, parts[1:], strict=False))] if len(x) >= 6]
+    found = [(SequenceMatcher(None, quote.lower(), x).ratio(), -i, x) for i, x in enumerate(spans)]
+    return max(f for f in found) if found and max(found)[0] >= least else None
+
+
+def test_citations_take_the_whole_path(spark):
+    bodies = {
+        1: "The lid fits well. It keeps soup warm for six hours! Cheap too.", 2: "My kettle boils fast. The handle gets hot.", 3: "Keeps soup warm all day long. The lid leaks.", 4: None, 5: "Lid? Fits. The handle gets really hot, careful",
+    }
+    product = {1: "a", 2: "a", 3: "b", 4: "b", 5: "a"}
+    quotes = [
+        ("a", "[s1]", "It keeps soup warm"), ("a", "[s1]", "KEEPS  SOUP-warm"), ("a", "[S1 ]", "soup warm and cheap lid"), ("a", "s2", "keeps soup warm for six hours"), ("a", "S9", "the lid fits well"), ("a", "s1", "it kept soup warn for 6 hours"),
+        ("a", "s2", "it kept soup warn for 6 hours"), ("a", "s9", "xq zz vv"), ("a", "s1", "xq zz vv"), ("a", "s2", "does the lid fit?"), ("b", "s2", "the lid leaks"), ("b", "s1", ""), ("b", "s1", None), ("c", "s1", "the lid"), ("a", "s3", "Lid?"), ("a", "s9", "the handel gets realy hot, carefull"),
+        ("a", "s2", "warm soup kept for two"), ("b", "s1", "!!"), (None, "s1", "the lid"), ("a", None, "the lid fits well"), ("a", "s1", "it keepz soop warmm for sixx hourz"), ("a", "s2", "it keepz soop warmm for sixx hourz"),
+    ]
+    c = spark.createDataFrame([(i, p, s, q, i % 2 == 1) for i, (p, s, q) in enumerate(quotes)], "citation_id long, product_uid string, local_source_id string, quote string, allow_question boolean")
+    local = {1: "S1", 2: "S2", 5: "S3", 3: "S1", 4: "S2"}
+    src = spark.createDataFrame([(product[d], local[d], d, b) for d, b in bodies.items()], "product_uid string, local_id string, doc_id long, body string")
+    want = {}
+    for i, (p, s, q) in enumerate(quotes):
+        m = re.search("([A-Za-z]+[0-9]+)", s or "")
+        own = next((d for d in bodies if m and product[d] == p and local[d] == m[1].upper()), None)
+        mine = {d: b for d, b in bodies.items() if product[d] == p and b is not None}
+        blank = not (q or "").strip()
+        status = None if blank or own not in mine else held_by(q, mine[own])
+        got = (own, q, status, None) if status else None
+        if not got and not blank:
+            if own in mine and (near := most_similar(q, mine[own])):
+                got = own, near[2], "regrounded", "quote_same"
+            elif hit := next(((d, st) for d, b in mine.items() if (st := held_by(q, b))), None):
+                got = hit[0], q, hit[1], "quote_cross" if own else "id"
+            elif near := max(((n[0], -d, n[2]) for d, b in mine.items() if (n := most_similar(q, b))), default=None):
+                got = -near[1], near[2], "regrounded", "quote_cross" if own else "id"
+        question = got and i % 2 == 0 and re.search(r"\?$|^(who|what|when|where|why|how|is|are|can|does|do)\b", got[1].strip(), re.I)
+        want[i] = (*(got or (None, None, None, None)), ("question" if question else None) if got else "quote" if own else "id")
+    got = {r["citation_id"]: (r["doc_id"], r["quote"], r["match"], r["recovery"], r["dropped"]) for r in G.ground_citations(c, src).collect()}
+    assert got == want
+    assert {w[2] for w in want.values()} == {"verified", "partial", "regrounded", None} and {w[3] for w in want.values()} == {"id", "quote_same", "quote_cross", None} and {w[4] for w in want.values()} >= {"id", "quote", "question"}
+    assert G.ground_citations(c.limit(0), src).count() == 0
+
+
+def test_fingerprints_of_any_length(spark):
+    rng = random.Random(4)
+    bodies = ["".join(rng.choice("abc ") for _ in range(rng.randrange(0, 200))) for _ in range(40)]
+    quotes = [b[(at := rng.randrange(len(b) + 1)) : at + rng.randrange(40)] for b in bodies if b for _ in range(4)]
+    src = spark.createDataFrame([("", i, b) for i, b in enumerate(bodies)], "scope string, doc_id long, text string")
+    got = {(r["q"], r["doc_id"]) for r in G.texts_that_hold(spark.createDataFrame([(q,) for q in quotes], "q string"), src).collect()}
+    assert got == {(q, i) for q in quotes for i, b in enumerate(bodies) if q in b}
+
+
+def test_spans_meet_without_a_nested_loop(spark, monkeypatch):
+    rng = random.Random(6)
+    words = ["kettle", "lid", "warm", "soup", "handle", "hot", "leaks", "fits"]
+    line = lambda: " ".join(rng.choice(words) for _ in range(rng.randrange(2, 9)))
+    spans = [(rng.choice("xy"), line(), [i, 0, 1], i) for i in range(300)]
+    quotes = [(i, rng.choice("xyz"), line()[rng.randrange(3) :]) for i in range(60)]
+    want = {}
+    for i, scope, q in quotes:
+        best = max(((SequenceMatcher(None, q, s).ratio(), -o[0], s) for sc, s, o, _ in spans if sc == scope), default=None)
+        if best and best[0] >= 0.72:
+            want[i] = (best[0], -best[1], best[2])
+    for size in (4096, 20):
+        monkeypatch.setattr(G, "CELL_SPANS", size)
+        monkeypatch.setattr(G, "CELL_QUOTES", max(3, size // 8))
+        out = G.nearest_spans(spark.createDataFrame(quotes, "qid long, scope string, quote string"), spark.createDataFrame(spans, "scope string, span string, ord array<long>, doc_id long"), 0.72)
+        assert {r["qid"]: (r["ratio"], r["doc_id"], r["span"]) for r in out.collect()} == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and len(want) > 20
+
+
 def test_components_and_guard(spark):
     edges = spark.createDataFrame([(1, 2, 0.9), (2, 3, 0.8), (5, 4, 0.9), (9, 9, 1.0), (3, 10, 0.7)], "a long, b long, score double")
     got = {r["id"]: r["component"] for r in R.connected_components(edges).collect()}
