@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skuweave.functions import scalars as S
+from skuweave.sources.shared import cut
 
 DIM_LABELS = {"strengths": "Strengths", "weaknesses": "Weaknesses", "taste": "Taste", "size": "Size", "scene": "Scene of use"}
 SELLER_ONLY = ("verdict.weaknesses",)
@@ -144,7 +145,69 @@ def family_tree(members: DataFrame, family: str, member: str, signature: str) ->
     return m.join(best, [family, "s"], "left").select(family, "child", "parent")
 
 
-def distinctive(points: DataFrame, key: str, parent: str) -> DataFrame:
-    """A key's points without those of its parent."""
-    up = points.select(F.col(key).alias(parent), F.col("point")).distinct()
-    return points.join(up, [parent, "point"], "left_anti")
+def ancestors(tree: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
+    """(child, ancestor, distance) of a forest of (child, parent), by a recursive query: one step a level, no level in one task."""
+    spark, limit = tree.sparkSession, "spark.sql.cteRecursionRowLimit"
+    links = cut(tree.select(F.col(child).alias("child"), F.col(parent).alias("parent")).where("parent is not null"), "links")
+    was = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")  # rows grow with the table; the recursion ends with the tree
+    try:
+        return cut(spark.sql("""
+            WITH RECURSIVE up(child, ancestor, distance) AS (
+              SELECT child, parent, 1 FROM {links} UNION ALL SELECT u.child, l.parent, u.distance + 1 FROM up u JOIN {links} l ON u.ancestor = l.child
+            ) SELECT * FROM up""", links=links), "ancestors")
+    finally:
+        spark.conf.set(limit, was)
+
+
+def distinctive(points: DataFrame, above: DataFrame, shared: DataFrame, family: str) -> DataFrame:
+    """points (family, member, dim, point) without those of the member's ancestors and those that the family shares (family, point)."""
+    inherited = above.join(points.select(F.col("member").alias("ancestor"), "point").distinct(), "ancestor").select(F.col("child").alias("member"), "point")
+    return points.join(inherited, ["member", "point"], "left_anti").join(shared, [family, "point"], "left_anti")
+
+
+def variant_points(tree: DataFrame, points: DataFrame, shared: DataFrame, family: str) -> tuple[DataFrame, DataFrame]:
+    """A family's points along its tree: (node, level, dim, point) of what each node says first, and the nodes that stay.
+
+    tree: family, child, parent (null under the family's root); points: family, member, dim, point; shared: family, point.
+    1. A member's own points are those that neither the family shares nor an ancestor has.
+    2. From the lowest level up, a point that two or more children of a node have goes to the node, with the dimension of
+       the first child; children of the root give to the family (node null, level 0).
+    3. A node stays if it or a node below it has points of its own.
+    Levels are as many as the longest chain of signatures, each one grouping of its own rows. A member of several rows of a point
+    has it once, in its first dimension. Points of members that are not in the tree are left out.
+
+    Returns (family, node, level, dim, point) and (family, node, parent, level, n_points).
+    """
+    above = ancestors(tree)
+    depth = above.groupBy("child").agg((F.max("distance") + 1).alias("level"))
+    nodes = tree.select(family, F.col("child").alias("node"), "parent").join(depth.withColumnRenamed("child", "node"), "node", "left").withColumn("level", F.coalesce("level", F.lit(1)))
+    nodes = cut(nodes, "nodes")
+    own = points.groupBy(family, "member", "point").agg(F.min("dim").alias("dim"))
+    first = distinctive(own, above, shared.select(family, "point").distinct(), family)
+    first = cut(first.withColumnRenamed("member", "node").join(nodes.select("node", "parent", "level"), "node"), "own-points")
+    deepest = nodes.agg(F.max("level")).first()[0] or 0
+    cols, done, at = [family, "node", "parent", "level", "dim", "point"], [], None
+    for level in range(deepest, 0, -1):
+        here = first.where(F.col("level") == level).select(*cols)
+        if at is not None:  # what came up from below, where the node does not say it itself
+            here = here.unionByName(at.join(here.select("node", "point"), ["node", "point"], "left_anti").select(*cols))
+        common = here.groupBy(family, "parent", "point").agg(F.count_distinct("node").alias("n"), F.min(F.struct("node", "dim"))["dim"].alias("dim")).where("n >= 2")
+        common = cut(common, "common")
+        key = here[family].eqNullSafe(common[family]) & here["parent"].eqNullSafe(common["parent"]) & (here["point"] == common["point"])
+        done.append(here.join(common, key, "left_anti"))
+        up = common.withColumnRenamed("parent", "node").join(nodes.select("node", "parent"), "node", "left").withColumn("level", F.lit(level - 1))
+        root = up.where("node is null").select(*cols)
+        done.append(root)
+        at = up.where("node is not null").select(*cols)
+    out = done[0] if done else first.select(*cols)
+    for d in done[1:]:
+        out = out.unionByName(d)
+    # The family's own points come from several levels at once, each once, in the dimension of the lowest level number.
+    out = cut(out.select(family, "node", F.when(F.col("node").isNull(), 0).otherwise(F.col("level")).alias("level"), "dim", "point"), "tree-points")
+    top = out.where("node is null").groupBy(family, "point").agg(F.min("dim").alias("dim")).select(family, F.lit(None).cast(nodes.schema["node"].dataType).alias("node"), F.lit(0).alias("level"), "dim", "point")
+    out = out.where("node is not null").unionByName(top)
+    count = out.where("node is not null").groupBy("node").agg(F.count("*").alias("n_points"))
+    alive = count.select("node").union(above.join(count, F.col("child") == F.col("node")).select(F.col("ancestor").alias("node"))).distinct()
+    kept = nodes.join(alive, "node", "left_semi").join(count, "node", "left").select(family, "node", "parent", "level", F.coalesce("n_points", F.lit(0)).alias("n_points"))
+    return out, kept

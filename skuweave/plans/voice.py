@@ -108,13 +108,6 @@ def shp13(spark, sf):
     return v_point(spark, sf).groupBy("bundle_uid").agg(pick("verdict.strengths").alias("strengths"), pick("verdict.weaknesses").alias("weaknesses"), F.countDistinct(F.when(F.startswith("dim_path", F.lit("aspect.")), F.col("dim_path"))).alias("n_aspects"))
 
 
-@query("st4_distinctive_points", "SELECT DISTINCT p.bundle_uid, p.dim_path, p.point FROM v_point p ANTI JOIN (SELECT DISTINCT category, dim_path, point FROM v_point WHERE ord % 5 = 0) s ON s.category = p.category AND s.dim_path = p.dim_path AND s.point = p.point")
-def st4(spark, sf):
-    p = v_point(spark, sf)
-    shared = p.where("ord % 5 = 0").select("category", "dim_path", "point").distinct()
-    return p.join(shared, ["category", "dim_path", "point"], "left_anti").select("bundle_uid", "dim_path", "point").distinct()
-
-
 RES = """res AS (SELECT e.evidence_id, e.product_uid, e.quote, s.doc_id, s.body FROM v_evidence e LEFT JOIN v_source s ON s.product_uid = e.product_uid AND upper(s.local_id) = upper(regexp_extract(e.local_source_id, '([A-Za-z]+[0-9]+)', 1)))"""
 SOFT = "trim(regexp_replace(lower({0}), '\\s+', ' ', 'g'))"
 HARD = "regexp_replace(lower({0}), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
@@ -191,11 +184,58 @@ def ev9(spark, sf):
     return V.family_tree(p, "p_brand", "p_partkey", "s")
 
 
-@query("ev10_distinctive_path", "SELECT bundle_uid, point, count(*) AS n FROM (SELECT DISTINCT p.bundle_uid, p.product_uid, p.point FROM v_point p ANTI JOIN (SELECT bundle_uid, point FROM v_point GROUP BY ALL HAVING count(DISTINCT product_uid) >= 2) s ON s.bundle_uid = p.bundle_uid AND s.point = p.point) GROUP BY ALL")
+#: Each member's points: what its line items say. A family shares what a third of its members say.
+TREE = """m AS MATERIALIZED (SELECT p_brand AS family, p_partkey AS member, list_sort(list_distinct(string_split(CASE WHEN p_partkey % 2 = 0 THEN concat(p_name, ' ', p_type) ELSE p_name END, ' '))) AS s FROM part),
+ t AS MATERIALIZED (SELECT a.family, a.member AS node, b.member AS parent FROM m a LEFT JOIN LATERAL (SELECT member FROM m b WHERE b.family = a.family AND len(b.s) < len(a.s) AND list_has_all(a.s, b.s) ORDER BY len(b.s) DESC, member LIMIT 1) b ON true),
+ pt AS MATERIALIZED (SELECT p_brand AS family, l_partkey AS node, concat('says ', l_orderkey % 499) AS point, min(concat('d', l_linenumber)) AS dim FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ALL),
+ sh AS (SELECT family, point FROM (SELECT family, point, count(DISTINCT node) AS k FROM pt GROUP BY family, point) JOIN (SELECT family, count(*) AS n FROM m GROUP BY family) USING (family) WHERE k * 3 >= n),
+ up(node, ancestor, level) AS (SELECT node, parent, 1 FROM t UNION ALL SELECT u.node, t.parent, u.level + 1 FROM up u JOIN t ON u.ancestor = t.node WHERE u.ancestor IS NOT NULL),
+ lv AS MATERIALIZED (SELECT node, max(level) AS level FROM up GROUP BY node),
+ own AS MATERIALIZED (SELECT pt.*, t.parent, lv.level FROM pt JOIN t USING (node) JOIN lv USING (node) WHERE NOT EXISTS (SELECT 1 FROM sh WHERE sh.family = pt.family AND sh.point = pt.point) AND NOT EXISTS (SELECT 1 FROM up JOIN pt q ON q.node = up.ancestor WHERE up.node = pt.node AND q.point = pt.point))"""
+LEVELS = 5
+
+
+def _promotion() -> str:
+    """The levels from the lowest up, each as common table expressions; LEVELS is more than the chains of signatures are long."""
+    out = [f"h{LEVELS} AS MATERIALIZED (SELECT family, node, parent, dim, point FROM own WHERE level = {LEVELS})"]
+    for n in range(LEVELS, 0, -1):
+        out.append(f"c{n} AS MATERIALIZED (SELECT family, parent, point, min(struct_pack(n := node, d := dim)).d AS dim FROM h{n} GROUP BY family, parent, point HAVING count(DISTINCT node) >= 2)")
+        out.append(f"k{n} AS (SELECT h.family, h.node, {n} AS level, h.dim, h.point FROM h{n} h LEFT JOIN c{n} c ON c.family = h.family AND c.parent IS NOT DISTINCT FROM h.parent AND c.point = h.point WHERE c.point IS NULL)")
+        if n > 1:
+            out.append(f"h{n - 1} AS MATERIALIZED (SELECT family, node, parent, dim, point FROM own WHERE level = {n - 1} UNION ALL SELECT c.family, c.parent, t.parent, c.dim, c.point FROM c{n} c JOIN t ON t.node = c.parent WHERE NOT EXISTS (SELECT 1 FROM own o WHERE o.node = c.parent AND o.point = c.point))")
+    tops = " UNION ALL ".join(f"SELECT family, point, dim FROM c{n} WHERE parent IS NULL" for n in range(1, LEVELS + 1))
+    out.append("said AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM k{n}" for n in range(1, LEVELS + 1)) + f" UNION ALL SELECT family, NULL, 0, min(dim), point FROM ({tops}) GROUP BY family, point)")
+    return ", ".join(out)
+
+
+def _variant_points(spark, sf):
+    p = table(spark, sf, "part")
+    m = p.select(F.col("p_brand").alias("family"), F.col("p_partkey").alias("member"), F.split(F.concat_ws(" ", "p_name", F.when(F.col("p_partkey") % 2 == 0, F.col("p_type"))), " ").alias("s"))
+    says = table(spark, sf, "lineitem").join(p, F.expr("p_partkey = l_partkey"))
+    says = says.select(F.col("p_brand").alias("family"), F.col("l_partkey").alias("member"), F.concat(F.lit("d"), F.col("l_linenumber").cast("string")).alias("dim"), F.concat(F.lit("says "), (F.col("l_orderkey") % 499).cast("string")).alias("point"))
+    n = m.groupBy("family").agg(F.count("*").alias("n"))
+    shared = says.groupBy("family", "point").agg(F.count_distinct("member").alias("k")).join(n, "family").where("k * 3 >= n").select("family", "point")
+    return V.family_tree(m, "family", "member", "s"), says, shared
+
+
+@query("st4_distinctive_points", f"WITH RECURSIVE {TREE} SELECT family, node AS member, dim, point FROM own")
+def st4(spark, sf):
+    tree, says, shared = _variant_points(spark, sf)
+    own = says.groupBy("family", "member", "point").agg(F.min("dim").alias("dim"))
+    return V.distinctive(own, V.ancestors(tree), shared, "family").select("family", "member", "dim", "point")
+
+
+@query("ev10_distinctive_path", f"WITH RECURSIVE {TREE}, {_promotion()} SELECT family, node, level, dim, point FROM said")
 def ev10(spark, sf):
-    p = v_point(spark, sf)
-    promoted = p.groupBy("bundle_uid", "point").agg(F.countDistinct("product_uid").alias("k")).where("k >= 2").select("bundle_uid", "point")
-    return p.join(promoted, ["bundle_uid", "point"], "left_anti").select("bundle_uid", "product_uid", "point").distinct().groupBy("bundle_uid", "point").agg(F.count("*").alias("n"))
+    tree, says, shared = _variant_points(spark, sf)
+    return V.variant_points(tree, says, shared, "family")[0]
+
+
+@query("ev10_kept_nodes", f"""WITH RECURSIVE {TREE}, {_promotion()}, n AS (SELECT node, count(*) AS n_points FROM said WHERE node IS NOT NULL GROUP BY node)
+ SELECT t.family, t.node, t.parent, lv.level, coalesce(n_points, 0) AS n_points FROM t JOIN lv USING (node) LEFT JOIN n USING (node) WHERE t.node IN (SELECT node FROM n UNION SELECT ancestor FROM up JOIN n USING (node))""")
+def ev10_nodes(spark, sf):
+    tree, says, shared = _variant_points(spark, sf)
+    return V.variant_points(tree, says, shared, "family")[1]
 
 
 @query("ev12_product_group", "SELECT p_brand, p_name, string_agg(DISTINCT CAST(p_size AS VARCHAR), '|' ORDER BY CAST(p_size AS VARCHAR)) AS sizes, count(DISTINCT p_size) > 1 AS varies, CAST(floor(min(p_retailprice) * 100 + 0.5) AS BIGINT) AS low, CAST(floor(max(p_retailprice) * 100 + 0.5) AS BIGINT) AS high FROM part GROUP BY ALL")
