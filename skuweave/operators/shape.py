@@ -7,44 +7,17 @@ from pyspark.sql import functions as F
 
 from skuweave.functions import scalars as S
 
-SKIP = ("flags", "overall_recommendation")
+def build_products(trees: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """trees(parent_uid, keyword, sizes[]) -> (base rows and one row per size, refused sizes with the reason).
 
-
-def walk_points(blocks: DataFrame, uid: str = "product_uid", taxonomy: str = "taxonomy", depth: int = 3) -> DataFrame:
-    """Taxonomy JSON -> (uid, dim_path, point, cited, ord): objects are descended, arrays of points are leaves.
-
-    Flags and recommendations are skipped, so are arrays whose first item has no point. Empty cells give no row.
+    A value with '::' or '|' would break the uid, an empty one has none: both are refused, and so is the second of a repeated value.
     """
-    opened = blocks.sparkSession.tvf.variant_explode(F.col("v").outer())
-    level = blocks.select(uid, F.lit("").alias("path"), F.parse_json(taxonomy).alias("v"))
-    found = None
-    for _ in range(depth):
-        nxt = level.lateralJoin(opened).where(F.col("key").isNotNull()).select(uid, F.concat_ws(".", F.nullif("path", F.lit("")), "key").alias("path"), F.col("value").alias("v"))
-        nxt = nxt.where(~F.col("path").isin(*SKIP))
-        kind = F.schema_of_variant("v")
-        leaves = nxt.where(F.startswith(kind, F.lit("ARRAY")))
-        found = leaves if found is None else found.union(leaves)
-        level = nxt.where(F.startswith(kind, F.lit("OBJECT")))
-    items = found.where(F.variant_get("v", "$[0].point", "string").isNotNull()).lateralJoin(opened)
-    out = items.select(uid, F.col("path").alias("dim_path"), F.variant_get("value", "$.point", "string").alias("point"), F.variant_get("value", "$.cited", "int").alias("cited"), F.col("pos").alias("ord"))
-    return out.where("point is not null and point <> ''")
-
-
-def taxonomy_of(points: DataFrame, uid: str) -> DataFrame:
-    """The inverse for dimensions of three parts: one JSON tree per uid."""
-    leaf = points.withColumn("p", F.split("dim_path", r"\.")).groupBy(uid, F.get("p", F.lit(0)).alias("a"), F.get("p", F.lit(1)).alias("b"), F.array_join(F.slice("p", 3, 9), "_").alias("c"))
-    leaf = leaf.agg(F.sort_array(F.collect_list(F.struct("ord", "point", "cited"))).alias("items"))
-    mid = leaf.groupBy(uid, "a", "b").agg(F.map_from_entries(F.collect_list(F.struct("c", "items"))).alias("m"))
-    top = mid.groupBy(uid, "a").agg(F.map_from_entries(F.collect_list(F.struct("b", "m"))).alias("m"))
-    return top.groupBy(uid).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("a", "m")))).alias("taxonomy"))
-
-
-def build_products(trees: DataFrame) -> DataFrame:
-    """trees(parent_uid, keyword, sizes[]) -> base rows and one row per size; a value with '::' or '|' is refused."""
     base = trees.select(F.col("parent_uid").alias("uid"), F.lit(None).cast("string").alias("parent_uid"), "keyword", F.lit("package").alias("type"))
-    v = trees.select("parent_uid", "keyword", F.explode("sizes").alias("s")).where(~F.col("s.value").rlike(r"::|\|"))
-    variants = v.select(F.concat_ws("::", "parent_uid", "s.value").alias("uid"), "parent_uid", F.concat_ws(" ", "keyword", "s.value").alias("keyword"), F.lit("variant").alias("type"))
-    return base.unionByName(variants)
+    v = trees.select("parent_uid", "keyword", F.posexplode("sizes").alias("pos", "s")).select("parent_uid", "keyword", "pos", F.col("s.value").alias("value"))
+    again = F.row_number().over(Window.partitionBy("parent_uid", "value").orderBy("pos")) > 1
+    v = v.withColumn("reason", F.when(F.coalesce(F.trim("value"), F.lit("")) == "", "empty").when(F.col("value").rlike(r"::|\|"), "separator").when(again, "repeated"))
+    variants = v.where("reason is null").select(F.concat_ws("::", "parent_uid", "value").alias("uid"), "parent_uid", F.concat_ws(" ", "keyword", "value").alias("keyword"), F.lit("variant").alias("type"))
+    return base.unionByName(variants), v.where("reason is not null").select("parent_uid", "pos", "value", "reason")
 
 
 def catalog_rows(trees: DataFrame) -> DataFrame:
@@ -143,12 +116,6 @@ def facts_of_row(df: DataFrame, meta: tuple[str, ...], notice: tuple[str, ...])
     return df.select(*meta, as_map([c for c in cols if c in notice]).alias("notice"), as_map([c for c in cols if c not in notice]).alias("facts"))
 
 
-def json_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Flat JSON text as (key, name, value) rows; names that start with @ are skipped."""
-    m = F.from_json(F.col(text), "map<string,string>")
-    return df.select(key, F.explode(m).alias("name", "value")).where(~F.startswith("name", F.lit("@")))
-
-
 def validate(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
     """(key, rule) for every rule that a row breaks."""
     broken = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]), lambda r: r.isNotNull())

@@ -204,12 +204,6 @@ def shp16(spark, sf):
     return m.select("p_partkey", F.col("m")["color"].alias("colour"), F.col("m")["size"].alias("size"))
 
 
-@query("src7_page_facts", "SELECT page_id, nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title, len(regexp_extract_all(html, '<meta ')) AS n_meta, len(regexp_extract_all(html, 'href=')) AS n_links, len(regexp_extract_all(html, '<li>')) AS n_items FROM pages")
-def src7(spark, sf):
-    n = lambda p: F.size(F.regexp_extract_all("html", F.lit(p), F.lit(0)))
-    return table(spark, sf, "pages").select("page_id", F.nullif(F.regexp_extract("html", "<title>([^<]*)</title>", 1), F.lit("")).alias("title"), n("<meta ").alias("n_meta"), n("href=").alias("n_links"), n("<li>").alias("n_items"))
-
-
 @query("sc6_strip_tags", "SELECT page_id, md5(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&')) AS body FROM pages")
 def sc6(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.md5(S.strip_tags("html")).alias("body"))

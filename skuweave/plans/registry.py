@@ -32,6 +32,7 @@ def load() -> None:
         grounded,
         matching,
         more,
+        nested,
         resolution,
         tables,
         voice,

@@ -12,19 +12,6 @@ from skuweave.plans.registry import query
 from skuweave.plans.views import table, v_catalog, v_extracted, v_listing, v_offer, v_point, v_product, v_seed, v_state, v_title
 
 
-@query("shp1_walk_points", "SELECT product_uid, dim_path, point, cited FROM v_point")
-def shp1(spark, sf):
-    p = v_point(spark, sf)
-    two = p.withColumn("dim_path", F.concat_ws(".", F.substring_index("dim_path", ".", 2), F.regexp_replace(F.expr("substr(dim_path, length(substring_index(dim_path, '.', 2)) + 2)"), r"\.", "_")))
-    out = H.walk_points(H.taxonomy_of(two, "product_uid"))
-    return out.select("product_uid", F.regexp_replace("dim_path", "_", ".").alias("dim_path"), "point", "cited")
-
-
-@query("shp2_build_products", "SELECT uid, NULL AS parent_uid, keyword, 'package' AS type FROM (SELECT DISTINCT parent_uid AS uid, keyword FROM v_product) UNION ALL SELECT DISTINCT concat(parent_uid, '::', size), parent_uid, concat(keyword, ' ', size), 'variant' FROM v_product")
-def shp2(spark, sf):
-    return H.build_products(H.trees_of(v_product(spark, sf)))
-
-
 @query("shp7_catalog_rows", "SELECT parent_uid, size, ctlg_no, uid AS disp FROM v_product")
 def shp7(spark, sf):
     return H.catalog_rows(H.trees_of(v_product(spark, sf)))
@@ -43,17 +30,6 @@ def shp3(spark, sf):
     return H.flatten_sources(m, "product_uid", "m", "posted").withColumnRenamed("source_id", "doc_id")
 
 
-@query("shp4_evidence_order", "SELECT item_id, i - 1 AS pos, w FROM (SELECT item_id, unnest(a) AS w, unnest(range(1, len(a) + 1)) AS i FROM (SELECT item_id, string_split(text, ' ') AS a FROM benchmark))")
-def shp4(spark, sf):
-    return table(spark, sf, "benchmark").select("item_id", F.posexplode_outer(F.split("text", " ")).alias("pos", "w"))
-
-
-@query("shp5_faq", "SELECT conv_id, turn, text AS question, nxt AS answer FROM (SELECT *, lead(text) OVER w AS nxt, lead(role) OVER w AS nrole FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE role = 'user' AND nrole = 'assistant'")
-def shp5(spark, sf):
-    c = table(spark, sf, "conversations").withColumn("answer", F.expr("lead(text) over (partition by conv_id order by turn)")).withColumn("nrole", F.expr("lead(role) over (partition by conv_id order by turn)"))
-    return c.where("role = 'user' and nrole = 'assistant'").select("conv_id", "turn", F.col("text").alias("question"), "answer")
-
-
 @query("ag35_faq_merge", "SELECT arg_min(text, struct_pack(c := conv_id, t := turn)) AS question, count(*) AS n FROM conversations WHERE role = 'user' GROUP BY lower(trim(text))")
 def ag35(spark, sf):
     c = table(spark, sf, "conversations").where("role = 'user'")
@@ -89,16 +65,6 @@ def shp17(spark, sf):
     return e.select("p_partkey", F.trim(F.substring_index("e", ":", 1)).alias("key"), F.trim(F.expr("substr(e, instr(e, ':') + 1)")).alias("value"))
 
 
-@query("shp18_json_pairs", "SELECT event_id, k AS name, json_extract_string(props, concat('$.', k)) AS value FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)")
-def shp18(spark, sf):
-    return H.json_pairs(table(spark, sf, "events"), "event_id", "props")
-
-
-@query("src5_attribute_bags", "SELECT k AS name, count(*) AS n, count(DISTINCT json_extract_string(props, concat('$.', k))) AS n_values FROM (SELECT props, unnest(json_keys(props)) AS k FROM events) GROUP BY k")
-def src5(spark, sf):
-    return H.json_pairs(table(spark, sf, "events"), "event_id", "props").groupBy("name").agg(F.count("*").alias("n"), F.countDistinct("value").alias("n_values"))
-
-
 @query("shp19_item_union", "SELECT 'comment' AS kind, concat('c', conv_id, '-', turn) AS id, text AS body FROM conversations WHERE role = 'user' UNION ALL SELECT 'reply', concat('c', conv_id, '-', turn), text FROM conversations WHERE role <> 'user' UNION ALL SELECT 'review', concat('d', doc_id), text FROM documents")
 def shp19(spark, sf):
     c = table(spark, sf, "conversations").select(F.when(F.col("role") == "user", "comment").otherwise("reply").alias("kind"), F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("id"), F.col("text").alias("body"))

@@ -109,12 +109,6 @@ def test_strong_key_wins_in_order(spark):
     assert got == {10: (2, "style"), 11: (2, "barcode")}
 
 
-def test_taxonomy_round_trip(spark):
-    points = spark.createDataFrame([("P1", "aspect.taste.o", "sweet", 3, 1), ("P1", "aspect.taste.o", "mild", 1, 2), ("P2", "verdict.strengths.f", "good", 2, 3)], "product_uid string, dim_path string, point string, cited int, ord long")
-    out = H.walk_points(H.taxonomy_of(points, "product_uid")).select("product_uid", "dim_path", "point", "cited").collect()
-    assert sorted(map(tuple, out)) == sorted(map(tuple, points.select("product_uid", "dim_path", "point", "cited").collect()))
-
-
 def test_quote_check(spark):
     assert one(spark, G.quote_check(F.lit("Very  Good"), F.lit("it is very good!"))) == "verified"
     assert one(spark, G.quote_check(F.lit("crisp sweet apple pie"), F.lit("sweet apple, a pie"))) == "partial"
