@@ -43,13 +43,62 @@ def block_keys(listings: DataFrame, id_col: str = "title_id", brand: str = "bran
     return listings.select(F.col(id_col).alias("id"), F.explode(keys).alias("k")).select("id", "k.leg", "k.key").where("key is not null").distinct()
 
 
-def block_pairs(keys: DataFrame, max_block: int | None = None) -> DataFrame:
+#: Ids of a key that one task pairs; larger keys are cut into parts, and each two parts are a task.
+BLOCK = 1000
+
+
+def key_pairs(keys: DataFrame, largest: int | None = None) -> DataFrame:
+    """(id, leg, key) -> (a, b, leg, key) with a < b for all ids of a key.
+
+    Block split: a key of more than `largest` ids has parts by a hash of the id; a cell is a part with itself or two
+    parts, so the join's keys are bounded whatever a hot key's size. All pairs of a key are the result, so its rows do grow.
+    """
+    size = keys.groupBy("leg", "key").agg(F.count("*").alias("n")).where("n > 1")
+    k = keys.join(size, ["leg", "key"]).withColumn("parts", F.ceil(F.col("n") / (largest or BLOCK)).cast("int")).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    cells = k.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("leg", "key", F.least("part", "o").alias("i"), F.greatest("part", "o").alias("j"), "part", "id")
+    a, b = cells.withColumnsRenamed({"id": "a", "part": "pa"}), cells.withColumnsRenamed({"id": "b", "part": "pb"})
+    return a.join(b, ["leg", "key", "i", "j"]).where("a < b and (i = j or pa <> pb)").select("a", "b", "leg", "key")
+
+
+def block_pairs(keys: DataFrame, max_block: int | None = None, largest: int | None = None) -> DataFrame:
     """Pairs (a, b, legs) with a < b that share a key; max_block leaves out keys with more ids than that."""
     if max_block is not None:
         keys = keys.join(keys.groupBy("leg", "key").count().where(F.col("count") <= max_block).select("leg", "key"), ["leg", "key"], "left_semi")
-    a, b = keys.withColumnRenamed("id", "a"), keys.withColumnRenamed("id", "b")
-    pairs = a.join(b, ["leg", "key"]).where("a < b")
-    return pairs.groupBy("a", "b").agg(F.array_join(F.sort_array(F.collect_set("leg")), "|").alias("legs"))
+    return key_pairs(keys, largest).groupBy("a", "b").agg(F.array_join(F.sort_array(F.collect_set("leg")), "|").alias("legs"))
+
+
+#: The bit of each leg.
+LEG_BITS = {"model": 1, "prefix": 2, "numbers": 4, "line": 8, "gtin": 16, "similar": 32, "chars": 64, "words": 128}
+#: Legs that stand by themselves: model, GTIN, similar words.
+STRONG = LEG_BITS["model"] | LEG_BITS["gtin"] | LEG_BITS["similar"]
+
+
+def candidate_legs(listings: DataFrame, minhash: bool = False, percent: int = 80, id_col: str = "title_id") -> DataFrame:
+    """listings (of extract_attributes) -> (a, b, bits, n_keys): the union of all legs, each pair once.
+
+    bits has the LEG_BITS of the legs that found the pair, n_keys counts the blocking keys that it shares. Legs: the keys of block_keys; titles
+    whose words have a Jaccard similarity of at least percent / 100; with minhash, pairs that share a band of character 3-grams or of words.
+    """
+    bit = lambda leg: S.from_map(leg, LEG_BITS, F.lit(0)).cast("int")
+    by_key = key_pairs(block_keys(listings, id_col)).groupBy("a", "b").agg(F.bit_or(bit(F.col("leg"))).alias("bits"), F.count("*").alias("n_keys"))
+    legs = [by_key]
+    more = [("similar", exact_pairs_of_all(listings, id_col, F.col("toks"), percent))]
+    if minhash:
+        more += [("chars", minhash_pairs(listings, id_col, brand_shingles(), bands=40, rows=3)), ("words", minhash_pairs(listings, id_col, F.col("toks")))]
+    legs += [p.select("a", "b", F.lit(LEG_BITS[name]).alias("bits"), F.lit(0).cast("long").alias("n_keys")) for name, p in more]
+    out = legs[0]
+    for leg in legs[1:]:
+        out = out.unionByName(leg)
+    return out.groupBy("a", "b").agg(F.bit_or("bits").alias("bits"), F.sum("n_keys").alias("n_keys"))
+
+
+def prune_legs(pairs: DataFrame, keys: int = 2, strong: int = STRONG) -> DataFrame:
+    """Pairs that share at least `keys` keys or that one of the `strong` legs found.
+
+    What goes shares one weak key only (a model's beginning, numbers or a line) and is unlike in words. That can lose a pair that scores
+    over the bar: the query er5_pruning_loss counts them (on the test tables), so the choice is the caller's.
+    """
+    return pairs.where((F.col("n_keys") >= keys) | (F.col("bits").bitwiseAND(F.lit(strong)) > 0))
 
 
 def block_stars(keys: DataFrame) -> DataFrame:
@@ -59,13 +108,15 @@ def block_stars(keys: DataFrame) -> DataFrame:
 
 
 def minhash_pairs(df: DataFrame, id_col: str, shingles: Column, bands: int = 32, rows: int = 4) -> DataFrame:
-    """Pairs whose signatures agree in a band. Records without shingles are left out."""
-    x = df.select(F.col(id_col).alias("id"), F.explode(F.array_distinct(shingles)).alias("s"))
-    sig = x.groupBy("id").agg(*[F.min(F.xxhash64(F.lit(k), "s")).alias(f"m{k}") for k in range(bands * rows)])
-    band = [F.struct(F.lit(i).alias("band"), F.xxhash64(*[f"m{i * rows + j}" for j in range(rows)]).alias("h")) for i in range(bands)]
-    keys = sig.select("id", F.explode(F.array(*band)).alias("k")).select("id", "k.band", "k.h")
-    a, b = keys.withColumnRenamed("id", "a"), keys.withColumnRenamed("id", "b")
-    return a.join(b, ["band", "h"]).where("a < b").select("a", "b").distinct()
+    """Pairs (a, b) whose signatures agree in a band. Records without shingles are left out.
+
+    Records of equal sets are one class: its smallest id stands for it in pairs with other classes, and is paired with the others.
+    """
+    members, classes = set_classes(df, id_col, shingles)
+    sig = classes.select("id", F.explode("t").alias("s")).groupBy("id").agg(*[F.min(F.xxhash64(F.lit(k), "s")).alias(f"m{k}") for k in range(bands * rows)])
+    band = [F.struct(F.lit(i).alias("leg"), F.xxhash64(*[f"m{i * rows + j}" for j in range(rows)]).alias("key")) for i in range(bands)]
+    keys = sig.select("id", F.explode(F.array(*band)).alias("k")).select("id", "k.leg", "k.key")
+    return key_pairs(keys).select("a", "b").distinct().union(members.where("rep < id").select("rep", "id"))
 
 
 def brand_shingles(title: str = "title", brand: str = "brand_raw", n: int = 3) -> Column:
@@ -121,6 +172,16 @@ def similarity_edges(df: DataFrame, id_col: str, tokens: Column, percent: int =
     return class_pairs(classes, percent).select("a", "b").union(members.where("rep < id").select("rep", "id"))
 
 
+def exact_pairs_of_all(df: DataFrame, id_col: str, tokens: Column, percent: int = 80) -> DataFrame:
+    """All pairs (a, b) of records of similar sets, copies included: pairs of classes, then of their members."""
+    members, classes = set_classes(df, id_col, tokens)
+    near = class_pairs(classes, percent).select("a", "b")
+    x, y = members.select(F.col("rep").alias("a"), F.col("id").alias("ia")), members.select(F.col("rep").alias("b"), F.col("id").alias("ib"))
+    apart = near.join(x, "a").join(y, "b").select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b"))
+    same = key_pairs(members.select("id", F.lit(0).alias("leg"), F.col("rep").alias("key"))).select("a", "b")
+    return apart.union(same)
+
+
 def conflicts(a: str, b: str) -> Column:
     """Names of the attributes in which two records, with prefixes a and b, contradict each other."""
     known = (F.size(f"{a}models") > 0) & (F.size(f"{b}models") > 0)
@@ -269,8 +330,7 @@ def nodes(clustered: DataFrame, titles: DataFrame, id_col: str = "title_id", mar
 
 
 def truth_pairs(df: DataFrame, id_col: str, entity: str) -> DataFrame:
-    x = df.where(F.col(entity).isNotNull()).select(F.col(id_col).alias("id"), F.col(entity).alias("e"))
-    return x.withColumnRenamed("id", "a").join(x.withColumnRenamed("id", "b"), "e").where("a < b").select("a", "b")
+    return key_pairs(df.where(F.col(entity).isNotNull()).select(F.col(id_col).alias("id"), F.lit(0).alias("leg"), F.col(entity).alias("key"))).select("a", "b")
 
 
 def storefronts(listings: DataFrame, seller: str = "seller", market: str = "marketplace", registration: str = "registration") -> DataFrame:

@@ -41,6 +41,52 @@ def er10(spark, sf):
     return R.clusters(d, R.similarity_edges(d, "doc_id", F.split("text", " ")), "doc_id")
 
 
+LEGS = """p AS (SELECT x.a, x.b, i, na, nb FROM (SELECT a.title_id AS a, b.title_id AS b, len(list_intersect(a.toks, b.toks)) AS i, len(a.toks) AS na, len(b.toks) AS nb FROM v_attr a JOIN v_attr b ON a.title_id < b.title_id AND len(a.toks) * 100 >= len(b.toks) * 80 AND len(b.toks) * 100 >= len(a.toks) * 80) x),
+ k AS (SELECT leg, id, CASE leg WHEN 'model' THEN 1 WHEN 'prefix' THEN 2 WHEN 'numbers' THEN 4 WHEN 'line' THEN 8 ELSE 16 END AS bit, key FROM v_key),
+ keyed AS (SELECT x.id AS a, y.id AS b, bit_or(x.bit) AS bits, count(*) AS n_keys FROM k x JOIN k y ON x.leg = y.leg AND x.key = y.key AND x.id < y.id GROUP BY ALL),
+ legs AS (SELECT coalesce(k.a, s.a) AS a, coalesce(k.b, s.b) AS b, (coalesce(k.bits, 0) | CASE WHEN s.a IS NULL THEN 0 ELSE 32 END)::INT AS bits, coalesce(n_keys, 0) AS n_keys
+  FROM keyed k FULL JOIN (SELECT a, b FROM p WHERE i * 100 >= (na + nb - i) * 80) s ON s.a = k.a AND s.b = k.b)"""
+
+
+def _legs(spark, sf, **options):
+    t = v_listing(spark, sf)
+    return R.candidate_legs(R.extract_attributes(t), **options)
+
+
+@query("er5_candidate_legs", f"WITH {LEGS} SELECT a, b, bits, n_keys FROM legs")
+def er5(spark, sf):
+    """Pairs of all blocking keys and of similar titles, with the legs that found them."""
+    return _legs(spark, sf)
+
+
+@query("er5_pruned_legs", f"WITH {LEGS} SELECT a, b, bits, n_keys FROM legs WHERE n_keys >= 2 OR bits & 49 > 0")
+def er5_pruned(spark, sf):
+    """Without pairs that only one weak key found."""
+    return R.prune_legs(_legs(spark, sf))
+
+
+@query("er5_pruning_loss", f"WITH {LEGS} SELECT count(*) AS pruned, count(*) FILTER (score > 0.72) AS over_the_bar, count(*) FILTER (score >= 0.33 AND score <= 0.72) AS in_review FROM legs JOIN v_scored USING (a, b) WHERE n_keys < 2 AND bits & 49 = 0")
+def er5_loss(spark, sf):
+    """How the pairs that pruning leaves out would have scored."""
+    x = R.extract_attributes(v_listing(spark, sf))
+    legs = R.candidate_legs(x)
+    gone = legs.join(R.prune_legs(legs).select("a", "b"), ["a", "b"], "left_anti")
+    s = R.score_pairs(gone.select("a", "b"), x)
+    return s.agg(F.count("*").alias("pruned"), F.count_if(F.col("score") > R.HIGH).alias("over_the_bar"), F.count_if(F.col("score").between(R.LOW, R.HIGH)).alias("in_review"))
+
+
+@query("er5_hybrid_legs")
+def er5_hybrid(spark, sf):
+    """With the MinHash legs, which SQL cannot express."""
+    return _legs(spark, sf, minhash=True)
+
+
+@query("st1_leg_union", f"WITH {LEGS} SELECT bits, count(*) AS n_pairs FROM legs GROUP BY bits")
+def st1(spark, sf):
+    """How many pairs each set of legs found."""
+    return _legs(spark, sf).groupBy("bits").agg(F.count("*").alias("n_pairs"))
+
+
 def _routed(spark, sf):
     x = R.extract_attributes(v_listing(spark, sf))
     return R.route(R.score_pairs(R.block_pairs(R.block_keys(x)), x))
@@ -231,14 +277,66 @@ def _run(spark, stream, name, mode="append"):
 
 @query("stm1_upsert_stream", "SELECT user_id, day, arg_max(value, event_id) AS value, max(event_id) AS event_id FROM (SELECT *, CAST(ts AS DATE) AS day FROM events) GROUP BY user_id, day")
 def stm1_upsert(spark, sf):
-    """The daily snapshot written by a stream, batch by batch, as upserts."""
-    from skuweave.streaming.jobs import latest_version, upsert_batches
+    """The daily snapshot written by a stream, batch by batch, into the buckets of its keys."""
+    from skuweave.sources.keyed import KeyedTable
+    from skuweave.streaming.jobs import upsert_batches
 
     events = table(spark, sf, "events")
     rows = _stream(spark, sf, "events", events.schema).select("user_id", F.to_date("ts").alias("day"), "value", "event_id")
     path = new_path(spark, "daily")
-    upsert_batches(rows, f"{path}/table", ["user_id", "day"], "event_id", f"{path}/state").awaitTermination()
-    return latest_version(spark, f"{path}/table")
+    daily = KeyedTable(spark, f"{path}/table", ["user_id", "day"], rows.schema)
+    upsert_batches(rows, daily, ["event_id"], f"{path}/state").awaitTermination()
+    return daily.read()
+
+
+#: Events in two arrivals: the second has every tenth event of the old days, then the newest days.
+ARRIVALS = """e AS (SELECT user_id, CAST(ts AS DATE) AS day, ts, value, event_id, event_id % 10 = 3 AS behind, ts <= (SELECT max(ts) - INTERVAL 5 DAY FROM events) AS early FROM events),
+ seen AS (SELECT CAST(max(ts) AS DATE) - 2 AS bar FROM e WHERE early AND NOT behind), late AS (SELECT e.* FROM e, seen WHERE (behind OR NOT early) AND day < bar)"""
+
+
+def _late_job(spark, sf):
+    from skuweave.sources.keyed import KeyedTable
+    from skuweave.streaming.jobs import daily_with_late_side
+
+    events = table(spark, sf, "events").select("user_id", F.to_date("ts").alias("day"), "ts", "value", "event_id")
+    last = events.agg(F.max("ts")).first()[0]
+    second = (F.col("event_id") % 10 == 3) | (F.col("ts") > F.lit(last) - F.expr("interval 5 days"))
+    path = new_path(spark, "late-job")
+    daily = KeyedTable(spark, f"{path}/table", ["user_id", "day"], events.schema)
+    for n, part in enumerate((events.where(~second), events.where(second))):
+        part.coalesce(1).write.mode("append").parquet(f"{path}/in")  # the stream runs after each arrival
+        daily_with_late_side(spark.readStream.schema(events.schema).parquet(f"{path}/in"), daily, f"{path}/late", f"{path}/state").awaitTermination()
+    return daily, f"{path}/late"
+
+
+@query("stm5_late_side", f"WITH {ARRIVALS} SELECT day, count(*) AS n_late FROM late GROUP BY day")
+def stm5_late(spark, sf):
+    """How many rows of each day came behind the newest time by more than two days."""
+    from skuweave.streaming.jobs import late_counts
+
+    return late_counts(*_late_job(spark, sf))
+
+
+@query("stm5_replayed", f"WITH {ARRIVALS} SELECT user_id, day, arg_max(value, ts) AS value FROM e GROUP BY user_id, day")
+def stm5_replayed(spark, sf):
+    """The daily table after the late rows were merged into their days."""
+    from skuweave.streaming.jobs import replay_late
+
+    daily, late = _late_job(spark, sf)
+    replay_late(daily, late)
+    return daily.read().select("user_id", "day", "value")
+
+
+@query("snk3_replaced_buckets", "SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey % 100 = 7 THEN -c_custkey ELSE c_custkey END AS mark FROM customer")
+def snk3_replaced(spark, sf):
+    """A table of key buckets after the rows of some keys were replaced in place."""
+    from skuweave.sources.keyed import KeyedTable
+
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", F.col("c_custkey").alias("mark"))
+    kept = KeyedTable(spark, new_path(spark, "customers"), ["c_custkey"], c.schema)
+    kept.replace(c)
+    kept.replace(c.where("c_custkey % 100 = 7").withColumn("mark", -F.col("mark")))
+    return kept.read()
 
 
 @query("stm4_velocity", "SELECT user_id, ts, (value - lag(value) OVER w) / greatest(1, floor((epoch_us(ts) - epoch_us(lag(ts) OVER w)) / 86400000000)) AS delta FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)")
@@ -276,4 +374,5 @@ def stm8(spark, sf):
     from skuweave.streaming.jobs import new_keys
 
     known = table(spark, sf, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("user_id"))
-    return new_keys(table(spark, sf, "events"), known, "user_id")
+    events = table(spark, sf, "events")
+    return _run(spark, new_keys(_stream(spark, sf, "events", events.schema), known, "user_id", late="3650 days"), "new-products").distinct()

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skuweave.sources.keyed import KeyedTable
+
 LATE = "2 days"
 
 
@@ -45,26 +47,44 @@ def new_keys(events: DataFrame, known: DataFrame, key: str, ts: str = "ts", late
     return _marked(out, ts, late).dropDuplicatesWithinWatermark([key]).select(key) if events.isStreaming else out.select(key).distinct()
 
 
-def upsert_batches(stream: DataFrame, path: str, keys: list[str], order: str, checkpoint: str):
-    """Writes each micro-batch of a stream as an upsert: of a key the row with the largest `order` counts.
+def upsert_batches(stream: DataFrame, table: KeyedTable, order: list[str], checkpoint: str):
+    """Writes each micro-batch of a stream as an upsert of the table's buckets that it touches; returns the started query."""
+    return stream.writeStream.foreachBatch(lambda batch, n: table.upsert(batch, order, n)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
 
-    Versions are folders of their own, named by the batch; a batch that is run again after a failure writes the same
-    folder from the one before it. Returns the started query; read the result with latest_version.
+def daily_with_late_side(stream: DataFrame, table: KeyedTable, late: str, checkpoint: str, ts: str = "ts", behind: int = 2):
+    """Upserts the last row of each key of the table by time; rows of days more than `behind` days before the newest time seen go to `late`.
+
+    stream: the table's columns, among them day and ts. The newest time is that of the batches before, and is published with the
+    table's version, so a repeated batch parts its rows as before. Late rows are counted by late_counts and merged by replay_late.
     """
 
-    def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        both = batch if number == 0 else batch.unionByName(spark.read.parquet(f"{path}/version={number - 1}"))
-        whole = F.struct(*batch.columns)
-        both.groupBy(*keys).agg(F.max_by(whole, F.col(order)).alias("_row")).select("_row.*").write.mode("overwrite").parquet(f"{path}/version={number}")
+    def split(batch: DataFrame, number: int) -> None:
+        if number in table.versions():
+            return
+        spark, batch = batch.sparkSession, batch.persist()
+        seen = table.manifest().get("newest")
+        old = F.lit(False) if seen is None else F.col("day") < F.date_sub(F.to_date(F.lit(seen)), behind)
+        batch.where(old).withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{late}/number={number}")
+        newest = batch.agg(F.max(ts).cast("string")).first()[0]
+        table.upsert(batch.where(~old), [ts], number, newest=max(x for x in (seen, newest, "") if x is not None) or None)
+        batch.unpersist()
+
+    return stream.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def late_rows(table: KeyedTable, late: str) -> DataFrame:
+    """What came too late, with the number of the batch it came in."""
+    return table.spark.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in table.schema)}, batch int").parquet(late)
+
 
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def late_counts(table: KeyedTable, late: str) -> DataFrame:
+    return late_rows(table, late).groupBy("day").agg(F.count("*").alias("n_late"))
 
 
-def latest_version(spark, path: str) -> DataFrame:
-    """The table after the last batch."""
-    rows = spark.read.option("basePath", path).parquet(path)
-    return rows.join(F.broadcast(rows.agg(F.max("version").alias("version"))), "version", "left_semi").drop("version")
+def replay_late(table: KeyedTable, late: str, ts: str = "ts") -> int:
+    """Merges the late rows into their days: only the buckets of their keys are rewritten; a second replay changes nothing."""
+    return table.upsert(late_rows(table, late).drop("batch"), [ts])
 
 
 def rerun_days(target: DataFrame, rerun: DataFrame, day: str = "day") -> DataFrame:
