@@ -19,8 +19,8 @@ from skuweave.sources.shared import new_path
 CACHE_CHUNKS = 600_000
 
 
-#: Places of the table in which pairs are counted by their hash.
-SLOTS = 1 << 20
+#: Bits of the table in which pairs are counted by their hash, at most.
+SLOT_BITS = 20
 
 
 #: A word of Latin letters after a space: one word of the pattern.
@@ -50,7 +50,7 @@ class ChunkedTokenizer:
         self.other_space = re.compile(r"[^\S \n]")
         self.cut = re.compile(r"(?=[ \n]\S)")
         # A point or comma after an ASCII or Latin-1 letter or digit starts a word of the pattern, too.
-        self.no_stop = re.compile("[^A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff][.,]")
+        self.no_stop = re.compile("[.,](?<![A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff][.,])")
         vocabulary = self.library.get_vocab(with_added_tokens=False)
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():  # in byte-level vocabularies a character stands for a byte
@@ -69,18 +69,22 @@ class ChunkedTokenizer:
 
     def _learn(self, chunks: list[str]) -> None:
         """Encodes new chunks that start with a space or line end, many in a row; those of letters without the pattern."""
-        plain = list(filter(LETTERS.fullmatch, chunks))
-        other = chunks if not plain else [c for c in chunks if not LETTERS.fullmatch(c)]
-        for library, part in ((self.letters, plain), (self.library, other)):
+        rest = [c for c in chunks if not (c.isascii() and c[1:].isalpha() and c[0] == " ")]
+        ascii_words = chunks if not rest else list(set(chunks).difference(rest))
+        words = list(filter(LETTERS.fullmatch, rest))
+        other = rest if not words else list(set(rest).difference(words))
+        for library, part in ((self.letters, ascii_words), (self.letters, words), (self.library, other)):
             ids: list[int] = []
             for lo in range(0, len(part), 128):
                 line = "".join(part[lo : lo + 128])
-                if part is plain:  # as the vocabulary spells bytes; blanks stand between the words
-                    line = line.encode().decode("latin-1").translate(BYTE_SIGNS).replace(" ", f" {SPACE}")
+                if part is words:  # as the vocabulary spells bytes
+                    line = line.encode().decode("latin-1").translate(BYTE_SIGNS)
+                if part is not other:  # blanks stand between the words
+                    line = line.replace(" ", f" {SPACE}")
                 ids += library.encode_batch_fast([line], add_special_tokens=False)[0].ids
             if part:
                 out = np.array(ids, "<u4")
-                ends = np.cumsum(list(map(len, map(str.encode, part))))
+                ends = np.cumsum(list(map(len, part if part is ascii_words else map(str.encode, part))))
                 reached = np.cumsum(self.width[out])
                 at = np.searchsorted(reached, ends)
                 if (reached[np.minimum(at, len(out) - 1)] != ends).any():
@@ -91,11 +95,14 @@ class ChunkedTokenizer:
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         hold(self.cache)
-        cuts: list[list[str] | None] = []
+        get = self.cache.get
+        out: list[bytes | None] = [None] * len(texts)
+        open_: list[tuple[int, list, list[str], list[int]]] = []  # texts with new chunks: their places are filled later
+        new: set[str] = set()
         odd: set[str] = set()  # chunks that may not stand after or before another one in the library's input
-        for t in texts:
+        for i, t in enumerate(texts):
             if any(x in t for x in self.special):
-                cuts.append(None)
+                out[i] = self._bytes(t)
                 continue
             if "  " in t or "\n\n" in t or " \n" in t or "\n " in t or "\0" in t or t[-1:] in (" ", "\n") or self._other_space(t):
                 own = [c for c in self.cut.split(t) if c]
@@ -106,19 +113,24 @@ class ChunkedTokenizer:
                     t = t.replace(".", "\0.").replace(",", "\0,")
                 own = t.split("\0") if t else []
                 odd.update(own[:1])
-            cuts.append(own)
-        # New chunks are found by sets, so that each place of a text is looked up once only.
-        words = set().union(*[c for c in cuts if c is not None])
-        new = words.difference(self.cache)
+            found = list(map(get, own))
+            if None in found:
+                holes = [k for k, x in enumerate(found) if x is None]
+                new.update([own[k] for k in holes])
+                open_.append((i, found, own, holes))
+            else:
+                out[i] = b"".join(found)
         if new:
             if len(self.cache) + len(new) > CACHE_CHUNKS:
                 self.cache.clear()
-                new = words
             alone = [c for c in new if c in odd or c[0] not in " \n"]
             self.cache.update((c, self._bytes(c)) for c in alone)
             self._learn(list(new.difference(alone)))
-        get = self.cache.__getitem__
-        return [self._bytes(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cuts, strict=True)]
+        for i, found, own, holes in open_:
+            for k in holes:
+                found[k] = get(own[k])
+            out[i] = b"".join(found)
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -127,7 +139,7 @@ def tokenizer(path: str) -> ChunkedTokenizer:
     return ChunkedTokenizer(path)
 
 
-def compress(ids: np.ndarray, least: int = 8, base: int = 1 << 17) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, least: int = 5, base: int = 1 << 17) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair of one shard: (left, right, sequence); nonterminal base + i stands for the pair left[i], right[i].
 
     Each round counts the adjacent pairs, makes a nonterminal of every pair that occurs at least `least` times, and
@@ -143,8 +155,10 @@ def compress(ids: np.ndarray, least: int = 8, base: int = 1 << 17) -> tuple[np.n
     made = 0
     while len(place := np.flatnonzero(alive)):
         key = (seq[place].astype(np.int64) << 31) | seq[place + 1]
-        slot = (key * np.int64(-7046029254386353131) >> 43) & (SLOTS - 1)
-        often = np.flatnonzero((np.bincount(slot, minlength=SLOTS) >= least)[slot])
+        bits = min(SLOT_BITS, len(place).bit_length() + 2)  # later rounds have few places left
+        mask = (1 << bits) - 1
+        slot = (key * np.int64(-7046029254386353131) >> (63 - bits)) & mask
+        often = np.flatnonzero((np.bincount(slot, minlength=mask + 1) >= least)[slot])
         hot = np.sort(key[often])
         first = np.flatnonzero(np.diff(hot, prepend=-1))
         counts = np.diff(first, append=len(hot))
@@ -154,8 +168,8 @@ def compress(ids: np.ndarray, least: int = 8, base: int = 1 << 17) -> tuple[np.n
         # Rules by falling count, so that a smaller number is the more frequent pair; one pair for each slot.
         pairs = hot[first[good]]
         pairs = pairs[np.argsort(-counts[good], kind="stable")]
-        number = np.full(SLOTS, -1)
-        number[(pairs[::-1] * np.int64(-7046029254386353131) >> 43) & (SLOTS - 1)] = np.arange(len(pairs))[::-1]
+        number = np.full(mask + 1, -1)
+        number[(pairs[::-1] * np.int64(-7046029254386353131) >> (63 - bits)) & mask] = np.arange(len(pairs))[::-1]
         rule = number[slot[often]]
         alive[:] = False
         alive[place[often]] = True  # all that a rule does not take now has its turn later
