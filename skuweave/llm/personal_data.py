@@ -471,6 +471,7 @@ def find_spans(texts: list[str], model: ChainModel) -> list[tuple[dict[str, list
     return out
 
 
+_CARD_SIGNS = re.compile(r"[0-9][0-9 ./_\u2010-\u2015\u00a0-]*[0-9]")
 #: Characters of the longest datum that the chain may add.
 LONGEST = 120
 
@@ -485,7 +486,10 @@ def believable(kind: str, span: str) -> bool:
     if kind == "ip":
         parts = span.split(".")
         return len(parts) == 4 and all(p.isdecimal() and int(p) < 256 for p in parts) or bool(_HEX_COLON.fullmatch(span))
-    return 7 <= digits <= 15 if kind == "phone" else 12 <= digits <= 19 and luhn("".join(c for c in span if "0" <= c <= "9"))
+    if kind == "phone":
+        return 7 <= digits <= 15
+    # A card has digits and signs between them only: hex strings hold numbers that pass Luhn by chance.
+    return 12 <= digits <= 19 and bool(_CARD_SIGNS.fullmatch(span)) and luhn("".join(c for c in span if "0" <= c <= "9"))
 
 
 def redact(text: str, spans: list[tuple[str, int, int]]) -> str:

@@ -301,16 +301,39 @@ def test_pipeline_of_odd_tables(spark, docs, empty):
                 d = spark.createDataFrame(out.collect(), d.schema)
 
 
-def test_splitters_against_the_order_of_keys(spark):
-    """Shards follow the order of (range, heavy key, cut, key), and equal texts within a range's size stay together."""
-    d = spark.range(3_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 900).cast("string"), F.repeat(F.lit("x"), (F.col("id") % 50).cast("int"))).alias("text"))
-    big = spark.createDataFrame([(9_000, "y" * 200_000)], "doc_id long, text string")
-    out = splitters.shard_by_splitters(d.union(big), shards=40).toPandas()
-    assert len(out) == 3_001 and out["shard"].between(0, 39).all()
-    assert all(sorted(g["slot"]) == list(range(len(g))) for _, g in out.groupby("shard"))
-    texts = {r["doc_id"]: r["text"] for r in d.collect()}
-    by_text = out[out["doc_id"] < 9_000].assign(text=lambda f: f["doc_id"].map(texts)).groupby("text")["shard"].nunique()
-    assert (by_text == 1).all()
+@pytest.mark.parametrize("ranges", [32, 2])
+def test_splitters_against_brute_force(spark, ranges):
+    """The global order is that of keys, whole groups lie in the shard of their middle, and only groups over a tenth of a shard are cut."""
+    text = F.concat(F.lit("text "), (F.col("id") % 900).cast("string"), F.repeat(F.lit("x"), (F.col("id") % 50).cast("int")))
+    d = spark.range(3_000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    hot = spark.range(3_000, 4_200).select(F.when(F.col("id") % 3 > 0, F.col("id")), F.lit("a hot copy"))
+    d = d.union(spark.createDataFrame([(9_000, "y" * 20_000), (9_001, None), (9_001, ""), (None, None)], "doc_id long, text string")).union(hot)
+    rows = d.select("doc_id", F.coalesce("text", F.lit("")).alias("t"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key")).collect()
+    key_of = {(len(r["t"].encode()) + 16, zlib.crc32(r["t"].encode())): r["key"] for r in rows}
+    out = sorted(splitters.shard_by_splitters(d, shards=40, ranges_per_shard=ranges, samples_per_range=2).collect(), key=lambda r: (r["shard"], r["slot"]))
+    assert len(out) == len(rows) and Counter(r["doc_id"] for r in out) == Counter(r["doc_id"] for r in rows)
+    size, keys = [r["size"] for r in out], [key_of[(r["size"], r["text_crc32"])] for r in out]
+    assert keys == sorted(keys)
+    total, ends = sum(size), np.cumsum(size)
+    groups = {}
+    for i, k in enumerate(keys):
+        groups.setdefault(k, []).append(i)
+    cut = 0
+    for own in groups.values():
+        own_bytes = sum(size[i] for i in own)
+        large = own_bytes > total / 400 and len(own) > 1
+        cut += large
+        for i in own:
+            middle = (ends[i] - size[i] / 2) if large else (ends[own[0]] - size[own[0]] + ends[own[-1]]) / 2
+            assert out[i]["shard"] == min(39, int(middle * 40 // total))
+    assert cut == 1
+    for shard in range(40):
+        assert [r["slot"] for r in out if r["shard"] == shard] == list(range(sum(r["shard"] == shard for r in out)))
+
+
+def test_no_card_in_hex_strings():
+    for span in ("faf2116c4539148803436467deea04", "4539 1488 0343 6467", "4539-1488-0343-6467", "4539x1488x0343x6467", "4539.1488.0343.6467"):
+        assert personal_data.believable("card", span) is (not re.search("[a-z]", span))
 
 
 def test_noisy_or_finds_the_sentence():
