@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skuweave.functions import scalars as S
 from skuweave.operators.measures import all_measures
 
 #: Dimensions that count pieces; they are the axis of a family before physical ones.
-COUNTS = ("pieces", "packs", "sheets", "tablets", "capsules", "bottles", "bags")
+COUNTS = ("pieces", "packs", "sheets", "tablets", "capsules")
+
+
+def is_count(dim: str) -> Column:
+    return F.startswith(dim, F.lit("count")) | F.col(dim).isin(*COUNTS)
+
 
 
 def variant_attributes(variants: DataFrame, features: DataFrame, key: str = "uid", text: str = "title", price: str = "price") -> DataFrame:
@@ -21,7 +26,7 @@ def variant_attributes(variants: DataFrame, features: DataFrame, key: str = "uid
     """
     m = all_measures(variants.select(key, text), text).select(key, "dim", "base_value")
     wide = m.groupBy(key).agg(
-        F.min(F.when(F.col("dim").isin(*COUNTS), F.struct("dim", "base_value")))["base_value"].alias("count"), F.max(F.when(F.col("dim") == "mass", F.col("base_value"))).alias("mass"), F.max(F.when(F.col("dim") == "volume", F.col("base_value"))).alias("volume")
+        F.min(F.when(is_count("dim"), F.struct("dim", "base_value")))["base_value"].alias("count"), F.max(F.when(F.col("dim") == "mass", F.col("base_value"))).alias("mass"), F.max(F.when(F.col("dim") == "volume", F.col("base_value"))).alias("volume")
     )
     v = variants.select(key, F.col(price).cast("double").alias("price")).where("price > 0").join(wide, key, "left")
     piece, amount = F.bround(F.try_divide("price", "count"), 0), F.coalesce("volume", "mass")
@@ -42,9 +47,9 @@ def family_series(attributes: DataFrame, families: DataFrame, key: str = "uid",
     by name. bars is 'axis value=price' for each variant that has both, at least two of them.
     """
     a = attributes.join(families, key)
-    dims = a.where(~F.startswith("attr", F.lit("price")) & F.col("attr").isin(*COUNTS, "mass", "volume", "length", "power"))
+    dims = a.where(~F.startswith("attr", F.lit("price")) & (is_count("attr") | F.col("attr").isin("mass", "volume", "length", "power")))
     axis = dims.groupBy(family, "attr").agg(F.count_distinct(F.round("value", 4)).alias("n")).where("n >= 2")
-    axis = axis.groupBy(family).agg(F.min(F.struct((~F.col("attr").isin(*COUNTS)).alias("physical"), F.col("attr").alias("axis"))).alias("x")).select(family, "x.axis")
+    axis = axis.groupBy(family).agg(F.min(F.struct((~is_count("attr")).alias("physical"), F.col("attr").alias("axis"))).alias("x")).select(family, "x.axis")
     at = dims.join(axis, family).where("attr = axis").select(family, "axis", key, F.col("value").alias("at"))
     bars = at.join(a.where(F.startswith("attr", F.lit("price"))).select(key, "attr", "value"), key)
     text = lambda s: F.concat(F.bround(s["at"], 2).cast("string"), F.lit("="), F.bround(s["value"], 0).cast("bigint").cast("string"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skuweave.functions import scalars as S
 from skuweave.functions import text as A
 from skuweave.plans.registry import query
-from skuweave.plans.views import table, v_offer, v_title
+from skuweave.plans.views import table, v_listing, v_offer, v_title
 
 
 def joined(c):
@@ -107,19 +107,28 @@ def att17(spark, sf):
     return v_title(spark, sf).select("title_id", F.coalesce(kg, g).alias("mass"))
 
 
-@query("att18_all_measures", "SELECT product_uid, day, qty, CAST(regexp_extract(title, '([0-9]+)g', 1) AS DOUBLE) AS base_value, 'mass' AS dim FROM v_offer")
+@query("att18_all_measures", "SELECT title_id, 'mass' AS dim, concat(grams, 'g') AS raw, grams::DOUBLE AS base_value, true AS ambiguous FROM v_attr UNION ALL SELECT title_id, 'power', concat(watts, 'W'), watts::DOUBLE, true FROM v_attr WHERE watts IS NOT NULL")
 def att18(spark, sf):
-    from skuweave.operators.measures import all_measures
+    from skuweave.operators.measures import measures_of
 
-    o = v_offer(spark, sf).select("product_uid", "day", "qty", F.regexp_replace("title", "g x", "g / ").alias("title"))
-    return all_measures(o, "title").where("dim = 'mass'").select("product_uid", "day", "qty", "base_value", "dim")
+    m = v_listing(spark, sf).select("title_id", F.explode(measures_of("title")).alias("m"))
+    return m.select("title_id", "m.dim", "m.raw", "m.base_value", "m.ambiguous")
 
 
-@query("att19_base_name", "SELECT title_id, trim(regexp_replace(title, '[0-9]+g$', '')) AS base FROM v_title")
+@query("att19_parse_variant", """SELECT p_partkey AS title_id, concat_ws(' ', CASE WHEN p_partkey % 11 <> 0 THEN p_brand END, p_name, CASE WHEN p_partkey % 4 <> 0 THEN concat('MX', p_partkey % 40, 'A') END, CASE p_partkey % 5 WHEN 0 THEN 'USB-C' WHEN 1 THEN 'Lightning' END,
+ 1 + p_partkey % 2, CASE p_partkey % 7 WHEN 0 THEN 'refurb' WHEN 1 THEN 'used' END, CASE WHEN p_partkey % 13 = 0 THEN 'set' END) AS base, concat(p_size * 10, 'g') AS volume, 1 + (p_partkey % 3 > 0)::INT AS n FROM part""")
 def att19(spark, sf):
-    from skuweave.operators.measures import strip_measures
+    from skuweave.operators.measures import parse_variant
 
-    return v_title(spark, sf).select("title_id", strip_measures("title").alias("base"))
+    v = v_listing(spark, sf).select("title_id", parse_variant("title").alias("v"))
+    return v.select("title_id", "v.base", "v.volume", F.size("v.measures").alias("n"))
+
+
+@query("att19_family_axes", "SELECT entity, 'mass' AS dim, count(DISTINCT grams) AS n FROM v_attr GROUP BY entity HAVING count(DISTINCT grams) >= 2 UNION ALL SELECT entity, 'power', count(DISTINCT watts) FROM v_attr GROUP BY entity HAVING count(DISTINCT watts) >= 2")
+def att19_axes(spark, sf):
+    from skuweave.operators.measures import family_axes
+
+    return family_axes(v_listing(spark, sf), "entity", "title_id", "title")
 
 
 @query("att20_style_code", "SELECT doc_id, nullif(upper(regexp_extract(text, '([A-Za-z]{2}[0-9]{4}(?:-[0-9]{3})?)', 1)), '') AS code FROM documents")

@@ -34,6 +34,7 @@ def load() -> None:
         more,
         nested,
         resolution,
+        searching,
         tables,
         voice,
     )

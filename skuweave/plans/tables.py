@@ -330,11 +330,6 @@ def flt9(spark, sf):
     return v_catalog(spark, sf).where((F.col("material") != "") & (F.col("price") > 0) & F.contains("name", F.lit("e"))).select("seq")
 
 
-@query("flt11_text_filter", "SELECT doc_id FROM documents WHERE contains(text, 'license') OR contains(text, 'License')")
-def flt11(spark, sf):
-    return table(spark, sf, "documents").where(F.contains("text", F.lit("license")) | F.contains("text", F.lit("License"))).select("doc_id")
-
-
 @query("flt13_recent", "SELECT doc_id FROM documents WHERE date_diff('day', DATE '2024-01-01' + CAST(doc_id % 365 AS INT), DATE '2024-12-31') <= 90 AND length(trim(text)) >= 200")
 def flt13(spark, sf):
     """Recent reviews with a body of at least 200 characters."""

@@ -14,10 +14,12 @@ from skuweave.operators import grounding as G
 from skuweave.operators import prices as P
 from skuweave.operators import resolve as R
 from skuweave.operators import shape as H
+from skuweave.operators import search as X
 from skuweave.operators import voice as V
-from skuweave.operators.measures import all_measures, strip_measures
+from skuweave.operators.measures import all_measures, family_axes, measures_of, parse_variant, strip_measures
 from skuweave.plans import registry
-from skuweave.plans.views import v_title
+from skuweave.plans.views import v_listing, v_title
+from skuweave.sources.keyed import KeyedTable
 
 
 def one(spark, column):
@@ -84,6 +86,73 @@ def test_measures(spark):
     assert one(spark, strip_measures(F.lit("oat 2kg bar"))) == "oat bar"
 
 
+def test_unit_table(spark):
+    def of(text, **more):
+        return {m["dim"]: m["raw"] for m in one(spark, measures_of(F.lit(text), **more))}
+
+    assert of("두유 190ml 16개입 x 2팩 1,200g") == {"volume": "190ml", "count": "16개입", "count_팩": "2팩", "mass": "1200g"}
+    assert of("아이폰15 갤럭시S24 256GB 1920x1080 27인치 144 Hz") == {"storage": "256GB", "length": "27인치", "refresh": "144Hz"}
+    assert of("210gX36개 and 130G*6번들") == {"mass": "210g", "count": "36개"} and of("5 models, 7 modes, v2.5l") == {} and of("") == {}
+    assert of("0.5 리터 3 inch 60캡슐") == {"volume": "0.5L", "length": "3in", "count_캡슐": "60캡슐"}
+    assert of("3 bolts 12 crates", units=(("crates", "count", "crate", 1.0, "crates"),)) == {"count": "12crates"}
+    v = one(spark, parse_variant(F.lit("Oat bar 35g x 6개 box")))
+    assert (v["base"], v["volume"], v["count"], v["count_unit"]) == ("Oat bar box", "35g", 6, "개")
+    assert one(spark, parse_variant(F.lit("500ml")))["base"] == "500ml"
+    rows = [("f", 1, "tv 40 in 60Hz"), ("f", 2, "tv 50 in"), ("g", 3, "fan 5m"), ("g", 4, "fan"), ("h", 5, "milk 1L"), ("h", 6, "milk 500ml")]
+    df = spark.createDataFrame(rows, "family string, id long, t string")
+    assert {tuple(r) for r in family_axes(df, "family", "id", "t").collect()} == {("f", "length", 2), ("h", "volume", 2)}
+
+
+def test_key_buckets(spark, tmp_path):
+    path, files = f"file://{tmp_path}/t", lambda: {str(p): p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    table = KeyedTable(spark, path, ["k"], spark.range(0).select(F.col("id").alias("k"), F.col("id").alias("v")).schema, buckets=8)
+    assert table.read().count() == 0
+    rows = spark.range(100).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("v"))
+    table.upsert(rows, ["v"])
+    before = files()
+    few = spark.createDataFrame([(5, 9), (5, 7), (105, 3), (6, 0)], "k long, v long")
+    table.upsert(few, ["v"])
+    got = {r["k"]: r["v"] for r in table.read().collect()}
+    assert got == {**dict.fromkeys(range(100), 1), 5: 9, 105: 3}
+    after = files()
+    assert {p: t for p, t in after.items() if p in before} == before  # nothing is written twice
+    touched = {r[0] for r in few.select(table.bucket()).collect()}
+    assert {p.split("bucket=")[1].split("/")[0] for p in set(after) - set(before)} == set(map(str, touched)) and len(touched) < 8
+    assert table.upsert(few.withColumn("v", F.lit(50).cast("long")), ["v"], version=1) == 1 and {r["k"]: r["v"] for r in table.read().collect()} == got  # a repeated batch
+    for _ in range(2):
+        table.replace(spark.createDataFrame([(5, 2), (5, 4)], "k long, v long"))
+        assert sorted(r["v"] for r in table.read().where("k = 5").collect()) == [2, 4] and table.read().count() == 102
+    table.vacuum(1)
+    assert table.read().count() == 102 and len(table.versions()) == 1 and table.read(table.versions()[0]).count() == 102
+
+
+def test_block_split_gives_every_pair_once(spark):
+    keys = [(i, "m", "hot") for i in range(53)] + [(i, "g", f"k{i % 7}") for i in range(30)] + [(99, "g", "alone")]
+    want = {(a, b, leg, key) for a, leg, key in keys for b, leg2, key2 in keys if a < b and (leg, key) == (leg2, key2)}
+    df = spark.createDataFrame(keys, "id long, leg string, key string")
+    for largest in (1000, 10, 1):
+        got = [tuple(r) for r in R.key_pairs(df, largest).collect()]
+        assert len(got) == len(want) and set(got) == want
+    x = R.extract_attributes(v_listing(spark, "/root/testdata/sf0.001"))
+    legs = {(r["a"], r["b"]): r["bits"] for r in R.candidate_legs(x, minhash=True).collect()}
+    for bit, pairs in ((31, R.block_pairs(R.block_keys(x)).select("a", "b")), (64, R.minhash_pairs(x, "title_id", R.brand_shingles(), bands=40, rows=3)), (128, R.minhash_pairs(x, "title_id", F.col("toks")))):
+        assert {tuple(r) for r in pairs.collect()} == {p for p, bits in legs.items() if bits & bit}
+
+
+def test_trigram_search(spark):
+    texts = ["The Battery lasts", "battery LASTS long", "bat", "ba", "", None, "番茄酱很好吃", "a" * 50]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    queries = ["battery", "ATT", "ba", "b", "", None, "酱很好", "zzz", "aaaa", "lasts long"]
+    q = spark.createDataFrame(list(enumerate(queries)), "qid long, q string")
+    post = X.trigram_postings(df, "id", "t")
+    want = {(i, k) for i, x in enumerate(queries) for k, t in enumerate(texts) if x is not None and t is not None and x.lower() in t.lower()}
+    got = [tuple(r) for r in X.substring_search(post, df, q, "id", "t").collect()]
+    assert set(got) == want and len(got) == len(want)
+    grams = lambda t: {t.lower()[i : i + 3] for i in range(len(t) - 2)} if t else set()
+    near = {(i, k): round(len(a & b) / len(a | b), 4) for i, x in enumerate(queries) for k, t in enumerate(texts) if (a := grams(x)) and (b := grams(t)) and len(a & b) * 100 >= 30 * len(a | b)}
+    assert {(r["qid"], r["id"]): r["similarity"] for r in X.similarity_search(post, q, "id", 30).collect()} == near and near
+
+
 def test_clean_offers_never_empties_a_group_but_by_the_gate(spark):
     rows = [("A", 100, 4, 1), ("A", 900, 5, 1), ("B", 100, 1, 1), ("B", 110, 1, 1), ("B", 9000, 1, 1), ("B", 90, 2, 1)]
     df = spark.createDataFrame(rows, "product_uid string, price long, product_type int, qty int").withColumns({c: F.lit("m") for c in ("mall", "day", "title", "official_price")})
