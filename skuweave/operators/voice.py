@@ -211,3 +211,48 @@ def variant_points(tree: DataFrame, points: DataFrame, shared: DataFrame, family
     alive = count.select("node").union(above.join(count, F.col("child") == F.col("node")).select(F.col("ancestor").alias("node"))).distinct()
     kept = nodes.join(alive, "node", "left_semi").join(count, "node", "left").select(family, "node", "parent", "level", F.coalesce("n_points", F.lit(0)).alias("n_points"))
     return out, kept
+
+
+#: Sections of a customer's page in their order, and the dimensions that each takes, the first that fits.
+SECTIONS = ("good", "taste", "spec", "pack", "use", "gift", "caveat")
+SECTION_OF = (
+    ("verdict.strengths", "good"), ("verdict.weaknesses", "caveat"), ("context.why.negative_concern", "caveat"), ("verdict.compare", None), ("verdict.trust", "spec"), ("aspect.taste", "taste"), ("aspect.texture", "taste"),
+    ("aspect.sensory", "taste"), ("aspect.size", "pack"), ("aspect.care", "pack"), ("aspect.price_range", "pack"), ("aspect", "spec"), ("context.gift", "gift"), ("context", "use"),
+)
+
+
+def section_of(dim) -> Column:
+    """The customer's section of a dimension; null where only sellers see it."""
+    out, d = F.lit("use"), F.coalesce(S.col(dim), F.lit(""))
+    for prefix, section in reversed(SECTION_OF):
+        out = F.when(F.startswith(d, F.lit(prefix)), F.lit(section)).otherwise(out)
+    return out
+
+
+def customer_pages(points: DataFrame, key: str = "bundle_uid", per_section: int = 3, sections: int = 5, per_point: int = 3) -> DataFrame:
+    """One nested row for each key: headline, review_count, and sections of (section, items of (text, mentions, evidence)).
+
+    points: key, dim_path, dim_rank (the order of dimensions), ord (in the dimension), point, cited, evidence of (source, url, quote, is_ad).
+    Seller-only dimensions are hidden, a text is shown once whatever its case and blanks, its mentions are its pieces of evidence, or
+    its citations if it has none. A section has its most mentioned points, a point its first pieces of evidence with a link, those
+    that are no advertisement first, quotes cut at 90 characters. The headline is the first strength, else the first text shown.
+    """
+    p = points.withColumn("text", F.trim("point")).withColumn("section", section_of("dim_path")).where("section is not null and text <> ''")
+    pieces = F.coalesce(F.size("evidence"), F.lit(0))
+    p = p.withColumn("mentions", F.when(pieces > 0, pieces).otherwise(F.coalesce("cited", F.lit(0))).cast("long")).withColumn("at", F.struct("dim_rank", "ord", "text"))
+    linked = F.filter(F.coalesce("evidence", F.array().cast(points.schema["evidence"].dataType)), lambda e: F.coalesce(e["url"], F.lit("")) != "")
+    ad = lambda e: F.coalesce(e["is_ad"], F.lit(False))
+    shown = F.slice(F.concat(F.filter(linked, lambda e: ~ad(e)), F.filter(linked, ad)), 1, per_point)
+    p = p.withColumn("shown", F.transform(shown, lambda e: F.struct(e["source"].alias("source"), e["url"].alias("url"), F.left(F.coalesce(e["quote"], F.lit("")), F.lit(90)).alias("quote"))))
+    strong = p.where("section = 'good'").groupBy(key).agg(F.min_by("text", "at").alias("strength"))
+    norm = F.replace(F.lower("text"), F.lit(" "), F.lit(""))
+    once = p.withColumn("u", F.row_number().over(Window.partitionBy(key, norm).orderBy("at"))).where("u = 1")
+    total = once.groupBy(key).agg(F.sum("mentions").alias("review_count"))
+    best = once.withColumn("r", F.row_number().over(Window.partitionBy(key, "section").orderBy(F.desc("mentions"), "at"))).where(F.col("r") <= per_section)
+    place = F.array_position(F.lit(list(SECTIONS)), F.col("section"))
+    items = F.transform(F.sort_array(F.collect_list(F.struct("r", F.struct("text", "mentions", F.col("shown").alias("evidence")).alias("i")))), lambda x: x["i"])
+    by_section = best.groupBy(key, place.alias("place"), "section").agg(items.alias("items"))
+    pages = by_section.groupBy(key).agg(F.slice(F.transform(F.sort_array(F.collect_list(F.struct("place", F.struct("section", "items").alias("s")))), lambda x: x["s"]), 1, sections).alias("sections"))
+    out = pages.join(total, key).join(strong, key, "left")
+    first = F.get(F.get("sections", F.lit(0))["items"], F.lit(0))["text"]
+    return out.select(key, F.coalesce("strength", first).alias("headline"), "review_count", "sections")

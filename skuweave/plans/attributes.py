@@ -115,6 +115,13 @@ def att18(spark, sf):
     return m.select("title_id", "m.dim", "m.raw", "m.base_value", "m.ambiguous")
 
 
+@query("att19_base_name", "SELECT title_id, trim(regexp_replace(title, '[0-9]+g$', '')) AS base FROM v_title")
+def att19_base(spark, sf):
+    from skuweave.operators.measures import strip_measures
+
+    return v_title(spark, sf).select("title_id", strip_measures("title").alias("base"))
+
+
 @query("att19_parse_variant", """SELECT p_partkey AS title_id, concat_ws(' ', CASE WHEN p_partkey % 11 <> 0 THEN p_brand END, p_name, CASE WHEN p_partkey % 4 <> 0 THEN concat('MX', p_partkey % 40, 'A') END, CASE p_partkey % 5 WHEN 0 THEN 'USB-C' WHEN 1 THEN 'Lightning' END,
  1 + p_partkey % 2, CASE p_partkey % 7 WHEN 0 THEN 'refurb' WHEN 1 THEN 'used' END, CASE WHEN p_partkey % 13 = 0 THEN 'set' END) AS base, concat(p_size * 10, 'g') AS volume, 1 + (p_partkey % 3 > 0)::INT AS n FROM part""")
 def att19(spark, sf):

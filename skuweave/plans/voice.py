@@ -86,6 +86,33 @@ def shp11(spark, sf):
     return V.chunk_delta(d.where("doc_id % 7 <> 0"), new, "doc_id", "text")
 
 
+PAGE = """d AS (SELECT *, dense_rank() OVER (PARTITION BY bundle_uid ORDER BY total DESC, dim_path) AS dim_rank FROM (SELECT *, sum(cited) OVER (PARTITION BY bundle_uid, dim_path) AS total FROM v_point)),
+ e AS (SELECT *, CASE WHEN starts_with(dim_path, 'verdict.strengths') THEN 'good' WHEN starts_with(dim_path, 'verdict.weaknesses') THEN 'caveat' WHEN starts_with(dim_path, 'aspect.taste') THEN 'taste' WHEN starts_with(dim_path, 'aspect.size') THEN 'pack' ELSE 'use' END AS section,
+  CASE WHEN ord % 5 > 0 THEN ord % 5 ELSE cited END AS mentions, list_filter(range(ord % 5), lambda i: (i + ord) % 4 <> 3) AS l FROM d),
+ o AS (SELECT *, list_concat(list_filter(l, lambda i: (i + ord) % 2 = 1), list_filter(l, lambda i: (i + ord) % 2 = 0))[1:3] AS shown FROM e),
+ u AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY bundle_uid, point ORDER BY dim_rank, ord, point) = 1),
+ b AS (SELECT *, row_number() OVER (PARTITION BY bundle_uid, section ORDER BY mentions DESC, dim_rank, ord) AS r, list_position(['good', 'taste', 'spec', 'pack', 'use', 'gift', 'caveat'], section) AS place FROM u QUALIFY r <= 3),
+ s AS (SELECT bundle_uid, place, concat(section, '(', string_agg(concat(point, '=', mentions, '[', array_to_string(list_transform(shown, lambda i: concat('u', ord, '-', i)), ','), ']'), ';' ORDER BY r), ')') AS t, arg_min(point, r) AS first FROM b GROUP BY bundle_uid, place, section)
+ SELECT s.bundle_uid, coalesce(g.strength, arg_min(s.first, s.place)) AS headline, n.review_count, array_to_string(list(t ORDER BY s.place)[1:5], '|') AS page FROM s
+ JOIN (SELECT bundle_uid, CAST(sum(mentions) AS BIGINT) AS review_count FROM u GROUP BY 1) n USING (bundle_uid) LEFT JOIN (SELECT bundle_uid, arg_min(point, struct_pack(a := dim_rank, b := ord)) AS strength FROM e WHERE section = 'good' GROUP BY 1) g USING (bundle_uid) GROUP BY s.bundle_uid, g.strength, n.review_count"""
+
+
+@query("ev15_customer_pages", f"WITH {PAGE}")
+def ev15_pages(spark, sf):
+    """Nested pages with headline and linked evidence, printed as text for the comparison."""
+    from pyspark.sql import Window
+
+    i = lambda x: x + F.col("ord")
+    piece = lambda x: F.struct(F.lit("blog").alias("source"), F.when(i(x) % 4 != 3, F.concat(F.lit("u"), F.col("ord").cast("string"), F.lit("-"), x.cast("string"))).otherwise("").alias("url"), F.lit("q").alias("quote"), (i(x) % 2 == 0).alias("is_ad"))
+    p = v_point(spark, sf).withColumn("total", F.sum("cited").over(Window.partitionBy("bundle_uid", "dim_path")))
+    p = p.withColumn("dim_rank", F.dense_rank().over(Window.partitionBy("bundle_uid").orderBy(F.desc("total"), "dim_path")))
+    p = p.withColumn("evidence", F.slice(F.transform(F.array(*[F.lit(k) for k in range(4)]), piece), F.lit(1), (F.col("ord") % 5).cast("int")))
+    pages = V.customer_pages(p)
+    item = lambda x: F.concat(x["text"], F.lit("="), x["mentions"].cast("string"), F.lit("["), F.array_join(F.transform(x["evidence"], lambda e: e["url"]), ","), F.lit("]"))
+    page = F.array_join(F.transform("sections", lambda s: F.concat(s["section"], F.lit("("), F.array_join(F.transform(s["items"], item), ";"), F.lit(")"))), "|")
+    return pages.select("bundle_uid", "headline", "review_count", page.alias("page"))
+
+
 @query("ev11_shared_points", "SELECT bundle_uid, dim_path, point, count(DISTINCT product_uid) AS n_members FROM v_point GROUP BY ALL HAVING count(DISTINCT product_uid) >= 2")
 def ev11(spark, sf):
     return V.shared_points(v_point(spark, sf), "bundle_uid", "product_uid")
