@@ -89,3 +89,19 @@ def test_points_along_a_variant_tree(spark):
     assert {(r["node"], r["point"], r["dim"]) for r in out.collect()} == {(n, p, d) for n, ps in own.items() for p, d in ps.items()} | {(None, p, d) for p, d in fixed.items()}
     got = {r["node"]: r["n_points"] for r in kept.collect()}
     assert got == {n: len(own[n]) for n in parent if alive(n)} and len(set(got.values())) > 2 and len(got) < len(parent)
+
+
+def test_customer_pages(spark):
+    ev = lambda *x: [("blog", u, "q" * 100, ad) for u, ad in x]
+    rows = [
+        ("a", "verdict.compare.x", 1, 0, "hidden", 9, ev()), ("a", "aspect.taste", 2, 0, "Sweet ", 1, ev(("u1", True), ("", False), ("u2", False), ("u3", None), ("u4", True))),
+        ("a", "verdict.strengths", 3, 0, "sw eet", 7, None), ("a", "verdict.strengths", 3, 1, "Cheap", None, []), ("a", "verdict.strengths", 3, 2, "", 5, []), ("a", "verdict.strengths", 3, 3, "Light", 4, []), ("a", "verdict.strengths", 3, 4, "Small", 3, []), ("a", "verdict.strengths", 3, 5, "Soft", 2, []),
+        ("b", None, 1, 0, "odd", 1, []), ("b", "context.gift.who", 2, 0, "gift", 2, []), ("c", "verdict.compare", 1, 0, "only sellers", 1, []),
+    ]
+    schema = "bundle_uid string, dim_path string, dim_rank int, ord int, point string, cited int, evidence array<struct<source:string,url:string,quote:string,is_ad:boolean>>"
+    got = {r["bundle_uid"]: r for r in V.customer_pages(spark.createDataFrame(rows, schema)).collect()}
+    page = lambda k: [(s["section"], [(i["text"], i["mentions"], [e["url"] for e in i["evidence"]]) for i in s["items"]]) for s in got[k]["sections"]]
+    assert set(got) == {"a", "b"} and got["a"]["headline"] == "sw eet" and got["a"]["review_count"] == 5 + 0 + 4 + 3 + 2
+    assert page("a") == [("good", [("Light", 4, []), ("Small", 3, []), ("Soft", 2, [])]), ("taste", [("Sweet", 5, ["u2", "u3", "u1"])])]
+    assert got["b"]["headline"] == "odd" and page("b") == [("use", [("odd", 1, [])]), ("gift", [("gift", 2, [])])]
+    assert len(got["a"]["sections"][1]["items"][0]["evidence"][0]["quote"]) == 90
