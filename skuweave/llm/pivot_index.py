@@ -16,6 +16,8 @@ from skuweave.operators.components import connected_components
 PIVOT_FACTOR, LEAST_PIVOTS, MOST_PIVOTS = 4.0, 32, 16_384
 #: Nearest pivots that describe a vector; two vectors meet in the lists if they share at least two of these.
 NEAREST = 8
+#: Labels whose sizes are broadcast, 40 bytes each.
+BROADCAST_LABELS = 100_000
 #: Vectors of one list that a task compares at once; a longer list is compared in blocks.
 BLOCK = 1024
 
@@ -151,9 +153,13 @@ def near_vectors(
 
     # Each label's vectors in parts, every part with the label's pivots: nothing of them passes through the driver.
     sizes = classes.groupBy("label").agg(F.count("*").alias("n"))
-    sizes = sizes.select("label", F.least(F.lit(MOST_PIVOTS), F.greatest(F.lit(LEAST_PIVOTS), F.floor(PIVOT_FACTOR * F.sqrt("n")))).cast("int").alias("wanted"), F.ceil(F.col("n") / DESCRIBED).cast("int").alias("parts"))
-    rank = "row_number() over (partition by label order by xxhash64(rep, 'pivot'), rep)"
-    drawn = classes.select("label", "rep", "unit", F.expr(rank).alias("k")).where(F.col("k") <= MOST_PIVOTS).join(sizes, "label").where("k <= wanted")
+    sizes = sizes.select("label", "n", F.least(F.lit(MOST_PIVOTS), F.greatest(F.lit(LEAST_PIVOTS), F.floor(PIVOT_FACTOR * F.sqrt("n")))).cast("int").alias("wanted"), F.ceil(F.col("n") / DESCRIBED).cast("int").alias("parts"))
+    # A row for each label: broadcast where there are few, so that a hot label is no shuffled key.
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_LABELS else sizes
+    # Candidates by a hash bar first, about twice as many as wanted: only these are ranked, whatever the label's size.
+    bar = F.pmod(F.xxhash64("rep", F.lit("pivot")), F.lit(1 << 40)) / float(1 << 40)
+    near = classes.select("label", "rep", "unit", bar.alias("h")).join(sizes, "label").where(F.col("h") * F.col("n") < 2 * F.col("wanted") + 64)
+    drawn = near.withColumn("k", F.expr("row_number() over (partition by label order by h, rep)")).where("k <= wanted")
     drawn = drawn.select("label", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), F.col("k").cast("long").alias("rep"), F.lit(0).cast("long").alias("copies"), "unit")
     dealt = classes.join(sizes, "label").select("label", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), "rep", "copies", "unit")
     dealt = dealt.union(drawn).repartition("label", "part").sortWithinPartitions("label", "part", "role", "rep")
