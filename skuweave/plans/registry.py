@@ -35,6 +35,7 @@ def load() -> None:
         nested,
         resolution,
         searching,
+        serving,
         tables,
         voice,
     )

@@ -97,17 +97,21 @@ PAGE = """d AS (SELECT *, dense_rank() OVER (PARTITION BY bundle_uid ORDER BY to
  JOIN (SELECT bundle_uid, CAST(sum(mentions) AS BIGINT) AS review_count FROM u GROUP BY 1) n USING (bundle_uid) LEFT JOIN (SELECT bundle_uid, arg_min(point, struct_pack(a := dim_rank, b := ord)) AS strength FROM e WHERE section = 'good' GROUP BY 1) g USING (bundle_uid) GROUP BY s.bundle_uid, g.strength, n.review_count"""
 
 
-@query("ev15_customer_pages", f"WITH {PAGE}")
-def ev15_pages(spark, sf):
-    """Nested pages with headline and linked evidence, printed as text for the comparison."""
+def paged_points(p):
+    """Points with the rank of their dimension and up to four pieces of evidence, some without a link, some of advertisements."""
     from pyspark.sql import Window
 
     i = lambda x: x + F.col("ord")
     piece = lambda x: F.struct(F.lit("blog").alias("source"), F.when(i(x) % 4 != 3, F.concat(F.lit("u"), F.col("ord").cast("string"), F.lit("-"), x.cast("string"))).otherwise("").alias("url"), F.lit("q").alias("quote"), (i(x) % 2 == 0).alias("is_ad"))
-    p = v_point(spark, sf).withColumn("total", F.sum("cited").over(Window.partitionBy("bundle_uid", "dim_path")))
+    p = p.withColumn("total", F.sum("cited").over(Window.partitionBy("bundle_uid", "dim_path")))
     p = p.withColumn("dim_rank", F.dense_rank().over(Window.partitionBy("bundle_uid").orderBy(F.desc("total"), "dim_path")))
-    p = p.withColumn("evidence", F.slice(F.transform(F.array(*[F.lit(k) for k in range(4)]), piece), F.lit(1), (F.col("ord") % 5).cast("int")))
-    pages = V.customer_pages(p)
+    return p.withColumn("evidence", F.slice(F.transform(F.array(*[F.lit(k) for k in range(4)]), piece), F.lit(1), (F.col("ord") % 5).cast("int")))
+
+
+@query("ev15_customer_pages", f"WITH {PAGE}")
+def ev15_pages(spark, sf):
+    """Nested pages with headline and linked evidence, printed as text for the comparison."""
+    pages = V.customer_pages(paged_points(v_point(spark, sf)))
     item = lambda x: F.concat(x["text"], F.lit("="), x["mentions"].cast("string"), F.lit("["), F.array_join(F.transform(x["evidence"], lambda e: e["url"]), ","), F.lit("]"))
     page = F.array_join(F.transform("sections", lambda s: F.concat(s["section"], F.lit("("), F.array_join(F.transform(s["items"], item), ";"), F.lit(")"))), "|")
     return pages.select("bundle_uid", "headline", "review_count", page.alias("page"))
