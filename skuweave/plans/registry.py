@@ -30,6 +30,7 @@ def load() -> None:
         audits,
         files,
         grounded,
+        guidelines,
         matching,
         more,
         nested,
