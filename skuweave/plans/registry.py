@@ -35,6 +35,7 @@ def load() -> None:
         more,
         nested,
         resolution,
+        routing,
         searching,
         serving,
         tables,
