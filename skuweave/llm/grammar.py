@@ -9,6 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +18,8 @@ from skuweave.sources.shared import new_path
 
 #: Encoded chunks that a Python worker keeps; beyond that the memory starts afresh.
 CACHE_CHUNKS = 600_000
+#: Bytes of text that are cut and looked up together, about.
+PIECE_BYTES = 4 << 20
 
 
 #: Bits of the table in which pairs are counted by their hash, at most.
@@ -28,7 +31,8 @@ LETTERS = re.compile(" [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 #: Byte-level vocabularies spell a byte as the Latin-1 sign of its number if that is printable, the others as signs from
 #: U+0100 on, in order.
 SPACE = "\u0120"
-BYTE_SIGNS = {b: chr(256 + i) for i, b in enumerate([*range(33), *range(127, 161), 173]) if b != 32}
+BYTE_SIGNS = np.arange(256, dtype="<u4")
+BYTE_SIGNS[[*range(33), *range(127, 161), 173]] = 256 + np.arange(68)
 
 
 class ChunkedTokenizer:
@@ -59,7 +63,9 @@ class ChunkedTokenizer:
         self.letters = Tokenizer.from_file(path)
         self.letters.model._resize_cache(0)
         self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str, int] = {}  # the number of each chunk
+        self.bounds = np.zeros(1, np.int64)  # chunk i has ids[bounds[i] : bounds[i + 1]]
+        self.ids = np.zeros(0, "<u4")
 
     def _other_space(self, t: str) -> bool:
         return any(c in t for c in "\t\r\x0b\x0c\x1c\x1d\x1e\x1f") if t.isascii() else self.other_space.search(t) is not None
@@ -67,72 +73,114 @@ class ChunkedTokenizer:
     def _bytes(self, text: str) -> bytes:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Encodes new chunks that start with a space or line end, many in a row; those of letters without the pattern."""
-        rest = [c for c in chunks if not (c.isascii() and c[1:].isalpha() and c[0] == " ")]
-        ascii_words = chunks if not rest else list(set(chunks).difference(rest))
-        words = list(filter(LETTERS.fullmatch, rest))
-        other = rest if not words else list(set(rest).difference(words))
-        for library, part in ((self.letters, ascii_words), (self.letters, words), (self.library, other)):
-            ids: list[int] = []
-            for lo in range(0, len(part), 128):
-                line = "".join(part[lo : lo + 128])
-                if part is words:  # as the vocabulary spells bytes
-                    line = line.encode().decode("latin-1").translate(BYTE_SIGNS)
-                if part is not other:  # blanks stand between the words
-                    line = line.replace(" ", f" {SPACE}")
-                ids += library.encode_batch_fast([line], add_special_tokens=False)[0].ids
-            if part:
-                out = np.array(ids, "<u4")
-                ends = np.cumsum(list(map(len, part if part is ascii_words else map(str.encode, part))))
-                reached = np.cumsum(self.width[out])
-                at = np.searchsorted(reached, ends)
-                if (reached[np.minimum(at, len(out) - 1)] != ends).any():
-                    raise ValueError("ids that cross a cut: not a byte-level vocabulary")
-                raw, at = out.tobytes(), ((at + 1) * 4).tolist()
-                self.cache.update(zip(part, map(raw.__getitem__, map(slice, [0, *at[:-1]], at)), strict=True))
+    def _learn(self, new: list[str]) -> None:
+        """Encodes new chunks, many in a row; those of letters without the pattern.
+
+        A chunk that does not start with a space or line end, or ends with white space, may not stand beside others in
+        the library's input and goes there alone.
+        """
+        alone, ascii_words, words, other = [], [], [], []
+        for c in new:
+            if not c or c[0] not in " \n" or c[-1].isspace():
+                alone.append(c)
+            elif c[0] == " " and c.isascii() and c[1:].isalpha():
+                ascii_words.append(c)
+            elif LETTERS.fullmatch(c):
+                words.append(c)
+            else:
+                other.append(c)
+        known, bounds = [self.ids], [self.bounds]
+        top = int(self.bounds[-1])
+        for part in (alone, ascii_words, words, other):
+            if not part:
+                continue
+            if part is alone:
+                found = [e.ids for e in self.library.encode_batch_fast(part, add_special_tokens=False)]
+                ids = np.array([i for own in found for i in own], "<u4")
+                bounds.append(top + np.cumsum(list(map(len, found))))
+            else:
+                ids, ends = self._in_a_row(part, part is not other)
+                bounds.append(top + ends)
+            known.append(ids)
+            top += len(ids)
+            self.cache.update(zip(part, range(len(self.cache), len(self.cache) + len(part)), strict=True))
+        self.ids, self.bounds = np.concatenate(known), np.concatenate(bounds)
+
+    def _in_a_row(self, part: list[str], letters: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all chunks of part and where those of each end; letters: each is a space and letters."""
+        library = self.letters if letters else self.library
+        ids: list[int] = []
+        for lo in range(0, len(part), 128):
+            line = "".join(part[lo : lo + 128])
+            if letters:  # as the vocabulary spells bytes, blanks between the words
+                if not line.isascii():
+                    line = BYTE_SIGNS[np.frombuffer(line.encode(), np.uint8)].tobytes().decode("utf-32-le").replace(SPACE, " ")
+                line = line.replace(" ", f" {SPACE}")
+            ids += library.encode_batch_fast([line], add_special_tokens=False)[0].ids
+        out = np.array(ids, "<u4")
+        ends = np.cumsum(pc.binary_length(pa.array(part, pa.large_string())).to_numpy())
+        reached = np.cumsum(self.width[out])
+        at = np.searchsorted(reached, ends)
+        if (reached[np.minimum(at, len(out) - 1)] != ends).any():
+            raise ValueError("ids that cross a cut: not a byte-level vocabulary")
+        return out, at + 1
+
+    def _numbers(self, chunks: list[str]) -> np.ndarray:
+        """The numbers of distinct chunks; new ones are encoded first."""
+        found = list(map(self.cache.get, chunks))
+        new = [c for c, n in zip(chunks, found, strict=True) if n is None] if None in found else []
+        if new:
+            if len(self.cache) + len(new) > CACHE_CHUNKS:
+                self.cache.clear()
+                new = chunks
+            if not self.cache:  # full, or emptied by another operator
+                self.bounds, self.ids = np.zeros(1, np.int64), np.zeros(0, "<u4")
+            self._learn(new)
+            found = list(map(self.cache.get, chunks))
+        return np.array(found, np.int64)
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         hold(self.cache)
-        get = self.cache.get
-        out: list[bytes | None] = [None] * len(texts)
-        open_: list[tuple[int, list, list[str], list[int]]] = []  # texts with new chunks: their places are filled later
-        new: set[str] = set()
-        odd: set[str] = set()  # chunks that may not stand after or before another one in the library's input
+        if not texts:
+            return []
+        cut: list[str] = []  # the texts with a zero sign at each cut
+        whole: list[int] = []
         for i, t in enumerate(texts):
-            if any(x in t for x in self.special):
-                out[i] = self._bytes(t)
-                continue
-            if "  " in t or "\n\n" in t or " \n" in t or "\n " in t or "\0" in t or t[-1:] in (" ", "\n") or self._other_space(t):
-                own = [c for c in self.cut.split(t) if c]
-                odd.update(c for c in own if c[0] not in " \n" or not c[-1].strip())
+            if "\0" in t or any(x in t for x in self.special):
+                whole.append(i)
+                t = ""
+            elif "  " in t or "\n\n" in t or " \n" in t or "\n " in t or t[-1:] in (" ", "\n") or self._other_space(t):
+                t = "\0".join(c for c in self.cut.split(t) if c)
             else:
+                stops = t[:1] not in ".," and not self.no_stop.search(t)
                 t = t.replace(" ", "\0 ").replace("\n", "\0\n")
-                if t[:1] not in ".," and not self.no_stop.search(t):
+                if stops:
                     t = t.replace(".", "\0.").replace(",", "\0,")
-                own = t.split("\0") if t else []
-                odd.update(own[:1])
-            found = list(map(get, own))
-            if None in found:
-                holes = [k for k, x in enumerate(found) if x is None]
-                new.update([own[k] for k in holes])
-                open_.append((i, found, own, holes))
-            else:
-                out[i] = b"".join(found)
-        if new:
-            if len(self.cache) + len(new) > CACHE_CHUNKS:
-                self.cache.clear()
-            alone = [c for c in new if c in odd or c[0] not in " \n"]
-            self.cache.update((c, self._bytes(c)) for c in alone)
-            self._learn(list(new.difference(alone)))
-        for i, found, own, holes in open_:
-            for k in holes:
-                found[k] = get(own[k])
-            out[i] = b"".join(found)
+            cut.append(t)
+        lists = pc.split_pattern(pa.array(cut, pa.large_string()), "\0")
+        chunks = lists.values.dictionary_encode()
+        number = self._numbers(chunks.dictionary.to_numpy(zero_copy_only=False).tolist())
+        first, size = self.bounds[number], self.bounds[number + 1] - self.bounds[number]
+        code = chunks.indices.to_numpy()
+        own = size[code]
+        upto = np.cumsum(own)
+        ids = self.ids[np.repeat(first[code] - (upto - own), own) + np.arange(upto[-1])].tobytes()
+        ends = (upto[lists.offsets.to_numpy()[1:] - 1] * 4).tolist()
+        out = list(map(ids.__getitem__, map(slice, [0, *ends[:-1]], ends)))
+        for i in whole:
+            out[i] = self._bytes(texts[i])
         return out
 
 
+def pieces(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """batch in pieces of whole rows with about PIECE_BYTES in a text column; equal chunks of a piece are looked up once."""
+    part = np.cumsum(pc.binary_length(batch.column(column)).to_numpy()) // PIECE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for lo, hi in zip(cuts, cuts[1:]):
+        yield batch.slice(lo, hi - lo)
+
+
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> ChunkedTokenizer:
     """One for each Python worker and file."""
@@ -176,9 +224,11 @@ def compress(ids: np.ndarray, least: int = 5, base: int = 1 << 17) -> tuple[np.n
         own = np.flatnonzero((rule >= 0) & (pairs[rule] == key[often]))
         at, rule = place[often[own]], rule[own]
         # A pair that overlaps itself takes every second place of its run.
-        start = np.flatnonzero((np.diff(at, prepend=-2) != 1) | (np.diff(rule, prepend=-1) != 0))
-        odd = (np.arange(len(at)) - np.repeat(start, np.diff(start, append=len(at)))) % 2 == 1
-        at, rule = at[~odd], rule[~odd]
+        twin = np.flatnonzero((pairs >> 31 == pairs & 0x7FFFFFFF)[rule])
+        if len(twin):
+            start = np.flatnonzero((np.diff(at[twin], prepend=-2) != 1) | (np.diff(rule[twin], prepend=-1) != 0))
+            odd = (np.arange(len(twin)) - np.repeat(start, np.diff(start, append=len(twin)))) % 2 == 1
+            at, rule = np.delete(at, twin[odd]), np.delete(rule, twin[odd])
         # Runs of overlapping occurrences: keep those that no neighbour beats, then what no kept one touches.
         kept_at, kept_rule = [], []
         for _ in range(3):
@@ -282,9 +332,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=[f.split()[0] for f in SHARD_FIELDS.split(", ")])
 
         for whole in batches:
-            for lo in range(0, whole.num_rows, 256):
-                batch = whole.slice(lo, 256)
-                for name, own in zip(batch.column(0).to_pylist(), tok.encode_many(batch.column(1).to_pylist()), strict=True):
+            for batch in pieces(whole, 1):
+                for name, own in zip(batch.column(0).to_pylist(), tok.encode_many(batch.column(1).to_numpy(zero_copy_only=False).tolist()), strict=True):
                     own += end
                     if n and n + len(own) // 4 > shard_ids:
                         yield close()

@@ -76,6 +76,31 @@ def test_token_files(spark, docs, empty, tmp_path):
     assert grammar.read_token_files(spark, f"file://{tmp_path}/e").count() == 0
 
 
+def test_token_files_look_up_equal_chunks_once(monkeypatch):
+    from tokenizers import Tokenizer
+
+    class Counting(dict):
+        asked = 0
+
+        def get(self, key):
+            self.asked += 1
+            return super().get(key)
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    lib, tok = Tokenizer.from_file(path), grammar.ChunkedTokenizer(path)
+    plain = lambda t: np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    tok.cache = Counting()
+    text = "One word, and élan vital. " * 50 + "end"
+    assert tok.encode_many([text] * 20) == [plain(text)] * 20 and tok.cache.asked < 50
+    odd = ["", " ", "\n", "\0", "a\0 b", " a ", "a \n b", "\u0120 \u010a", "x.\u00b5,\u0100.", "\u3000z\u0085", "it's\t12,3", "\u4e2d.\u6587", "<|endoftext|> x"]
+    texts = [f"{a}{mid}{b}" for a in odd for b in odd for mid in ("", " ", "w,")]
+    for most in (grammar.CACHE_CHUNKS, 60):  # the memory is emptied on the way, by itself or by another operator
+        monkeypatch.setattr(grammar, "CACHE_CHUNKS", most)
+        for lo in range(0, len(texts), 40):
+            assert tok.encode_many(texts[lo : lo + 40]) == [plain(t) for t in texts[lo : lo + 40]]
+        tok.cache.clear()
+
+
 def test_grammar_round_trip_and_slices():
     rng = np.random.default_rng(1)
     for ids in (np.zeros(0, "<u4"), np.array([7], "<u4"), np.full(999, 5, "<u4"), np.tile(rng.integers(0, 50, 37), 200).astype("<u4"), rng.integers(0, 50_000, 5_000).astype("<u4")):
