@@ -66,4 +66,4 @@ def rating(meta: DataFrame, reviews: DataFrame, key: str, least: int = 3) -> Dat
     j = meta.join(r, key, "full_outer")
     own = F.col("rating").isNotNull() & (F.coalesce("n", F.lit(0)) > 0)
     enough = F.col("c") >= least
-    return j.select(key, F.bround(F.when(own, F.col("rating")).when(enough, F.col("mean")), 2).alias("rating"), F.when(own, F.col("n")).when(enough, F.col("c")).alias("n"), F.when(own, "catalog").when(enough, "reviews").otherwise("none").alias("origin"))
+    return j.select(key, S.round_even(F.when(own, F.col("rating")).when(enough, F.col("mean")), 2).alias("rating"), F.when(own, F.col("n")).when(enough, F.col("c")).alias("n"), F.when(own, "catalog").when(enough, "reviews").otherwise("none").alias("origin"))
